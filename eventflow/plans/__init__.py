@@ -1,3 +1,3 @@
 """Registered queries: importing this package fills the registry."""
 
-from eventflow.plans import windowed  # noqa: F401
+from eventflow.plans import timed, windowed  # noqa: F401
