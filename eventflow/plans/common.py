@@ -50,15 +50,16 @@ def event_json(ev: DataFrame) -> DataFrame:
 EVENT_JSON_SQL = """
 event_json AS (
   SELECT event_id, CASE
-    WHEN event_id % 10 = 9 THEN '{"id": ' || user_id || ', "name": "' || event_type || '", "tm": ' || epoch_ms(ts)
-    WHEN event_type = 'signup' THEN '{"id": ' || user_id || ', "tm": ' || epoch_ms(ts) || '}'
+    WHEN event_id % 10 = 9 THEN '{"id": ' || user_id || ', "name": "' || event_type || '", "tm": ' || (epoch_us(ts) // 1000)
+    WHEN event_type = 'signup' THEN '{"id": ' || user_id || ', "tm": ' || (epoch_us(ts) // 1000) || '}'
     WHEN event_type = 'error' AND value > 40 THEN '{"id": ' || user_id || ', "name": "' || event_type || '"}'
-    ELSE '{"id": ' || user_id || ', "name": "' || event_type || '", "tm": ' || epoch_ms(ts) || '}'
+    ELSE '{"id": ' || user_id || ', "name": "' || event_type || '", "tm": ' || (epoch_us(ts) // 1000) || '}'
   END AS raw FROM events),
+valid AS (SELECT event_id, CASE WHEN json_valid(raw) THEN raw END AS raw FROM event_json),
 decoded AS (
   SELECT event_id,
-         json_valid(raw) AND (raw::JSON->>'id') IS NOT NULL AND (raw::JSON->>'tm') IS NOT NULL AS ok,
-         raw FROM event_json),
+         raw IS NOT NULL AND (raw::JSON->>'id') IS NOT NULL AND (raw::JSON->>'tm') IS NOT NULL AS ok,
+         raw FROM valid),
 event_data AS (
   SELECT event_id,
          CASE WHEN ok THEN CAST(raw::JSON->>'id' AS INTEGER) ELSE 0 END AS id,
@@ -92,20 +93,21 @@ ROOM_JSON_SQL = """
 room_json AS (
   SELECT event_id, CASE
     WHEN event_id % 10 = 3 THEN '{"v": "' || CAST(value AS VARCHAR) || '", "room": "' || event_type
-    WHEN event_type = 'view' THEN '{"room": "' || event_type || '", "id": "' || user_id || '", "tm": "' || epoch_ms(ts) || '"}'
-    WHEN event_type = 'click' THEN '{"v": "' || CAST(value AS VARCHAR) || '", "id": "' || user_id || '", "tm": "' || epoch_ms(ts) || '"}'
-    WHEN event_type = 'error' AND value > 45 THEN '{"v": "' || CAST(value AS VARCHAR) || '", "room": "' || event_type || '", "id": "u' || user_id || '", "tm": "' || epoch_ms(ts) || '"}'
-    ELSE '{"v": "' || CAST(value AS VARCHAR) || '", "room": "' || event_type || '", "id": "' || user_id || '", "tm": "' || epoch_ms(ts) || '"}'
+    WHEN event_type = 'view' THEN '{"room": "' || event_type || '", "id": "' || user_id || '", "tm": "' || (epoch_us(ts) // 1000) || '"}'
+    WHEN event_type = 'click' THEN '{"v": "' || CAST(value AS VARCHAR) || '", "id": "' || user_id || '", "tm": "' || (epoch_us(ts) // 1000) || '"}'
+    WHEN event_type = 'error' AND value > 45 THEN '{"v": "' || CAST(value AS VARCHAR) || '", "room": "' || event_type || '", "id": "u' || user_id || '", "tm": "' || (epoch_us(ts) // 1000) || '"}'
+    ELSE '{"v": "' || CAST(value AS VARCHAR) || '", "room": "' || event_type || '", "id": "' || user_id || '", "tm": "' || (epoch_us(ts) // 1000) || '"}'
   END AS raw FROM events),
+room_valid AS (SELECT event_id, CASE WHEN json_valid(raw) THEN raw END AS raw FROM room_json),
 room_parsed AS (
   SELECT event_id, raw,
-         CASE WHEN json_valid(raw) THEN
+         CASE WHEN raw IS NOT NULL THEN
               CASE WHEN (raw::JSON->>'v') IS NULL THEN CAST(0.0 AS FLOAT)
                    ELSE TRY_CAST(trim(raw::JSON->>'v') AS FLOAT) END END AS v0,
-         CASE WHEN json_valid(raw) THEN TRY_CAST(trim(raw::JSON->>'id') AS BIGINT) END AS id0,
-         CASE WHEN json_valid(raw) THEN TRY_CAST(trim(raw::JSON->>'tm') AS BIGINT) END AS tm0,
-         CASE WHEN json_valid(raw) THEN raw::JSON->>'room' END AS room0
-  FROM room_json),
+         TRY_CAST(trim(raw::JSON->>'id') AS BIGINT) AS id0,
+         TRY_CAST(trim(raw::JSON->>'tm') AS BIGINT) AS tm0,
+         raw::JSON->>'room' AS room0
+  FROM room_valid),
 room_event AS (
   SELECT event_id,
          CASE WHEN ok THEN v0 ELSE CAST(0.0 AS FLOAT) END AS v,

@@ -75,8 +75,8 @@ def w3_global_window(spark, sf):
 
 
 @register("w4_custom_window", """
-SELECT user_id AS id, make_timestamp((epoch_ms(ts) - epoch_ms(ts) % 43200000) * 1000) AS window_start,
-       make_timestamp((epoch_ms(ts) - epoch_ms(ts) % 43200000 + 43200000) * 1000) AS window_end,
+SELECT user_id AS id, make_timestamp(((epoch_us(ts) // 1000) - (epoch_us(ts) // 1000) % 43200000) * 1000) AS window_start,
+       make_timestamp(((epoch_us(ts) // 1000) - (epoch_us(ts) // 1000) % 43200000 + 43200000) * 1000) AS window_end,
        count(*) AS cnt
 FROM events GROUP BY ALL""")
 def w4_custom_window(spark, sf):
@@ -87,7 +87,7 @@ def w4_custom_window(spark, sf):
 
 @register("w5_early_firing", """
 WITH r AS (
-  SELECT user_id AS id, time_bucket(INTERVAL 12 HOUR, ts) AS ws, epoch_ms(ts) AS t FROM events),
+  SELECT user_id AS id, time_bucket(INTERVAL 12 HOUR, ts) AS ws, (epoch_us(ts) // 1000) AS t FROM events),
 g AS (SELECT id, ws, epoch_ms(ws) + 43200000 AS end_ms, min(t) AS first_t, count(*) AS total
       FROM r GROUP BY id, ws),
 ticks AS (

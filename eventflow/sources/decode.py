@@ -56,16 +56,17 @@ def decode_room_event(df: DataFrame, raw: str, keep: tuple = ()) -> DataFrame:
         F.when(ok, tmv).otherwise(F.lit(ROOM_EVENT_DEFAULT["tm"]).cast("bigint")).alias("tm"))
 
 
-def parse_code_time(df: DataFrame, line: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+def parse_code_time(df: DataFrame, line: str, fmt: str = "yyyy-MM-dd HH:mm:ss",
+                    keep: tuple = ()) -> DataFrame:
     """O-S8: ``"code,<fmt>"`` lines -> (code, epoch ms); empty lines dropped."""
     parts = F.split(_c(line), ",")
     return (df.filter(_c(line) != "")
-              .select(parts[0].alias("code"),
+              .select(*keep, parts[0].alias("code"),
                       F.unix_millis(F.to_timestamp(parts[1], fmt)).alias("tm")))
 
 
-def parse_stock(df: DataFrame, line: str) -> DataFrame:
+def parse_stock(df: DataFrame, line: str, keep: tuple = ()) -> DataFrame:
     """O-S8: ``"price, volume"`` -> (price int, volume int), fields trimmed."""
     parts = F.split(_c(line), ",")
-    return df.select(F.trim(parts[0]).cast("int").alias("price"),
+    return df.select(*keep, F.trim(parts[0]).cast("int").alias("price"),
                      F.trim(parts[1]).cast("int").alias("volume"))
