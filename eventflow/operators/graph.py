@@ -54,7 +54,7 @@ def changed_ranks(old: DataFrame, new: DataFrame, epsilon: float) -> DataFrame:
 
 def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
               max_iterations: int = 10, epsilon: float = 1e-4,
-              damping: float = DAMPING, checkpoint_every: int = 1) -> DataFrame:
+              damping: float = DAMPING) -> DataFrame:
     """Rank pages: initial 1/N, ``rank' = d * sum(in-contributions) + (1-d)/N``.
 
     Pages without inbound links drop out (no dangling redistribution). Stops
@@ -69,10 +69,16 @@ def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
     ranks = pages.select("page_id", F.lit(1.0 / n_pages).alias("rank"))
     for i in range(max_iterations):
         new = rank_step(ranks, e, n_pages, damping)
-        if checkpoint_every and (i + 1) % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)
-        moved = changed_ranks(ranks, new, epsilon).limit(1).count()
-        ranks = new
+        # One job per round: the new ranks and the O-J6 "moved" flag are
+        # computed together and written once (reliable checkpoint cuts the
+        # lineage); the convergence probe then reads the checkpoint.
+        step = (new.alias("n").join(ranks.alias("o"), "page_id", "left")
+                   .select("page_id", F.col("n.rank").alias("rank"),
+                           F.coalesce(F.abs(F.col("n.rank") - F.col("o.rank")) > F.lit(epsilon),
+                                      F.lit(False)).alias("_moved")))
+        step = step.checkpoint(eager=True)
+        moved = step.filter("_moved").limit(1).count()
+        ranks = step.select("page_id", "rank")
         if moved == 0:
             break
     e.unpersist()

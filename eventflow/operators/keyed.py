@@ -103,50 +103,63 @@ def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
 
 
 def _rise_chain(interval_us: int):
+    """Walk every (key, run) of a group once: arm at the first rise, fire at
+    arm + interval unless the run ends before, re-arm at the first rise at
+    or after the firing (binary search)."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_o")
-        rises = pdf.loc[pdf["_rise"], "_o"].to_numpy(dtype=np.int64)
-        nxt = pdf["_next_reset"].iloc[0]
-        out = []
-        i = 0
-        while i < len(rises):
-            fire = int(rises[i]) + interval_us
-            if not pd.isna(nxt) and int(nxt) < fire:
-                break
-            out.append(fire)
-            i = int(np.searchsorted(rises, fire, side="left"))
-        key = pdf["_k"].iloc[0]
-        return pd.DataFrame({"_k": [key] * len(out), "_fire": np.array(out, dtype=np.int64)})
+        pdf = pdf.sort_values(["_k", "_run", "_o"])
+        keys = pdf["_k"].to_numpy()
+        runs = pdf["_run"].to_numpy()
+        o = pdf["_o"].to_numpy(dtype=np.int64)
+        nxt = pdf["_next_reset"].to_numpy(dtype="float64")
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (runs[1:] != runs[:-1])])
+        ends = np.r_[starts[1:], len(o)]
+        out_k, out_f = [], []
+        for a, b in zip(starts, ends):
+            rises = o[a:b]
+            limit = nxt[a]
+            i = 0
+            while i < len(rises):
+                fire = int(rises[i]) + interval_us
+                if not np.isnan(limit) and limit < fire:
+                    break
+                out_k.append(keys[a])
+                out_f.append(fire)
+                i = int(np.searchsorted(rises, fire, side="left"))
+        return pd.DataFrame({"_k": np.array(out_k, dtype=np.int64),
+                             "_fire": np.array(out_f, dtype=np.int64)})
     return fn
 
 
 def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
-                bucket: str = "1 day") -> DataFrame:
+                bucket: str = "1 day", groups: int | None = None) -> DataFrame:
     """O-P3: monotonic-rise alert with re-arming (event-time clock).
 
     Per key: the first reading and every decrease reset the state; a strict
     rise with no timer armed arms one at ``ts + interval``; it fires unless a
     reset comes strictly before it; after firing, the next strict rise re-arms.
 
-    Runs between resets are found with bucketed scans; the re-arm chain inside
-    a run is sequential, so each (key, run) group is walked once in pandas
-    (``applyInPandas``, a binary search per alert).
+    Runs between resets are found with bucketed scans (no per-key sort of all
+    rows). The re-arm chain inside a run is sequential, so the rises are
+    hashed by (key, run) into ``groups`` groups (default: 4 x shuffle
+    partitions) and each group walks its runs in one pandas call - a hot
+    key's runs spread over all groups.
     """
+    spark = df.sparkSession
+    groups = groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = previous_value(df.select(key, ts, value), key, ts, value, bucket)
     d = d.withColumn("_o", epoch_us(ts))
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
     d = d.withColumn("_reset", reset.cast("int")).withColumn(
         "_rise", (~reset) & (F.col(value) > F.col("prev")))
     d = scan(d, "_reset", ["_o"], time_bucket(ts, bucket), "_run", (key,), True, "sum")
-    # Time of the next reset of the same key (end of this run).
+    # Time of the next reset of the same key (the end of this row's run).
     d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
     d = lead_scan(d, "_reset_at", ["_o"], time_bucket(ts, bucket), "_next_reset", (key,))
-    run_end = d.groupBy(key, "_run").agg(F.max("_next_reset").alias("_next_reset"))
-    rises = (d.filter("_rise").select(key, "_run", "_o")
-              .join(run_end, [key, "_run"], "inner")
-              .withColumn("_rise", F.lit(True))
-              .withColumnRenamed(key, "_k"))
-    fired = rises.groupBy("_k", "_run").applyInPandas(
+    rises = (d.filter("_rise")
+              .select(F.col(key).alias("_k"), "_run", "_o", "_next_reset")
+              .withColumn("_g", F.pmod(F.xxhash64("_k", "_run"), F.lit(groups))))
+    fired = rises.groupBy("_g").applyInPandas(
         _rise_chain(_ms(interval) * 1000), "_k long, _fire long")
     return fired.select(F.col("_k").alias(key),
                         F.timestamp_micros("_fire").cast("timestamp_ntz").alias("alert_ts"))

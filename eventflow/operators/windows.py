@@ -69,14 +69,15 @@ def processing_time(df: DataFrame, out: str = "pt") -> DataFrame:
 
 def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
                 sums: dict, count_alias: str | None = "cnt",
-                pane_ratio_limit: int = 8) -> DataFrame:
+                pane_ratio_limit: int = 2) -> DataFrame:
     """Sliding-window count/sum with pane decomposition.
 
     With k = size/slide, ``F.window`` expands every row k times before the
     partial aggregation. When k is large we first aggregate tumbling panes of
     one slide, then expand the (much smaller) pane results k times - the
-    standard pane trick. Both give identical results; for small k the direct
-    form has one exchange instead of two and wins.
+    standard pane trick. Both give identical results; only for k <= 2 is the
+    direct form (one exchange instead of two) cheaper - measured: the word
+    count with k = 5 runs in half the time with panes.
     """
     size_ms, slide_ms = _ms(size), _ms(slide)
     k = size_ms // slide_ms
@@ -91,8 +92,10 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
     pane = F.window(ts, slide)
     panes = df.groupBy(pane.start.alias("_ps"), *keys).agg(*aggs)
     out_cols = ([count_alias] if count_alias else []) + list(sums)
-    start_ms = epoch_ms("_ps") - F.explode(F.sequence(F.lit(0), F.lit(k - 1))) * F.lit(slide_ms)
-    exploded = panes.select(*keys, *out_cols, start_ms.alias("_s"))
+    exploded = panes.select(*keys, *out_cols, epoch_ms("_ps").alias("_p"),
+                            F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+    exploded = exploded.select(*keys, *out_cols,
+                               (F.col("_p") - F.col("_i") * F.lit(slide_ms)).alias("_s"))
     exploded = exploded.select(*keys, *out_cols,
                                from_epoch_ms("_s").alias("window_start"),
                                from_epoch_ms(F.col("_s") + F.lit(size_ms)).alias("window_end"))
