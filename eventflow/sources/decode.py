@@ -21,18 +21,30 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _parse_once(df: DataFrame, raw, schema: str, keep: tuple) -> DataFrame:
+    """``from_json`` evaluated exactly once per record.
+
+    A filter on decoded fields would otherwise be pushed below the decoding
+    projection with ``from_json`` inlined once per referenced field; a
+    generator (``inline`` of a one-element array) is a boundary predicate
+    pushdown does not cross. Field ``_ok`` is false for unparsable text."""
+    parsed = F.from_json(_c(raw), schema)
+    st = F.struct(parsed.alias("_p"), parsed.isNotNull().alias("_ok"))
+    return df.select(*keep, F.inline(F.array(st)))
+
+
 def decode_event(df: DataFrame, raw: str, keep: tuple = ()) -> DataFrame:
     """O-S6: JSON text -> (id int, name string, tm bigint).
 
     Malformed JSON, or a missing/non-numeric id or tm, gives the default row
     (0, "", 0); a missing name alone stays null."""
-    p = F.from_json(_c(raw), EVENT_SCHEMA)
-    ok = p.isNotNull() & p["id"].isNotNull() & p["tm"].isNotNull()
-    return df.select(
+    d = _parse_once(df, raw, EVENT_SCHEMA, keep)
+    ok = F.col("_ok") & F.col("_p.id").isNotNull() & F.col("_p.tm").isNotNull()
+    return d.select(
         *keep,
-        F.when(ok, p["id"]).otherwise(F.lit(EVENT_DEFAULT["id"])).alias("id"),
-        F.when(ok, p["name"]).otherwise(F.lit(EVENT_DEFAULT["name"])).alias("name"),
-        F.when(ok, p["tm"]).otherwise(F.lit(EVENT_DEFAULT["tm"]).cast("bigint")).alias("tm"))
+        F.when(ok, F.col("_p.id")).otherwise(F.lit(EVENT_DEFAULT["id"])).alias("id"),
+        F.when(ok, F.col("_p.name")).otherwise(F.lit(EVENT_DEFAULT["name"])).alias("name"),
+        F.when(ok, F.col("_p.tm")).otherwise(F.lit(EVENT_DEFAULT["tm"]).cast("bigint")).alias("tm"))
 
 
 def decode_room_event(df: DataFrame, raw: str, keep: tuple = ()) -> DataFrame:
@@ -41,19 +53,20 @@ def decode_room_event(df: DataFrame, raw: str, keep: tuple = ()) -> DataFrame:
     Fields are read as text: ``v`` missing -> 0.0, ``room`` may be null, ``id``
     and ``tm`` are parsed from text. Malformed JSON or an unparsable or
     missing id/tm/v gives (0.0, "", 0, 0)."""
-    p = F.from_json(_c(raw), ROOM_EVENT_SCHEMA)
-    d = df.select(*keep, p.alias("_p"), p["v"].alias("v_raw"))
+    d = _parse_once(df, raw, ROOM_EVENT_SCHEMA, keep)
     v = F.when(F.col("_p.v").isNull(), F.lit(0.0).cast("float")).otherwise(
-        F.expr("try_cast(trim(v_raw) as float)"))
+        F.expr("try_cast(trim(_p.v) as float)"))
     idv = F.expr("try_cast(trim(_p.id) as bigint)")
     tmv = F.expr("try_cast(trim(_p.tm) as bigint)")
-    ok = F.col("_p").isNotNull() & idv.isNotNull() & tmv.isNotNull() & v.isNotNull()
+    d = d.select(*keep, "_ok", F.col("_p.room").alias("_room"), v.alias("_v"),
+                 idv.alias("_id"), tmv.alias("_tm"))
+    ok = F.col("_ok") & F.col("_id").isNotNull() & F.col("_tm").isNotNull() & F.col("_v").isNotNull()
     return d.select(
         *keep,
-        F.when(ok, v).otherwise(F.lit(ROOM_EVENT_DEFAULT["v"]).cast("float")).alias("v"),
-        F.when(ok, F.col("_p.room")).otherwise(F.lit(ROOM_EVENT_DEFAULT["room"])).alias("room"),
-        F.when(ok, idv).otherwise(F.lit(ROOM_EVENT_DEFAULT["id"]).cast("bigint")).alias("id"),
-        F.when(ok, tmv).otherwise(F.lit(ROOM_EVENT_DEFAULT["tm"]).cast("bigint")).alias("tm"))
+        F.when(ok, F.col("_v")).otherwise(F.lit(ROOM_EVENT_DEFAULT["v"]).cast("float")).alias("v"),
+        F.when(ok, F.col("_room")).otherwise(F.lit(ROOM_EVENT_DEFAULT["room"])).alias("room"),
+        F.when(ok, F.col("_id")).otherwise(F.lit(ROOM_EVENT_DEFAULT["id"]).cast("bigint")).alias("id"),
+        F.when(ok, F.col("_tm")).otherwise(F.lit(ROOM_EVENT_DEFAULT["tm"]).cast("bigint")).alias("tm"))
 
 
 def parse_code_time(df: DataFrame, line: str, fmt: str = "yyyy-MM-dd HH:mm:ss",
