@@ -1,6 +1,7 @@
 """Keyed state with timers for Structured Streaming (``transformWithStateInPandas``).
 
-Streaming forms of O-P1, O-P2, O-P3 and O-P4. Each processor keeps only a few
+Streaming forms of O-P1, O-P2, O-P3, O-P4 and the keyed control streams
+O-J2, O-J3 (tagged union, see below). Each processor keeps only a few
 scalars per key (RocksDB state store), so state grows with the number of keys,
 not with rows. Rows of one key inside a micro-batch are handled in event-time
 order. Use ``timeMode="EventTime"`` with a watermark on the input.
@@ -153,3 +154,89 @@ def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
     return (stream.withWatermark(ts, watermark).groupBy(key)
             .transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema,
                                         outputMode="Append", timeMode="EventTime"))
+
+
+# ------------------------------------------------------ control streams ----
+# Keyed control streams (O-J2, O-J3) arrive as one stream: readings and
+# control rows unioned with a ``kind`` tag (0 = control, 1 = reading) and keyed
+# by id, so control state lives next to the readings of the same key. Within a
+# micro-batch rows are handled by (ts, kind): controls first on equal time,
+# the same rule as the batch as-of join.
+
+SWITCH_SCHEMA = "id long, ts timestamp, temperature double"
+THRESHOLD_ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double"
+
+
+def tag_union(readings: DataFrame, controls: DataFrame) -> DataFrame:
+    """Union readings (kind 1) and controls (kind 0) by column name."""
+    from pyspark.sql import functions as F
+    return (readings.withColumn("kind", F.lit(1))
+            .unionByName(controls.withColumn("kind", F.lit(0)), allowMissingColumns=True))
+
+
+class SwitchFilterProcessor(StatefulProcessor):
+    """O-J3: a switch (id, ts, dur_ms) forwards the key's readings until
+    ts + dur; overlapping switches keep the later deadline; an event-time
+    timer clears the state at the deadline."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.deadline = handle.getValueState("deadline", "d long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        pdf = pdf.assign(_t=_ms(pdf["ts"])).sort_values(["_t", "kind"])
+        dl = self.deadline.get()[0] if self.deadline.exists() else None
+        out = []
+        for t, kind, dur, ts, temp in zip(pdf["_t"], pdf["kind"], pdf["dur_ms"], pdf["ts"],
+                                          pdf["temperature"]):
+            if kind == 0:
+                new = int(t) + int(dur)
+                if dl is None or new > dl:
+                    if dl is not None:
+                        self.handle.deleteTimer(dl)
+                    dl = new
+                    self.handle.registerTimer(dl)
+            elif dl is not None and t < dl:
+                out.append((key[0], ts, temp))
+        if dl is not None:
+            self.deadline.update((dl,))
+        yield pd.DataFrame(out, columns=["id", "ts", "temperature"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.deadline.clear()
+        yield pd.DataFrame(columns=["id", "ts", "temperature"])
+
+    def close(self) -> None:
+        pass
+
+
+class ThresholdAlertProcessor(StatefulProcessor):
+    """O-J2: per-key threshold updates (0 deletes) and readings; alert when
+    |temperature - last temperature| > threshold in force. An empty last
+    temperature reads 0.0; the last temperature moves with every reading."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("thr", "threshold double, last double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        pdf = pdf.assign(_t=_ms(pdf["ts"])).sort_values(["_t", "kind"])
+        thr, last = self.state.get() if self.state.exists() else (None, None)
+        thr = None if thr is None or pd.isna(thr) else thr
+        last = None if last is None or pd.isna(last) else last
+        out = []
+        for kind, th, ts, temp in zip(pdf["kind"], pdf["threshold"], pdf["ts"], pdf["temperature"]):
+            if kind == 0:
+                thr = None if th == 0.0 else float(th)
+                continue
+            if thr is not None:
+                diff = abs(temp - (last if last is not None else 0.0))
+                if diff > thr:
+                    out.append((key[0], ts, temp, diff))
+            last = float(temp)
+        self.state.update((thr, last))
+        yield pd.DataFrame(out, columns=["id", "ts", "temperature", "diff"])
+
+    def close(self) -> None:
+        pass

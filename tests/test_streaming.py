@@ -170,3 +170,96 @@ def test_kafka_options():
     assert kafka_options("h:9092", "t", "group")["startingOffsets"] == "earliest"
     with pytest.raises(ValueError):
         kafka_options("h", "t", "nowhere")
+
+
+def test_switch_filter_stream_equals_batch(spark, tmp):
+    from eventflow.streaming.processors import SWITCH_SCHEMA, SwitchFilterProcessor, tag_union
+    from __spark_entry__ import queries
+    ev = events(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
+    path = f"{tmp}/src"
+    src = ev.select("event_id", F.col("user_id").alias("id"), "ts", "event_type",
+                    F.col("value").alias("temperature"))
+    SJ.write_replay_files(src, path, "event_id", 3)
+    s = SJ.replay_stream(spark, path, src.schema)
+    readings = s.filter("event_type = 'purchase'").select("id", "ts", "temperature")
+    switches = s.filter("event_type = 'signup'").select(
+        "id", "ts", F.round(F.col("temperature") * 3.6e6).cast("long").alias("dur_ms"))
+    u = tag_union(readings, switches)
+    out = apply_processor(u, "id", SwitchFilterProcessor(), SWITCH_SCHEMA)
+    q = (out.writeStream.format("memory").queryName("sw").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = sorted((r.id, r.ts.replace(tzinfo=None)) for r in spark.sql("select * from sw").collect())
+    want = sorted((r.id, r.ts) for r in queries()["j3_interval_forward"](spark, SF_SMALL).collect())
+    assert got == want and len(got) > 0
+
+
+def test_threshold_alert_stream_equals_batch(spark, tmp):
+    from eventflow.streaming.processors import (THRESHOLD_ALERT_SCHEMA, ThresholdAlertProcessor,
+                                                tag_union)
+    from __spark_entry__ import queries
+    ev = events(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
+    path = f"{tmp}/src"
+    src = ev.select("event_id", F.col("user_id").alias("id"), "ts", "event_type",
+                    F.col("value").alias("temperature"))
+    SJ.write_replay_files(src, path, "event_id", 3)
+    s = SJ.replay_stream(spark, path, src.schema)
+    readings = s.filter("event_type <> 'signup'").select("id", "ts", "temperature")
+    thr = s.filter("event_type = 'signup'").select(
+        "id", "ts", F.when(F.pmod("event_id", F.lit(4)) == 0, F.lit(0.0))
+        .otherwise(F.col("temperature")).alias("threshold"))
+    out = apply_processor(tag_union(readings, thr), "id", ThresholdAlertProcessor(),
+                          THRESHOLD_ALERT_SCHEMA)
+    q = (out.writeStream.format("memory").queryName("thr").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = sorted((r.id, r.ts.replace(tzinfo=None), round(r.diff, 6))
+                 for r in spark.sql("select * from thr").collect())
+    want = sorted((r.id, r.ts, r.diff) for r in queries()["j2_threshold_alert"](spark, SF_SMALL).collect())
+    assert got == want and len(got) > 0
+
+
+def test_rise_alert_stream_equals_batch_before_final_watermark(spark, replay, tmp):
+    from eventflow.streaming.processors import RISE_SCHEMA, RiseAlertProcessor
+    path, schema = replay
+    stream = SJ.replay_stream(spark, path, schema).select("id", "ts", "temperature")
+    out = apply_processor(stream, "id", RiseAlertProcessor(6 * 3600 * 1000), RISE_SCHEMA)
+    q = (out.writeStream.format("memory").queryName("rise").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = sorted((r.id, pd.Timestamp(r.alert_ts).floor("ms")) for r in spark.sql("select * from rise").collect())
+    last = events(spark, SF_SMALL).agg(F.max("ts")).first()[0]
+    batch = K.rise_alerts(sensors(events(spark, SF_SMALL)), "id", "ts", "temperature", "6 hours")
+    want = sorted((r.id, pd.Timestamp(r.alert_ts).floor("ms")) for r in batch.collect()
+                  if r.alert_ts <= last)
+    assert got == want and len(got) > 0
+
+
+def test_hot_items_stream_equals_batch_on_closed_windows(spark, tmp):
+    from eventflow.plans.windowed import e2_hot_items
+    ev = events(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
+    path = f"{tmp}/src"
+    SJ.write_replay_files(ev, path, "event_id", 3)
+    s = SJ.replay_stream(spark, path, ev.schema)
+    from eventflow.sources.tables import item_id
+    views = (s.filter("event_type = 'view'").select("ts", item_id().alias("item_id"))
+             .withWatermark("ts", "0 seconds"))
+    w = F.window("ts", "1 day", "6 hours")
+    counts = (views.groupBy(w.alias("w"), "item_id").agg(F.count(F.lit(1)).alias("view_count"))
+              .select(F.col("w.end").alias("window_end"), "item_id", "view_count"))
+    collected = []
+
+    def sink(df, batch_id):
+        collected.extend(tuple(r) for r in df.select("window_end", "item_id", "view_count", "rank").collect())
+
+    fn = SJ.topn_per_window_batch(3, ["window_end"], [F.desc("view_count"), F.asc("item_id")], sink)
+    q = (counts.writeStream.outputMode("append").foreachBatch(fn)
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    _run(q)
+    last = ev.agg(F.max("ts")).first()[0]
+    got = sorted((pd.Timestamp(a).tz_localize(None) if pd.Timestamp(a).tzinfo else pd.Timestamp(a), b, c, d)
+                 for a, b, c, d in collected)
+    want = sorted((pd.Timestamp(r.window_end), r.item_id, r.view_count, r.rank)
+                  for r in e2_hot_items(spark, SF_SMALL).collect()
+                  if pd.Timestamp(r.window_end) <= pd.Timestamp(last))
+    assert got == want and len(got) > 0
