@@ -12,16 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.operators.scan import scan
 from eventflow.session import checkpoint_root
 
 DAMPING = 0.85
 
 
-def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """O-A4: group reduce to a (sorted) list of targets per source, with
-    duplicates kept. Lists are bounded by the out-degree; ranking does not
-    need them (it uses ``edges_with_degree``)."""
-    return edges.groupBy(src).agg(F.array_sort(F.collect_list(dst)).alias("targets"))
+def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
+                    max_list: int = 10_000, bucket_width: int = 1 << 16) -> DataFrame:
+    """O-A4: group reduce to the sorted target list of each source, duplicates
+    kept, as (src, chunk, targets) rows of at most ``max_list`` targets.
+
+    A source with more links gets several chunks, so no row or task has to hold
+    an unbounded list. A target's position inside its source comes from the
+    bucketed scan (buckets of target ids), not from a per-source sort.
+    Ranking does not need these lists; it uses ``edges_with_degree``."""
+    e = edges.select(src, dst).withColumn("_one", F.lit(1))
+    e = scan(e, "_one", [dst], F.floor(F.col(dst) / F.lit(bucket_width)), "_pos", (src,),
+             True, "sum")
+    chunk = F.floor((F.col("_pos") - 1) / F.lit(max_list)).cast("bigint")
+    return (e.groupBy(src, chunk.alias("chunk"))
+             .agg(F.array_sort(F.collect_list(dst)).alias("targets")))
 
 
 def edges_with_degree(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

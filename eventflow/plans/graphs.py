@@ -46,11 +46,17 @@ def s2_sequence(spark, sf):
     return S.number_sequence(spark, int(b[0]), int(b[1]), "page_id")
 
 
+MAX_LIST = 10_000
+
+
 @register("a4_adjacency_lists", f"""WITH {_EDGES_SQL}
-SELECT src, list(dst ORDER BY dst) AS targets FROM e GROUP BY src""")
+SELECT src, CAST((rn - 1) // {MAX_LIST} AS BIGINT) AS chunk, list(dst ORDER BY dst) AS targets
+FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS rn FROM e)
+GROUP BY src, chunk""")
 def a4_adjacency_lists(spark, sf):
-    """O-A4: group reduce to a sorted target list per source (duplicates kept)."""
-    return G.adjacency_lists(edges(spark, sf))
+    """O-A4: group reduce to a sorted target list per source (duplicates
+    kept), in chunks of at most 10,000 targets."""
+    return G.adjacency_lists(edges(spark, sf), max_list=MAX_LIST)
 
 
 @register("j5_spread_ranks", f"""WITH {_EDGES_SQL}

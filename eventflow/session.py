@@ -51,19 +51,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` when the session (cluster) names one; sets a
     local folder only when it is unset, as in tests and local runs.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if configured:
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a JVM context (e.g. Spark Connect)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
         sc.setCheckpointDir(configured)
-    else:
-        local = tempfile.mkdtemp(prefix="eventflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
+        return sc.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

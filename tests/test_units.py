@@ -283,3 +283,12 @@ def test_sliding_panes_equal_direct(spark):
     ra = sorted((r.k, r.window_end, r.cnt, round(r.s, 6)) for r in a.collect())
     rb = sorted((r.k, r.window_end, r.cnt, round(r.s, 6)) for r in b.collect())
     assert ra == rb
+
+
+def test_adjacency_lists_are_chunked(spark):
+    rnd = random.Random(11)
+    data = [(1, rnd.randrange(0, 50)) for _ in range(230)] + [(2, 7), (2, 3), (2, 7)]
+    e = spark.createDataFrame(data, "src long, dst long")
+    got = {(r.src, r.chunk): r.targets for r in G.adjacency_lists(e, max_list=100, bucket_width=8).collect()}
+    srt = sorted(d for s, d in data if s == 1)
+    assert got == {(1, 0): srt[:100], (1, 1): srt[100:200], (1, 2): srt[200:], (2, 0): [3, 7, 7]}
