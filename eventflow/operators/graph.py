@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.scan import scan
-from eventflow.session import checkpoint_root
+from eventflow.session import checkpoint_root, materialize
 
 DAMPING = 0.85
 
@@ -87,7 +87,7 @@ def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
                    .select("page_id", F.col("n.rank").alias("rank"),
                            F.coalesce(F.abs(F.col("n.rank") - F.col("o.rank")) > F.lit(epsilon),
                                       F.lit(False)).alias("_moved")))
-        step = step.checkpoint(eager=True)
+        step = materialize(step)
         moved = step.filter("_moved").limit(1).count()
         ranks = step.select("page_id", "rank")
         if moved == 0:

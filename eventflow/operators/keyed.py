@@ -8,14 +8,13 @@ of the rows is still processed by many tasks.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
 from eventflow.operators.scan import lag_scan, lead_scan, scan
 from eventflow.operators.windows import _ms
+from eventflow.session import materialize
 
 
 def arrival_block(order: str, block: int = 1 << 14) -> Column:
@@ -102,51 +101,40 @@ def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
              .select(key, ts, value, "diff"))
 
 
-def _rise_chain(interval_us: int):
-    """Walk every (key, run) of a group once: arm at the first rise, fire at
-    arm + interval unless the run ends before, re-arm at the first rise at
-    or after the firing (binary search)."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_k", "_run", "_o"])
-        keys = pdf["_k"].to_numpy()
-        runs = pdf["_run"].to_numpy()
-        o = pdf["_o"].to_numpy(dtype=np.int64)
-        nxt = pdf["_next_reset"].to_numpy(dtype="float64")
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (runs[1:] != runs[:-1])])
-        ends = np.r_[starts[1:], len(o)]
-        out_k, out_f = [], []
-        for a, b in zip(starts, ends):
-            rises = o[a:b]
-            limit = nxt[a]
-            i = 0
-            while i < len(rises):
-                fire = int(rises[i]) + interval_us
-                if not np.isnan(limit) and limit < fire:
-                    break
-                out_k.append(keys[a])
-                out_f.append(fire)
-                i = int(np.searchsorted(rises, fire, side="left"))
-        return pd.DataFrame({"_k": np.array(out_k, dtype=np.int64),
-                             "_fire": np.array(out_f, dtype=np.int64)})
-    return fn
+def _successors(rises: DataFrame, interval_us: int, bucket_us: int) -> DataFrame:
+    """For every rise o of a (key, run): the first rise at or after
+    o + interval in the same run (``_j``, null when none). One reversed
+    bucketed scan over rises (targets) and their query times."""
+    tgt = rises.select("_k", "_run", F.col("_o").alias("_t"), F.lit(0).alias("_side"),
+                       F.col("_o").alias("_val"), F.lit(None).cast("long").alias("_src"))
+    qry = rises.select("_k", "_run", (F.col("_o") + F.lit(interval_us)).alias("_t"),
+                       F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_val"),
+                       F.col("_o").alias("_src"))
+    u = tgt.unionByName(qry).withColumn("_negt", -F.col("_t"))
+    u = scan(u, "_val", ["_negt", "_side"], F.floor(F.col("_negt") / F.lit(bucket_us)), "_nxt",
+             ("_k", "_run"), True, "last")
+    return u.filter(F.col("_side") == 1).select("_k", "_run", F.col("_src").alias("_o"),
+                                                 F.col("_nxt").alias("_j"))
 
 
 def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
-                bucket: str = "1 day", groups: int | None = None) -> DataFrame:
+                bucket: str = "1 day") -> DataFrame:
     """O-P3: monotonic-rise alert with re-arming (event-time clock).
 
     Per key: the first reading and every decrease reset the state; a strict
     rise with no timer armed arms one at ``ts + interval``; it fires unless a
     reset comes strictly before it; after firing, the next strict rise re-arms.
 
-    Runs between resets are found with bucketed scans (no per-key sort of all
-    rows). The re-arm chain inside a run is sequential, so the rises are
-    hashed by (key, run) into ``groups`` groups (default: 4 x shuffle
-    partitions) and each group walks its runs in one pandas call - a hot
-    key's runs spread over all groups.
+    Everything is distributed: runs between resets come from bucketed scans;
+    inside a run the armed rises form a chain (each the first rise at or
+    after the previous arm + interval). Each rise's successor comes from one
+    scan; the chain from each run's first rise is enumerated by pointer
+    doubling - jump tables J_i = J_(i-1) o J_(i-1) built with self-joins, then
+    positions added level by level - so a long run costs O(log length) joins
+    and never sits in one task. Jump tables are written with ``checkpoint()``.
     """
-    spark = df.sparkSession
-    groups = groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    iv = _ms(interval) * 1000
+    bucket_us = _ms(bucket) * 1000
     d = previous_value(df.select(key, ts, value), key, ts, value, bucket)
     d = d.withColumn("_o", epoch_us(ts))
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
@@ -156,11 +144,25 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     # Time of the next reset of the same key (the end of this row's run).
     d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
     d = lead_scan(d, "_reset_at", ["_o"], time_bucket(ts, bucket), "_next_reset", (key,))
-    rises = (d.filter("_rise")
-              .select(F.col(key).alias("_k"), "_run", "_o", "_next_reset")
-              .withColumn("_g", F.pmod(F.xxhash64("_k", "_run"), F.lit(groups))))
-    fired = rises.groupBy("_g").applyInPandas(
-        _rise_chain(_ms(interval) * 1000), "_k long, _fire long")
+    rises = materialize(d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o",
+                                                  "_next_reset"))
+    ids = ["_k", "_run", "_o"]
+    levels = [materialize(_successors(rises, iv, bucket_us))]
+    while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
+                      & (F.col("a._j") == F.col("b._o")), "left")
+                .select(F.col("a._k").alias("_k"), F.col("a._run").alias("_run"),
+                        F.col("a._o").alias("_o"), F.col("b._j").alias("_j")))
+        levels.append(materialize(nxt))
+    chain = rises.groupBy("_k", "_run").agg(F.min("_o").alias("_o"))
+    for lvl in reversed(levels[:-1]):
+        step = (chain.join(lvl, ids, "inner").filter(F.col("_j").isNotNull())
+                     .select("_k", "_run", F.col("_j").alias("_o")))
+        chain = materialize(chain.unionByName(step))
+    fired = (chain.join(rises, ids, "inner")
+                  .withColumn("_fire", F.col("_o") + F.lit(iv))
+                  .filter(F.col("_next_reset").isNull() | (F.col("_next_reset") >= F.col("_fire"))))
     return fired.select(F.col("_k").alias(key),
                         F.timestamp_micros("_fire").cast("timestamp_ntz").alias("alert_ts"))
 

@@ -74,3 +74,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint root (never reused)."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into the checkpoint root.
+
+    The plan is persisted first: an eager ``checkpoint()`` of an unpersisted
+    plan computes it twice (once for the job, once to write the files)."""
+    from pyspark import StorageLevel
+    checkpoint_root(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out

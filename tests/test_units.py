@@ -175,7 +175,7 @@ def test_rise_alerts_match_sequential_simulation(spark):
     pdf, df = _random_keyed(spark, n=2000)
     pdf["v"] = np.round(np.cumsum(np.random.default_rng(1).normal(0, 1, len(pdf))) + 50, 2)
     df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
-    out = K.rise_alerts(df, "k", "ts", "v", "5 minutes", bucket="1 hour", groups=3)
+    out = K.rise_alerts(df, "k", "ts", "v", "5 minutes", bucket="1 hour")
     got = sorted((r.k, int(pd.Timestamp(r.alert_ts).timestamp())) for r in out.collect())
     assert got == _rise_brute(pdf, 300)
 
