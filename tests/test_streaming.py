@@ -263,3 +263,43 @@ def test_hot_items_stream_equals_batch_on_closed_windows(spark, tmp):
                   for r in e2_hot_items(spark, SF_SMALL).collect()
                   if pd.Timestamp(r.window_end) <= pd.Timestamp(last))
     assert got == want and len(got) > 0
+
+
+def test_early_firing_stream_final_counts(spark, replay, tmp):
+    from eventflow.operators.windows import early_firing_counts
+    from eventflow.streaming.windows import early_firing
+    path, schema = replay
+    stream = SJ.replay_stream(spark, path, schema).select("id", "ts")
+    out = early_firing(stream, "id", "ts", "12 hours", "2 hours")
+    q = (out.writeStream.format("memory").queryName("early").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = spark.sql("select * from early").toPandas()
+    assert len(got) > 0
+    # final firings (end - 1 ms) carry the full window count of the batch form
+    fin = got[got.eval_time == got.window_end - pd.Timedelta(milliseconds=1)]
+    batch = early_firing_counts(sensors(events(spark, SF_SMALL)), ["id"], "ts", "12 hours",
+                                "2 hours").toPandas()
+    bfin = batch[batch.eval_time == batch.window_end - pd.Timedelta(milliseconds=1)]
+    want = {(int(r.id), pd.Timestamp(r.window_end)): int(r.cnt) for r in bfin.itertuples()}
+    for r in fin.itertuples():
+        assert want[(int(r.id), pd.Timestamp(r.window_end).tz_localize(None))] == r.cnt
+    # early firings never exceed the final count and never decrease
+    for (_, _), g in got.groupby(["id", "window_end"]):
+        c = g.sort_values("eval_time").cnt.to_list()
+        assert c == sorted(c)
+
+
+def test_allowed_lateness_stream_runs_in_update_mode(spark, replay, tmp):
+    from eventflow.streaming.windows import allowed_lateness_count
+    path, schema = replay
+    stream = SJ.replay_stream(spark, path, schema).select("id", F.col("ts2").cast("timestamp").alias("ts2"))
+    out = allowed_lateness_count(stream, ["id"], "ts2", "1 hour", "1 hour", "2 hours")
+    q = (out.writeStream.format("memory").queryName("lat").outputMode("update")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    _run(q)
+    got = spark.sql("select * from lat").toPandas()
+    assert len(got) > 0
+    final = got.groupby(["id", "window_end"]).cnt.max()
+    # every row of the replay is counted once at most
+    assert final.sum() <= 1000
