@@ -9,6 +9,7 @@ into the session's checkpoint directory; the convergence probe is a single
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +77,9 @@ def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
     checkpoint_root(spark)
     if n_pages is None:
         n_pages = pages.count()
-    e = edges_with_degree(edges).cache()
+    # Edges are hash partitioned by source once and kept (memory + disk): each
+    # round then shuffles only the rank side (N rows), never the E edges.
+    e = edges_with_degree(edges).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     ranks = pages.select("page_id", F.lit(1.0 / n_pages).alias("rank"))
     for i in range(max_iterations):
         new = rank_step(ranks, e, n_pages, damping)
