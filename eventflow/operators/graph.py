@@ -41,17 +41,20 @@ def edges_with_degree(edges: DataFrame, src: str = "src", dst: str = "dst") -> D
     return edges.select(src, dst).join(deg, src)
 
 
-def spread_ranks(ranks: DataFrame, edges_deg: DataFrame) -> DataFrame:
+def spread_ranks(ranks: DataFrame, edges_deg: DataFrame, broadcast_ranks: bool = False) -> DataFrame:
     """O-J5: equi join of ranks with out-links, one output per link:
-    (target, rank / out_degree)."""
+    (target, rank / out_degree). ``broadcast_ranks`` only when the caller
+    has bounded the number of pages."""
+    if broadcast_ranks:
+        ranks = F.broadcast(ranks)
     return (ranks.join(edges_deg, ranks["page_id"] == edges_deg["src"])
                  .select(F.col("dst").alias("page_id"),
                          (F.col("rank") / F.col("out_degree")).alias("rank")))
 
 
 def rank_step(ranks: DataFrame, edges_deg: DataFrame, n_pages: int,
-              damping: float = DAMPING) -> DataFrame:
-    contrib = spread_ranks(ranks, edges_deg)
+              damping: float = DAMPING, broadcast_ranks: bool = False) -> DataFrame:
+    contrib = spread_ranks(ranks, edges_deg, broadcast_ranks)
     return (contrib.groupBy("page_id").agg(F.sum("rank").alias("rank"))
                    .select("page_id", (F.col("rank") * F.lit(damping)
                                        + F.lit((1 - damping) / n_pages)).alias("rank")))
@@ -66,23 +69,31 @@ def changed_ranks(old: DataFrame, new: DataFrame, epsilon: float) -> DataFrame:
 
 def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
               max_iterations: int = 10, epsilon: float = 1e-4,
-              damping: float = DAMPING) -> DataFrame:
+              damping: float = DAMPING, broadcast_max_pages: int = 2_000_000) -> DataFrame:
     """Rank pages: initial 1/N, ``rank' = d * sum(in-contributions) + (1-d)/N``.
 
     Pages without inbound links drop out (no dangling redistribution). Stops
     after ``max_iterations`` or when no page moved by more than ``epsilon``.
     ``pages`` has a ``page_id`` column; ``edges`` has ``src``, ``dst``.
+
+    The rank table (one row per page, count known) is broadcast when it has at
+    most ``broadcast_max_pages`` rows; beyond that it is shuffled to the
+    edges' partitioning.
     """
     spark = pages.sparkSession
     checkpoint_root(spark)
     if n_pages is None:
         n_pages = pages.count()
-    # Edges are hash partitioned by source once and kept (memory + disk): each
-    # round then shuffles only the rank side (N rows), never the E edges.
-    e = edges_with_degree(edges).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    bcast = n_pages <= broadcast_max_pages
+    e = edges_with_degree(edges)
+    if not bcast:
+        # Edges are hash partitioned by source once: each round then shuffles
+        # only the rank side (N rows), never the E edges.
+        e = e.repartition("src")
+    e = e.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     ranks = pages.select("page_id", F.lit(1.0 / n_pages).alias("rank"))
     for i in range(max_iterations):
-        new = rank_step(ranks, e, n_pages, damping)
+        new = rank_step(ranks, e, n_pages, damping, bcast)
         # One job per round: the new ranks and the O-J6 "moved" flag are
         # computed together and written once (reliable checkpoint cuts the
         # lineage); the convergence probe then reads the checkpoint.

@@ -83,7 +83,7 @@ def materialize(df):
     plan computes it twice (once for the job, once to write the files)."""
     from pyspark import StorageLevel
     checkpoint_root(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out
