@@ -12,15 +12,12 @@ the late-row routing here keeps its own clock (see ``streaming.late``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.operators.scan import running_max_before
+from eventflow.operators.scan import running_max_before, scan
 from eventflow.operators.windows import _ms
 
-UNB = Window.unboundedPreceding
-
-
 def epoch_us(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.unix_micros(c.cast("timestamp"))
@@ -40,7 +37,7 @@ def with_watermark_column(df: DataFrame, ts: str, arrival: str, delay: str,
     Adds ``out`` (timestamp, null before the first contributing row) and
     ``_wm_us`` (the same in epoch microseconds) for exact comparisons.
     """
-    delay_us = _ms(delay) * 1000 if delay.strip() not in ("0", "0 seconds") else 0
+    delay_us = _ms(delay) * 1000
     t = epoch_us(ts)
     if marker is not None:
         t = F.when(marker, t)
@@ -79,7 +76,7 @@ def window_count_with_late(df: DataFrame, keys: list, ts: str, size: str,
 
 def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
                             lateness: str, arrival: str,
-                            wm_us: str = "_wm_us") -> DataFrame:
+                            wm_us: str = "_wm_us", block: int = 1 << 14) -> DataFrame:
     """O-M8: window count with allowed lateness.
 
     The first result (``kind='first'``) is emitted when the watermark passes
@@ -99,9 +96,12 @@ def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
                   .groupBy(*keys, "window_end")
                   .agg(F.count(F.lit(1)).alias("cnt"))
                   .withColumn("kind", F.lit("first")))
-    # Groups are (key, window): bounded by the window size.
-    wr = Window.partitionBy(*keys, "window_end").orderBy(arrival)
-    ranked = kept.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_ok"))
+    # Rank among the window's kept rows by arrival: a running count per
+    # (key, window) computed over arrival blocks, so a hot (key, window) is
+    # still split across tasks.
+    ranked = scan(kept.withColumn("_one", F.lit(1)), "_one", [arrival],
+                  F.floor(F.col(arrival) / F.lit(block)), "_rn", (*keys, "window_end"),
+                  True, "sum").filter(F.col("_ok"))
     updates = ranked.select(*keys, "window_end", F.col("_rn").cast("bigint").alias("cnt"),
                             F.when(F.col("_rn") == 1, "first").otherwise("update").alias("kind"))
     return firsts.unionByName(updates)

@@ -169,16 +169,21 @@ def early_firing_counts(df: DataFrame, keys: list, ts: str, size: str, tick: str
     return early.unionByName(final)
 
 
-def running_detail(df: DataFrame, keys: list, ts: str, size: str, arrival: str) -> DataFrame:
+def running_detail(df: DataFrame, keys: list, ts: str, size: str, arrival: str,
+                   block: int = 1 << 14) -> DataFrame:
     """O-G13: one output per element with the running size of its window, the
     first row's ts, this row's ts, window start and end (arrival order).
 
-    Groups are (key, window): bounded by the window size, and a hot key is
-    spread over its windows.
+    Running size and first ts are scans over (key, window) in arrival blocks,
+    so a hot (key, window) is not sorted in one task.
     """
+    from eventflow.operators.scan import scan
     w = F.window(ts, size)
-    rows = df.withColumn("window_start", w.start).withColumn("window_end", w.end)
-    ws = Window.partitionBy(*keys, "window_start", "window_end").orderBy(arrival).rowsBetween(UNB, 0)
-    return rows.select(*keys, F.count(F.lit(1)).over(ws).alias("size"),
-                       F.first(ts).over(ws).alias("first_ts"), F.col(ts).alias("ts"),
-                       "window_start", "window_end")
+    rows = (df.withColumn("window_start", w.start).withColumn("window_end", w.end)
+              .withColumn("_one", F.lit(1)))
+    grp = (*keys, "window_start", "window_end")
+    blk = F.floor(F.col(arrival) / F.lit(block))
+    rows = scan(rows, "_one", [arrival], blk, "size", grp, True, "sum")
+    rows = scan(rows, ts, [arrival], blk, "first_ts", grp, True, "first")
+    return rows.select(*keys, F.col("size").cast("bigint").alias("size"), "first_ts",
+                       F.col(ts).alias("ts"), "window_start", "window_end")

@@ -28,12 +28,6 @@ def item_id(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("bigint")
 
 
-def sensor_readings(ev: DataFrame) -> DataFrame:
-    """Sensor view of ``events``: (event_id, id, ts, temperature)."""
-    return ev.select("event_id", F.col("user_id").alias("id"), "ts",
-                     F.col("value").alias("temperature"))
-
-
 def out_of_order(ev: DataFrame, jitter_seconds: int = 25200) -> DataFrame:
     """Out-of-order replay: arrival order is ``event_id``, event time is
     ``ts2 = ts + pmod(event_id * 7919, jitter)`` seconds."""
