@@ -43,7 +43,7 @@ def exactly_once_file_sink(stream: DataFrame, path: str, checkpoint: str, fmt: s
     return w.start()
 
 
-def topn_per_window_batch(n: int, group: list, order: list, sink: Callable[[DataFrame, int], None]):
+def top_n_per_batch(n: int, group: list, order: list, sink: Callable[[DataFrame, int], None]):
     """O-G14 stream form: the upstream window count runs in append mode, so
     every row of a micro-batch belongs to a window that is final; rank inside
     ``foreachBatch`` and hand the top N to ``sink``."""

@@ -252,7 +252,7 @@ def test_hot_items_stream_equals_batch_on_closed_windows(spark, tmp):
     def sink(df, batch_id):
         collected.extend(tuple(r) for r in df.select("window_end", "item_id", "view_count", "rank").collect())
 
-    fn = SJ.topn_per_window_batch(3, ["window_end"], [F.desc("view_count"), F.asc("item_id")], sink)
+    fn = SJ.top_n_per_batch(3, ["window_end"], [F.desc("view_count"), F.asc("item_id")], sink)
     q = (counts.writeStream.outputMode("append").foreachBatch(fn)
          .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
     _run(q)
