@@ -17,6 +17,12 @@ LATE_DELAY, LATE_WINDOW, LATE_LATENESS = "1 hour", "1 hour", "2 hours"
 SPLIT_DELAY = "5 hours"
 ROUND = 6
 
+# Message texts and defaults the reference's jobs emit.
+FIRE_ALERT = "Risk of fire!, the temperature is: "
+FREEZING_ALARM = "Freezing Alarm for %s"
+UNKNOWN_ROOM = "UNKNOWN ROOM"
+ROOM_PREFIX = "room_"
+
 
 def sensors(ev: DataFrame) -> DataFrame:
     """Sensor readings: id = user_id, temperature = value, timestamp = ts."""

@@ -9,7 +9,8 @@ from eventflow.functions.scalar import fahrenheit_to_celsius, format_message, is
 from eventflow.operators import eventtime as T
 from eventflow.operators import joins as J
 from eventflow.operators import keyed as K
-from eventflow.plans.common import (LATE_DELAY, LATE_LATENESS, LATE_WINDOW, SPLIT_DELAY, TUMBLE,
+from eventflow.plans.common import (FIRE_ALERT, FREEZING_ALARM, LATE_DELAY, LATE_LATENESS,
+                                    LATE_WINDOW, ROOM_PREFIX, SPLIT_DELAY, TUMBLE, UNKNOWN_ROOM,
                                     events, out_of_order, r6, sensors)
 from eventflow.plans.registry import register
 from eventflow.sinks.upsert import latest_per_key
@@ -151,7 +152,7 @@ def m9_side_output(spark, sf):
     rows continue on the main output)."""
     _, side = T.side_outputs(sensors(events(spark, sf)), F.col("temperature") < 32.0)
     return side.select("event_id", "id", "ts",
-                       format_message("Freezing Alarm for %s", "id").alias("message"))
+                       format_message(FREEZING_ALARM, "id").alias("message"))
 
 
 # ----------------------------------------------------------------- joins ----
@@ -177,7 +178,7 @@ def j1_asof_alert(spark, sf):
     d = J.asof_join(readings, smoke, "ts", ["level"], bucket=TUMBLE)
     return (d.filter(F.coalesce("level", F.lit("Low")) == "High")
              .select("event_id", "id", "ts", "temperature",
-                     F.concat(F.lit("Risk of fire!, the temperature is: "),
+                     F.concat(F.lit(FIRE_ALERT),
                               F.col("temperature").cast("string")).alias("message")))
 
 
@@ -235,10 +236,10 @@ def j4_lookup_enrich(spark, sf):
     for missing keys (one bulk join instead of per-row requests)."""
     ev = events(spark, sf)
     lookup = (ev.filter(F.col("user_id").between(1, LOOKUP_MAX_SENSOR)).select("user_id").distinct()
-                .withColumn("room", F.concat(F.lit("room_"),
+                .withColumn("room", F.concat(F.lit(ROOM_PREFIX),
                                              F.pmod("user_id", F.lit(10)).cast("string"))))
     d = J.lookup_enrich(ev.select("event_id", "user_id"), lookup, "user_id", "room",
-                        "UNKNOWN ROOM", max_broadcast_rows=LOOKUP_MAX_SENSOR)
+                        UNKNOWN_ROOM, max_broadcast_rows=LOOKUP_MAX_SENSOR)
     return d.select("event_id", F.col("user_id").alias("id"), "room")
 
 

@@ -292,3 +292,31 @@ def test_adjacency_lists_are_chunked(spark):
     got = {(r.src, r.chunk): r.targets for r in G.adjacency_lists(e, max_list=100, bucket_width=8).collect()}
     srt = sorted(d for s, d in data if s == 1)
     assert got == {(1, 0): srt[:100], (1, 1): srt[100:200], (1, 2): srt[200:], (2, 0): [3, 7, 7]}
+
+
+def _java_split(s: str, pattern: str) -> list:
+    """JVM String.split(regex): no match -> [s]; trailing empties dropped."""
+    import re
+    parts = re.split(pattern, s)
+    if len(parts) == 1:
+        return parts
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_jvm_split_matches_java_model(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    samples = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.text(alphabet="ab \t\n", max_size=12))
+    def collect(s):
+        samples.append(s)
+    collect()
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r.i: r.p for r in df.select("i", TK.jvm_split("s", r"\s").alias("p")).collect()}
+    for i, s in enumerate(samples):
+        assert got[i] == _java_split(s, r"\s"), repr(s)
