@@ -76,7 +76,8 @@ def window_count_with_late(df: DataFrame, keys: list, ts: str, size: str,
 
 def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
                             lateness: str, arrival: str,
-                            wm_us: str = "_wm_us", block: int = 1 << 14) -> DataFrame:
+                            wm_us: str = "_wm_us", block: int = 1 << 14,
+                            plain: bool | None = None) -> DataFrame:
     """O-M8: window count with allowed lateness.
 
     The first result (``kind='first'``) is emitted when the watermark passes
@@ -101,7 +102,7 @@ def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
     # still split across tasks.
     ranked = scan(kept.withColumn("_one", F.lit(1)), "_one", [arrival],
                   F.floor(F.col(arrival) / F.lit(block)), "_rn", (*keys, "window_end"),
-                  True, "sum").filter(F.col("_ok"))
+                  True, "sum", plain).filter(F.col("_ok"))
     updates = ranked.select(*keys, "window_end", F.col("_rn").cast("bigint").alias("cnt"),
                             F.when(F.col("_rn") == 1, "first").otherwise("update").alias("kind"))
     return firsts.unionByName(updates)

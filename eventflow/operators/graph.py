@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.operators.scan import scan
+from eventflow.operators.scan import scan, small_groups
 from eventflow.session import checkpoint_root, materialize
 
 DAMPING = 0.85
@@ -30,7 +30,7 @@ def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
     Ranking does not need these lists; it uses ``edges_with_degree``."""
     e = edges.select(src, dst).withColumn("_one", F.lit(1))
     e = scan(e, "_one", [dst], F.floor(F.col(dst) / F.lit(bucket_width)), "_pos", (src,),
-             True, "sum")
+             True, "sum", small_groups(edges, [src]))
     chunk = F.floor((F.col("_pos") - 1) / F.lit(max_list)).cast("bigint")
     return (e.groupBy(src, chunk.alias("chunk"))
              .agg(F.array_sort(F.collect_list(dst)).alias("targets")))

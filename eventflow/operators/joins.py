@@ -29,11 +29,13 @@ def _time_bucket(ts: str, width: str) -> Column:
 
 
 def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
-              keys: tuple = (), bucket: str = "1 day", tie: str | None = None) -> DataFrame:
+              keys: tuple = (), bucket: str = "1 day", tie: str | None = None,
+              plain: bool | None = None) -> DataFrame:
     """Left rows with the latest right row at or before their ``ts`` (same
     keys); right rows win ties on ``ts``. ``right_cols`` come back null when
     no right row precedes. ``tie`` is an optional extra order column present
-    in both inputs.
+    in both inputs. ``plain`` forces the scan strategy (see ``scan``); by
+    default the group sizes of the union are checked.
     """
     keys = list(keys)
     extra = [tie] if tie else []
@@ -43,7 +45,7 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
     u = l.unionByName(r, allowMissingColumns=True)
     u = u.withColumn("_o", epoch_us(ts))
     u = scan(u, "_r", ["_o", "_side", *extra], _time_bucket(ts, bucket), "_m", keys,
-             inclusive=True, how="last")
+             inclusive=True, how="last", plain=plain)
     out = u.filter(F.col("_side") == 1).drop("_side", "_r", "_o")
     return out.select(*[c for c in out.columns if c != "_m"],
                       *[F.col("_m")[c].alias(c) for c in right_cols])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import lag_scan, lead_scan, scan
+from eventflow.operators.scan import lag_scan, lead_scan, scan, small_groups
 from eventflow.operators.windows import _ms
 from eventflow.session import materialize
 
@@ -29,17 +29,19 @@ def rolling_sum(df: DataFrame, key: str, value: str, arrival: str, keep_first: l
                 out: str = "running_sum") -> DataFrame:
     """O-A2 (``keyBy(k).sum(f)``): per row, the running sum of ``value`` for its
     key; the other fields keep the values of the key's *first* row."""
-    res = scan(df, value, [arrival], arrival_block(arrival), out, (key,), True, "sum")
+    plain = small_groups(df, [key])
+    res = scan(df, value, [arrival], arrival_block(arrival), out, (key,), True, "sum", plain)
     for c in keep_first:
         res = scan(res.withColumnRenamed(c, f"_{c}"), f"_{c}", [arrival],
-                   arrival_block(arrival), c, (key,), True, "first").drop(f"_{c}")
+                   arrival_block(arrival), c, (key,), True, "first", plain).drop(f"_{c}")
     return res
 
 
-def running_count(df: DataFrame, key: str, arrival: str, out: str = "cnt") -> DataFrame:
+def running_count(df: DataFrame, key: str, arrival: str, out: str = "cnt",
+                  plain: bool | None = None) -> DataFrame:
     """O-A3: running count per key, emitted per row."""
     return (scan(df.withColumn("_one", F.lit(1)), "_one", [arrival], arrival_block(arrival),
-                 out, (key,), True, "sum").drop("_one"))
+                 out, (key,), True, "sum", plain).drop("_one"))
 
 
 def threshold_counters(df: DataFrame, key: str, value: str, arrival: str, threshold: float,
@@ -49,8 +51,9 @@ def threshold_counters(df: DataFrame, key: str, value: str, arrival: str, thresh
     counter, made deterministic)."""
     hot = df.filter(F.col(value) > F.lit(threshold)).withColumn(
         "instance", F.pmod(F.col(key), F.lit(instances)))
-    hot = running_count(hot, key, arrival, "key_cnt")
-    return running_count(hot, "instance", arrival, "op_cnt")
+    by_key, by_instance = small_groups(hot, [key]), small_groups(hot, ["instance"])
+    hot = running_count(hot, key, arrival, "key_cnt", by_key)
+    return running_count(hot, "instance", arrival, "op_cnt", by_instance)
 
 
 def instance_counters(df: DataFrame, key: str, value: str, arrival: str, threshold: float,
@@ -63,15 +66,16 @@ def instance_counters(df: DataFrame, key: str, value: str, arrival: str, thresho
 
 
 def previous_value(df: DataFrame, key: str, ts: str, value: str, bucket: str,
-                   out: str = "prev", out_ts: str | None = None) -> DataFrame:
+                   out: str = "prev", out_ts: str | None = None,
+                   plain: bool | None = None) -> DataFrame:
     """``lag`` of ``value`` (and optionally of ``ts``) per key in ``ts`` order."""
     d = df.withColumn("_o", epoch_us(ts))
     if out_ts:
         d = d.withColumn("_pv", F.struct(F.col(value).alias("v"), F.col("_o").alias("t")))
-        d = lag_scan(d, "_pv", ["_o"], time_bucket(ts, bucket), "_lag", (key,))
+        d = lag_scan(d, "_pv", ["_o"], time_bucket(ts, bucket), "_lag", (key,), plain)
         return (d.withColumn(out, F.col("_lag.v")).withColumn(out_ts, F.col("_lag.t"))
                  .drop("_pv", "_lag", "_o"))
-    return lag_scan(d, value, ["_o"], time_bucket(ts, bucket), out, (key,)).drop("_o")
+    return lag_scan(d, value, ["_o"], time_bucket(ts, bucket), out, (key,), plain).drop("_o")
 
 
 def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
@@ -101,7 +105,8 @@ def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
              .select(key, ts, value, "diff"))
 
 
-def _successors(rises: DataFrame, interval_us: int, bucket_us: int) -> DataFrame:
+def _successors(rises: DataFrame, interval_us: int, bucket_us: int,
+                plain: bool | None = None) -> DataFrame:
     """For every rise o of a (key, run): the first rise at or after
     o + interval in the same run (``_j``, null when none). One reversed
     bucketed scan over rises (targets) and their query times."""
@@ -112,7 +117,7 @@ def _successors(rises: DataFrame, interval_us: int, bucket_us: int) -> DataFrame
                        F.col("_o").alias("_src"))
     u = tgt.unionByName(qry).withColumn("_negt", -F.col("_t"))
     u = scan(u, "_val", ["_negt", "_side"], F.floor(F.col("_negt") / F.lit(bucket_us)), "_nxt",
-             ("_k", "_run"), True, "last")
+             ("_k", "_run"), True, "last", plain)
     return u.filter(F.col("_side") == 1).select("_k", "_run", F.col("_src").alias("_o"),
                                                  F.col("_nxt").alias("_j"))
 
@@ -135,19 +140,20 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     """
     iv = _ms(interval) * 1000
     bucket_us = _ms(bucket) * 1000
-    d = previous_value(df.select(key, ts, value), key, ts, value, bucket)
+    plain = small_groups(df, [key])   # runs and rises are subsets of a key's rows
+    d = previous_value(df.select(key, ts, value), key, ts, value, bucket, plain=plain)
     d = d.withColumn("_o", epoch_us(ts))
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
     d = d.withColumn("_reset", reset.cast("int")).withColumn(
         "_rise", (~reset) & (F.col(value) > F.col("prev")))
-    d = scan(d, "_reset", ["_o"], time_bucket(ts, bucket), "_run", (key,), True, "sum")
+    d = scan(d, "_reset", ["_o"], time_bucket(ts, bucket), "_run", (key,), True, "sum", plain)
     # Time of the next reset of the same key (the end of this row's run).
     d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
-    d = lead_scan(d, "_reset_at", ["_o"], time_bucket(ts, bucket), "_next_reset", (key,))
+    d = lead_scan(d, "_reset_at", ["_o"], time_bucket(ts, bucket), "_next_reset", (key,), plain)
     rises = materialize(d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o",
                                                   "_next_reset"))
     ids = ["_k", "_run", "_o"]
-    levels = [materialize(_successors(rises, iv, bucket_us))]
+    levels = [materialize(_successors(rises, iv, bucket_us, plain))]
     while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
         nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
@@ -172,10 +178,11 @@ def count_with_timeout(df: DataFrame, key: str, ts: str, timeout: str,
     """O-P4: running count per key; emitted with the key when ``timeout``
     passes after a row with no newer row of that key (or at end of input).
     The count is not reset."""
+    plain = small_groups(df, [key])
     d = df.select(key, ts).withColumn("_o", epoch_us(ts)).withColumn("_one", F.lit(1))
-    d = scan(d, "_one", ["_o"], time_bucket(ts, bucket), "cnt", (key,), True, "sum")
+    d = scan(d, "_one", ["_o"], time_bucket(ts, bucket), "cnt", (key,), True, "sum", plain)
     d = d.withColumn("_t", F.col("_o"))
-    d = lead_scan(d, "_t", ["_o"], time_bucket(ts, bucket), "_next", (key,))
+    d = lead_scan(d, "_t", ["_o"], time_bucket(ts, bucket), "_next", (key,), plain)
     to_us = _ms(timeout) * 1000
     emit = F.col("_next").isNull() | ((F.col("_next") - F.col("_o")) > F.lit(to_us))
     return d.filter(emit).select(

@@ -14,6 +14,13 @@ table through one task. Instead we split the order into blocks:
 For arrival-order blocks the number of summaries grows with the data, so the
 prefix in step 3 is itself done in two levels (blocks of blocks). For time
 buckets the number of summaries is bounded by time span / bucket width.
+
+Size-checked fast path: when the largest group (rows per key, or all rows
+when there is no key) is at most ``eventflow.scan.plainMaxRows`` (default
+1,000,000 - a sort one task does in about a second), a single window does
+the scan. The bound is checked with one aggregate over the key columns, like a
+broadcast size check; beyond it the block scan runs. Set the option to 0 to
+always use blocks.
 """
 
 from __future__ import annotations
@@ -23,6 +30,28 @@ from pyspark.sql import functions as F
 
 UNB = Window.unboundedPreceding
 
+PLAIN_MAX_ROWS_CONF = "eventflow.scan.plainMaxRows"
+DEFAULT_PLAIN_MAX_ROWS = 1_000_000
+
+
+def plain_max_rows(spark) -> int:
+    return int(spark.conf.get(PLAIN_MAX_ROWS_CONF, str(DEFAULT_PLAIN_MAX_ROWS)))
+
+
+def largest_group(df: DataFrame, keys) -> int:
+    """Rows in the largest group of ``keys`` (all rows when no key)."""
+    keys = list(keys)
+    if not keys:
+        return df.count()
+    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(r or 0)
+
+
+def small_groups(df: DataFrame, keys) -> bool:
+    """True when every group fits the fast path (one checked aggregate)."""
+    limit = plain_max_rows(df.sparkSession)
+    return limit > 0 and largest_group(df.select(*keys) if keys else df, keys) <= limit
+
 
 def _prefix_max_exclusive(tbl: DataFrame, keys: list, idx: str, val: str,
                           fanout: int, out: str) -> DataFrame:
@@ -42,7 +71,8 @@ def _prefix_max_exclusive(tbl: DataFrame, keys: list, idx: str, val: str,
 
 def running_max_before(df: DataFrame, value: str, order: str, out: str,
                        keys: tuple = (), block: int = 1 << 14,
-                       fanout: int = 1 << 10, inclusive: bool = False) -> DataFrame:
+                       fanout: int = 1 << 10, inclusive: bool = False,
+                       plain: bool | None = None) -> DataFrame:
     """``out`` = max(value) over the rows (same keys) whose ``order`` is
     smaller than this row's (``inclusive`` adds the row itself).
 
@@ -51,6 +81,12 @@ def running_max_before(df: DataFrame, value: str, order: str, out: str,
     skew.
     """
     keys = list(keys)
+    if plain is None:
+        plain = small_groups(df, keys)
+    if plain:
+        w = ((Window.partitionBy(*keys) if keys else Window).orderBy(order)
+             .rowsBetween(UNB, 0 if inclusive else -1))
+        return df.withColumn(out, F.max(value).over(w))
     blk = F.floor(F.col(order) / F.lit(block))
     rows = df.withColumn("_blk", blk)
     w_in = (Window.partitionBy(*keys, "_blk").orderBy(order)
@@ -82,7 +118,8 @@ def _combine(how: str, a: str, b: str) -> Column:
 
 
 def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-         keys: tuple = (), inclusive: bool = True, how: str = "last") -> DataFrame:
+         keys: tuple = (), inclusive: bool = True, how: str = "last",
+         plain: bool | None = None) -> DataFrame:
     """Ordered running aggregate per key without a per-key sort of all rows.
 
     ``out`` = agg(value) over rows of the same keys at or before this row in
@@ -95,6 +132,15 @@ def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
     one summary row per (keys, bucket) - bounded by keys x span / width.
     """
     keys = list(keys)
+    if plain is None:
+        plain = small_groups(df, keys)
+    if plain:
+        w = ((Window.partitionBy(*keys) if keys else Window).orderBy(*order)
+             .rowsBetween(UNB, 0 if inclusive else -1))
+        res = _IN[how](value).over(w)
+        if how == "sum":
+            res = F.coalesce(res, F.lit(0))
+        return df.withColumn(out, res)
     rows = df.withColumn("_bkt", bucket)
     w_in = (Window.partitionBy(*keys, "_bkt").orderBy(*order)
             .rowsBetween(UNB, 0 if inclusive else -1))
@@ -116,22 +162,23 @@ def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
 
 
 def last_value_at_or_before(df: DataFrame, value: str, order: list, bucket: Column,
-                            out: str, keys: tuple = (), inclusive: bool = True) -> DataFrame:
+                            out: str, keys: tuple = (), inclusive: bool = True,
+                            plain: bool | None = None) -> DataFrame:
     """The last non-null ``value`` at or before each row (as-of lookup)."""
-    return scan(df, value, order, bucket, out, keys, inclusive, "last")
+    return scan(df, value, order, bucket, out, keys, inclusive, "last", plain)
 
 
 def lag_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-             keys: tuple = ()) -> DataFrame:
+             keys: tuple = (), plain: bool | None = None) -> DataFrame:
     """``lag(value)`` per key for a never-null ``value`` (previous row's value),
     computed bucket-wise so a hot key does not sort in one task."""
-    return scan(df, value, order, bucket, out, keys, inclusive=False, how="last")
+    return scan(df, value, order, bucket, out, keys, inclusive=False, how="last", plain=plain)
 
 
 def lead_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-              keys: tuple = ()) -> DataFrame:
+              keys: tuple = (), plain: bool | None = None) -> DataFrame:
     """``lead(value)`` per key: the same scan in reverse order."""
     rev = df.select("*", *[(-F.col(c)).alias(f"_rev_{c}") for c in order])
     res = scan(rev, value, [f"_rev_{c}" for c in order], -bucket, out, keys,
-               inclusive=False, how="last")
+               inclusive=False, how="last", plain=plain)
     return res.drop(*[f"_rev_{c}" for c in order])

@@ -177,13 +177,14 @@ def running_detail(df: DataFrame, keys: list, ts: str, size: str, arrival: str,
     Running size and first ts are scans over (key, window) in arrival blocks,
     so a hot (key, window) is not sorted in one task.
     """
-    from eventflow.operators.scan import scan
+    from eventflow.operators.scan import scan, small_groups
     w = F.window(ts, size)
     rows = (df.withColumn("window_start", w.start).withColumn("window_end", w.end)
               .withColumn("_one", F.lit(1)))
     grp = (*keys, "window_start", "window_end")
     blk = F.floor(F.col(arrival) / F.lit(block))
-    rows = scan(rows, "_one", [arrival], blk, "size", grp, True, "sum")
-    rows = scan(rows, ts, [arrival], blk, "first_ts", grp, True, "first")
+    plain = small_groups(rows, list(grp))
+    rows = scan(rows, "_one", [arrival], blk, "size", grp, True, "sum", plain)
+    rows = scan(rows, ts, [arrival], blk, "first_ts", grp, True, "first", plain)
     return rows.select(*keys, F.col("size").cast("bigint").alias("size"), "first_ts",
                        F.col(ts).alias("ts"), "window_start", "window_end")

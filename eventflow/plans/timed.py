@@ -12,6 +12,7 @@ from eventflow.operators import keyed as K
 from eventflow.plans.common import (FIRE_ALERT, FREEZING_ALARM, LATE_DELAY, LATE_LATENESS,
                                     LATE_WINDOW, ROOM_PREFIX, SPLIT_DELAY, TUMBLE, UNKNOWN_ROOM,
                                     events, out_of_order, r6, sensors)
+from eventflow.operators.scan import small_groups
 from eventflow.plans.registry import register
 from eventflow.sinks.upsert import latest_per_key
 
@@ -139,9 +140,11 @@ FROM ranked WHERE late_ok""")
 def m8_allowed_lateness(spark, sf):
     """O-M8: allowed lateness 2 h on 1 h windows: a first result, then one
     update per accepted late row; rows later than that are dropped."""
-    d = T.with_watermark_column(_ooo(spark, sf).withColumnRenamed("user_id", "id"),
-                                "ts2", "event_id", LATE_DELAY, "wm")
-    return T.allowed_lateness_counts(d, ["id"], "ts2", LATE_WINDOW, LATE_LATENESS, "event_id")
+    base = _ooo(spark, sf).withColumnRenamed("user_id", "id")
+    d = T.with_watermark_column(base, "ts2", "event_id", LATE_DELAY, "wm")
+    plain = small_groups(base, ["id"])   # bounds every (id, window) group
+    return T.allowed_lateness_counts(d, ["id"], "ts2", LATE_WINDOW, LATE_LATENESS, "event_id",
+                                     plain=plain)
 
 
 @register("m9_side_output", """
@@ -200,8 +203,10 @@ def j2_threshold_alert(spark, sf):
         F.when(F.pmod("event_id", F.lit(4)) == 0, F.lit(0.0)).otherwise(F.col("value"))
         .alias("threshold"))
     readings = sensors(ev.filter(F.col("event_type") != "signup"))
-    readings = K.previous_value(readings, "id", "ts", "temperature", TUMBLE, out="last_temp")
-    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), bucket=TUMBLE)
+    plain = small_groups(ev.select(F.col("user_id").alias("id")), ["id"])
+    readings = K.previous_value(readings, "id", "ts", "temperature", TUMBLE, out="last_temp",
+                                plain=plain)
+    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), bucket=TUMBLE, plain=plain)
     diff = F.abs(F.col("temperature") - F.coalesce("last_temp", F.lit(0.0)))
     return (d.filter(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0)
                      & (diff > F.col("threshold")))

@@ -23,3 +23,17 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture(params=["blocks", "plain"])
+def scan_mode(request, spark):
+    """Run a test with the block scan forced (limit 0) and with the
+    size-checked single-window fast path."""
+    key = "eventflow.scan.plainMaxRows"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "0" if request.param == "blocks" else "1000000")
+    yield request.param
+    if old is None:
+        spark.conf.unset(key)
+    else:
+        spark.conf.set(key, old)

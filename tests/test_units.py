@@ -24,7 +24,7 @@ def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*order).collect()]
 
 
-def test_rolling_sum_keeps_first_row_fields(spark):
+def test_rolling_sum_keeps_first_row_fields(spark, scan_mode):
     # (key, value, other) in arrival order; keyBy(0).sum(1)
     df = spark.createDataFrame([(0, 1, 2, 2), (1, 2, 3, 1), (2, 2, 2, 4), (3, 1, 5, 3)],
                                "seq long, k long, v long, other long")
@@ -33,7 +33,7 @@ def test_rolling_sum_keeps_first_row_fields(spark):
     assert got == [(0, 1, 2, 2), (1, 2, 3, 1), (2, 2, 5, 1), (3, 1, 7, 2)]
 
 
-def test_threshold_updates_as_of(spark):
+def test_threshold_updates_as_of(spark, scan_mode):
     # thresholds per sensor; 0 deletes. Final: sensor_1 1.2, sensor_2 0.9, sensor_3 gone.
     upd = spark.createDataFrame(
         [("sensor_1", 1, 5.0), ("sensor_2", 2, 0.9), ("sensor_3", 3, 0.5),
@@ -49,7 +49,7 @@ def test_threshold_updates_as_of(spark):
                    ("sensor_1", 2): 5.0}
 
 
-def test_switches_forward_until_deadline(spark):
+def test_switches_forward_until_deadline(spark, scan_mode):
     sw = spark.createDataFrame([("sensor_2", 0, 10_000), ("sensor_7", 0, 60_000),
                                 ("sensor_2", 20_000, 5_000)], "id string, t long, dur long")
     sw = sw.select("id", F.timestamp_millis("t").cast("timestamp_ntz").alias("ts"),
@@ -133,7 +133,7 @@ def _random_keyed(spark, n=3000, keys=5, hot=0.4, seed=7):
     return pdf, df
 
 
-def test_scan_matches_sequential(spark):
+def test_scan_matches_sequential(spark, scan_mode):
     pdf, df = _random_keyed(spark)
     out = scan(df, "v", ["seq"], F.floor(F.col("seq") / 97), "s", ("k",), True, "sum")
     got = out.select("seq", "s").toPandas().sort_values("seq")["s"].to_numpy()
@@ -145,7 +145,7 @@ def test_scan_matches_sequential(spark):
     assert np.allclose(np.nan_to_num(got, nan=-1), np.nan_to_num(want, nan=-1))
 
 
-def test_running_max_two_levels(spark):
+def test_running_max_two_levels(spark, scan_mode):
     pdf, df = _random_keyed(spark, n=5000)
     out = running_max_before(df, "t", "seq", "mx", block=16, fanout=4)
     got = out.select("seq", "mx").toPandas().sort_values("seq")["mx"].to_numpy()
@@ -171,7 +171,7 @@ def _rise_brute(pdf, interval):
     return sorted(out)
 
 
-def test_rise_alerts_match_sequential_simulation(spark):
+def test_rise_alerts_match_sequential_simulation(spark, scan_mode):
     pdf, df = _random_keyed(spark, n=2000)
     pdf["v"] = np.round(np.cumsum(np.random.default_rng(1).normal(0, 1, len(pdf))) + 50, 2)
     df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
@@ -180,7 +180,7 @@ def test_rise_alerts_match_sequential_simulation(spark):
     assert got == _rise_brute(pdf, 300)
 
 
-def test_allowed_lateness_simulation(spark):
+def test_allowed_lateness_simulation(spark, scan_mode):
     rnd = random.Random(3)
     data = [(i, rnd.randrange(0, 3), i * 10 + rnd.randrange(-120, 30)) for i in range(800)]
     pdf = pd.DataFrame(data, columns=["seq", "k", "t"])
@@ -219,7 +219,7 @@ def test_allowed_lateness_simulation(spark):
     assert got_l == want
 
 
-def test_early_firing_brute_force(spark):
+def test_early_firing_brute_force(spark, scan_mode):
     rnd = random.Random(5)
     data = [(rnd.randrange(0, 2), rnd.randrange(0, 3 * 3600)) for _ in range(300)]
     pdf = pd.DataFrame(data, columns=["k", "t"])
@@ -285,7 +285,7 @@ def test_sliding_panes_equal_direct(spark):
     assert ra == rb
 
 
-def test_adjacency_lists_are_chunked(spark):
+def test_adjacency_lists_are_chunked(spark, scan_mode):
     rnd = random.Random(11)
     data = [(1, rnd.randrange(0, 50)) for _ in range(230)] + [(2, 7), (2, 3), (2, 7)]
     e = spark.createDataFrame(data, "src long, dst long")
