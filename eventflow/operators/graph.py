@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.operators.scan import scan, small_groups
+from eventflow.operators.scan import largest_group, plain_max_rows, scan
 from eventflow.session import checkpoint_root, materialize
 
 DAMPING = 0.85
@@ -28,9 +28,15 @@ def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
     an unbounded list. A target's position inside its source comes from the
     bucketed scan (buckets of target ids), not from a per-source sort.
     Ranking does not need these lists; it uses ``edges_with_degree``."""
-    e = edges.select(src, dst).withColumn("_one", F.lit(1))
+    e = edges.select(src, dst)
+    biggest = largest_group(e, [src])
+    if biggest <= max_list:
+        # Checked bound: every source fits one chunk.
+        return e.groupBy(src).agg(F.lit(0).cast("bigint").alias("chunk"),
+                                  F.array_sort(F.collect_list(dst)).alias("targets"))
+    e = e.withColumn("_one", F.lit(1))
     e = scan(e, "_one", [dst], F.floor(F.col(dst) / F.lit(bucket_width)), "_pos", (src,),
-             True, "sum", small_groups(edges, [src]))
+             True, "sum", 0 < biggest <= plain_max_rows(e.sparkSession))
     chunk = F.floor((F.col("_pos") - 1) / F.lit(max_list)).cast("bigint")
     return (e.groupBy(src, chunk.alias("chunk"))
              .agg(F.array_sort(F.collect_list(dst)).alias("targets")))
