@@ -85,3 +85,38 @@ class WriteAheadSink:
         def fn(df: DataFrame, batch_id: int) -> None:
             self.write_batch(df, batch_id)
         return fn
+
+
+def with_retries(fn, attempts: int = 5, backoff_s: float = 0.5):
+    """Call ``fn()``; on failure wait ``backoff_s`` and retry, ``attempts``
+    times in total (the bulk sink's retry policy)."""
+    import time
+    for i in range(attempts):
+        try:
+            return fn()
+        except Exception:
+            if i + 1 == attempts:
+                raise
+            time.sleep(backoff_s)
+
+
+class JsonDocumentSink:
+    """O-K6 on a stream: each micro-batch's documents go to
+    ``root/index/type/batch=<id>`` (overwritten on replay, so a retried batch
+    is written once), with bounded retries. ``max_docs_per_file`` caps the
+    bulk size per output file."""
+
+    def __init__(self, root: str, index: str, doc_type: str, doc_col: str = "doc",
+                 max_docs_per_file: int = 1000, attempts: int = 5, backoff_s: float = 0.5):
+        self.target = f"{root.rstrip('/')}/{index}/{doc_type}"
+        self.doc_col, self.max_docs = doc_col, max_docs_per_file
+        self.attempts, self.backoff_s = attempts, backoff_s
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        out = df.select(F.col(self.doc_col).alias("value"))
+        with_retries(lambda: out.write.mode("overwrite")
+                     .option("maxRecordsPerFile", self.max_docs)
+                     .text(f"{self.target}/batch={batch_id}"), self.attempts, self.backoff_s)
+
+    def foreach_batch(self):
+        return self.write_batch

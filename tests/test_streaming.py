@@ -303,3 +303,27 @@ def test_allowed_lateness_stream_runs_in_update_mode(spark, replay, tmp):
     final = got.groupby(["id", "window_end"]).cnt.max()
     # every row of the replay is counted once at most
     assert final.sum() <= 1000
+
+
+def test_json_document_sink_stream(spark, replay, tmp):
+    from eventflow.sinks.files import JsonDocumentSink, to_json_documents, with_retries
+    path, schema = replay
+    sink = JsonDocumentSink(f"{tmp}/docs", "event_data", "event", max_docs_per_file=100)
+    stream = SJ.replay_stream(spark, path, schema)
+    docs = to_json_documents(stream.select("id", "temperature"))
+    q = (docs.writeStream.foreachBatch(sink.foreach_batch())
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    _run(q)
+    back = spark.read.json(f"{tmp}/docs/event_data/event")
+    assert back.count() == 1000
+    assert set(back.columns) >= {"id", "temperature"}
+    files = [f for f in os.listdir(f"{tmp}/docs/event_data/event/batch=0") if f.endswith(".txt")]
+    assert len(files) >= 3    # bulk size caps documents per file
+    calls = {"n": 0}
+
+    def flaky():
+        calls["n"] += 1
+        if calls["n"] < 3:
+            raise IOError("bulk rejected")
+        return "ok"
+    assert with_retries(flaky, attempts=5, backoff_s=0.01) == "ok" and calls["n"] == 3
