@@ -27,39 +27,39 @@ def _ms(ts: pd.Series) -> pd.Series:
 class DeltaAlertProcessor(StatefulProcessor):
     """O-P1 / O-P2: alert when |temperature - last temperature| > threshold.
 
-    ``first_as_zero``: an empty state reads 0.0. ``ttl_ms``: the state is
-    cleared by an event-time timer ``ttl_ms`` after the key's last reading
-    (the timer is moved on every reading)."""
+    ``first_as_zero``: an empty state reads 0.0. ``ttl_ms``: the key's state is
+    cleared ``ttl_ms`` after its last reading - by an event-time timer for idle
+    keys, and directly when a reading arrives that much later (the timer would
+    have fired by then), so the result does not depend on micro-batch
+    boundaries."""
 
     def __init__(self, threshold: float, first_as_zero: bool = False, ttl_ms: int | None = None):
         self.threshold, self.first_as_zero, self.ttl_ms = threshold, first_as_zero, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("lastTemp", "v double")
-        self.timer = handle.getValueState("timer", "t long")
+        self.last = handle.getValueState("last", "v double, t long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values("ts")
-        last = self.last.get()[0] if self.last.exists() else None
+        last, last_t = self.last.get() if self.last.exists() else (None, None)
+        if self.ttl_ms is not None and last_t is not None:
+            self.handle.deleteTimer(last_t + self.ttl_ms)
         out = []
-        for ts, temp in zip(pdf["ts"], pdf["temperature"]):
+        for ts, t, temp in zip(pdf["ts"], _ms(pdf["ts"]), pdf["temperature"]):
+            if self.ttl_ms is not None and last_t is not None and t - last_t >= self.ttl_ms:
+                last = None                      # cleaned up before this reading
             prev = last if last is not None else (0.0 if self.first_as_zero else None)
             if prev is not None and abs(temp - prev) > self.threshold:
                 out.append((key[0], ts, temp, abs(temp - prev)))
-            last = temp
-        self.last.update((float(last),))
+            last, last_t = float(temp), int(t)
+        self.last.update((last, last_t))
         if self.ttl_ms is not None:
-            if self.timer.exists():
-                self.handle.deleteTimer(self.timer.get()[0])
-            t = int(_ms(pdf["ts"]).max()) + self.ttl_ms
-            self.handle.registerTimer(t)
-            self.timer.update((t,))
+            self.handle.registerTimer(last_t + self.ttl_ms)
         yield pd.DataFrame(out, columns=["id", "ts", "temperature", "diff"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
-        self.timer.clear()
         yield pd.DataFrame(columns=["id", "ts", "temperature", "diff"])
 
     def close(self) -> None:
@@ -68,7 +68,9 @@ class DeltaAlertProcessor(StatefulProcessor):
 
 class CountWithTimeoutProcessor(StatefulProcessor):
     """O-P4: count per key; emit (key, count) once ``timeout_ms`` of event
-    time pass after the key's last row. The count is not reset."""
+    time pass after the key's last row. The count is not reset. A gap longer
+    than the timeout between two rows emits directly (the timer would have
+    fired in between); the pending timer covers the key's latest row."""
 
     def __init__(self, timeout_ms: int):
         self.timeout_ms = timeout_ms
@@ -82,11 +84,14 @@ class CountWithTimeoutProcessor(StatefulProcessor):
         cnt, last = self.state.get() if self.state.exists() else (0, None)
         if last is not None:
             self.handle.deleteTimer(last + self.timeout_ms)
-        cnt += len(pdf)
-        last = int(_ms(pdf["ts"]).max()) if last is None else max(last, int(_ms(pdf["ts"]).max()))
+        out = []
+        for t in sorted(_ms(pdf["ts"])):
+            if last is not None and t - last > self.timeout_ms:
+                out.append((key[0], cnt, pd.Timestamp(last + self.timeout_ms, unit="ms")))
+            cnt, last = cnt + 1, int(t)
         self.state.update((int(cnt), int(last)))
         self.handle.registerTimer(last + self.timeout_ms)
-        yield pd.DataFrame(columns=["id", "cnt", "emit_ts"])
+        yield pd.DataFrame(out, columns=["id", "cnt", "emit_ts"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         cnt, last = self.state.get()

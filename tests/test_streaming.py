@@ -64,7 +64,7 @@ def test_count_timeout_stream_fires_closed_keys(spark, replay, tmp):
     last = events(spark, SF_SMALL).agg(F.max("ts")).first()[0]
     want = sorted((r.id, r.cnt, ms(r.emit_ts)) for r in batch.collect() if r.emit_ts <= last)
     assert len(got) > 0
-    assert set(got) <= set(want)
+    assert got == want
 
 
 def test_late_split_stream_equals_batch(spark, replay, tmp):
@@ -327,3 +327,19 @@ def test_json_document_sink_stream(spark, replay, tmp):
             raise IOError("bulk rejected")
         return "ok"
     assert with_retries(flaky, attempts=5, backoff_s=0.01) == "ok" and calls["n"] == 3
+
+
+def test_self_cleaning_alert_stream_equals_batch(spark, replay, tmp):
+    path, schema = replay
+    stream = SJ.replay_stream(spark, path, schema).select("id", "ts", "temperature")
+    proc = DeltaAlertProcessor(50.0, first_as_zero=True, ttl_ms=24 * 3600 * 1000)
+    out = apply_processor(stream, "id", proc, ALERT_SCHEMA)
+    q = (out.writeStream.format("memory").queryName("p2s").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = sorted((r.id, r.ts.replace(tzinfo=None), round(r.diff, 6))
+                 for r in spark.sql("select * from p2s").collect())
+    batch = K.self_cleaning_delta_alert(sensors(events(spark, SF_SMALL)), "id", "ts",
+                                        "temperature", 50.0, "1 day")
+    want = sorted((r.id, r.ts, round(r.diff, 6)) for r in batch.collect())
+    assert got == want and len(got) > 0
