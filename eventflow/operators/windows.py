@@ -96,11 +96,12 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
                             F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
     exploded = exploded.select(*keys, *out_cols,
                                (F.col("_p") - F.col("_i") * F.lit(slide_ms)).alias("_s"))
-    exploded = exploded.select(*keys, *out_cols,
-                               from_epoch_ms("_s").alias("window_start"),
-                               from_epoch_ms(F.col("_s") + F.lit(size_ms)).alias("window_end"))
-    return (exploded.groupBy("window_start", "window_end", *keys)
-                    .agg(*[F.sum(c).alias(c) for c in out_cols]))
+    # Group on the window start alone (end = start + size) to keep the hash
+    # key narrow; both bounds are restored after the aggregation.
+    res = exploded.groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in out_cols])
+    return res.select(from_epoch_ms("_s").alias("window_start"),
+                      from_epoch_ms(F.col("_s") + F.lit(size_ms)).alias("window_end"),
+                      *keys, *out_cols)
 
 
 def first_row_values(cols: list, arrival: str) -> list:
