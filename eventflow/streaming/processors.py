@@ -245,3 +245,11 @@ class ThresholdAlertProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def read_state(spark, checkpoint: str, state_var: str, operator_id: int = 0) -> DataFrame:
+    """O-P5 (queryable state, re-aimed): read a processor's keyed state back
+    from the query's checkpoint as a table - (key, value) rows of the
+    committed batch."""
+    return (spark.read.format("statestore").option("stateVarName", state_var)
+            .option("operatorId", operator_id).load(checkpoint))

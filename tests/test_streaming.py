@@ -408,3 +408,18 @@ def test_allowed_lateness_exact_stream_equals_batch(spark, replay, tmp):
     before = counter.read().count()
     counter.process(spark.read.option("recursiveFileLookup", "true").parquet(path), 0)
     assert counter.read().count() == before
+
+
+def test_read_keyed_state_back(spark, replay, tmp):
+    from eventflow.streaming.processors import read_state
+    path, schema = replay
+    stream = SJ.replay_stream(spark, path, schema).select("id", "ts", "temperature")
+    out = apply_processor(stream, "id", DeltaAlertProcessor(50.0), ALERT_SCHEMA)
+    q = (out.writeStream.format("noop").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    st = read_state(spark, f"{tmp}/ck", "last").toPandas()
+    got = {int(r.key["id"]): float(r.value["v"]) for r in st.itertuples()}
+    latest = latest_per_key(sensors(events(spark, SF_SMALL)).select("id", "ts", "temperature"),
+                            ["id"], ["ts"])
+    assert got == {r.id: r.temperature for r in latest.collect()}
