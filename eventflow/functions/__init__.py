@@ -1,0 +1 @@
+"""Column functions: scalar conversions and formats, tokenizers."""

@@ -1,0 +1 @@
+"""Operators: ordered scans, windows, event time, joins, keyed state, graph ranking."""

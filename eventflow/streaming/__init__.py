@@ -1,0 +1 @@
+"""Structured Streaming forms: stateful processors, late routing, lateness, window timers, jobs."""
