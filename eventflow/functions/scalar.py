@@ -26,7 +26,8 @@ def from_epoch_ms(c) -> Column:
 
 
 def iso_local(c) -> Column:
-    """O-R10: ISO local date-time (``yyyy-MM-dd'T'HH:mm:ss``) of a timestamp."""
+    """O-R10: ISO local date-time (``yyyy-MM-dd'T'HH:mm:ss``) of a whole-second
+    timestamp such as a window bound."""
     return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss")
 
 

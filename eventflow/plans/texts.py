@@ -204,10 +204,12 @@ def r9_json_encode(spark, sf):
 
 
 @register("r10_iso_format", """
-SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso FROM events""")
+SELECT event_id, strftime(time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS iso
+FROM events""")
 def r10_iso_format(spark, sf):
-    """O-R10: ISO local date-time text of a timestamp (UTC)."""
-    return events(spark, sf).select("event_id", iso_local("ts").alias("iso"))
+    """O-R10: ISO local date-time text (UTC) of each event's window end."""
+    ev = events(spark, sf)
+    return ev.select("event_id", iso_local(F.window("ts", "1 hour").end).alias("iso"))
 
 
 @register("r11_composite_key", """
