@@ -96,3 +96,16 @@ def early_firing(stream: DataFrame, key: str, ts: str, size: str, tick: str,
     return d.groupBy(key, "_ws").transformWithStateInPandas(
         statefulProcessor=EarlyFiringProcessor(size, tick), outputStructType=EARLY_SCHEMA,
         outputMode="Append", timeMode="EventTime")
+
+
+def text_word_counts(lines: DataFrame, tokenize, size: str, slide: str | None = None,
+                     delay: str = "0 seconds", text_col: str = "value") -> DataFrame:
+    """O-E5 / O-E6 on a text stream: lines are stamped with the arrival clock
+    (processing time, O-W6), tokenized with one of ``functions.tokens``, and
+    counted per tumbling or sliding processing-time window."""
+    d = lines.withColumn("pt", F.current_timestamp())
+    toks = tokenize(d, text_col, keep=("pt",))
+    w = F.window("pt", size, slide) if slide else F.window("pt", size)
+    return (toks.withWatermark("pt", delay).groupBy(w.alias("w"), "word")
+            .agg(F.count(F.lit(1)).alias("cnt"))
+            .select("word", F.col("w.end").alias("window_end"), "cnt"))

@@ -423,3 +423,23 @@ def test_read_keyed_state_back(spark, replay, tmp):
     latest = latest_per_key(sensors(events(spark, SF_SMALL)).select("id", "ts", "temperature"),
                             ["id"], ["ts"])
     assert got == {r.id: r.temperature for r in latest.collect()}
+
+
+def test_text_stream_word_counts(spark, tmp):
+    from eventflow.functions import tokens as TK
+    from eventflow.plans.common import table
+    from eventflow.streaming.windows import text_word_counts
+    conv = table(spark, SF_SMALL, "conversations").select("conv_id", "text")
+    for i in range(3):
+        conv.filter(F.pmod("conv_id", F.lit(3)) == i).select("text").write.text(f"{tmp}/text/part{i}")
+    lines = (spark.readStream.option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+             .text(f"{tmp}/text"))
+    out = text_word_counts(lines, TK.stopword_tokens, "1 hour")
+    q = (out.writeStream.outputMode("update").format("memory").queryName("wc")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    _run(q)
+    got = spark.sql("select word, window_end, max(cnt) as cnt from wc group by word, window_end")
+    got = {r.word: r.cnt for r in got.groupBy("word").agg(F.sum("cnt").alias("cnt")).collect()}
+    lines_b = conv.select(F.explode(F.split("text", "\\n")).alias("value"))
+    want = {r.word: r["count"] for r in TK.stopword_tokens(lines_b, "value").groupBy("word").count().collect()}
+    assert got == want and len(got) > 0
