@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import scan
+from eventflow.operators.scan import scan, small_groups, time_buckets
 from eventflow.operators.windows import _ms
 
 
@@ -24,18 +24,28 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _time_bucket(ts: str, width: str) -> Column:
-    return F.floor(epoch_us(ts) / F.lit(_ms(width) * 1000))
+def _plan(u: DataFrame, keys: list, ts: str, bucket: str | None, plain: bool | None,
+          bucket_us: int | None = None) -> tuple:
+    """(plain, bucket column) for the scan over the union: a fixed width when
+    ``bucket`` is given, else a width sized from the data (see
+    ``scan.time_buckets``)."""
+    if bucket_us is not None and plain is not None:
+        return plain, F.floor(epoch_us(ts) / F.lit(bucket_us))
+    if bucket is not None:
+        p = small_groups(u, keys) if plain is None else plain
+        return p, F.floor(epoch_us(ts) / F.lit(_ms(bucket) * 1000))
+    p, width = time_buckets(u, keys, epoch_us(ts))
+    return (p if plain is None else plain), F.floor(epoch_us(ts) / F.lit(width or 1))
 
 
 def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
-              keys: tuple = (), bucket: str = "1 day", tie: str | None = None,
-              plain: bool | None = None) -> DataFrame:
+              keys: tuple = (), bucket: str | None = None, tie: str | None = None,
+              plain: bool | None = None, bucket_us: int | None = None) -> DataFrame:
     """Left rows with the latest right row at or before their ``ts`` (same
     keys); right rows win ties on ``ts``. ``right_cols`` come back null when
     no right row precedes. ``tie`` is an optional extra order column present
-    in both inputs. ``plain`` forces the scan strategy (see ``scan``); by
-    default the group sizes of the union are checked.
+    in both inputs. ``plain``/``bucket_us`` pass a strategy decided by the
+    caller (see ``scan.time_buckets``); by default the union is measured.
     """
     keys = list(keys)
     extra = [tie] if tie else []
@@ -44,7 +54,8 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
     l = left.withColumn("_side", F.lit(1)).withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
     u = l.unionByName(r, allowMissingColumns=True)
     u = u.withColumn("_o", epoch_us(ts))
-    u = scan(u, "_r", ["_o", "_side", *extra], _time_bucket(ts, bucket), "_m", keys,
+    plain, bcol = _plan(u, keys, ts, bucket, plain, bucket_us)
+    u = scan(u, "_r", ["_o", "_side", *extra], bcol, "_m", keys,
              inclusive=True, how="last", plain=plain)
     out = u.filter(F.col("_side") == 1).drop("_side", "_r", "_o")
     return out.select(*[c for c in out.columns if c != "_m"],
@@ -52,7 +63,7 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
 
 
 def interval_semi_join(left: DataFrame, right: DataFrame, keys: list, ts: str,
-                       until: str, bucket: str = "1 day") -> DataFrame:
+                       until: str, bucket: str | None = None) -> DataFrame:
     """O-J3: left rows with some right row of the same key such that
     ``right.ts <= left.ts < right.until``. Computed as: the max ``until`` over
     right rows at or before the left row is later than the left row.
@@ -60,8 +71,9 @@ def interval_semi_join(left: DataFrame, right: DataFrame, keys: list, ts: str,
     l = left.withColumn("_side", F.lit(1)).withColumn("_until", F.lit(None).cast("bigint"))
     r = right.select(*keys, ts, F.lit(0).alias("_side"), epoch_us(until).alias("_until"))
     u = l.unionByName(r, allowMissingColumns=True).withColumn("_o", epoch_us(ts))
-    u = scan(u, "_until", ["_o", "_side"], _time_bucket(ts, bucket), "_deadline", keys,
-             inclusive=True, how="max")
+    plain, bcol = _plan(u, list(keys), ts, bucket, None)
+    u = scan(u, "_until", ["_o", "_side"], bcol, "_deadline", keys,
+             inclusive=True, how="max", plain=plain)
     return (u.filter((F.col("_side") == 1) & (F.col("_deadline") > F.col("_o")))
              .drop("_side", "_until", "_o", "_deadline"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import lag_scan, lead_scan, scan, small_groups
+from eventflow.operators.scan import lag_scan, lead_scan, scan, small_groups, time_buckets
 from eventflow.operators.windows import _ms
 from eventflow.session import materialize
 
@@ -25,6 +25,20 @@ def time_bucket(ts: str, width: str) -> Column:
     return F.floor(epoch_us(ts) / F.lit(_ms(width) * 1000))
 
 
+def _strategy(df: DataFrame, keys: list, ts: str, bucket: str | None,
+              plain: bool | None = None) -> tuple:
+    """(plain, bucket width in us) for a per-key scan in ``ts`` order: a fixed
+    ``bucket`` width when given, else a width sized from the data."""
+    if bucket is not None:
+        return (small_groups(df, keys) if plain is None else plain), _ms(bucket) * 1000
+    p, width = time_buckets(df, keys, epoch_us(ts))
+    return (p if plain is None else plain), (width or 1)
+
+
+def _bucket(ts: str, width_us: int) -> Column:
+    return F.floor(epoch_us(ts) / F.lit(width_us))
+
+
 def rolling_sum(df: DataFrame, key: str, value: str, arrival: str, keep_first: list,
                 out: str = "running_sum") -> DataFrame:
     """O-A2 (``keyBy(k).sum(f)``): per row, the running sum of ``value`` for its
@@ -65,21 +79,24 @@ def instance_counters(df: DataFrame, key: str, value: str, arrival: str, thresho
     return running_count(hot, "instance", arrival, "cnt")
 
 
-def previous_value(df: DataFrame, key: str, ts: str, value: str, bucket: str,
+def previous_value(df: DataFrame, key: str, ts: str, value: str, bucket: str | None = None,
                    out: str = "prev", out_ts: str | None = None,
-                   plain: bool | None = None) -> DataFrame:
+                   plain: bool | None = None, bucket_col: Column | None = None) -> DataFrame:
     """``lag`` of ``value`` (and optionally of ``ts``) per key in ``ts`` order."""
+    if bucket_col is None:
+        plain, width = _strategy(df, [key], ts, bucket, plain)
+        bucket_col = _bucket(ts, width)
     d = df.withColumn("_o", epoch_us(ts))
     if out_ts:
         d = d.withColumn("_pv", F.struct(F.col(value).alias("v"), F.col("_o").alias("t")))
-        d = lag_scan(d, "_pv", ["_o"], time_bucket(ts, bucket), "_lag", (key,), plain)
+        d = lag_scan(d, "_pv", ["_o"], bucket_col, "_lag", (key,), plain)
         return (d.withColumn(out, F.col("_lag.v")).withColumn(out_ts, F.col("_lag.t"))
                  .drop("_pv", "_lag", "_o"))
-    return lag_scan(d, value, ["_o"], time_bucket(ts, bucket), out, (key,), plain).drop("_o")
+    return lag_scan(d, value, ["_o"], bucket_col, out, (key,), plain).drop("_o")
 
 
 def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
-                first_as_zero: bool = False, bucket: str = "1 day") -> DataFrame:
+                first_as_zero: bool = False, bucket: str | None = None) -> DataFrame:
     """O-P1: |value - previous value| > threshold -> (key, value, diff).
 
     ``first_as_zero`` reproduces an empty state read as 0.0, so a first
@@ -93,7 +110,7 @@ def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
 
 
 def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
-                              threshold: float, ttl: str, bucket: str = "1 day") -> DataFrame:
+                              threshold: float, ttl: str, bucket: str | None = None) -> DataFrame:
     """O-P2: like O-P1 with an empty state read as 0.0, but the state of a
     key is cleared ``ttl`` after its last reading, so the next reading after
     such a gap compares against 0.0 again."""
@@ -123,7 +140,7 @@ def _successors(rises: DataFrame, interval_us: int, bucket_us: int,
 
 
 def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
-                bucket: str = "1 day") -> DataFrame:
+                bucket: str | None = None) -> DataFrame:
     """O-P3: monotonic-rise alert with re-arming (event-time clock).
 
     Per key: the first reading and every decrease reset the state; a strict
@@ -139,21 +156,22 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     and never sits in one task. Jump tables are written with ``checkpoint()``.
     """
     iv = _ms(interval) * 1000
-    bucket_us = _ms(bucket) * 1000
-    plain = small_groups(df, [key])   # runs and rises are subsets of a key's rows
-    d = previous_value(df.select(key, ts, value), key, ts, value, bucket, plain=plain)
+    # One strategy for every scan below: runs and rises are subsets of a key's rows.
+    plain, width = _strategy(df, [key], ts, bucket)
+    bcol = _bucket(ts, width)
+    d = previous_value(df.select(key, ts, value), key, ts, value, plain=plain, bucket_col=bcol)
     d = d.withColumn("_o", epoch_us(ts))
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
     d = d.withColumn("_reset", reset.cast("int")).withColumn(
         "_rise", (~reset) & (F.col(value) > F.col("prev")))
-    d = scan(d, "_reset", ["_o"], time_bucket(ts, bucket), "_run", (key,), True, "sum", plain)
+    d = scan(d, "_reset", ["_o"], bcol, "_run", (key,), True, "sum", plain)
     # Time of the next reset of the same key (the end of this row's run).
     d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
-    d = lead_scan(d, "_reset_at", ["_o"], time_bucket(ts, bucket), "_next_reset", (key,), plain)
+    d = lead_scan(d, "_reset_at", ["_o"], bcol, "_next_reset", (key,), plain)
     rises = materialize(d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o",
                                                   "_next_reset"))
     ids = ["_k", "_run", "_o"]
-    levels = [materialize(_successors(rises, iv, bucket_us, plain))]
+    levels = [materialize(_successors(rises, iv, width, plain))]
     while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
         nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
@@ -174,15 +192,16 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
 
 
 def count_with_timeout(df: DataFrame, key: str, ts: str, timeout: str,
-                       bucket: str = "1 day") -> DataFrame:
+                       bucket: str | None = None) -> DataFrame:
     """O-P4: running count per key; emitted with the key when ``timeout``
     passes after a row with no newer row of that key (or at end of input).
     The count is not reset."""
-    plain = small_groups(df, [key])
+    plain, width = _strategy(df, [key], ts, bucket)
+    bcol = _bucket(ts, width)
     d = df.select(key, ts).withColumn("_o", epoch_us(ts)).withColumn("_one", F.lit(1))
-    d = scan(d, "_one", ["_o"], time_bucket(ts, bucket), "cnt", (key,), True, "sum", plain)
+    d = scan(d, "_one", ["_o"], bcol, "cnt", (key,), True, "sum", plain)
     d = d.withColumn("_t", F.col("_o"))
-    d = lead_scan(d, "_t", ["_o"], time_bucket(ts, bucket), "_next", (key,), plain)
+    d = lead_scan(d, "_t", ["_o"], bcol, "_next", (key,), plain)
     to_us = _ms(timeout) * 1000
     emit = F.col("_next").isNull() | ((F.col("_next") - F.col("_o")) > F.lit(to_us))
     return d.filter(emit).select(

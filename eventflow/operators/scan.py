@@ -47,6 +47,38 @@ def largest_group(df: DataFrame, keys) -> int:
     return int(r or 0)
 
 
+BUCKET_ROWS_CONF = "eventflow.scan.bucketRows"
+DEFAULT_BUCKET_ROWS = 1_000_000
+
+
+def time_buckets(df: DataFrame, keys, t_us: Column) -> tuple:
+    """Strategy for a scan ordered by time ``t_us`` (epoch microseconds).
+
+    One aggregate gives the largest group and the time span. Returns
+    ``(True, None)`` when every group fits the single-window fast path, else
+    ``(False, width_us)`` with a bucket width chosen so that the largest group
+    gets about ``eventflow.scan.bucketRows`` rows per bucket: the width follows
+    the data volume, so a key holding a third of all rows is cut into many
+    buckets instead of a fixed number of days."""
+    keys = list(keys)
+    spark = df.sparkSession
+    limit = plain_max_rows(spark)
+    target = int(spark.conf.get(BUCKET_ROWS_CONF, str(DEFAULT_BUCKET_ROWS)))
+    d = df.select(*keys, t_us.alias("_t"))
+    if keys:
+        d = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                                 F.max("_t").alias("_hi"))
+        row = d.agg(F.max("_n"), F.min("_lo"), F.max("_hi")).first()
+    else:
+        row = d.agg(F.count(F.lit(1)), F.min("_t"), F.max("_t")).first()
+    n, lo, hi = int(row[0] or 0), row[1], row[2]
+    if limit > 0 and n <= limit:
+        return True, None
+    if n == 0 or lo is None:
+        return False, 1
+    return False, max(1, -(-(int(hi) - int(lo) + 1) * max(target, 1) // n))
+
+
 def small_groups(df: DataFrame, keys) -> bool:
     """True when every group fits the fast path (one checked aggregate)."""
     limit = plain_max_rows(df.sparkSession)

@@ -178,7 +178,7 @@ def j1_asof_alert(spark, sf):
         "ts", F.when(F.col("value") > 50, "High").otherwise("Low").alias("level"))
     readings = sensors(ev.filter(F.col("event_type") != "error")).filter(
         F.col("temperature") > HIGH_TEMP)
-    d = J.asof_join(readings, smoke, "ts", ["level"], bucket=TUMBLE)
+    d = J.asof_join(readings, smoke, "ts", ["level"])
     return (d.filter(F.coalesce("level", F.lit("Low")) == "High")
              .select("event_id", "id", "ts", "temperature",
                      F.concat(F.lit(FIRE_ALERT),
@@ -203,10 +203,12 @@ def j2_threshold_alert(spark, sf):
         F.when(F.pmod("event_id", F.lit(4)) == 0, F.lit(0.0)).otherwise(F.col("value"))
         .alias("threshold"))
     readings = sensors(ev.filter(F.col("event_type") != "signup"))
-    plain = small_groups(ev.select(F.col("user_id").alias("id")), ["id"])
-    readings = K.previous_value(readings, "id", "ts", "temperature", TUMBLE, out="last_temp",
-                                plain=plain)
-    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), bucket=TUMBLE, plain=plain)
+    # One strategy from the base events serves both scans (readings and
+    # thresholds are subsets of the same keyed rows).
+    plain, width = K._strategy(ev.select(F.col("user_id").alias("id"), "ts"), ["id"], "ts", None)
+    readings = K.previous_value(readings, "id", "ts", "temperature", out="last_temp",
+                                plain=plain, bucket_col=K._bucket("ts", width))
+    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), plain=plain, bucket_us=width)
     diff = F.abs(F.col("temperature") - F.coalesce("last_temp", F.lit(0.0)))
     return (d.filter(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0)
                      & (diff > F.col("threshold")))
@@ -228,7 +230,7 @@ def j3_interval_forward(spark, sf):
         F.timestamp_micros(T.epoch_us("ts") + F.round(F.col("value") * 3.6e9).cast("bigint"))
         .cast("timestamp_ntz").alias("until"))
     readings = sensors(ev.filter(F.col("event_type") == "purchase"))
-    return J.interval_semi_join(readings, sw, ["id"], "ts", "until", bucket=TUMBLE)
+    return J.interval_semi_join(readings, sw, ["id"], "ts", "until")
 
 
 @register("j4_lookup_enrich", f"""

@@ -29,11 +29,15 @@ def tmp(tmp_path):
 def scan_mode(request, spark):
     """Run a test with the block scan forced (limit 0) and with the
     size-checked single-window fast path."""
-    key = "eventflow.scan.plainMaxRows"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "0" if request.param == "blocks" else "1000000")
+    conf = {"eventflow.scan.plainMaxRows": "0" if request.param == "blocks" else "1000000",
+            # many small time buckets, so carries across buckets are exercised
+            "eventflow.scan.bucketRows": "16" if request.param == "blocks" else "1000000"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     yield request.param
-    if old is None:
-        spark.conf.unset(key)
-    else:
-        spark.conf.set(key, old)
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
