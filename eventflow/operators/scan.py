@@ -193,13 +193,6 @@ def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
                 .drop("_bkt", "_in", "_carry"))
 
 
-def last_value_at_or_before(df: DataFrame, value: str, order: list, bucket: Column,
-                            out: str, keys: tuple = (), inclusive: bool = True,
-                            plain: bool | None = None) -> DataFrame:
-    """The last non-null ``value`` at or before each row (as-of lookup)."""
-    return scan(df, value, order, bucket, out, keys, inclusive, "last", plain)
-
-
 def lag_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
              keys: tuple = (), plain: bool | None = None) -> DataFrame:
     """``lag(value)`` per key for a never-null ``value`` (previous row's value),

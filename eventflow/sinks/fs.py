@@ -58,10 +58,3 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
-
-
-def list_names(spark: SparkSession, path: str) -> list:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p))
