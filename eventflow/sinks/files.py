@@ -64,7 +64,7 @@ class WriteAheadSink:
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
     def last_committed(self) -> int:
-        txt = fs.read_text(self.spark, f"{self.root}/_commits")
+        txt = fs.read_latest(self.spark, f"{self.root}/_commits")
         return -1 if txt is None else int(json.loads(txt)["batch_id"])
 
     def is_committed(self, batch_id: int) -> bool:
@@ -74,8 +74,8 @@ class WriteAheadSink:
         if self.is_committed(batch_id):
             return False
         df.write.mode("overwrite").format(self.fmt).save(f"{self.root}/data/batch={batch_id}")
-        fs.write_text_atomic(self.spark, f"{self.root}/_commits",
-                             json.dumps({"batch_id": batch_id}))
+        fs.write_record(self.spark, f"{self.root}/_commits", batch_id,
+                        json.dumps({"batch_id": batch_id}))
         return True
 
     def read(self) -> DataFrame:

@@ -1,11 +1,20 @@
-"""Small commit records on the cluster file system (Hadoop FileSystem API),
-so ledgers and version pointers live in the shared checkpoint folder rather
-than on one machine's disk. Rename is the atomic publish step."""
+"""Commit logs on the cluster file system (Hadoop FileSystem API).
+
+Ledgers and version pointers live in the shared checkpoint folder, not on one
+machine's disk. A log is a directory of immutable records named by sequence
+number. A record is written to a temporary name and renamed to its final name,
+which is new, so there is never a moment without a valid latest record. Readers
+take the highest record; old records are pruned only after a newer one exists.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
+_RECORD = re.compile(r"^(\d{20})\.json$")
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -13,48 +22,47 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
+def _read(spark: SparkSession, fs, p) -> str:
     stream = fs.open(p)
     try:
-        jvm = spark.sparkContext._jvm
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write ``text`` to ``path.tmp`` then rename over ``path``."""
-    fs, p = _fs(spark, path)
+def read_latest(spark: SparkSession, log_dir: str) -> str | None:
+    """Text of the highest-numbered record in ``log_dir`` (None if empty)."""
+    fs, d = _fs(spark, log_dir)
+    if not fs.exists(d):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(d)]
+    seqs = sorted(n for n in names if _RECORD.match(n))
+    if not seqs:
+        return None
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    return _read(spark, fs, jvm.org.apache.hadoop.fs.Path(log_dir.rstrip("/") + "/" + seqs[-1]))
+
+
+def write_record(spark: SparkSession, log_dir: str, seq: int, text: str, keep: int = 10) -> None:
+    """Publish record ``seq`` (idempotent: an existing record is kept)."""
+    fs, d = _fs(spark, log_dir)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(d)
+    name = f"{seq:020d}.json"
+    final = jvm.org.apache.hadoop.fs.Path(log_dir.rstrip("/") + "/" + name)
+    if fs.exists(final):
+        return
+    tmp = jvm.org.apache.hadoop.fs.Path(log_dir.rstrip("/") + "/." + name + ".tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, s = _fs(spark, src)
-    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
-    if not fs.exists(s):
-        return False
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        if not fs.exists(final):
+            raise IOError(f"could not publish {final}")
+    old = sorted(s.getPath().getName() for s in fs.listStatus(d)
+                 if _RECORD.match(s.getPath().getName()))[:-keep]
+    for n in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(log_dir.rstrip("/") + "/" + n), False)

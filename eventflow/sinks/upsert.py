@@ -4,9 +4,9 @@ A micro-batch (or a bounded table of updates) is reduced to one row per key
 with ``max_by(row, order)`` - a partial+final aggregation, so a hot key costs one
 row per map task - then merged into the keyed table: rows of keys that were
 not updated are kept (left anti join), updated keys take the new row. The
-merged table is written to a new version directory, and a small pointer file is
-swapped afterwards, so a replayed batch produces the same table (idempotent) and
-readers never see a half-written version.
+merged table is written to a new version directory, and a record naming it is
+appended to a version log afterwards, so a replayed batch produces the same
+table (idempotent) and readers never see a half-written version.
 """
 
 from __future__ import annotations
@@ -39,16 +39,16 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list,
 class VersionedKeyedTable:
     """A keyed table stored as immutable parquet versions under ``root``.
 
-    ``CURRENT`` names the live version and the last batch id merged into it;
-    ``upsert(batch_df, batch_id)`` skips batch ids that were already merged,
-    so replays after a failure do not change the result.
+    The version log ``_versions`` (one immutable record per batch id) names
+    the live version; ``upsert(batch_df, batch_id)`` skips batch ids that were
+    already merged, so replays after a failure do not change the result.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: list, order: list):
         self.spark, self.root, self.key, self.order = spark, root.rstrip("/"), key, order
 
     def _pointer(self) -> dict | None:
-        txt = fs.read_text(self.spark, f"{self.root}/CURRENT")
+        txt = fs.read_latest(self.spark, f"{self.root}/_versions")
         return None if txt is None else json.loads(txt)
 
     def read(self) -> DataFrame | None:
@@ -62,8 +62,8 @@ class VersionedKeyedTable:
         merged = merge_latest(self.read(), updates, self.key, self.order)
         path = f"{self.root}/v{batch_id:012d}"
         merged.write.mode("overwrite").parquet(path)
-        fs.write_text_atomic(self.spark, f"{self.root}/CURRENT",
-                             json.dumps({"path": path, "batch_id": batch_id}))
+        fs.write_record(self.spark, f"{self.root}/_versions", batch_id,
+                        json.dumps({"path": path, "batch_id": batch_id}))
 
     def foreach_batch(self):
         """``writeStream.foreachBatch(table.foreach_batch())``."""

@@ -30,7 +30,7 @@ class LateSplitter:
         self.fmt = fmt
 
     def _ledger(self) -> dict:
-        txt = fs.read_text(self.spark, f"{self.root}/_ledger")
+        txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
         return json.loads(txt) if txt else {"batch_id": -1, "max_us": None}
 
     def split(self, df: DataFrame, carry_max_us: int | None) -> tuple:
@@ -55,8 +55,8 @@ class LateSplitter:
         bmax = df.agg(F.max(epoch_us(self.ts))).first()[0]
         new_max = max(x for x in (ledger["max_us"], bmax) if x is not None) if (
             ledger["max_us"] is not None or bmax is not None) else None
-        fs.write_text_atomic(self.spark, f"{self.root}/_ledger",
-                             json.dumps({"batch_id": batch_id, "max_us": new_max}))
+        fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
+                        json.dumps({"batch_id": batch_id, "max_us": new_max}))
         df.unpersist()
 
     def read(self, which: str) -> DataFrame:

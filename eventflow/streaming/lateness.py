@@ -39,7 +39,7 @@ class LatenessWindowCounter:
         self.block = block
 
     def _ledger(self) -> dict:
-        txt = fs.read_text(self.spark, f"{self.root}/_ledger")
+        txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
         return json.loads(txt) if txt else {"batch_id": -1, "max_us": None, "state": None}
 
     def _state(self, ledger) -> DataFrame | None:
@@ -108,8 +108,8 @@ class LatenessWindowCounter:
                            .filter(~closed))
         state_path = f"{self.root}/state/v{batch_id:012d}"
         new_state.write.mode("overwrite").parquet(state_path)
-        fs.write_text_atomic(self.spark, f"{self.root}/_ledger",
-                             json.dumps({"batch_id": batch_id, "max_us": new_max,
+        fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
+                        json.dumps({"batch_id": batch_id, "max_us": new_max,
                                          "state": state_path}))
         merged.unpersist()
         d.unpersist()

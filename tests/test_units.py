@@ -320,3 +320,15 @@ def test_jvm_split_matches_java_model(spark):
     got = {r.i: r.p for r in df.select("i", TK.jvm_split("s", r"\s").alias("p")).collect()}
     for i, s in enumerate(samples):
         assert got[i] == _java_split(s, r"\s"), repr(s)
+
+
+def test_commit_log_latest_idempotent_and_pruned(spark, tmp):
+    import os
+    from eventflow.sinks import fs
+    log = f"{tmp}/log"
+    assert fs.read_latest(spark, log) is None
+    for i in range(13):
+        fs.write_record(spark, log, i, f'{{"batch_id": {i}}}', keep=5)
+    fs.write_record(spark, log, 12, '{"batch_id": "replayed"}', keep=5)   # existing: kept
+    assert fs.read_latest(spark, log) == '{"batch_id": 12}'
+    assert len([n for n in os.listdir(log) if n.endswith(".json")]) == 5
