@@ -21,12 +21,8 @@ def arrival_block(order: str, block: int = 1 << 14) -> Column:
     return F.floor(F.col(order) / F.lit(block))
 
 
-def time_bucket(ts: str, width: str) -> Column:
-    return F.floor(epoch_us(ts) / F.lit(_ms(width) * 1000))
-
-
-def _strategy(df: DataFrame, keys: list, ts: str, bucket: str | None,
-              plain: bool | None = None) -> tuple:
+def time_scan_strategy(df: DataFrame, keys: list, ts: str, bucket: str | None,
+                       plain: bool | None = None) -> tuple:
     """(plain, bucket width in us) for a per-key scan in ``ts`` order: a fixed
     ``bucket`` width when given, else a width sized from the data."""
     if bucket is not None:
@@ -35,7 +31,7 @@ def _strategy(df: DataFrame, keys: list, ts: str, bucket: str | None,
     return (p if plain is None else plain), (width or 1)
 
 
-def _bucket(ts: str, width_us: int) -> Column:
+def time_bucket_col(ts: str, width_us: int) -> Column:
     return F.floor(epoch_us(ts) / F.lit(width_us))
 
 
@@ -84,8 +80,8 @@ def previous_value(df: DataFrame, key: str, ts: str, value: str, bucket: str | N
                    plain: bool | None = None, bucket_col: Column | None = None) -> DataFrame:
     """``lag`` of ``value`` (and optionally of ``ts``) per key in ``ts`` order."""
     if bucket_col is None:
-        plain, width = _strategy(df, [key], ts, bucket, plain)
-        bucket_col = _bucket(ts, width)
+        plain, width = time_scan_strategy(df, [key], ts, bucket, plain)
+        bucket_col = time_bucket_col(ts, width)
     d = df.withColumn("_o", epoch_us(ts))
     if out_ts:
         d = d.withColumn("_pv", F.struct(F.col(value).alias("v"), F.col("_o").alias("t")))
@@ -157,8 +153,8 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     """
     iv = _ms(interval) * 1000
     # One strategy for every scan below: runs and rises are subsets of a key's rows.
-    plain, width = _strategy(df, [key], ts, bucket)
-    bcol = _bucket(ts, width)
+    plain, width = time_scan_strategy(df, [key], ts, bucket)
+    bcol = time_bucket_col(ts, width)
     d = previous_value(df.select(key, ts, value), key, ts, value, plain=plain, bucket_col=bcol)
     d = d.withColumn("_o", epoch_us(ts))
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
@@ -196,8 +192,8 @@ def count_with_timeout(df: DataFrame, key: str, ts: str, timeout: str,
     """O-P4: running count per key; emitted with the key when ``timeout``
     passes after a row with no newer row of that key (or at end of input).
     The count is not reset."""
-    plain, width = _strategy(df, [key], ts, bucket)
-    bcol = _bucket(ts, width)
+    plain, width = time_scan_strategy(df, [key], ts, bucket)
+    bcol = time_bucket_col(ts, width)
     d = df.select(key, ts).withColumn("_o", epoch_us(ts)).withColumn("_one", F.lit(1))
     d = scan(d, "_one", ["_o"], bcol, "cnt", (key,), True, "sum", plain)
     d = d.withColumn("_t", F.col("_o"))

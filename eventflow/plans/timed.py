@@ -205,9 +205,10 @@ def j2_threshold_alert(spark, sf):
     readings = sensors(ev.filter(F.col("event_type") != "signup"))
     # One strategy from the base events serves both scans (readings and
     # thresholds are subsets of the same keyed rows).
-    plain, width = K._strategy(ev.select(F.col("user_id").alias("id"), "ts"), ["id"], "ts", None)
+    plain, width = K.time_scan_strategy(ev.select(F.col("user_id").alias("id"), "ts"), ["id"],
+                                        "ts", None)
     readings = K.previous_value(readings, "id", "ts", "temperature", out="last_temp",
-                                plain=plain, bucket_col=K._bucket("ts", width))
+                                plain=plain, bucket_col=K.time_bucket_col("ts", width))
     d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), plain=plain, bucket_us=width)
     diff = F.abs(F.col("temperature") - F.coalesce("last_temp", F.lit(0.0)))
     return (d.filter(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0)
