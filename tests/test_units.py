@@ -332,3 +332,27 @@ def test_commit_log_latest_idempotent_and_pruned(spark, tmp):
     fs.write_record(spark, log, 12, '{"batch_id": "replayed"}', keep=5)   # existing: kept
     assert fs.read_latest(spark, log) == '{"batch_id": 12}'
     assert len([n for n in os.listdir(log) if n.endswith(".json")]) == 5
+
+
+def test_edge_cases_empty_controls_and_tick_boundaries(spark, scan_mode):
+    rd = spark.createDataFrame([(1, 0), (1, 60), (2, 120)], "id long, t long").withColumn(
+        "ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    none = spark.createDataFrame([], "id long, ts timestamp_ntz, level string")
+    out = J.asof_join(rd, none, "ts", ["level"], keys=("id",))
+    assert sorted((r.id, r.t, r.level) for r in out.collect()) == [(1, 0, None), (1, 60, None), (2, 120, None)]
+    sw = spark.createDataFrame([], "id long, ts timestamp_ntz, until timestamp_ntz")
+    assert J.interval_semi_join(rd, sw, ["id"], "ts", "until").count() == 0
+    # rows exactly on tick boundaries count at that tick (ts <= tick)
+    ticks = spark.createDataFrame([(1, 600), (1, 1200), (1, 1201)], "k long, t long").withColumn(
+        "ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    got = sorted((int(pd.Timestamp(r.eval_time).value // 10**9), r.cnt) for r in
+                 W.early_firing_counts(ticks, ["k"], "ts", "1 hour", "10 minutes").collect())
+    assert got == [(1200, 2), (1800, 3), (2400, 3), (3000, 3), (3599, 3)]
+
+
+def test_scan_last_with_leading_nulls(spark, scan_mode):
+    df = spark.createDataFrame([(1, 0, None), (1, 1, None), (1, 2, 5.0), (1, 3, None), (2, 0, None)],
+                               "k long, o long, v double")
+    out = scan(df, "v", ["o"], F.floor(F.col("o") / 2), "lv", ("k",), True, "last")
+    assert sorted((r.k, r.o, r.lv) for r in out.collect()) == [
+        (1, 0, None), (1, 1, None), (1, 2, 5.0), (1, 3, 5.0), (2, 0, None)]
