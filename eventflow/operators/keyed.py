@@ -165,21 +165,21 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
     d = lead_scan(d, "_reset_at", ["_o"], bcol, "_next_reset", (key,), plain)
     rises = materialize(d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o",
-                                                  "_next_reset"))
+                                                  "_next_reset"), keep_partitioning=False)
     ids = ["_k", "_run", "_o"]
-    levels = [materialize(_successors(rises, iv, width, plain))]
+    levels = [materialize(_successors(rises, iv, width, plain), keep_partitioning=False)]
     while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
         nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
                       & (F.col("a._j") == F.col("b._o")), "left")
                 .select(F.col("a._k").alias("_k"), F.col("a._run").alias("_run"),
                         F.col("a._o").alias("_o"), F.col("b._j").alias("_j")))
-        levels.append(materialize(nxt))
+        levels.append(materialize(nxt, keep_partitioning=False))
     chain = rises.groupBy("_k", "_run").agg(F.min("_o").alias("_o"))
     for lvl in reversed(levels[:-1]):
         step = (chain.join(lvl, ids, "inner").filter(F.col("_j").isNotNull())
                      .select("_k", "_run", F.col("_j").alias("_o")))
-        chain = materialize(chain.unionByName(step))
+        chain = materialize(chain.unionByName(step), keep_partitioning=False)
     fired = (chain.join(rises, ids, "inner")
                   .withColumn("_fire", F.col("_o") + F.lit(iv))
                   .filter(F.col("_next_reset").isNull() | (F.col("_next_reset") >= F.col("_fire"))))

@@ -76,13 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint into the checkpoint root.
+def materialize(df, keep_partitioning: bool = True):
+    """Cut lineage into the shared checkpoint root.
 
-    The plan is persisted first: an eager ``checkpoint()`` of an unpersisted
-    plan computes it twice (once for the job, once to write the files)."""
+    ``keep_partitioning``: a reliable ``checkpoint()``, which keeps the plan's
+    output partitioning for later joins (the plan is persisted first: an eager
+    checkpoint of an unpersisted plan computes it twice). Otherwise the rows
+    are written once as a parquet table there and read back - one job."""
     from pyspark import StorageLevel
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
+    if not keep_partitioning:
+        path = scratch_path(spark, "table")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    checkpoint_root(spark)
     df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     out = df.checkpoint(eager=True)
     df.unpersist()
