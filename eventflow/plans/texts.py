@@ -12,6 +12,7 @@ from eventflow.operators import eventtime as T
 from eventflow.operators import windows as W
 from eventflow.plans.common import (EVENT_JSON_SQL, ROOM_JSON_SQL, TUMBLE, event_json, events,
                                     r6, room_json, sensors, table)
+from eventflow.sources.tables import text_table
 from eventflow.plans.registry import register
 from eventflow.plans.windowed import _HOT_ITEMS_SQL, e2_hot_items
 from eventflow.session import scratch_path
@@ -35,7 +36,7 @@ STOPWORD_WINDOW = "10 seconds"
 def s3_text_lines(spark, sf):
     """O-S3: text-line source over files written from ``documents.text``."""
     path = scratch_path(spark, "s3-text")
-    table(spark, sf, "documents").select("text").write.text(path)
+    text_table(spark, sf, "documents").select("text").write.text(path)
     return S.text_lines(spark, path)
 
 
@@ -145,7 +146,7 @@ SELECT doc_id, word FROM (
 WHERE word <> ''""")
 def r5_word_tokens(spark, sf):
     """O-R5: lower-case ``\\W+`` tokens of whole documents."""
-    return TK.word_tokens(table(spark, sf, "documents"), "text", keep=("doc_id",))
+    return TK.word_tokens(text_table(spark, sf, "documents"), "text", keep=("doc_id",))
 
 
 @register("r6_stopword_tokens", """
@@ -154,7 +155,7 @@ SELECT conv_id, turn, lower(w) AS word FROM (
 WHERE w <> '' AND lower(w) NOT IN ('a', 'an', 'the')""")
 def r6_stopword_tokens(spark, sf):
     """O-R6: space tokens, lower-cased, stop words removed."""
-    return TK.stopword_tokens(table(spark, sf, "conversations"), "text", keep=("conv_id", "turn"))
+    return TK.stopword_tokens(text_table(spark, sf, "conversations"), "text", keep=("conv_id", "turn"))
 
 
 _WS_TOKENS_SQL = r"""
@@ -170,7 +171,7 @@ toks AS (SELECT {keys}, unnest(CASE WHEN line = '' THEN [''::VARCHAR]
 def r7_whitespace_tokens(spark, sf):
     """O-R7: lines split on a single ``\\s``, interior empty tokens kept,
     trailing empties dropped (JVM split semantics)."""
-    return TK.whitespace_tokens(table(spark, sf, "conversations"), "text", keep=("conv_id", "turn"))
+    return TK.whitespace_tokens(text_table(spark, sf, "conversations"), "text", keep=("conv_id", "turn"))
 
 
 @register("r8_point_chain", """
@@ -254,7 +255,7 @@ SELECT word, count(*) AS cnt FROM (
 WHERE word <> '' GROUP BY word""")
 def e4_word_count(spark, sf):
     """O-E4: batch word count over whole documents."""
-    toks = TK.word_tokens(table(spark, sf, "documents"), "text")
+    toks = TK.word_tokens(text_table(spark, sf, "documents"), "text")
     return toks.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -276,7 +277,7 @@ FROM toks, range(5) t(i) GROUP BY ALL""")
 def e5_sliding_word_count(spark, sf):
     """O-E5: sliding (5 s / 1 s) word count on a text stream; documents
     arrive one per second (arrival clock = doc_id seconds)."""
-    docs = table(spark, sf, "documents").select(
+    docs = text_table(spark, sf, "documents").select(
         F.timestamp_seconds("doc_id").cast("timestamp_ntz").alias("at"), "text")
     toks = TK.whitespace_tokens(docs, "text", keep=("at",))
     return W.sliding_agg(toks, "at", WORD_SLIDE_SIZE, WORD_SLIDE_STEP, ["word"], {}, "cnt").drop(
@@ -291,7 +292,7 @@ WHERE w <> '' AND lower(w) NOT IN ('a', 'an', 'the') GROUP BY ALL""")
 def e6_stopword_count(spark, sf):
     """O-E6: stop-word-filtered tumbling (10 s) word count; one conversation
     arrives per second (arrival clock = conv_id seconds)."""
-    conv = table(spark, sf, "conversations").select(
+    conv = text_table(spark, sf, "conversations").select(
         F.timestamp_seconds("conv_id").cast("timestamp_ntz").alias("at"), "text")
     toks = TK.stopword_tokens(conv, "text", keep=("at",))
     w = F.window("at", STOPWORD_WINDOW)
