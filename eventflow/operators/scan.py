@@ -16,7 +16,7 @@ prefix in step 3 is itself done in two levels (blocks of blocks). For time
 buckets the number of summaries is bounded by time span / bucket width.
 
 Size-checked fast path: when the largest group (rows per key, or all rows
-when there is no key) is at most ``eventflow.scan.plainMaxRows`` (default
+when there is no key) is at most ``spark.eventflow.scan.plainMaxRows`` (default
 1,000,000 - a sort one task does in about a second), a single window does
 the scan. The bound is checked with one aggregate over the key columns, like a
 broadcast size check; beyond it the block scan runs. Set the option to 0 to
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 UNB = Window.unboundedPreceding
 
-PLAIN_MAX_ROWS_CONF = "eventflow.scan.plainMaxRows"
+PLAIN_MAX_ROWS_CONF = "spark.eventflow.scan.plainMaxRows"
 DEFAULT_PLAIN_MAX_ROWS = 1_000_000
 
 
@@ -47,7 +47,7 @@ def largest_group(df: DataFrame, keys) -> int:
     return int(r or 0)
 
 
-BUCKET_ROWS_CONF = "eventflow.scan.bucketRows"
+BUCKET_ROWS_CONF = "spark.eventflow.scan.bucketRows"
 DEFAULT_BUCKET_ROWS = 1_000_000
 
 
@@ -57,7 +57,7 @@ def time_buckets(df: DataFrame, keys, t_us: Column) -> tuple:
     One aggregate gives the largest group and the time span. Returns
     ``(True, None)`` when every group fits the single-window fast path, else
     ``(False, width_us)`` with a bucket width chosen so that the largest group
-    gets about ``eventflow.scan.bucketRows`` rows per bucket: the width follows
+    gets about ``spark.eventflow.scan.bucketRows`` rows per bucket: the width follows
     the data volume, so a key holding a third of all rows is cut into many
     buckets instead of a fixed number of days."""
     keys = list(keys)

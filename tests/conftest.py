@@ -29,9 +29,9 @@ def tmp(tmp_path):
 def scan_mode(request, spark):
     """Run a test with the block scan forced (limit 0) and with the
     size-checked single-window fast path."""
-    conf = {"eventflow.scan.plainMaxRows": "0" if request.param == "blocks" else "1000000",
+    conf = {"spark.eventflow.scan.plainMaxRows": "0" if request.param == "blocks" else "1000000",
             # many small time buckets, so carries across buckets are exercised
-            "eventflow.scan.bucketRows": "16" if request.param == "blocks" else "1000000"}
+            "spark.eventflow.scan.bucketRows": "16" if request.param == "blocks" else "1000000"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)

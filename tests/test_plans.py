@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 @pytest.fixture()
 def static_plans(spark):
     keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "eventflow.scan.plainMaxRows": "0"}
+            "spark.eventflow.scan.plainMaxRows": "0"}
     old = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
