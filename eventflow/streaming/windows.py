@@ -54,7 +54,10 @@ class EarlyFiringProcessor(StatefulProcessor):
         if self.state.exists():
             cnt, end, tick = self.state.get()
         else:
-            cnt, end, tick = 0, int(key[1].timestamp() * 1000) + self.size_ms, -1
+            # window start as epoch ms; naive timestamps are UTC (session zone)
+            start = pd.Timestamp(key[1])
+            start = start.tz_convert("UTC") if start.tzinfo else start.tz_localize("UTC")
+            cnt, end, tick = 0, int(start.value // 1_000_000) + self.size_ms, -1
             wm = max(timerValues.getCurrentWatermarkInMs(), 0)
             nxt = wm + (self.tick_ms - wm % self.tick_ms)
             if nxt < end - 1:
