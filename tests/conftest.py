@@ -1,9 +1,15 @@
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
+# collect() renders timestamps in the Python process's zone; pin it to the
+# session zone (UTC) so comparisons do not depend on the machine.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_SMALL = "/root/testdata/sf0.001"
