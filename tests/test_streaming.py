@@ -443,3 +443,25 @@ def test_text_stream_word_counts(spark, tmp):
     lines_b = conv.select(F.explode(F.split("text", "\\n")).alias("value"))
     want = {r.word: r["count"] for r in TK.stopword_tokens(lines_b, "value").groupBy("word").count().collect()}
     assert got == want and len(got) > 0
+
+
+def test_decode_json_records_from_a_kafka_shaped_stream(spark, tmp):
+    """O-S5/O-S6: (key, value, timestamp) records, as a Kafka source yields
+    them, replayed from files and decoded on the stream."""
+    from eventflow.plans.common import event_json
+    from eventflow.sources.decode import decode_event
+    from __spark_entry__ import queries
+    raw = event_json(events(spark, SF_SMALL)).select(
+        F.col("event_id").cast("string").alias("key"), F.col("raw").alias("value"),
+        F.current_timestamp().alias("timestamp"), "event_id")
+    SJ.write_replay_files(raw, f"{tmp}/kafka", "event_id", 3)
+    s = SJ.replay_stream(spark, f"{tmp}/kafka", raw.schema)
+    out = decode_event(s.withColumn("event_id", F.col("key").cast("long")), "value",
+                       keep=("event_id",))
+    q = (out.writeStream.format("memory").queryName("kdec").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    _run(q)
+    got = sorted(tuple(r) for r in spark.sql("select event_id, id, name, tm from kdec").collect())
+    want = sorted(tuple(r) for r in queries()["s6_decode_event"](spark, SF_SMALL)
+                  .select("event_id", "id", "name", "tm").collect())
+    assert got == want and len(got) == 1000
