@@ -465,3 +465,21 @@ def test_decode_json_records_from_a_kafka_shaped_stream(spark, tmp):
     want = sorted(tuple(r) for r in queries()["s6_decode_event"](spark, SF_SMALL)
                   .select("event_id", "id", "name", "tm").collect())
     assert got == want and len(got) == 1000
+
+
+def test_global_window_average_into_exactly_once_sink(spark, replay, tmp):
+    """O-E14 stream form: watermark -> global 1 day window average -> ISO end
+    -> exactly-once file sink; equal to the batch job on closed windows."""
+    from eventflow.functions.scalar import iso_local
+    from __spark_entry__ import queries
+    path, schema = replay
+    s = SJ.replay_stream(spark, path, schema).withWatermark("ts", "0 seconds")
+    w = F.window("ts", "1 day")
+    avg = (s.groupBy(w.alias("w")).agg(F.round(F.avg("temperature"), 6).alias("avg_temp"))
+            .select(iso_local(F.col("w.end").cast("timestamp_ntz")).alias("window_end"), "avg_temp"))
+    _run(SJ.exactly_once_file_sink(avg, f"{tmp}/out", f"{tmp}/ck"))
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/out").collect())
+    last = events(spark, SF_SMALL).agg(F.max("ts")).first()[0]
+    want = sorted(tuple(r) for r in queries()["e14_global_avg"](spark, SF_SMALL).collect()
+                  if pd.Timestamp(r.window_end) <= pd.Timestamp(last))
+    assert got == want and len(got) > 0
