@@ -17,7 +17,7 @@ from eventflow.streaming import jobs as SJ
 from eventflow.streaming.late import LateSplitter
 from eventflow.streaming.processors import (ALERT_SCHEMA, COUNT_SCHEMA, CountWithTimeoutProcessor,
                                             DeltaAlertProcessor, apply_processor)
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -483,3 +483,50 @@ def test_global_window_average_into_exactly_once_sink(spark, replay, tmp):
     want = sorted(tuple(r) for r in queries()["e14_global_avg"](spark, SF_SMALL).collect()
                   if pd.Timestamp(r.window_end) <= pd.Timestamp(last))
     assert got == want and len(got) > 0
+
+
+def test_json_jobs_on_a_stream(spark, tmp):
+    """O-E7 / O-E8 stream forms: decoded records -> windows in append mode ->
+    JSON documents (search-index sink) and key/value records (Kafka shape).
+    Runs on sf0.01: at sf0.001 no user id passes the mean job's ``id > 20``."""
+    from eventflow.functions import tokens as TK
+    from eventflow.functions.scalar import from_epoch_ms, json_dynamic_key
+    from eventflow.plans.common import event_json
+    from eventflow.sinks.files import JsonDocumentSink, kafka_records
+    from eventflow.sources.decode import decode_event
+    from __spark_entry__ import queries
+    raw = event_json(events(spark, SF_CHECK))
+    SJ.write_replay_files(raw, f"{tmp}/src", "event_id", 3)
+    d = decode_event(SJ.replay_stream(spark, f"{tmp}/src", raw.schema), "raw", keep=("event_id",))
+    d = d.withColumn("t", from_epoch_ms("tm").cast("timestamp")).withWatermark("t", "0 seconds")
+    w = F.window("t", "1 day")
+    # E7: tag counts as JSON documents
+    tags = (d.filter((F.col("id") > 10) & F.col("name").isNotNull())
+             .select("event_id", "tm", "t", F.explode(TK.jvm_split("name", "s")).alias("word"))
+             .groupBy(w.alias("w"), "word")
+             .agg(F.count(F.lit(1)).alias("cnt"), F.min_by("tm", "event_id").alias("first_tm")))
+    docs = tags.select(json_dynamic_key([("count", F.col("cnt")), ("name", F.col("word")),
+                                         ("timestamp", F.col("first_tm"))]).alias("doc"))
+    sink = JsonDocumentSink(f"{tmp}/docs", "event_data", "event")
+    _run(docs.writeStream.foreachBatch(sink.foreach_batch()).option("checkpointLocation", f"{tmp}/ck1")
+         .trigger(availableNow=True).start())
+    got7 = sorted(r.value for r in spark.read.text(f"{tmp}/docs/event_data/event").collect())
+    # E8: integer mean per name as Kafka records
+    mean = (d.filter((F.col("id") > 20) & F.col("name").isNotNull()).groupBy(w.alias("w"), "name")
+             .agg(F.expr("sum(cast(id as bigint)) div count(1)").alias("m"), F.max("tm").alias("mx")))
+    rec = kafka_records(mean.withColumn("doc", json_dynamic_key(
+        [("count", F.col("m")), ("agg", F.lit("result")), ("timestamp", F.col("mx"))])), "doc", "name")
+    _run(rec.writeStream.format("memory").queryName("e8s").option("checkpointLocation", f"{tmp}/ck2")
+         .trigger(availableNow=True).start())
+    got8 = sorted(tuple(r) for r in spark.sql("select key, value from e8s").collect())
+    # batch forms restricted to windows closed by the final watermark
+    last = events(spark, SF_CHECK).agg(F.max("ts")).first()[0]
+    closed = lambda end: pd.Timestamp(end) <= pd.Timestamp(last)
+    want7 = sorted(r.doc for r in queries()["e7_tag_counts"](spark, SF_CHECK).collect() if closed(r.window_end))
+    b8 = queries()["g10_int_mean"](spark, SF_CHECK).collect()
+    keep = {(r.name, r.mean_id, r.max_tm) for r in b8 if closed(r.window_end)}
+    want8 = sorted(tuple(r) for r in queries()["e8_mean_id"](spark, SF_CHECK).collect()
+                   if any(r.key == k and r.value == f'{{"count":{m},"agg":"result","timestamp":{t}}}'
+                          for k, m, t in keep))
+    assert got7 == want7 and len(got7) > 0
+    assert got8 == want8 and len(got8) > 0
