@@ -530,3 +530,35 @@ def test_json_jobs_on_a_stream(spark, tmp):
                           for k, m, t in keep))
     assert got7 == want7 and len(got7) > 0
     assert got8 == want8 and len(got8) > 0
+
+
+def test_sensor_jobs_on_a_stream(spark, replay, tmp):
+    """O-E1 (average per window, Celsius) and O-E13 -> O-P5 (window max kept in
+    a keyed latest-value table) on the replay; equal to the batch jobs on
+    windows the watermark closed."""
+    from eventflow.functions.scalar import fahrenheit_to_celsius
+    from __spark_entry__ import queries
+    path, schema = replay
+    s = SJ.replay_stream(spark, path, schema).withWatermark("ts", "0 seconds")
+    w = F.window("ts", "1 day")
+    e1 = (s.withColumn("c", fahrenheit_to_celsius("temperature")).groupBy("id", w.alias("w"))
+           .agg(F.round(F.avg("c"), 6).alias("avg_celsius"))
+           .select("id", F.col("w.end").cast("timestamp_ntz").alias("ts"), "avg_celsius"))
+    _run(e1.writeStream.format("memory").queryName("e1s").option("checkpointLocation", f"{tmp}/ck1")
+         .trigger(availableNow=True).start())
+    mx = (s.groupBy("id", w.alias("w")).agg(F.max("temperature").alias("max_temp"))
+           .select("id", F.col("w.end").cast("timestamp_ntz").alias("window_end"), "max_temp"))
+    table = VersionedKeyedTable(spark, f"{tmp}/latest", ["id"], ["window_end"])
+    _run(mx.writeStream.foreachBatch(table.foreach_batch()).option("checkpointLocation", f"{tmp}/ck2")
+         .trigger(availableNow=True).start())
+    last = pd.Timestamp(events(spark, SF_SMALL).agg(F.max("ts")).first()[0])
+    got1 = sorted(tuple(r) for r in spark.sql("select id, ts, avg_celsius from e1s").collect())
+    want1 = sorted(tuple(r) for r in queries()["e1_avg_sensor"](spark, SF_SMALL).collect()
+                   if pd.Timestamp(r.ts) <= last)
+    assert got1 == want1 and len(got1) > 0
+    closed = queries()["e13_max_temp_tracker"](spark, SF_SMALL).filter(
+        F.col("window_end") <= F.lit(last.to_pydatetime()))
+    want13 = sorted(tuple(r) for r in latest_per_key(closed, ["id"], ["window_end"])
+                    .select("id", "window_end", "max_temp").collect())
+    got13 = sorted(tuple(r) for r in table.read().select("id", "window_end", "max_temp").collect())
+    assert got13 == want13 and len(got13) > 0
