@@ -112,3 +112,58 @@ def text_word_counts(lines: DataFrame, tokenize, size: str, slide: str | None =
     return (toks.withWatermark("pt", delay).groupBy(w.alias("w"), "word")
             .agg(F.count(F.lit(1)).alias("cnt"))
             .select("word", F.col("w.end").alias("window_end"), "cnt"))
+
+
+DETAIL_SCHEMA = ("code string, size long, first_ts timestamp, ts timestamp, "
+                 "window_start timestamp, window_end timestamp")
+
+
+class RunningDetailProcessor(StatefulProcessor):
+    """O-G13 / O-E11 on a stream, keyed by (key, window start): one output per
+    element with the window's running size, its first element's time and this
+    element's time; state is cleared by an event-time timer at the window end."""
+
+    def __init__(self, size: str, arrival: str):
+        self.size_ms, self.arrival = _ms(size), arrival
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("d", "size long, first long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(self.arrival)
+        start = pd.Timestamp(key[1])
+        start = start.tz_convert("UTC") if start.tzinfo else start.tz_localize("UTC")
+        start_ms = int(start.value // 1_000_000)
+        if self.state.exists():
+            size, first = self.state.get()
+        else:
+            size, first = 0, None
+            self.handle.registerTimer(start_ms + self.size_ms)
+        out = []
+        for ts in pdf["ts"]:
+            t = pd.Timestamp(ts)
+            first = int(t.value // 1000) if first is None else first
+            size += 1
+            out.append((key[0], size, pd.Timestamp(first, unit="us"), t,
+                        pd.Timestamp(start_ms, unit="ms"),
+                        pd.Timestamp(start_ms + self.size_ms, unit="ms")))
+        self.state.update((size, first))
+        yield pd.DataFrame(out, columns=["code", "size", "first_ts", "ts", "window_start",
+                                         "window_end"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame(columns=["code", "size", "first_ts", "ts", "window_start", "window_end"])
+
+    def close(self) -> None:
+        pass
+
+
+def running_detail_stream(stream: DataFrame, key: str, ts: str, size: str, arrival: str,
+                          delay: str = "0 seconds") -> DataFrame:
+    """O-E11 on a stream: per-element running window detail."""
+    d = stream.withColumn("_ws", F.window(ts, size).start).withWatermark(ts, delay)
+    return d.groupBy(key, "_ws").transformWithStateInPandas(
+        statefulProcessor=RunningDetailProcessor(size, arrival), outputStructType=DETAIL_SCHEMA,
+        outputMode="Append", timeMode="EventTime")
