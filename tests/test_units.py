@@ -356,3 +356,26 @@ def test_scan_last_with_leading_nulls(spark, scan_mode):
     out = scan(df, "v", ["o"], F.floor(F.col("o") / 2), "lv", ("k",), True, "last")
     assert sorted((r.k, r.o, r.lv) for r in out.collect()) == [
         (1, 0, None), (1, 1, None), (1, 2, 5.0), (1, 3, 5.0), (2, 0, None)]
+
+
+def test_broadcast_only_behind_the_size_check(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    probe = spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = probe.join(J.maybe_broadcast(small, 100), "k")
+        plain = probe.join(J.maybe_broadcast(big, 100), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_kafka_record_shapes(spark):
+    from eventflow.sinks.files import kafka_records, kafka_sink_options
+    df = spark.createDataFrame([(7, '{"a":1}')], "name long, doc string")
+    assert [tuple(r) for r in kafka_records(df, "doc", "name").collect()] == [("7", '{"a":1}')]
+    assert kafka_records(df, "doc").first().key is None
+    o = kafka_sink_options("h:9092", "results", "/ck")
+    assert o == {"kafka.bootstrap.servers": "h:9092", "topic": "results", "checkpointLocation": "/ck"}
