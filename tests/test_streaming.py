@@ -586,3 +586,34 @@ def test_code_time_detail_stream_equals_batch(spark, tmp):
     want = sorted(norm(tuple(r)) for r in queries()["e11_code_time_detail"](spark, SF_SMALL)
                   .select(*cols).collect())
     assert got == want and len(got) > 0
+
+
+def test_room_min_max_stream_with_own_clock(spark, tmp):
+    """O-E10 stream form: decode -> clamp -> per-row watermark (ts - 5 ms) ->
+    (room, id) 1 h windows -> min/max; equal to the batch job on every window
+    the final watermark passed."""
+    from eventflow.functions.scalar import clamp_future, from_epoch_ms
+    from eventflow.plans.common import room_json
+    from eventflow.plans.texts import MOVE_MS, NOW_MS
+    from eventflow.sources.decode import decode_room_event
+    from eventflow.streaming.lateness import OwnClockWindowAggregate
+    from __spark_entry__ import queries
+    raw = room_json(events(spark, SF_SMALL))
+    SJ.write_replay_files(raw, f"{tmp}/src", "event_id", 3)
+    s = SJ.replay_stream(spark, f"{tmp}/src", raw.schema)
+    d = decode_room_event(s, "raw", keep=("event_id",))
+    d = d.withColumn("tm", clamp_future("tm", F.lit(NOW_MS), MOVE_MS)).withColumn(
+        "ts", from_epoch_ms("tm"))
+    agg = OwnClockWindowAggregate(spark, f"{tmp}/e10", ["room", "id"], "ts", "event_id", "1 hour",
+                                  "5 milliseconds", {"min_v": ("min", "v"), "max_v": ("max", "v"),
+                                                     "tm": ("max", "tm")})
+    _run(d.writeStream.foreachBatch(agg.process).option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    cols = ["room", "id", "window_end", "min_v", "max_v", "tm"]
+    key = lambda t: tuple("" if x is None else x for x in t)   # room may be null
+    got = sorted((tuple(r) for r in agg.read().select(*cols).collect()), key=key)
+    wm = agg.watermark_us()
+    want = sorted((tuple(r) for r in queries()["e10_room_min_max"](spark, SF_SMALL)
+                   .select(*cols).collect()
+                   if pd.Timestamp(r.window_end).value // 1000 - 1000 <= wm), key=key)
+    assert got == want and len(got) > 0
