@@ -85,6 +85,46 @@ def small_groups(df: DataFrame, keys) -> bool:
     return limit > 0 and largest_group(df.select(*keys) if keys else df, keys) <= limit
 
 
+def _encode_keys(df: DataFrame, keys: list) -> tuple:
+    """Null-safe key columns for the block path: each key becomes (value with
+    nulls replaced by a type default, null flag). Windows, summaries and the
+    carry join all use these plain, non-null columns, so a null key is a group
+    like any other and the join keeps the window's hash partitioning (a
+    ``<=>`` join would re-shuffle the rows)."""
+    from pyspark.sql import types as T
+    enc = []
+    for i, k in enumerate(keys):
+        dt = df.schema[k].dataType
+        if isinstance(dt, T.NumericType):
+            default = F.lit(0).cast(dt)
+        elif isinstance(dt, T.StringType):
+            default = F.lit("")
+        elif isinstance(dt, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit("1970-01-01").cast(dt)
+        else:
+            enc.append(k)
+            continue
+        df = (df.withColumn(f"_kv{i}", F.coalesce(F.col(k), default))
+                .withColumn(f"_kn{i}", F.col(k).isNull()))
+        enc += [f"_kv{i}", f"_kn{i}"]
+    return df, enc
+
+
+def _drop_encoded(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_kv") or c.startswith("_kn")])
+
+
+def _join_on(left: DataFrame, right: DataFrame, cols: list, how: str = "left") -> DataFrame:
+    """Join on ``cols`` treating null keys as equal (a null key is a group
+    like any other), keeping one copy of each join column."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def _prefix_max_exclusive(tbl: DataFrame, keys: list, idx: str, val: str,
                           fanout: int, out: str) -> DataFrame:
     """tbl has one row per (keys, idx); add ``out`` = max(val) over rows of
@@ -119,16 +159,17 @@ def running_max_before(df: DataFrame, value: str, order: str, out: str,
         w = ((Window.partitionBy(*keys) if keys else Window).orderBy(order)
              .rowsBetween(UNB, 0 if inclusive else -1))
         return df.withColumn(out, F.max(value).over(w))
+    df, ek = _encode_keys(df, keys)
     blk = F.floor(F.col(order) / F.lit(block))
     rows = df.withColumn("_blk", blk)
-    w_in = (Window.partitionBy(*keys, "_blk").orderBy(order)
+    w_in = (Window.partitionBy(*ek, "_blk").orderBy(order)
             .rowsBetween(UNB, 0 if inclusive else -1))
     rows = rows.withColumn("_in", F.max(value).over(w_in))
-    blocks = rows.groupBy(*keys, "_blk").agg(F.max(value).alias("_bmax"))
-    blocks = _prefix_max_exclusive(blocks, keys, "_blk", "_bmax", fanout, "_carry").drop("_bmax")
-    return (rows.join(blocks, [*keys, "_blk"], "left")
-                .withColumn(out, F.greatest("_in", "_carry"))
-                .drop("_blk", "_in", "_carry"))
+    blocks = rows.groupBy(*ek, "_blk").agg(F.max(value).alias("_bmax"))
+    blocks = _prefix_max_exclusive(blocks, ek, "_blk", "_bmax", fanout, "_carry").drop("_bmax")
+    return _drop_encoded(rows.join(blocks, [*ek, "_blk"], "left")
+                         .withColumn(out, F.greatest("_in", "_carry"))
+                         .drop("_blk", "_in", "_carry"))
 
 
 _IN = {"last": lambda c: F.last(c, ignorenulls=True),
@@ -173,6 +214,7 @@ def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
         if how == "sum":
             res = F.coalesce(res, F.lit(0))
         return df.withColumn(out, res)
+    df, keys = _encode_keys(df, keys)
     rows = df.withColumn("_bkt", bucket)
     w_in = (Window.partitionBy(*keys, "_bkt").orderBy(*order)
             .rowsBetween(UNB, 0 if inclusive else -1))
@@ -188,9 +230,9 @@ def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
     w_b = (Window.partitionBy(*keys) if keys else Window).orderBy("_bkt").rowsBetween(UNB, -1)
     carry = (summ.withColumn("_carry", _CARRY[how]("_bagg").over(w_b))
                  .select(*keys, "_bkt", "_carry"))
-    return (rows.join(carry, [*keys, "_bkt"], "left")
-                .withColumn(out, _combine(how, "_in", "_carry"))
-                .drop("_bkt", "_in", "_carry"))
+    return _drop_encoded(rows.join(carry, [*keys, "_bkt"], "left")
+                         .withColumn(out, _combine(how, "_in", "_carry"))
+                         .drop("_bkt", "_in", "_carry"))
 
 
 def lag_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,

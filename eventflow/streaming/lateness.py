@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import running_max_before, scan
+from eventflow.operators.scan import _join_on, running_max_before, scan
 from eventflow.operators.windows import _ms
 from eventflow.sinks import fs
 
@@ -67,24 +67,27 @@ class LatenessWindowCounter:
         per_win = (d.filter(F.col("_on") | F.col("_ok")).groupBy(*keys, wend)
                     .agg(F.sum(F.col("_on").cast("long")).alias("b_on"),
                          F.sum(F.col("_ok").cast("long")).alias("b_late")))
+        # Merge with the previous window state by union + groupBy (a null key
+        # is a group like any other).
+        cur = per_win.select(*keys, wend, F.lit(0).cast("long").alias("s_on"),
+                             F.lit(0).cast("long").alias("s_late"), F.lit(False).alias("fired"),
+                             "b_on", "b_late")
         state = self._state(ledger)
-        if state is None:
-            state = self.spark.createDataFrame([], per_win.schema).selectExpr(
-                *keys, wend, "0L as s_on", "0L as s_late", "false as fired")
-        merged = (state.join(per_win, [*keys, wend], "full")
-                       .select(*keys, wend,
-                               F.coalesce("s_on", F.lit(0)).alias("s_on"),
-                               F.coalesce("s_late", F.lit(0)).alias("s_late"),
-                               F.coalesce("fired", F.lit(False)).alias("fired"),
-                               F.coalesce("b_on", F.lit(0)).alias("b_on"),
-                               F.coalesce("b_late", F.lit(0)).alias("b_late")))
-        merged = merged.persist()
+        if state is not None:
+            cur = cur.unionByName(state.select(*keys, wend, "s_on", "s_late", "fired",
+                                               F.lit(0).cast("long").alias("b_on"),
+                                               F.lit(0).cast("long").alias("b_late")))
+        merged = cur.groupBy(*keys, wend).agg(
+            F.sum("s_on").alias("s_on"), F.sum("s_late").alias("s_late"),
+            F.max("fired").alias("fired"), F.sum("b_on").alias("b_on"),
+            F.sum("b_late").alias("b_late")).persist()
 
         # Late rows within the lateness: rank among the window's kept rows.
         late = d.filter("_ok").withColumn("_one", F.lit(1))
         late = scan(late, "_one", [self.arrival], F.floor(F.col(self.arrival) / F.lit(self.block)),
                     "_k", (*keys, wend), True, "sum")
-        late = late.join(merged.select(*keys, wend, "s_on", "s_late", "b_on"), [*keys, wend])
+        late = _join_on(late, merged.select(*keys, wend, "s_on", "s_late", "b_on"),
+                        [*keys, wend], "inner")
         rank = F.col("s_on") + F.col("b_on") + F.col("s_late") + F.col("_k")
         updates = late.select(*keys, wend, rank.cast("bigint").alias("cnt"),
                               F.when(rank == 1, "first").otherwise("update").alias("kind"))

@@ -379,3 +379,14 @@ def test_kafka_record_shapes(spark):
     assert kafka_records(df, "doc").first().key is None
     o = kafka_sink_options("h:9092", "results", "/ck")
     assert o == {"kafka.bootstrap.servers": "h:9092", "topic": "results", "checkpointLocation": "/ck"}
+
+
+def test_scans_treat_a_null_key_as_a_group(spark, scan_mode):
+    rows = [(None if i % 3 == 0 else i % 2, i, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, o long, v double")
+    out = scan(df, "v", ["o"], F.floor(F.col("o") / 7), "s", ("k",), True, "sum")
+    got = {(r.k, r.o): r.s for r in out.collect()}
+    run = {}
+    for k, o, v in rows:
+        run[k] = run.get(k, 0.0) + v
+        assert got[(k, o)] == run[k]
