@@ -189,3 +189,47 @@ class OwnClockWindowAggregate:
     def watermark_us(self) -> int | None:
         led = self._ledger()
         return None if led["max_us"] is None else led["max_us"] - self.delay_us
+
+
+class AsOfControlStream:
+    """O-J1 on a stream: readings joined as-of with an unkeyed control stream
+    (last control at or before each reading, controls first on ties).
+
+    Each micro-batch carries both kinds of rows (``kind`` 0 = control, 1 =
+    reading). Inside the batch the bucketed as-of scan runs over the union;
+    the last control of earlier batches comes from a ledger and fills the
+    readings that have no control before them in this batch. Matched readings
+    go to ``root/out/batch=<id>``; replayed batch ids are no-ops. Controls
+    are assumed to arrive in time order across batches."""
+
+    def __init__(self, spark, root: str, ts: str, value: str, out_col: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.ts, self.value, self.out_col = ts, value, out_col
+
+    def _ledger(self) -> dict:
+        txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
+        return json.loads(txt) if txt else {"batch_id": -1, "last": None}
+
+    def process(self, df: DataFrame, batch_id: int) -> None:
+        from eventflow.operators.joins import asof_join
+        ledger = self._ledger()
+        if batch_id <= ledger["batch_id"]:
+            return
+        df = df.persist()
+        controls = df.filter(F.col("kind") == 0).select(self.ts, F.col(self.value).alias(self.out_col))
+        readings = df.filter(F.col("kind") == 1).drop("kind", self.value)
+        joined = asof_join(readings, controls, self.ts, [self.out_col])
+        if ledger["last"] is not None:
+            joined = joined.withColumn(self.out_col,
+                                       F.coalesce(self.out_col, F.lit(ledger["last"]["v"])))
+        joined.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}")
+        last = (controls.orderBy(F.col(self.ts).desc()).limit(1)
+                .select(F.col(self.out_col).cast("string").alias("v"),
+                        F.col(self.ts).cast("string").alias("t")).collect())
+        new_last = {"v": last[0]["v"], "t": last[0]["t"]} if last else ledger["last"]
+        fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
+                        json.dumps({"batch_id": batch_id, "last": new_last}))
+        df.unpersist()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/out")

@@ -617,3 +617,23 @@ def test_room_min_max_stream_with_own_clock(spark, tmp):
                    .select(*cols).collect()
                    if pd.Timestamp(r.window_end).value // 1000 - 1000 <= wm), key=key)
     assert got == want and len(got) > 0
+
+
+def test_asof_control_stream_equals_batch(spark, tmp):
+    """O-J1 stream form: the smoke-level control stream and the readings in one
+    replayed stream; the ledger carries the last level across micro-batches."""
+    from eventflow.streaming.lateness import AsOfControlStream
+    from __spark_entry__ import queries
+    ev = events(spark, SF_SMALL)
+    src = ev.select("event_id", F.col("user_id").alias("id"), "ts", F.col("value").alias("temperature"),
+                    F.when(F.col("event_type") == "error", 0).otherwise(1).alias("kind"),
+                    F.when(F.col("value") > 50, "High").otherwise("Low").alias("level"))
+    SJ.write_replay_files(src, f"{tmp}/src", "event_id", 3)
+    s = SJ.replay_stream(spark, f"{tmp}/src", src.schema)
+    op = AsOfControlStream(spark, f"{tmp}/j1", "ts", "level", "smoke")
+    _run(s.writeStream.foreachBatch(op.process).option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    alerts = op.read().filter((F.coalesce("smoke", F.lit("Low")) == "High") & (F.col("temperature") > 100))
+    got = sorted(r.event_id for r in alerts.collect())
+    want = sorted(r.event_id for r in queries()["j1_asof_alert"](spark, SF_SMALL).collect())
+    assert got == want and len(got) > 0
