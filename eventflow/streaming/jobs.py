@@ -86,3 +86,15 @@ def run_with_restarts(start: Callable[[], object], attempts: int = 10, delay_s:
             time.sleep(delay_s)
     raise RuntimeError(f"query failed after {attempts} attempts") from (
         last if isinstance(last, BaseException) else None)
+
+
+def side_output_batch(predicate, main_sink, side_sink):
+    """O-M9 on a stream: every row goes to ``main_sink``; rows matching
+    ``predicate`` also go to ``side_sink``. One ``foreachBatch`` computes the
+    batch once (persisted) and writes both outputs."""
+    def fn(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        main_sink(df, batch_id)
+        side_sink(df.filter(predicate), batch_id)
+        df.unpersist()
+    return fn

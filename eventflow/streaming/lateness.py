@@ -137,7 +137,8 @@ class OwnClockWindowAggregate:
     - 1 ms <= the watermark of the rows before them), merges partial
     aggregates (``min``/``max``/``sum``/``count``) into a versioned
     window-state table, and emits every window the new watermark has passed -
-    once, after which it leaves the state. Replayed batch ids are no-ops.
+    once, after which it leaves the state. Rows dropped as late are written
+    to a side output (``read_late``). Replayed batch ids are no-ops.
     """
 
     def __init__(self, spark, root: str, keys: list, ts: str, arrival: str, size: str,
@@ -176,6 +177,9 @@ class OwnClockWindowAggregate:
         new_wm = None if new_max is None else new_max - self.delay_us
         done = F.lit(False) if new_wm is None else epoch_us(wend) - F.lit(1000) <= F.lit(new_wm)
         merged.filter(done).write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}")
+        # O-M7: the rows too late for their window, as a side output.
+        d.filter("_late").drop("_late", "_t", "_mx").write.mode("overwrite").parquet(
+            f"{self.root}/late/batch={batch_id}")
         state_path = f"{self.root}/state/v{batch_id:012d}"
         merged.filter(~done).write.mode("overwrite").parquet(state_path)
         fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
@@ -183,6 +187,9 @@ class OwnClockWindowAggregate:
         merged.unpersist()
         d.unpersist()
 
+    def read_late(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/late")
+
     def read(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/out")
 

@@ -637,3 +637,41 @@ def test_asof_control_stream_equals_batch(spark, tmp):
     got = sorted(r.event_id for r in alerts.collect())
     want = sorted(r.event_id for r in queries()["j1_asof_alert"](spark, SF_SMALL).collect())
     assert got == want and len(got) > 0
+
+
+def test_window_counts_with_late_side_output_stream(spark, replay, tmp):
+    """O-M7 stream form: own-clock watermark (1 h), 1 h window counts of
+    on-time rows, late rows to a side output; equal to the batch queries."""
+    from eventflow.streaming.lateness import OwnClockWindowAggregate
+    from __spark_entry__ import queries
+    path, schema = replay
+    s = SJ.replay_stream(spark, path, schema).select("event_id", "id", "ts2")
+    agg = OwnClockWindowAggregate(spark, f"{tmp}/m7", ["id"], "ts2", "event_id", "1 hour",
+                                  "1 hour", {"cnt": ("count", "event_id")})
+    _run(s.writeStream.foreachBatch(agg.process).option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    wm = agg.watermark_us()
+    got = sorted(tuple(r) for r in agg.read().select("id", "window_end", "cnt").collect())
+    want = sorted(tuple(r) for r in queries()["m7_window_counts"](spark, SF_SMALL).collect()
+                  if pd.Timestamp(r.window_end).value // 1000 - 1000 <= wm)
+    assert got == want and len(got) > 0
+    late = sorted(r.event_id for r in agg.read_late().collect())
+    want_late = sorted(r.event_id for r in queries()["m7_late_rows"](spark, SF_SMALL).collect())
+    assert late == want_late and len(late) > 0
+
+
+def test_side_output_stream(spark, replay, tmp):
+    """O-M9 stream form: all readings to the main output, freezing ones also
+    to the alarm side output, in one foreachBatch."""
+    path, schema = replay
+    main_p, side_p = f"{tmp}/main", f"{tmp}/side"
+    fn = SJ.side_output_batch(
+        F.col("temperature") < 32.0,
+        lambda df, b: df.write.mode("overwrite").parquet(f"{main_p}/batch={b}"),
+        lambda df, b: df.select("id", F.format_string("Freezing Alarm for %s", "id").alias("message"))
+                       .write.mode("overwrite").parquet(f"{side_p}/batch={b}"))
+    _run(SJ.replay_stream(spark, path, schema).writeStream.foreachBatch(fn)
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    ev = sensors(events(spark, SF_SMALL))
+    assert spark.read.parquet(main_p).count() == 1000
+    assert spark.read.parquet(side_p).count() == ev.filter("temperature < 32").count()
