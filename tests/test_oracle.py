@@ -3,10 +3,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from eventflow.plans.registry import QUERIES
 from eventflow.plans.oracle_check import compare, duckdb_con
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
