@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import mixing, quality, secrets
+from eventflow.llm import bpe, mixing, quality, secrets, tokens
 from eventflow.llm.common import table
 
 QUERIES: dict = {}
@@ -74,3 +75,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in base],
         F.sha2(secrets.spans_text(s, base), 256).alias("base_sha256"),
         secrets.spans_text(s, secrets.KINDS).alias("spans"))
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    return bpe.decode(coded, path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
