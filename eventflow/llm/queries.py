@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import bpe, mixing, quality, secrets, tokens
-from eventflow.llm.common import table
+from eventflow.llm import bpe, mixing, quality, secrets, tokens, warc
+from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,15 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(coded, path).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_cut(warc.write_archives(table(spark, sf_dir, "pages")), "warc")
+    read = warc.read_archives(archives, with_payload=False)
+
+    def page(uri: str):
+        return F.expr(f"try_cast(substring({uri}, {len(warc.RECORD_ID) + 1}) AS bigint)")
+
+    return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", page("refers_to").alias("refers_to"))
