@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import bpe, mixing, quality, secrets, tokens, warc
+from eventflow.llm import bpe, mixing, pivots, quality, secrets, tokens, warc
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -103,3 +103,8 @@ def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
                        "record_type", page("refers_to").alias("refers_to"))
+
+
+@query
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
