@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import bpe, mixing, pivots, quality, secrets, tokens, warc
+from eventflow.llm import bpe, dartminhash, mixing, pivots, quality, secrets, tokens, warc
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -108,3 +108,8 @@ def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
