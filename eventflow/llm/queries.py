@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import bpe, dartminhash, mixing, pivots, quality, secrets, tokens, warc
+from eventflow.llm import bpe, dartminhash, mixing, pii, pivots, quality, secrets, tokens, warc
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -113,3 +113,22 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    s = F.col("spans")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+            ":", F.element_at(F.array(*map(F.lit, pii.KINDS)), x["place"] + 1),
+            x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(place: int):
+        return F.size(F.filter(s, lambda x: x["place"] == place)).cast("long")
+
+    return found.select(
+        "row.doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.BASE)],
+        F.sha2(joined(F.filter(s, lambda x: x["place"] < len(pii.BASE))), 256).alias("base_sha256"),
+        joined(s).alias("spans"))
