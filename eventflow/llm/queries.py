@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import bpe, dartminhash, mixing, pii, pivots, quality, secrets, tokens, warc
+from eventflow.llm import (bpe, dartminhash, mixing, pii, pivots, quality, secrets, tokens, toxicity,
+                           warc)
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -132,3 +133,11 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.BASE)],
         F.sha2(joined(F.filter(s, lambda x: x["place"] < len(pii.BASE))), 256).alias("base_sha256"),
         joined(s).alias("spans"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                            keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
