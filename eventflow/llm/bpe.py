@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.llm.boundaries import pieces
-from eventflow.llm.common import buffers, col, fresh, map_rows, slices, write_cut
+from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, slices, write_cut
 
 MAX_WORDS = 1 << 16
 MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
@@ -225,4 +225,4 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decode
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(n)), pa.array(out, pa.binary())], names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)

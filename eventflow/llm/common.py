@@ -153,6 +153,19 @@ def range_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix64(h + (ends - starts).astype(np.uint64))
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with columns of any name, dots included: by place."""
+    places = [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches):
+        for batch in run(batches):
+            yield batch.rename_columns(places)
+
+    inner = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(places, schema)])
+    src = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return src.mapInArrow(renamed, inner).toDF(*schema.names)
+
+
 def map_rows(df: DataFrame, text: str, fields: list[T.StructField],
              fn: Callable[[pa.Array], list[pa.Array]], keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``df`` (default: all) plus columns computed from the text
@@ -170,7 +183,6 @@ def map_rows(df: DataFrame, text: str, fields: list[T.StructField],
                 part = batch.slice(a, b - a)
                 out = fn(part.column(n))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(n)), *out],
-                    names=[*part.schema.names[:n], *(f.name for f in fields)])
+                    [*(part.column(i) for i in range(n)), *out], names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)

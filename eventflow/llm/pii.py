@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import (WORD, Words, buffers, col, fresh, map_rows, mix64, range_hash,
-                                  slices, write_cut)
+from eventflow.llm.common import (WORD, Words, buffers, col, fresh, map_arrow, map_rows, mix64,
+                                  range_hash, slices, write_cut)
 
 KINDS = ("email", "ip", "card", "phone", "term")
 BASE = KINDS[:4]
@@ -295,4 +295,4 @@ def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
             columns[place] = pa.array(new, texts.type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return rows.select(*[col(c) for c in docs.columns], col(spans)).mapInArrow(run, schema)
+    return map_arrow(rows.select(*[col(c) for c in docs.columns], col(spans)), run, schema)

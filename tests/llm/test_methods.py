@@ -1,0 +1,421 @@
+"""The operators against brute force on small fixtures."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from eventflow.llm import dartminhash, mixing, pii, pivots, quality, secrets, toxicity, warc
+from eventflow.llm import queries as Q
+from eventflow.llm.components import components
+from eventflow.plans.oracle_check import compare, duckdb_con
+from tests.conftest import SF_SMALL
+from tests.llm import tables as X
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SOME = [r[1] for r in X.ROWS]
+
+
+# -- quality rules ----------------------------------------------------------
+
+def brute_counts(text):
+    text = text or ""
+    w = WORD.findall(text)
+    windows = collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    marked = {j for i in range(len(w) - 4) if windows[tuple(w[i:i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines),
+            len(lines) - len(set(lines)), len(marked))
+
+
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab #|\n\té<", max_size=80)), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_counts(texts):
+    got = list(zip(*(a.to_pylist() for a in quality.measure(pa.array(texts, pa.string())))))
+    assert got == [brute_counts(t) for t in texts]
+
+
+def test_counts_of_awkward_texts():
+    got = list(zip(*(a.to_pylist() for a in quality.measure(pa.array(SOME, pa.string())))))
+    assert got == [brute_counts(t) for t in SOME]
+
+
+@pytest.mark.parametrize("n,x,p", [(1, 0, 0.3), (20, 3, 0.1), (50, 50, 0.5), (300, 2, 0.002)])
+def test_binomial_tail(n, x, p):
+    want = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(x + 1))
+    assert quality.binomial_tail(n, x, p) == pytest.approx(want)
+
+
+def test_thresholds_per_stratum(spark):
+    # In stratum "en" no good text has a symbol; in "de" half of them have; "fr" has few labels.
+    plain = " ".join(f"word{i}" for i in range(40))
+    rows, labels = [], []
+    for lang, n in (("en", 6000), ("de", 6000), ("fr", 20)):
+        for i in range(n):
+            rows.append((len(rows), plain + (" # # # #" if lang == "de" and i % 2 else ""), lang, "s", 0))
+            labels.append((len(labels), 1, 0))
+    rows.append((len(rows), plain + " # # # # # # # #", "en", "s", 0))
+    rows.append((len(rows), plain + " # # # # # # # #", "de", "s", 0))
+    rows.append((len(rows), plain + " # # # # # # # #", "fr", "s", 0))
+    got = {r.doc_id: r.verdict.kept for r in quality.judge(
+        X.docs(spark, rows), X.labels(spark, labels), keep=["doc_id"]).collect()}
+    assert not got[len(rows) - 3] and got[len(rows) - 1]
+    assert all(got[i] for i in range(len(labels)))
+
+
+# -- personal data ----------------------------------------------------------
+
+def brute_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(d) <= 19 and pii.luhn(d):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+@given(st.text(alphabet="ab1.2@+-% (5é9\U0001F642", max_size=40))
+@settings(max_examples=500, deadline=None)
+def test_base_spans(text):
+    assert pii.base_spans(text) == brute_spans(text)
+
+
+def test_base_spans_stay_linear():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "+1" * 50_000, "1." * 100_000):
+        pii.base_spans(text)
+
+
+def test_disclosing_terms(spark):
+    rnd = random.Random(1)
+    common = [f"c{i}" for i in range(50)]
+    rows = []
+    for i in range(200):
+        text = " ".join(rnd.choice(common) for _ in range(30))
+        if i < 6:
+            text += " write to Zorblat, boss@secret.org soon"
+        elif i < 60:
+            text += " soon write to"
+        rows.append((i, text, "en", "s", 0))
+    rows += [(200, None, "en", "s", 0), (None, "", "en", "s", 0)]
+    got = {r.row.doc_id: [(s.place, s.start, s.end) for s in r.spans]
+           for r in pii.scan(X.docs(spark, rows), keep=["doc_id"]).collect()}
+    for i, text, *_ in rows:
+        terms = [text[a:b] for k, a, b in got[i] if k == 4] if text else []
+        assert terms == (["Zorblat"] if i is not None and i < 6 else [])
+    clean = {r.doc_id: r.text for r in pii.sanitise(X.docs(spark, rows)).collect()}
+    assert "Zorblat" not in clean[0] and "[EMAIL]" in clean[0] and clean[30] == rows[30][1]
+    assert clean[200] is None and clean[None] == ""
+
+
+# -- secrets ----------------------------------------------------------------
+
+def brute_secrets(t):
+    out = []
+    for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.A):
+        if len(m[2]) >= 8:
+            out.append((m.start(), 0, "assign", m.end()))
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
+
+    def entropy(s, w=secrets.WINDOW):
+        w = min(w, len(s))
+        return max(-sum(n / w * math.log2(n / w) for n in collections.Counter(s[i:i + w]).values())
+                   for i in range(len(s) - w + 1))
+
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", t):
+        s = m[0]
+        if any(a <= m.start() and m.end() <= b for a, _, _, b in out if _ != "entropy"):
+            continue
+        if any(re.search(p, s) for p in secrets.ALLOW):
+            continue
+        kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", s) else "alnum" if re.fullmatch("[A-Za-z0-9]+", s) else "base64"
+        if entropy(s) >= secrets.THRESHOLDS[kind] - 1e-9:
+            out.append((m.start(), 3, "entropy", m.end()))
+    return sorted(out)
+
+
+def test_secrets(spark):
+    rnd = random.Random(3)
+    texts = [t or "" for t in SOME] + [
+        "password = hunter2 token: api_key=abcdefghij", "secret:token: abcdefgh", "AKIAAKIAAKIAAKIA AKIASHORT",
+        "key Zx9mQ2pL8vR4tY7wK1nB5cD3fG6hJ0sA end", "a/normal/path/to/some/file_name_of_2024",
+        "550e8400-e29b-41d4-a716-446655440000", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "é \U0001F642 TOKEN='abcdefgh12'",
+        "0123456789abcdef0123", "Zx9mQ2pL8vR4tY7wK1nB5cD3fG6hJ0sA" * 40]
+    for _ in range(60):
+        texts.append("".join(rnd.choice(["token", "=", ": ", "AKIA", "A1B2C3D4E5F6", "0af3", "q", " ", "é", '"', "Xy7_"])
+                             for _ in range(rnd.randint(1, 25))))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.place, s.kind, s.end) for s in r.secrets]
+           for r in secrets.scan(d, keep=["doc_id"]).collect()}
+    assert got == {i: brute_secrets(t) for i, t in enumerate(texts)}
+    assert sum(k == "entropy" for v in got.values() for _, _, k, _ in v) >= 2
+
+
+# -- mixing -----------------------------------------------------------------
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s) + [s for s in sizes if s is None]
+    w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, free, rest = {}, set(names), 1.5 * sum(sizes.values())
+    while free:
+        level = rest / sum(w[s] for s in free)
+        full = {s for s in free if level * w[s] > 2 * sizes[s]}
+        if not full:
+            target |= {s: level * w[s] for s in free}
+            break
+        for s in full:
+            target[s] = 2 * sizes[s]
+            rest -= 2 * sizes[s]
+        free -= full
+    return target
+
+
+@pytest.mark.parametrize("slice_rows", [1, 4096])
+def test_mix(spark, slice_rows):
+    rnd = random.Random(2)
+    rows = [(i, " ".join("w" * rnd.randint(0, 90)), "en", rnd.choice(["a", "a", "a", "b", "é", None, "z"]), 0)
+            for i in range(400)] + X.ROWS
+    d = X.docs(spark, rows)
+    got = mixing.mix(d, slice_rows=slice_rows).collect()
+    again = mixing.mix(d.repartition(7), slice_rows=slice_rows).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.mixed.taken)
+    assert [r.mixed for r in sorted(got, key=key)] == [r.mixed for r in sorted(again, key=key)]
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r[3]] += len(WORD.findall(r[1] or ""))
+    want, taken = brute_targets(dict(sizes)), collections.Counter()
+    for r in got:
+        assert r.mixed.size == len(WORD.findall(r.text or "")) and r.mixed.source_size == sizes[r.source]
+        assert r.mixed.target == pytest.approx(want[r.source])
+        assert 0 <= r.mixed.taken <= 2 * r.mixed.size
+        taken[r.source] += r.mixed.taken
+    assert all(abs(taken[s] - want[s]) <= 0.5 + 1e-6 for s in sizes)
+    drawn = collections.Counter()
+    for r in mixing.draw(d, slice_rows=slice_rows).collect():
+        drawn[r.source] += len(WORD.findall(r.text))
+    assert drawn == +taken
+
+
+def test_mix_equals_sql(spark, tmp_path):
+    X.write(spark, tmp_path / "t")
+    import duckdb
+    for folder, con in ((SF_SMALL, duckdb_con(SF_SMALL)), (str(tmp_path / "t"), duckdb.connect())):
+        if folder != SF_SMALL:
+            con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+        got = Q.QUERIES["op9_mix_sources"](spark, folder).toPandas()
+        ok, why = compare(got, con.execute(Q.ORACLES["op9_mix_sources"]).df())
+        assert ok, why
+
+
+# -- near-duplicates --------------------------------------------------------
+
+def shingles(t):
+    w = WORD.findall(t or "")
+    return collections.Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
+
+
+def least_of(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def corpus():
+    rnd = random.Random(8)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{rnd.randint(0, 10 ** 6)}" for _ in range(rnd.choice([8, 60, 300]))]
+        for _ in range(rnd.randint(1, 14)):
+            own = list(base)
+            for _ in range(rnd.randint(0, max(1, len(own) // 40))):
+                own[rnd.randrange(len(own))] = f"x{rnd.randint(0, 10 ** 6)}"
+            texts.append(" ".join(own))
+    return texts + texts[:5] + ["one two", "one two", "one two three", "", None]
+
+
+def test_classes(spark):
+    texts = corpus()
+    s = [shingles(t) for t in texts]
+    links = [(a, b) for b in range(len(s)) for a in range(b) if s[a] and s[b]
+             and sum((s[a] & s[b]).values()) / sum((s[a] | s[b]).values()) >= 0.8]
+    want = least_of(range(len(texts)), links)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.kept) for r in dartminhash.classes(d).collect()}
+    assert got == {i: (c, i == c) for i, c in want.items()}
+
+
+def test_signature_agreement_estimates_similarity():
+    rnd = np.random.RandomState(0)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(100):
+        own = list(words)
+        for j in rnd.choice(400, rnd.randint(0, 30), False):
+            own[j] = f"x{rnd.randint(10 ** 9)}"
+        texts.append(" ".join(own) + " again and again and again and again and again" * rnd.randint(0, 9))
+    from eventflow.llm.common import Words, buffers
+    cell, row = dartminhash.cells(Words(*buffers(pa.array(texts))))
+    sig = dartminhash.signatures(cell, row, len(texts))
+    assert (sig != 0).all()
+    s = [shingles(t) for t in texts]
+    for i in range(1, 100):
+        true = sum((s[i] & s[0]).values()) / sum((s[i] | s[0]).values())
+        assert abs((sig[i] == sig[0]).mean() - true) < 5 * 0.5 / math.sqrt(dartminhash.COORDS)
+
+
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14))
+@settings(max_examples=5, deadline=None)
+def test_components(spark, links):
+    got = {r.node: r.component for r in components(
+        spark.createDataFrame(links + [(None, 1), (2, 2)], "a long, b long")).collect()}
+    want = least_of(range(13), links)
+    touched = {n for a, b in links if a != b for n in (a, b)}
+    assert got == {n: want[n] for n in touched}
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(200).selectExpr("id as a", "id + 1 as b")
+    assert {r.component for r in components(edges).collect()} == {0}
+
+
+def test_pivots_against_brute_force(spark):
+    rnd = np.random.RandomState(4)
+    base = rnd.standard_normal((300, 32))
+    x = np.concatenate([base, base[:60] + 0.05 * rnd.standard_normal((60, 32)),
+                        base[:1] + 0.05 * rnd.standard_normal((150, 32)), base[5:8]])
+    label = rnd.randint(0, 2, len(x))
+    label[360:510] = label[0]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= pivots.COSINE) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    order = rnd.permutation(len(x))
+    d = spark.createDataFrame([(int(i), x[i].tolist(), int(label[i])) for i in order],
+                              "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in pivots.near_duplicates(d).collect()}
+    want = least_of(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(near)) if a < b])
+    assert {i: r.component_id for i, r in got.items()} == want
+    found = sum(r.n_links for r in got.values())
+    assert 0.99 * near.sum() <= found <= near.sum()
+    assert all(r.n_links <= near[i].sum() for i, r in got.items())
+
+
+# -- toxicity ---------------------------------------------------------------
+
+def test_pairs_that_a_linear_model_misses():
+    # Two buckets together are toxic, either alone is not.
+    rnd = random.Random(1)
+    rows, y = [], []
+    for _ in range(1500):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        rows.append(np.array(sorted({5} * a | {9} * b | {rnd.randint(20, 2000)} if a or b else {rnd.randint(20, 2000)})))
+        y.append(float(a and b))
+    m = toxicity.fit(rows, np.array(y))
+    row = np.repeat(np.arange(3), [1, 1, 2])
+    feature = m.place[np.array([5, 9, 5, 9])]
+    assert (feature >= 0).all()
+    assert (m.score(row, feature, 3) >= 0.5).tolist() == [False, False, True]
+
+
+def test_held_out_accuracy(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(1500):
+        own, toxic = [rnd.choice(words) for _ in range(rnd.randint(5, 80))], rnd.random() < 0.2
+        if toxic:
+            own[rnd.randrange(len(own))] = rnd.choice(["Moron,", "scum"])
+        rows.append((i, " ".join(own), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    got = toxicity.score(X.docs(spark, rows), X.labels(spark, labels), keep=["doc_id"])
+    got = {r.doc_id: (r.out, r.score) for r in got.withColumn(
+        "out", toxicity.held_out(got.doc_id)).collect()}
+    right = [(s >= 0.5) == bool(labels[i][2]) for i, (out, s) in got.items() if out]
+    assert len(right) > 200 and sum(right) / len(right) > 0.97
+
+
+# -- WARC -------------------------------------------------------------------
+
+def some_archive():
+    records = [warc.record("response", f"urn:page:{i}", "http://x/", f"<p>{i}</p>".encode() * 50,
+                           warc.sha1_base32(f"<p>{i}</p>".encode() * 50), None) for i in range(80)]
+    return records, warc.archive(records)
+
+
+def test_archive_round_trip():
+    records, packed = some_archive()
+    assert [d for _, d in warc.frames(packed)] == records
+    assert packed[:4] == bytes.fromhex("5d2a4d18") and len(packed) < sum(map(len, records))
+    headers, block = warc.parse(records[3])
+    assert warc.http_payload(headers, block) == (b"<p>3</p>" * 50, 400)
+
+
+def test_archive_faults():
+    records, packed = some_archive()
+    for broken in (packed[:-3], packed[:9], packed[:-40] + b"\0" * 40, packed + b"x"):
+        with pytest.raises(ValueError):
+            list(warc.frames(broken))
+    good = records[0]
+    for broken in (good[:-1], good.replace(b"WARC/1.1", b"WARC/9.9"), good.replace(b"<p>0", b"<p>1"),
+                   good.replace(b"WARC-Date", b"X-Date"), good.replace(b"WARC-Type:", b"WARC-Type")):
+        with pytest.raises(ValueError):
+            warc.http_payload(*warc.parse(broken))
+
+
+def test_reads_archives_from_files(spark, tmp_path):
+    records, packed = some_archive()
+    (tmp_path / "a.warc.zst").write_bytes(packed)
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    got = warc.read_archives(files).collect()
+    assert len(got) == 80 and all(bytes(r.payload).startswith(b"<p>") for r in got)
+
+
+# -- digests and the pipeline ----------------------------------------------
+
+def test_digests_of_awkward_documents(spark, tmp_path):
+    folder = X.write(spark, tmp_path / "t")
+    by_id = {r[0]: r[1] or "" for r in X.ROWS}
+    for r in Q.QUERIES["op3_personal_data"](spark, folder).collect():
+        base = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in brute_spans(by_id[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    for r in Q.QUERIES["op10_secret_scan"](spark, folder).collect():
+        spans = brute_secrets(by_id[r.doc_id])
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == i for s in spans) for i in range(3))
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+    folder = X.write(spark, tmp_path / "t")
+    docs = X.clashing(spark.read.parquet(f"{folder}/documents.parquet"))
+    docs.write.parquet(str(tmp_path / "u/documents.parquet"))
+    X.labels(spark).write.parquet(str(tmp_path / "u/labels.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path / "u"))
+    got = rows.collect()
+    assert rows.columns[:len(docs.columns)] == docs.columns
+    assert {r.doc_id for r in got} <= {1, None, 9, 10} and 1 in {r.doc_id for r in got}
+    assert all(r.round_trip for r in got)
+    mails = [r.text for r in got if r.doc_id is None]
+    assert all("@" not in t and "555" not in t for t in mails)
+    X.docs(spark, []).write.parquet(str(tmp_path / "v/documents.parquet"))
+    X.labels(spark, []).write.parquet(str(tmp_path / "v/labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "v")).count() == 0
