@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 from eventflow.llm.boundaries import pieces
 from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, slices, write_cut
 
-MAX_WORDS = 1 << 16
+MAX_WORDS = 1 << 17
+SHORT = 64  # bytes of a piece that is folded without a heap
 MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
 BINS = 1 << 13
 MAX_KEPT = 200_000
@@ -92,12 +93,30 @@ def fold(word: Column, table: Column) -> Column:
     return F.when(size > 0, done).otherwise(F.array().cast("array<int>"))
 
 
+def _merge_short(word: bytes, rank: dict[bytes, int]) -> list[int]:
+    """The same fold in plain Python, for a short piece."""
+    get, parts = rank.get, [word[i:i + 1] for i in range(len(word))]
+    found = [get(word[i:i + 2], NONE) for i in range(len(word) - 1)]
+    while found:
+        least = min(found)
+        if least == NONE:
+            break
+        i = found.index(least)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del found[i]
+        if i < len(found):
+            found[i] = get(parts[i] + parts[i + 1], NONE)
+        if i:
+            found[i - 1] = get(parts[i - 1] + parts[i], NONE)
+    return [rank[p] for p in parts]
+
+
 def merge_bytes(word: bytes, rank: dict[bytes, int]) -> list[int]:
-    """The same fold in plain Python; pairs wait in a heap, so a piece of n bytes takes
-    O(n log n)."""
+    """The same fold in plain Python; the pairs of a long piece wait in a heap, so n bytes
+    take O(n log n)."""
     n = len(word)
-    if word in rank:
-        return [rank[word]]
+    if n <= SHORT:
+        return _merge_short(word, rank)
     right = list(range(1, n + 1))          # where the next part begins
     left = list(range(-1, n - 1))
     alive = [True] * n
