@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.operators.scan import running_max_before, scan
+from eventflow.operators.scan import arrival_block, running_max_before, scan
 from eventflow.operators.windows import _ms
 
 def epoch_us(c) -> Column:
@@ -30,7 +30,7 @@ def from_epoch_us(c) -> Column:
 
 def with_watermark_column(df: DataFrame, ts: str, arrival: str, delay: str,
                           out: str = "wm", marker: Column | None = None,
-                          block: int = 1 << 14) -> DataFrame:
+                          block: int | None = None) -> DataFrame:
     """O-M1/M2/M4/M5 (``marker`` None): bounded out-of-orderness watermark.
     O-M3 (``marker`` given): punctuated - only marker rows advance it.
 
@@ -76,8 +76,7 @@ def window_count_with_late(df: DataFrame, keys: list, ts: str, size: str,
 
 def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
                             lateness: str, arrival: str,
-                            wm_us: str = "_wm_us", block: int = 1 << 14,
-                            plain: bool | None = None) -> DataFrame:
+                            wm_us: str = "_wm_us") -> DataFrame:
     """O-M8: window count with allowed lateness.
 
     The first result (``kind='first'``) is emitted when the watermark passes
@@ -100,9 +99,8 @@ def allowed_lateness_counts(df: DataFrame, keys: list, ts: str, size: str,
     # Rank among the window's kept rows by arrival: a running count per
     # (key, window) computed over arrival blocks, so a hot (key, window) is
     # still split across tasks.
-    ranked = scan(kept.withColumn("_one", F.lit(1)), "_one", [arrival],
-                  F.floor(F.col(arrival) / F.lit(block)), "_rn", (*keys, "window_end"),
-                  True, "sum", plain).filter(F.col("_ok"))
+    ranked = scan(kept.withColumn("_one", F.lit(1)), [("_one", "sum", "_rn")], [arrival],
+                  arrival_block(kept, arrival), (*keys, "window_end")).filter(F.col("_ok"))
     updates = ranked.select(*keys, "window_end", F.col("_rn").cast("bigint").alias("cnt"),
                             F.when(F.col("_rn") == 1, "first").otherwise("update").alias("kind"))
     return firsts.unionByName(updates)

@@ -9,12 +9,11 @@ into the session's checkpoint directory; the convergence probe is a single
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.operators.scan import largest_group, plain_max_rows, scan
-from eventflow.session import checkpoint_root, materialize
+from eventflow.operators.scan import scan
+from eventflow.session import materialize
 
 DAMPING = 0.85
 
@@ -22,22 +21,18 @@ DAMPING = 0.85
 def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
                     max_list: int = 10_000, bucket_width: int = 1 << 16) -> DataFrame:
     """O-A4: group reduce to the sorted target list of each source, duplicates
-    kept, as (src, chunk, targets) rows of at most ``max_list`` targets.
+    kept, as (src, chunk, targets) rows of at most ``max_list`` targets: list rows of a
+    documented width, so that no row or task has to hold an unbounded list.
 
-    A source with more links gets several chunks, so no row or task has to hold
-    an unbounded list. A target's position inside its source comes from the
-    bucketed scan (buckets of target ids), not from a per-source sort.
+    A target's position inside its source comes from the bucketed scan (buckets of
+    target ids) over distinct links with their numbers, not from a per-source sort.
     Ranking does not need these lists; it uses ``edges_with_degree``."""
-    e = edges.select(src, dst)
-    biggest = largest_group(e, [src])
-    if biggest <= max_list:
-        # Checked bound: every source fits one chunk.
-        return e.groupBy(src).agg(F.lit(0).cast("bigint").alias("chunk"),
-                                  F.array_sort(F.collect_list(dst)).alias("targets"))
-    e = e.withColumn("_one", F.lit(1))
-    e = scan(e, "_one", [dst], F.floor(F.col(dst) / F.lit(bucket_width)), "_pos", (src,),
-             True, "sum", 0 < biggest <= plain_max_rows(e.sparkSession))
-    chunk = F.floor((F.col("_pos") - 1) / F.lit(max_list)).cast("bigint")
+    # Equal links are counted first and take consecutive positions.
+    e = edges.groupBy(src, dst).agg(F.count(F.lit(1)).alias("_n"))
+    e = scan(e, [("_n", "sum", "_end")], [dst], F.floor(F.col(dst) / F.lit(bucket_width)), (src,))
+    place = F.explode(F.sequence(F.col("_end") - F.col("_n"), F.col("_end") - 1))
+    e = e.select(src, dst, place.alias("_pos"))
+    chunk = F.floor(F.col("_pos") / F.lit(max_list)).cast("bigint")
     return (e.groupBy(src, chunk.alias("chunk"))
              .agg(F.array_sort(F.collect_list(dst)).alias("targets")))
 
@@ -47,20 +42,17 @@ def edges_with_degree(edges: DataFrame, src: str = "src", dst: str = "dst") -> D
     return edges.select(src, dst).join(deg, src)
 
 
-def spread_ranks(ranks: DataFrame, edges_deg: DataFrame, broadcast_ranks: bool = False) -> DataFrame:
+def spread_ranks(ranks: DataFrame, edges_deg: DataFrame) -> DataFrame:
     """O-J5: equi join of ranks with out-links, one output per link:
-    (target, rank / out_degree). ``broadcast_ranks`` only when the caller
-    has bounded the number of pages."""
-    if broadcast_ranks:
-        ranks = F.broadcast(ranks)
+    (target, rank / out_degree)."""
     return (ranks.join(edges_deg, ranks["page_id"] == edges_deg["src"])
                  .select(F.col("dst").alias("page_id"),
                          (F.col("rank") / F.col("out_degree")).alias("rank")))
 
 
 def rank_step(ranks: DataFrame, edges_deg: DataFrame, n_pages: int,
-              damping: float = DAMPING, broadcast_ranks: bool = False) -> DataFrame:
-    contrib = spread_ranks(ranks, edges_deg, broadcast_ranks)
+              damping: float = DAMPING) -> DataFrame:
+    contrib = spread_ranks(ranks, edges_deg)
     return (contrib.groupBy("page_id").agg(F.sum("rank").alias("rank"))
                    .select("page_id", (F.col("rank") * F.lit(damping)
                                        + F.lit((1 - damping) / n_pages)).alias("rank")))
@@ -75,42 +67,42 @@ def changed_ranks(old: DataFrame, new: DataFrame, epsilon: float) -> DataFrame:
 
 def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
               max_iterations: int = 10, epsilon: float = 1e-4,
-              damping: float = DAMPING, broadcast_max_pages: int = 2_000_000) -> DataFrame:
+              damping: float = DAMPING, salts: int = 16) -> DataFrame:
     """Rank pages: initial 1/N, ``rank' = d * sum(in-contributions) + (1-d)/N``.
 
     Pages without inbound links drop out (no dangling redistribution). Stops
     after ``max_iterations`` or when no page moved by more than ``epsilon``.
     ``pages`` has a ``page_id`` column; ``edges`` has ``src``, ``dst``.
 
-    The rank table (one row per page, count known) is broadcast when it has at
-    most ``broadcast_max_pages`` rows; beyond that it is shuffled to the
-    edges' partitioning.
+    Links are written once, with their number and the out-degree of their source, and
+    each links' row carries a salt from its target: a source that holds most links
+    lies in ``salts`` partitions, and the ranks (one row per page) are repeated for
+    each salt. There is one plan for every size; Spark may still broadcast the ranks
+    by their size in bytes.
     """
-    spark = pages.sparkSession
-    checkpoint_root(spark)
     if n_pages is None:
         n_pages = pages.count()
-    bcast = n_pages <= broadcast_max_pages
-    e = edges_with_degree(edges)
-    if not bcast:
-        # Edges are hash partitioned by source once: each round then shuffles
-        # only the rank side (N rows), never the E edges.
-        e = e.repartition("src")
-    e = e.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
+    links = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    salt = F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int")
+    e = materialize(links.join(deg, "src").withColumn("salt", salt), keep_partitioning=False)
     ranks = pages.select("page_id", F.lit(1.0 / n_pages).alias("rank"))
     for i in range(max_iterations):
-        new = rank_step(ranks, e, n_pages, damping, bcast)
-        # One job per round: the new ranks and the O-J6 "moved" flag are
-        # computed together and written once (reliable checkpoint cuts the
-        # lineage); the convergence probe then reads the checkpoint.
+        spread = ranks.select(F.col("page_id").alias("src"), "rank",
+                              F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        got = (e.join(spread, ["src", "salt"])
+               .groupBy(F.col("dst").alias("page_id"))
+               .agg(F.sum(F.col("rank") * F.col("n") / F.col("out_degree")).alias("rank")))
+        new = got.select("page_id", (F.col("rank") * F.lit(damping)
+                                     + F.lit((1 - damping) / n_pages)).alias("rank"))
+        # One job per round: the new ranks and the O-J6 "moved" flag are computed
+        # together and written once, which cuts the lineage.
         step = (new.alias("n").join(ranks.alias("o"), "page_id", "left")
                    .select("page_id", F.col("n.rank").alias("rank"),
                            F.coalesce(F.abs(F.col("n.rank") - F.col("o.rank")) > F.lit(epsilon),
                                       F.lit(False)).alias("_moved")))
-        step = materialize(step)
-        moved = step.filter("_moved").limit(1).count()
+        step = materialize(step, keep_partitioning=False)
         ranks = step.select("page_id", "rank")
-        if moved == 0:
+        if step.filter("_moved").isEmpty():
             break
-    e.unpersist()
     return ranks

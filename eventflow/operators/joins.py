@@ -12,58 +12,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import scan, small_groups, time_buckets
-from eventflow.operators.windows import _ms
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
-    (one bounded probe: ``limit(max_rows + 1).count()``). Larger inputs are
-    left to a shuffle join (and to AQE's runtime conversion)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _plan(u: DataFrame, keys: list, ts: str, bucket: str | None, plain: bool | None,
-          bucket_us: int | None = None) -> tuple:
-    """(plain, bucket column) for the scan over the union: a fixed width when
-    ``bucket`` is given, else a width sized from the data (see
-    ``scan.time_buckets``)."""
-    if bucket_us is not None and plain is not None:
-        return plain, F.floor(epoch_us(ts) / F.lit(bucket_us))
-    if bucket is not None:
-        p = small_groups(u, keys) if plain is None else plain
-        return p, F.floor(epoch_us(ts) / F.lit(_ms(bucket) * 1000))
-    p, width = time_buckets(u, keys, epoch_us(ts))
-    return (p if plain is None else plain), F.floor(epoch_us(ts) / F.lit(width or 1))
+from eventflow.operators.scan import scan, time_bounds, with_time_bucket
 
 
 def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
-              keys: tuple = (), bucket: str | None = None, tie: str | None = None,
-              plain: bool | None = None, bucket_us: int | None = None) -> DataFrame:
+              keys: tuple = (), tie: str | None = None, bounds: list | None = None) -> DataFrame:
     """Left rows with the latest right row at or before their ``ts`` (same
     keys); right rows win ties on ``ts``. ``right_cols`` come back null when
-    no right row precedes. ``tie`` is an optional extra order column present
-    in both inputs. ``plain``/``bucket_us`` pass a strategy decided by the
-    caller (see ``scan.time_buckets``); by default the union is measured.
+    no right row precedes. ``tie`` is an order column present in both inputs: of several
+    right rows at one instant the last by ``tie`` counts. ``bounds``: time buckets
+    found before (see ``scan.time_bounds``).
     """
     keys = list(keys)
     extra = [tie] if tie else []
     r_struct = F.struct(*[F.col(c) for c in right_cols])
     r = right.select(*keys, ts, *extra, F.lit(0).alias("_side"), r_struct.alias("_r"))
     l = left.withColumn("_side", F.lit(1)).withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))
-    u = l.unionByName(r, allowMissingColumns=True)
-    u = u.withColumn("_o", epoch_us(ts))
-    plain, bcol = _plan(u, keys, ts, bucket, plain, bucket_us)
-    u = scan(u, "_r", ["_o", "_side", *extra], bcol, "_m", keys,
-             inclusive=True, how="last", plain=plain)
-    out = u.filter(F.col("_side") == 1).drop("_side", "_r", "_o")
+    u = l.unionByName(r, allowMissingColumns=True).withColumn("_o", epoch_us(ts))
+    bounds = time_bounds(u, F.col("_o")) if bounds is None else bounds
+    u = scan(with_time_bucket(u, F.col("_o"), bounds, "_bk"), [("_r", "last", "_m")],
+             ["_o", "_side", *extra], F.col("_bk"), keys)
+    out = u.filter(F.col("_side") == 1).drop("_side", "_r", "_o", "_bk")
     return out.select(*[c for c in out.columns if c != "_m"],
                       *[F.col("_m")[c].alias(c) for c in right_cols])
 
 
 def interval_semi_join(left: DataFrame, right: DataFrame, keys: list, ts: str,
-                       until: str, bucket: str | None = None) -> DataFrame:
+                       until: str, bounds: list | None = None) -> DataFrame:
     """O-J3: left rows with some right row of the same key such that
     ``right.ts <= left.ts < right.until``. Computed as: the max ``until`` over
     right rows at or before the left row is later than the left row.
@@ -71,18 +46,19 @@ def interval_semi_join(left: DataFrame, right: DataFrame, keys: list, ts: str,
     l = left.withColumn("_side", F.lit(1)).withColumn("_until", F.lit(None).cast("bigint"))
     r = right.select(*keys, ts, F.lit(0).alias("_side"), epoch_us(until).alias("_until"))
     u = l.unionByName(r, allowMissingColumns=True).withColumn("_o", epoch_us(ts))
-    plain, bcol = _plan(u, list(keys), ts, bucket, None)
-    u = scan(u, "_until", ["_o", "_side"], bcol, "_deadline", keys,
-             inclusive=True, how="max", plain=plain)
+    bounds = time_bounds(u, F.col("_o")) if bounds is None else bounds
+    u = scan(with_time_bucket(u, F.col("_o"), bounds, "_bk"), [("_until", "max", "_deadline")],
+             ["_o", "_side"], F.col("_bk"), keys)
     return (u.filter((F.col("_side") == 1) & (F.col("_deadline") > F.col("_o")))
-             .drop("_side", "_until", "_o", "_deadline"))
+             .drop("_side", "_until", "_o", "_deadline", "_bk"))
 
 
 def lookup_enrich(df: DataFrame, lookup: DataFrame, key: str, value: str,
-                  default: str, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  default: str) -> DataFrame:
     """O-J4: enrich each row from a keyed lookup table, ``default`` when the
-    key is missing. One bulk left join replaces per-row requests; the lookup
-    side is broadcast only when its size check passes."""
-    lk = maybe_broadcast(lookup.select(key, value), max_broadcast_rows)
+    key is missing. One bulk left join replaces per-row requests; Spark broadcasts
+    the lookup side by its size in bytes, or not. Of several lookup rows of a key the
+    one with the least value counts, so no row is multiplied."""
+    lk = lookup.groupBy(key).agg(F.min(value).alias(value))
     return (df.join(lk, key, "left")
               .withColumn(value, F.coalesce(F.col(value), F.lit(default))))

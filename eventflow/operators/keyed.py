@@ -8,50 +8,35 @@ of the rows is still processed by many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import lag_scan, lead_scan, scan, small_groups, time_buckets
+from eventflow.operators.scan import arrival_block, join_on, scan, time_bounds, with_time_bucket
 from eventflow.operators.windows import _ms
 from eventflow.session import materialize
 
 
-def arrival_block(order: str, block: int = 1 << 14) -> Column:
-    return F.floor(F.col(order) / F.lit(block))
-
-
-def time_scan_strategy(df: DataFrame, keys: list, ts: str, bucket: str | None,
-                       plain: bool | None = None) -> tuple:
-    """(plain, bucket width in us) for a per-key scan in ``ts`` order: a fixed
-    ``bucket`` width when given, else a width sized from the data."""
-    if bucket is not None:
-        return (small_groups(df, keys) if plain is None else plain), _ms(bucket) * 1000
-    p, width = time_buckets(df, keys, epoch_us(ts))
-    return (p if plain is None else plain), (width or 1)
-
-
-def time_bucket_col(ts: str, width_us: int) -> Column:
-    return F.floor(epoch_us(ts) / F.lit(width_us))
+def _by_time(df: DataFrame, ts: str, tie: str | None, bounds: list | None = None) -> tuple:
+    """(rows with _o and _bk, order): rows in ``ts`` order, cut into time buckets. Rows
+    of one instant follow ``tie``."""
+    bounds = time_bounds(df, epoch_us(ts)) if bounds is None else bounds
+    rows = with_time_bucket(df.withColumn("_o", epoch_us(ts)), F.col("_o"), bounds, "_bk")
+    return rows, ["_o", *([tie] if tie else [])]
 
 
 def rolling_sum(df: DataFrame, key: str, value: str, arrival: str, keep_first: list,
                 out: str = "running_sum") -> DataFrame:
     """O-A2 (``keyBy(k).sum(f)``): per row, the running sum of ``value`` for its
     key; the other fields keep the values of the key's *first* row."""
-    plain = small_groups(df, [key])
-    res = scan(df, value, [arrival], arrival_block(arrival), out, (key,), True, "sum", plain)
-    for c in keep_first:
-        res = scan(res.withColumnRenamed(c, f"_{c}"), f"_{c}", [arrival],
-                   arrival_block(arrival), c, (key,), True, "first", plain).drop(f"_{c}")
-    return res
+    outs = [(value, "sum", out), *((c, "first", c) for c in keep_first)]
+    return scan(df, outs, [arrival], arrival_block(df, arrival), (key,))
 
 
-def running_count(df: DataFrame, key: str, arrival: str, out: str = "cnt",
-                  plain: bool | None = None) -> DataFrame:
+def running_count(df: DataFrame, key: str, arrival: str, out: str = "cnt") -> DataFrame:
     """O-A3: running count per key, emitted per row."""
-    return (scan(df.withColumn("_one", F.lit(1)), "_one", [arrival], arrival_block(arrival),
-                 out, (key,), True, "sum", plain).drop("_one"))
+    return scan(df.withColumn("_one", F.lit(1)), [("_one", "sum", out)], [arrival],
+                arrival_block(df, arrival), (key,)).drop("_one")
 
 
 def threshold_counters(df: DataFrame, key: str, value: str, arrival: str, threshold: float,
@@ -61,9 +46,8 @@ def threshold_counters(df: DataFrame, key: str, value: str, arrival: str, thresh
     counter, made deterministic)."""
     hot = df.filter(F.col(value) > F.lit(threshold)).withColumn(
         "instance", F.pmod(F.col(key), F.lit(instances)))
-    by_key, by_instance = small_groups(hot, [key]), small_groups(hot, ["instance"])
-    hot = running_count(hot, key, arrival, "key_cnt", by_key)
-    return running_count(hot, "instance", arrival, "op_cnt", by_instance)
+    hot = running_count(hot, key, arrival, "key_cnt")
+    return running_count(hot, "instance", arrival, "op_cnt")
 
 
 def instance_counters(df: DataFrame, key: str, value: str, arrival: str, threshold: float,
@@ -75,30 +59,24 @@ def instance_counters(df: DataFrame, key: str, value: str, arrival: str, thresho
     return running_count(hot, "instance", arrival, "cnt")
 
 
-def previous_value(df: DataFrame, key: str, ts: str, value: str, bucket: str | None = None,
+def previous_value(df: DataFrame, key: str, ts: str, value: str, tie: str | None = None,
                    out: str = "prev", out_ts: str | None = None,
-                   plain: bool | None = None, bucket_col: Column | None = None) -> DataFrame:
-    """``lag`` of ``value`` (and optionally of ``ts``) per key in ``ts`` order."""
-    if bucket_col is None:
-        plain, width = time_scan_strategy(df, [key], ts, bucket, plain)
-        bucket_col = time_bucket_col(ts, width)
-    d = df.withColumn("_o", epoch_us(ts))
-    if out_ts:
-        d = d.withColumn("_pv", F.struct(F.col(value).alias("v"), F.col("_o").alias("t")))
-        d = lag_scan(d, "_pv", ["_o"], bucket_col, "_lag", (key,), plain)
-        return (d.withColumn(out, F.col("_lag.v")).withColumn(out_ts, F.col("_lag.t"))
-                 .drop("_pv", "_lag", "_o"))
-    return lag_scan(d, value, ["_o"], bucket_col, out, (key,), plain).drop("_o")
+                   bounds: list | None = None) -> DataFrame:
+    """``lag`` of ``value`` (and optionally of ``ts``, in microseconds) per key in ``ts``
+    order; rows of one instant follow ``tie``. ``bounds``: time buckets found before."""
+    d, order = _by_time(df, ts, tie, bounds)
+    outs = [(value, "lag", out), *([("_o", "lag", out_ts)] if out_ts else [])]
+    return scan(d, outs, order, F.col("_bk"), (key,)).drop("_o", "_bk")
 
 
 def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
-                first_as_zero: bool = False, bucket: str | None = None) -> DataFrame:
+                first_as_zero: bool = False, tie: str | None = None) -> DataFrame:
     """O-P1: |value - previous value| > threshold -> (key, value, diff).
 
     ``first_as_zero`` reproduces an empty state read as 0.0, so a first
     reading above the threshold alerts; by default the first reading never
     alerts."""
-    d = previous_value(df, key, ts, value, bucket)
+    d = previous_value(df, key, ts, value, tie)
     prev = F.coalesce("prev", F.lit(0.0)) if first_as_zero else F.col("prev")
     diff = F.abs(F.col(value) - prev)
     return (d.withColumn("diff", diff).filter(F.col("diff") > F.lit(threshold))
@@ -106,11 +84,11 @@ def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
 
 
 def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
-                              threshold: float, ttl: str, bucket: str | None = None) -> DataFrame:
+                              threshold: float, ttl: str, tie: str | None = None) -> DataFrame:
     """O-P2: like O-P1 with an empty state read as 0.0, but the state of a
     key is cleared ``ttl`` after its last reading, so the next reading after
     such a gap compares against 0.0 again."""
-    d = previous_value(df, key, ts, value, bucket, out="prev", out_ts="prev_us")
+    d = previous_value(df, key, ts, value, tie, out="prev", out_ts="prev_us")
     gap_ok = (epoch_us(ts) - F.col("prev_us")) < F.lit(_ms(ttl) * 1000)
     prev = F.when(gap_ok, F.col("prev")).otherwise(F.lit(0.0))
     return (d.withColumn("diff", F.abs(F.col(value) - prev))
@@ -118,8 +96,7 @@ def self_cleaning_delta_alert(df: DataFrame, key: str, ts: str, value: str,
              .select(key, ts, value, "diff"))
 
 
-def _successors(rises: DataFrame, interval_us: int, bucket_us: int,
-                plain: bool | None = None) -> DataFrame:
+def _successors(rises: DataFrame, interval_us: int, bounds: list) -> DataFrame:
     """For every rise o of a (key, run): the first rise at or after
     o + interval in the same run (``_j``, null when none). One reversed
     bucketed scan over rises (targets) and their query times."""
@@ -128,15 +105,14 @@ def _successors(rises: DataFrame, interval_us: int, bucket_us: int,
     qry = rises.select("_k", "_run", (F.col("_o") + F.lit(interval_us)).alias("_t"),
                        F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_val"),
                        F.col("_o").alias("_src"))
-    u = tgt.unionByName(qry).withColumn("_negt", -F.col("_t"))
-    u = scan(u, "_val", ["_negt", "_side"], F.floor(F.col("_negt") / F.lit(bucket_us)), "_nxt",
-             ("_k", "_run"), True, "last", plain)
+    u = with_time_bucket(tgt.unionByName(qry), F.col("_t"), bounds, "_bk").withColumn("_negt", -F.col("_t"))
+    u = scan(u, [("_val", "last", "_nxt")], ["_negt", "_side"], -F.col("_bk"), ("_k", "_run"))
     return u.filter(F.col("_side") == 1).select("_k", "_run", F.col("_src").alias("_o"),
                                                  F.col("_nxt").alias("_j"))
 
 
 def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
-                bucket: str | None = None) -> DataFrame:
+                tie: str | None = None) -> DataFrame:
     """O-P3: monotonic-rise alert with re-arming (event-time clock).
 
     Per key: the first reading and every decrease reset the state; a strict
@@ -152,22 +128,23 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     and never sits in one task. Jump tables are written with ``checkpoint()``.
     """
     iv = _ms(interval) * 1000
-    # One strategy for every scan below: runs and rises are subsets of a key's rows.
-    plain, width = time_scan_strategy(df, [key], ts, bucket)
-    bcol = time_bucket_col(ts, width)
-    d = previous_value(df.select(key, ts, value), key, ts, value, plain=plain, bucket_col=bcol)
-    d = d.withColumn("_o", epoch_us(ts))
+    # One set of time buckets for every scan below: runs and rises are subsets of the rows.
+    bounds = time_bounds(df, epoch_us(ts))
+    ties = [tie] if tie else []
+    d = previous_value(df.select(key, ts, value, *ties), key, ts, value, tie, bounds=bounds)
+    d, order = _by_time(d, ts, tie, bounds)
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
     d = d.withColumn("_reset", reset.cast("int")).withColumn(
         "_rise", (~reset) & (F.col(value) > F.col("prev")))
-    d = scan(d, "_reset", ["_o"], bcol, "_run", (key,), True, "sum", plain)
-    # Time of the next reset of the same key (the end of this row's run).
-    d = d.withColumn("_reset_at", F.when(F.col("_reset") == 1, F.col("_o")))
-    d = lead_scan(d, "_reset_at", ["_o"], bcol, "_next_reset", (key,), plain)
-    rises = materialize(d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o",
-                                                  "_next_reset"), keep_partitioning=False)
+    d = scan(d, [("_reset", "sum", "_run")], order, F.col("_bk"), (key,))
+    # Time of the next reset of the same key (the end of this row's run): the first row
+    # of the next run.
+    ends = (d.filter("_reset = 1").select(F.col(key).alias("_k"), (F.col("_run") - 1).alias("_run"),
+                                          F.col("_o").alias("_next_reset")))
+    rises = d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o")
+    rises = materialize(join_on(rises, ends, ["_k", "_run"]), keep_partitioning=False)
     ids = ["_k", "_run", "_o"]
-    levels = [materialize(_successors(rises, iv, width, plain), keep_partitioning=False)]
+    levels = [materialize(_successors(rises, iv, bounds), keep_partitioning=False)]
     while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
         nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
@@ -188,16 +165,12 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
 
 
 def count_with_timeout(df: DataFrame, key: str, ts: str, timeout: str,
-                       bucket: str | None = None) -> DataFrame:
+                       tie: str | None = None) -> DataFrame:
     """O-P4: running count per key; emitted with the key when ``timeout``
     passes after a row with no newer row of that key (or at end of input).
     The count is not reset."""
-    plain, width = time_scan_strategy(df, [key], ts, bucket)
-    bcol = time_bucket_col(ts, width)
-    d = df.select(key, ts).withColumn("_o", epoch_us(ts)).withColumn("_one", F.lit(1))
-    d = scan(d, "_one", ["_o"], bcol, "cnt", (key,), True, "sum", plain)
-    d = d.withColumn("_t", F.col("_o"))
-    d = lead_scan(d, "_t", ["_o"], bcol, "_next", (key,), plain)
+    d, order = _by_time(df.select(key, ts, *([tie] if tie else [])).withColumn("_one", F.lit(1)), ts, tie)
+    d = scan(d, [("_one", "sum", "cnt"), ("_o", "lead", "_next")], order, F.col("_bk"), (key,))
     to_us = _ms(timeout) * 1000
     emit = F.col("_next").isNull() | ((F.col("_next") - F.col("_o")) > F.lit(to_us))
     return d.filter(emit).select(

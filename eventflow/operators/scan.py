@@ -3,24 +3,24 @@
 A running value in arrival order (watermark = running max of event time) or in
 event-time order (as-of: the last control value at or before a row) is
 sequential by nature. An unpartitioned ``Window.orderBy`` would pull the whole
-table through one task. Instead we split the order into blocks:
+table through one task, and a window per key would pull a hot key through one. So
+the order is always split into blocks:
 
-1. inside a block, a window partitioned by (keys, block) does the scan;
-2. every block is summarised to one row (its max / its last value);
+1. inside a block, a window partitioned by (key, block) does the scan;
+2. every block is summarised to one row (its max / its last value / ...);
 3. an exclusive prefix over those summaries gives each block its carry-in;
-4. the carry-in joins back on (keys, block) - the big side is already hash
+4. the carry-in joins back on (key, block) - the big side is already hash
    partitioned on exactly those columns by step 1, so only the summary moves.
 
-For arrival-order blocks the number of summaries grows with the data, so the
-prefix in step 3 is itself done in two levels (blocks of blocks). For time
-buckets the number of summaries is bounded by time span / bucket width.
+There is one plan for every input size. Arrival-order blocks are
+``spark.eventflow.scan.arrivalBlock`` consecutive ids wide (default 262,144). Time buckets
+are cut by counts: their borders are quantiles of the rows' times, so a bucket of
+all keys together holds about ``spark.eventflow.scan.bucketRows`` rows (default
+1,000,000; at least 1/4096 of all rows) whatever bursts the data have, and no
+(key, bucket) can hold more. Only rows of one instant cannot be cut.
 
-Size-checked fast path: when the largest group (rows per key, or all rows
-when there is no key) is at most ``spark.eventflow.scan.plainMaxRows`` (default
-1,000,000 - a sort one task does in about a second), a single window does
-the scan. The bound is checked with one aggregate over the key columns, like a
-broadcast size check; beyond it the block scan runs. Set the option to 0 to
-always use blocks.
+Keys are grouped as one struct column, in which nulls are equal, so a null key of
+any type is a group like any other.
 """
 
 from __future__ import annotations
@@ -30,99 +30,44 @@ from pyspark.sql import functions as F
 
 UNB = Window.unboundedPreceding
 
-PLAIN_MAX_ROWS_CONF = "spark.eventflow.scan.plainMaxRows"
-DEFAULT_PLAIN_MAX_ROWS = 1_000_000
-
-
-def plain_max_rows(spark) -> int:
-    return int(spark.conf.get(PLAIN_MAX_ROWS_CONF, str(DEFAULT_PLAIN_MAX_ROWS)))
-
-
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows in the largest group of ``keys`` (all rows when no key)."""
-    keys = list(keys)
-    if not keys:
-        return df.count()
-    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(r or 0)
-
-
+ARRIVAL_BLOCK_CONF = "spark.eventflow.scan.arrivalBlock"
+DEFAULT_ARRIVAL_BLOCK = 1 << 18
 BUCKET_ROWS_CONF = "spark.eventflow.scan.bucketRows"
 DEFAULT_BUCKET_ROWS = 1_000_000
+QUANTILES = 4096
 
 
-def time_buckets(df: DataFrame, keys, t_us: Column) -> tuple:
-    """Strategy for a scan ordered by time ``t_us`` (epoch microseconds).
+def arrival_block(df: DataFrame, order: str) -> Column:
+    """The arrival block of a row, from a dense-ish integer arrival sequence."""
+    width = int(df.sparkSession.conf.get(ARRIVAL_BLOCK_CONF, str(DEFAULT_ARRIVAL_BLOCK)))
+    return F.floor(F.col(order) / F.lit(width))
 
-    One aggregate gives the largest group and the time span. Returns
-    ``(True, None)`` when every group fits the single-window fast path, else
-    ``(False, width_us)`` with a bucket width chosen so that the largest group
-    gets about ``spark.eventflow.scan.bucketRows`` rows per bucket: the width follows
-    the data volume, so a key holding a third of all rows is cut into many
-    buckets instead of a fixed number of days."""
-    keys = list(keys)
-    spark = df.sparkSession
-    limit = plain_max_rows(spark)
-    target = int(spark.conf.get(BUCKET_ROWS_CONF, str(DEFAULT_BUCKET_ROWS)))
-    d = df.select(*keys, t_us.alias("_t"))
-    if keys:
-        d = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                                 F.max("_t").alias("_hi"))
-        row = d.agg(F.max("_n"), F.min("_lo"), F.max("_hi")).first()
-    else:
-        row = d.agg(F.count(F.lit(1)), F.min("_t"), F.max("_t")).first()
-    n, lo, hi = int(row[0] or 0), row[1], row[2]
-    if limit > 0 and n <= limit:
-        return True, None
-    if n == 0 or lo is None:
-        return False, 1
-    return False, max(1, -(-(int(hi) - int(lo) + 1) * max(target, 1) // n))
-
-
-def small_groups(df: DataFrame, keys) -> bool:
-    """True when every group fits the fast path (one checked aggregate)."""
-    limit = plain_max_rows(df.sparkSession)
-    return limit > 0 and largest_group(df.select(*keys) if keys else df, keys) <= limit
-
-
-def _encode_keys(df: DataFrame, keys: list) -> tuple:
-    """Null-safe key columns for the block path: each key becomes (value with
-    nulls replaced by a type default, null flag). Windows, summaries and the
-    carry join all use these plain, non-null columns, so a null key is a group
-    like any other and the join keeps the window's hash partitioning (a
-    ``<=>`` join would re-shuffle the rows)."""
-    from pyspark.sql import types as T
-    enc = []
-    for i, k in enumerate(keys):
-        dt = df.schema[k].dataType
-        if isinstance(dt, T.NumericType):
-            default = F.lit(0).cast(dt)
-        elif isinstance(dt, T.StringType):
-            default = F.lit("")
-        elif isinstance(dt, T.BooleanType):
-            default = F.lit(False)
-        elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            default = F.lit("1970-01-01").cast(dt)
-        else:
-            enc.append(k)
-            continue
-        df = (df.withColumn(f"_kv{i}", F.coalesce(F.col(k), default))
-                .withColumn(f"_kn{i}", F.col(k).isNull()))
-        enc += [f"_kv{i}", f"_kn{i}"]
-    return df, enc
 
+def time_bounds(df: DataFrame, t_us: Column) -> list:
+    """Borders that cut the rows' times (epoch microseconds) into buckets of about
+    the configured number of rows: one aggregate, quantiles of bounded size."""
+    target = max(1, int(df.sparkSession.conf.get(BUCKET_ROWS_CONF, str(DEFAULT_BUCKET_ROWS))))
+    points = [i / QUANTILES for i in range(1, QUANTILES)]
+    row = df.agg(F.count(t_us), F.percentile_approx(t_us, points, 10 * QUANTILES)).first()
+    if not row[0] or row[0] <= target:
+        return []
+    step = max(1, QUANTILES * target // row[0])
+    return sorted({float(t) for t in row[1][step - 1::step]})
 
-def _drop_encoded(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_kv") or c.startswith("_kn")])
 
+def with_time_bucket(df: DataFrame, t_us: Column, bounds: list, out: str) -> DataFrame:
+    """Adds the number of the bucket that ``t_us`` falls into (binary search in the
+    JVM); rows without a time go to the first."""
+    if not bounds:  # one bucket; not a constant, so that joins on it stay equi-joins
+        return df.withColumn(out, F.pmod(F.coalesce(t_us, F.lit(0)), F.lit(1)).cast("bigint"))
+    from pyspark.ml.feature import Bucketizer
+    d = df.withColumn("_bt", F.coalesce(t_us.cast("double"), F.lit(-1e300)))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_bt", outputCol="_bi")
+    return cut.transform(d).withColumn(out, F.col("_bi").cast("bigint")).drop("_bt", "_bi")
 
-def _join_on(left: DataFrame, right: DataFrame, cols: list, how: str = "left") -> DataFrame:
-    """Join on ``cols`` treating null keys as equal (a null key is a group
-    like any other), keeping one copy of each join column."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
-    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
-    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+def _key(keys: list) -> Column:
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
 
 
 def _prefix_max_exclusive(tbl: DataFrame, keys: list, idx: str, val: str,
@@ -142,110 +87,100 @@ def _prefix_max_exclusive(tbl: DataFrame, keys: list, idx: str, val: str,
 
 
 def running_max_before(df: DataFrame, value: str, order: str, out: str,
-                       keys: tuple = (), block: int = 1 << 14,
-                       fanout: int = 1 << 10, inclusive: bool = False,
-                       plain: bool | None = None) -> DataFrame:
+                       keys: tuple = (), block: int | None = None,
+                       fanout: int = 1 << 10, inclusive: bool = False) -> DataFrame:
     """``out`` = max(value) over the rows (same keys) whose ``order`` is
     smaller than this row's (``inclusive`` adds the row itself).
 
-    ``order`` must be a dense-ish integer arrival sequence (e.g. event_id);
-    blocks of ``block`` consecutive ids give balanced tasks regardless of key
-    skew.
+    ``order`` must be a dense-ish integer arrival sequence (e.g. event_id); blocks of
+    consecutive ids give balanced tasks regardless of key skew. Block summaries
+    grow with the data, so their prefix runs in two levels.
     """
     keys = list(keys)
-    if plain is None:
-        plain = small_groups(df, keys)
-    if plain:
-        w = ((Window.partitionBy(*keys) if keys else Window).orderBy(order)
-             .rowsBetween(UNB, 0 if inclusive else -1))
-        return df.withColumn(out, F.max(value).over(w))
-    df, ek = _encode_keys(df, keys)
-    blk = F.floor(F.col(order) / F.lit(block))
-    rows = df.withColumn("_blk", blk)
-    w_in = (Window.partitionBy(*ek, "_blk").orderBy(order)
+    k = ["_key"] if keys else []
+    rows = df.withColumn("_blk", arrival_block(df, order) if block is None
+                         else F.floor(F.col(order) / F.lit(block)))
+    if keys:
+        rows = rows.withColumn("_key", _key(keys))
+    w_in = (Window.partitionBy(*k, "_blk").orderBy(order)
             .rowsBetween(UNB, 0 if inclusive else -1))
     rows = rows.withColumn("_in", F.max(value).over(w_in))
-    blocks = rows.groupBy(*ek, "_blk").agg(F.max(value).alias("_bmax"))
-    blocks = _prefix_max_exclusive(blocks, ek, "_blk", "_bmax", fanout, "_carry").drop("_bmax")
-    return _drop_encoded(rows.join(blocks, [*ek, "_blk"], "left")
-                         .withColumn(out, F.greatest("_in", "_carry"))
-                         .drop("_blk", "_in", "_carry"))
+    blocks = rows.groupBy(*k, "_blk").agg(F.max(value).alias("_bmax"))
+    blocks = _prefix_max_exclusive(blocks, k, "_blk", "_bmax", fanout, "_carry").drop("_bmax")
+    return (rows.join(blocks, [*k, "_blk"], "left")
+            .withColumn(out, F.greatest("_in", "_carry"))
+            .drop("_blk", "_in", "_carry", "_key"))
 
 
-_IN = {"last": lambda c: F.last(c, ignorenulls=True),
-       "first": lambda c: F.first(c, ignorenulls=True),
-       "max": F.max, "min": F.min, "sum": F.sum}
-_CARRY = _IN
+_AGG = {"last": lambda c: F.last(c, ignorenulls=True),
+        "first": lambda c: F.first(c, ignorenulls=True),
+        "max": F.max, "min": F.min, "sum": F.sum}
 
 
-def _combine(how: str, a: str, b: str) -> Column:
+def _combine(how: str, here: Column, carry: Column) -> Column:
     if how == "last":
-        return F.coalesce(a, b)
+        return F.coalesce(here, carry)
     if how == "first":
-        return F.coalesce(b, a)
+        return F.coalesce(carry, here)
     if how == "max":
-        return F.greatest(a, b)
+        return F.greatest(here, carry)
     if how == "min":
-        return F.least(a, b)
-    return F.coalesce(F.col(a), F.lit(0)) + F.coalesce(F.col(b), F.lit(0))
-
-
-def scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-         keys: tuple = (), inclusive: bool = True, how: str = "last",
-         plain: bool | None = None) -> DataFrame:
-    """Ordered running aggregate per key without a per-key sort of all rows.
+        return F.least(here, carry)
+    if how in ("lag", "lead"):
+        return F.coalesce(here, carry)["v"]
+    return F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0))
+
+
+def scan(df: DataFrame, outs: list, order: list, bucket: Column, keys: tuple = (),
+         inclusive: bool = True) -> DataFrame:
+    """Ordered running aggregates per key without a per-key sort of all rows.
+
+    ``outs`` is a list of (value column, how, out): agg(value) over rows of the same
+    keys at or before this row in ``order`` (strictly before when not
+    ``inclusive``); ``how`` is ``last`` (last non-null), ``first`` (first non-null),
+    ``max``, ``min`` or ``sum``; or ``lag``/``lead``: the value of the row just before or
+    after, null ones included. All outputs share one pass.
+
+    ``order`` should be total (end with a tie-breaker). ``bucket`` must be a monotone
+    function of it (a time bucket, or an arrival block). Each window partition is
+    (keys, bucket), so a hot key is spread over its buckets; the carry-in from
+    other buckets is computed on one summary row per (keys, bucket).
+    """
+    rows = df.withColumn("_key", _key(list(keys))).withColumn("_bkt", bucket)
+    inside = Window.partitionBy("_key", "_bkt").orderBy(*order)
+    running = inside.rowsBetween(UNB, 0 if inclusive else -1)
+    between = Window.partitionBy("_key").orderBy("_bkt")
+    before = between.rowsBetween(UNB, -1)
+    at = F.struct(*[F.col(c) for c in order])
+    here, summary, carry = [], [], []
+    for i, (value, how, _) in enumerate(outs):
+        v, total = F.col(value), F.col(f"_s{i}")
+        boxed = F.struct(v.alias("v"))
+        if how in ("lag", "lead"):
+            move = F.lag if how == "lag" else F.lead
+            here.append(move(boxed).over(inside).alias(f"_h{i}"))
+            summary.append((F.max_by if how == "lag" else F.min_by)(boxed, at).alias(f"_s{i}"))
+            carry.append(move(total).over(between).alias(f"_c{i}"))
+            continue
+        here.append(_AGG[how](v).over(running).alias(f"_h{i}"))
+        if how in ("last", "first"):
+            pick = F.max_by if how == "last" else F.min_by
+            summary.append(pick(v, F.when(v.isNotNull(), at)).alias(f"_s{i}"))
+        else:
+            summary.append(_AGG[how](v).alias(f"_s{i}"))
+        carry.append(_AGG[how](total).over(before).alias(f"_c{i}"))
+    sums = rows.groupBy("_key", "_bkt").agg(*summary).select("_key", "_bkt", *carry)
+    got = rows.select("*", *here).join(sums, ["_key", "_bkt"], "left")
+    names = {out for _, _, out in outs}
+    return got.select(*[c for c in df.columns if c not in names],
+                      *[_combine(how, F.col(f"_h{i}"), F.col(f"_c{i}")).alias(out)
+                        for i, (_, how, out) in enumerate(outs)])
 
-    ``out`` = agg(value) over rows of the same keys at or before this row in
-    ``order`` (strictly before when not ``inclusive``); ``how`` is ``last``
-    (last non-null), ``first`` (first non-null), ``max``, ``min`` or ``sum``.
 
-    ``bucket`` must be a monotone function of the order (a time bucket, or an
-    arrival block). Each window partition is (keys, bucket), so a hot key is
-    spread over its buckets; the carry-in from earlier buckets is computed on
-    one summary row per (keys, bucket) - bounded by keys x span / width.
-    """
-    keys = list(keys)
-    if plain is None:
-        plain = small_groups(df, keys)
-    if plain:
-        w = ((Window.partitionBy(*keys) if keys else Window).orderBy(*order)
-             .rowsBetween(UNB, 0 if inclusive else -1))
-        res = _IN[how](value).over(w)
-        if how == "sum":
-            res = F.coalesce(res, F.lit(0))
-        return df.withColumn(out, res)
-    df, keys = _encode_keys(df, keys)
-    rows = df.withColumn("_bkt", bucket)
-    w_in = (Window.partitionBy(*keys, "_bkt").orderBy(*order)
-            .rowsBetween(UNB, 0 if inclusive else -1))
-    rows = rows.withColumn("_in", _IN[how](value).over(w_in))
-    ord_struct = F.struct(*[F.col(c) for c in order])
-    if how == "last":
-        summary = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), ord_struct))
-    elif how == "first":
-        summary = F.min_by(F.col(value), F.when(F.col(value).isNotNull(), ord_struct))
-    else:
-        summary = _IN[how](value)
-    summ = rows.groupBy(*keys, "_bkt").agg(summary.alias("_bagg"))
-    w_b = (Window.partitionBy(*keys) if keys else Window).orderBy("_bkt").rowsBetween(UNB, -1)
-    carry = (summ.withColumn("_carry", _CARRY[how]("_bagg").over(w_b))
-                 .select(*keys, "_bkt", "_carry"))
-    return _drop_encoded(rows.join(carry, [*keys, "_bkt"], "left")
-                         .withColumn(out, _combine(how, "_in", "_carry"))
-                         .drop("_bkt", "_in", "_carry"))
-
-
-def lag_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-             keys: tuple = (), plain: bool | None = None) -> DataFrame:
-    """``lag(value)`` per key for a never-null ``value`` (previous row's value),
-    computed bucket-wise so a hot key does not sort in one task."""
-    return scan(df, value, order, bucket, out, keys, inclusive=False, how="last", plain=plain)
-
-
-def lead_scan(df: DataFrame, value: str, order: list, bucket: Column, out: str,
-              keys: tuple = (), plain: bool | None = None) -> DataFrame:
-    """``lead(value)`` per key: the same scan in reverse order."""
-    rev = df.select("*", *[(-F.col(c)).alias(f"_rev_{c}") for c in order])
-    res = scan(rev, value, [f"_rev_{c}" for c in order], -bucket, out, keys,
-               inclusive=False, how="last", plain=plain)
-    return res.drop(*[f"_rev_{c}" for c in order])
+def join_on(left: DataFrame, right: DataFrame, cols: list, how: str = "left") -> DataFrame:
+    """Join on ``cols`` treating null keys as equal (a null key is a group
+    like any other), keeping one copy of each join column."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])

@@ -170,22 +170,19 @@ def early_firing_counts(df: DataFrame, keys: list, ts: str, size: str, tick: str
     return early.unionByName(final)
 
 
-def running_detail(df: DataFrame, keys: list, ts: str, size: str, arrival: str,
-                   block: int = 1 << 14) -> DataFrame:
+def running_detail(df: DataFrame, keys: list, ts: str, size: str, arrival: str) -> DataFrame:
     """O-G13: one output per element with the running size of its window, the
     first row's ts, this row's ts, window start and end (arrival order).
 
-    Running size and first ts are scans over (key, window) in arrival blocks,
+    Running size and first ts come from one scan over (key, window) in arrival blocks,
     so a hot (key, window) is not sorted in one task.
     """
-    from eventflow.operators.scan import scan, small_groups
+    from eventflow.operators.scan import arrival_block, scan
     w = F.window(ts, size)
     rows = (df.withColumn("window_start", w.start).withColumn("window_end", w.end)
               .withColumn("_one", F.lit(1)))
     grp = (*keys, "window_start", "window_end")
-    blk = F.floor(F.col(arrival) / F.lit(block))
-    plain = small_groups(rows, list(grp))
-    rows = scan(rows, "_one", [arrival], blk, "size", grp, True, "sum", plain)
-    rows = scan(rows, ts, [arrival], blk, "first_ts", grp, True, "first", plain)
+    rows = scan(rows, [("_one", "sum", "size"), (ts, "first", "first_ts")], [arrival],
+                arrival_block(rows, arrival), grp)
     return rows.select(*keys, F.col("size").cast("bigint").alias("size"), "first_ts",
                        F.col(ts).alias("ts"), "window_start", "window_end")

@@ -12,7 +12,7 @@ from eventflow.operators import keyed as K
 from eventflow.plans.common import (FIRE_ALERT, FREEZING_ALARM, LATE_DELAY, LATE_LATENESS,
                                     LATE_WINDOW, ROOM_PREFIX, SPLIT_DELAY, TUMBLE, UNKNOWN_ROOM,
                                     events, out_of_order, r6, sensors)
-from eventflow.operators.scan import small_groups
+from eventflow.operators.scan import time_bounds
 from eventflow.plans.registry import register
 from eventflow.sinks.upsert import latest_per_key
 
@@ -142,9 +142,7 @@ def m8_allowed_lateness(spark, sf):
     update per accepted late row; rows later than that are dropped."""
     base = _ooo(spark, sf).withColumnRenamed("user_id", "id")
     d = T.with_watermark_column(base, "ts2", "event_id", LATE_DELAY, "wm")
-    plain = small_groups(base, ["id"])   # bounds every (id, window) group
-    return T.allowed_lateness_counts(d, ["id"], "ts2", LATE_WINDOW, LATE_LATENESS, "event_id",
-                                     plain=plain)
+    return T.allowed_lateness_counts(d, ["id"], "ts2", LATE_WINDOW, LATE_LATENESS, "event_id")
 
 
 @register("m9_side_output", """
@@ -161,8 +159,8 @@ def m9_side_output(spark, sf):
 # ----------------------------------------------------------------- joins ----
 
 @register("j1_asof_alert", """
-WITH c AS (SELECT ts, CASE WHEN value > 50 THEN 'High' ELSE 'Low' END AS level
-           FROM events WHERE event_type = 'error'),
+WITH c AS (SELECT ts, arg_max(CASE WHEN value > 50 THEN 'High' ELSE 'Low' END, event_id) AS level
+           FROM events WHERE event_type = 'error' GROUP BY ts),
 r AS (SELECT event_id, user_id AS id, ts, value AS temperature FROM events
       WHERE event_type <> 'error' AND value > 100)
 SELECT r.event_id, r.id, r.ts, r.temperature,
@@ -175,10 +173,10 @@ def j1_asof_alert(spark, sf):
     replaces the broadcast state."""
     ev = events(spark, sf)
     smoke = ev.filter(F.col("event_type") == "error").select(
-        "ts", F.when(F.col("value") > 50, "High").otherwise("Low").alias("level"))
+        "event_id", "ts", F.when(F.col("value") > 50, "High").otherwise("Low").alias("level"))
     readings = sensors(ev.filter(F.col("event_type") != "error")).filter(
         F.col("temperature") > HIGH_TEMP)
-    d = J.asof_join(readings, smoke, "ts", ["level"])
+    d = J.asof_join(readings, smoke, "ts", ["level"], tie="event_id")
     return (d.filter(F.coalesce("level", F.lit("Low")) == "High")
              .select("event_id", "id", "ts", "temperature",
                      F.concat(F.lit(FIRE_ALERT),
@@ -186,10 +184,11 @@ def j1_asof_alert(spark, sf):
 
 
 @register("j2_threshold_alert", """
-WITH t AS (SELECT user_id AS id, ts, CASE WHEN event_id % 4 = 0 THEN 0.0 ELSE value END AS threshold
-           FROM events WHERE event_type = 'signup'),
+WITH t AS (SELECT user_id AS id, ts,
+                  arg_max(CASE WHEN event_id % 4 = 0 THEN 0.0 ELSE value END, event_id) AS threshold
+           FROM events WHERE event_type = 'signup' GROUP BY user_id, ts),
 r AS (SELECT event_id, user_id AS id, ts, value AS temperature,
-             coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts), 0.0) AS last_temp
+             coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0.0) AS last_temp
       FROM events WHERE event_type <> 'signup')
 SELECT r.id, r.ts, r.temperature, round(abs(r.temperature - r.last_temp), 6) AS diff
 FROM r ASOF LEFT JOIN t ON r.id = t.id AND r.ts >= t.ts
@@ -199,17 +198,15 @@ def j2_threshold_alert(spark, sf):
     |temperature - last temperature| exceeds the threshold in force."""
     ev = events(spark, sf)
     thr = ev.filter(F.col("event_type") == "signup").select(
-        F.col("user_id").alias("id"), "ts",
+        F.col("user_id").alias("id"), "ts", "event_id",
         F.when(F.pmod("event_id", F.lit(4)) == 0, F.lit(0.0)).otherwise(F.col("value"))
         .alias("threshold"))
     readings = sensors(ev.filter(F.col("event_type") != "signup"))
-    # One strategy from the base events serves both scans (readings and
-    # thresholds are subsets of the same keyed rows).
-    plain, width = K.time_scan_strategy(ev.select(F.col("user_id").alias("id"), "ts"), ["id"],
-                                        "ts", None)
-    readings = K.previous_value(readings, "id", "ts", "temperature", out="last_temp",
-                                plain=plain, bucket_col=K.time_bucket_col("ts", width))
-    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), plain=plain, bucket_us=width)
+    # One set of time buckets from the base events serves both scans.
+    bounds = time_bounds(ev, T.epoch_us("ts"))
+    readings = K.previous_value(readings, "id", "ts", "temperature", "event_id", out="last_temp",
+                                bounds=bounds)
+    d = J.asof_join(readings, thr, "ts", ["threshold"], keys=("id",), tie="event_id", bounds=bounds)
     diff = F.abs(F.col("temperature") - F.coalesce("last_temp", F.lit(0.0)))
     return (d.filter(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0)
                      & (diff > F.col("threshold")))
@@ -231,7 +228,8 @@ def j3_interval_forward(spark, sf):
         F.timestamp_micros(T.epoch_us("ts") + F.round(F.col("value") * 3.6e9).cast("bigint"))
         .cast("timestamp_ntz").alias("until"))
     readings = sensors(ev.filter(F.col("event_type") == "purchase"))
-    return J.interval_semi_join(readings, sw, ["id"], "ts", "until")
+    return J.interval_semi_join(readings, sw, ["id"], "ts", "until",
+                                bounds=time_bounds(ev, T.epoch_us("ts")))
 
 
 @register("j4_lookup_enrich", f"""
@@ -247,7 +245,7 @@ def j4_lookup_enrich(spark, sf):
                 .withColumn("room", F.concat(F.lit(ROOM_PREFIX),
                                              F.pmod("user_id", F.lit(10)).cast("string"))))
     d = J.lookup_enrich(ev.select("event_id", "user_id"), lookup, "user_id", "room",
-                        UNKNOWN_ROOM, max_broadcast_rows=LOOKUP_MAX_SENSOR)
+                        UNKNOWN_ROOM)
     return d.select("event_id", F.col("user_id").alias("id"), "room")
 
 
@@ -304,11 +302,12 @@ def a6_instance_counters(spark, sf):
 @register("p1_delta_alert", f"""
 SELECT id, ts, temperature, round(d, 6) AS diff FROM (
   SELECT user_id AS id, ts, value AS temperature,
-         abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts)) AS d FROM events)
+         abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS d FROM events)
 WHERE d > {ALERT_THRESHOLD}""")
 def p1_delta_alert(spark, sf):
     """O-P1: |temperature - previous| > 50 (first reading never alerts)."""
-    d = K.delta_alert(sensors(events(spark, sf)), "id", "ts", "temperature", ALERT_THRESHOLD)
+    d = K.delta_alert(sensors(events(spark, sf)), "id", "ts", "temperature", ALERT_THRESHOLD,
+                      tie="event_id")
     return d.withColumn("diff", r6("diff"))
 
 
@@ -318,24 +317,24 @@ SELECT id, ts, temperature, round(d, 6) AS diff FROM (
          abs(temperature - CASE WHEN prev_ts IS NOT NULL AND ts - prev_ts < INTERVAL 1 DAY
                                 THEN prev ELSE 0.0 END) AS d
   FROM (SELECT user_id AS id, ts, value AS temperature,
-               lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS prev,
-               lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev_ts FROM events))
+               lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev,
+               lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events))
 WHERE d > {ALERT_THRESHOLD}""")
 def p2_self_cleaning_alert(spark, sf):
     """O-P2: delta alert whose state is cleared 1 day after a key's last
     reading; an empty state reads as 0.0."""
     d = K.self_cleaning_delta_alert(sensors(events(spark, sf)), "id", "ts", "temperature",
-                                    ALERT_THRESHOLD, TTL)
+                                    ALERT_THRESHOLD, TTL, tie="event_id")
     return d.withColumn("diff", r6("diff"))
 
 
 @register("p3_rise_alert", """
 WITH RECURSIVE
-r AS (SELECT user_id AS id, epoch_us(ts) AS o, value AS v,
-             lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+r AS (SELECT user_id AS id, epoch_us(ts) AS o, event_id, value AS v,
+             lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
 f AS (SELECT *, (prev IS NULL OR v < prev OR prev = 0.0) AS is_reset FROM r),
 g AS (SELECT *, sum(CASE WHEN is_reset THEN 1 ELSE 0 END) OVER
-                (PARTITION BY id ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f),
+                (PARTITION BY id ORDER BY o, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f),
 runs AS (SELECT id, run, min(o) AS run_start FROM g GROUP BY id, run),
 run_end AS (SELECT a.id, a.run, b.run_start AS next_reset FROM runs a
             LEFT JOIN runs b ON a.id = b.id AND b.run = a.run + 1),
@@ -352,18 +351,20 @@ WHERE e.next_reset IS NULL OR e.next_reset >= c.fire""")
 def p3_rise_alert(spark, sf):
     """O-P3: alert when a sensor's temperature rose monotonically for 6 h;
     a decrease cancels, a firing re-arms at the next rise."""
-    return K.rise_alerts(sensors(events(spark, sf)), "id", "ts", "temperature", RISE_INTERVAL)
+    return K.rise_alerts(sensors(events(spark, sf)), "id", "ts", "temperature", RISE_INTERVAL,
+                         tie="event_id")
 
 
 @register("p4_count_timeout", f"""
 SELECT id, cnt, ts + INTERVAL 12 HOUR AS emit_ts FROM (
-  SELECT user_id AS id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts {_RUN}) AS cnt,
-         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS nxt FROM events)
+  SELECT user_id AS id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id {_RUN}) AS cnt,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events)
 WHERE nxt IS NULL OR epoch_us(nxt) - epoch_us(ts) > 43200000000""")
 def p4_count_timeout(spark, sf):
     """O-P4: running count per key, emitted 12 h after a key's last row if no
     newer row came (count not reset)."""
-    return K.count_with_timeout(sensors(events(spark, sf)), "id", "ts", COUNT_TIMEOUT)
+    return K.count_with_timeout(sensors(events(spark, sf)), "id", "ts", COUNT_TIMEOUT,
+                                tie="event_id")
 
 
 def _window_max(spark, sf):

@@ -79,7 +79,10 @@ class WriteAheadSink:
         return True
 
     def read(self) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(f"{self.root}/data")
+        """The rows of committed batches; a batch written but not yet recorded is not
+        visible."""
+        rows = self.spark.read.format(self.fmt).load(f"{self.root}/data")
+        return rows.where(F.col("batch") <= self.last_committed())
 
     def foreach_batch(self):
         def fn(df: DataFrame, batch_id: int) -> None:
@@ -103,19 +106,16 @@ def with_retries(fn, attempts: int = 5, backoff_s: float = 0.5):
 class JsonDocumentSink:
     """O-K6 on a stream: each micro-batch's documents go to
     ``root/index/type/batch=<id>`` (overwritten on replay, so a retried batch
-    is written once), with bounded retries. ``max_docs_per_file`` caps the
-    bulk size per output file."""
+    is written once), with bounded retries. File sizes are Spark's own; a connector's
+    bulk size is that connector's option."""
 
-    def __init__(self, root: str, index: str, doc_type: str, doc_col: str = "doc",
-                 max_docs_per_file: int = 1000, attempts: int = 5, backoff_s: float = 0.5):
+    def __init__(self, root: str, index: str, doc_type: str, doc_col: str = "doc", attempts: int = 5, backoff_s: float = 0.5):
         self.target = f"{root.rstrip('/')}/{index}/{doc_type}"
-        self.doc_col, self.max_docs = doc_col, max_docs_per_file
-        self.attempts, self.backoff_s = attempts, backoff_s
+        self.doc_col, self.attempts, self.backoff_s = doc_col, attempts, backoff_s
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         out = df.select(F.col(self.doc_col).alias("value"))
         with_retries(lambda: out.write.mode("overwrite")
-                     .option("maxRecordsPerFile", self.max_docs)
                      .text(f"{self.target}/batch={batch_id}"), self.attempts, self.backoff_s)
 
     def foreach_batch(self):

@@ -28,12 +28,12 @@ def latest_per_key(updates: DataFrame, key: list, order: list) -> DataFrame:
 
 def merge_latest(target: DataFrame | None, updates: DataFrame, key: list,
                  order: list) -> DataFrame:
-    """Keyed merge: last write per key wins (target rows of untouched keys stay)."""
-    latest = latest_per_key(updates, key, order)
-    if target is None:
-        return latest
-    kept = target.join(latest.select(*key), key, "left_anti")
-    return kept.unionByName(latest.select(*target.columns))
+    """Keyed merge: the row with the greatest ``order`` per key wins, whichever batch
+    brought it, so the result does not depend on batch boundaries. Null keys are one
+    key."""
+    if target is not None:
+        updates = target.unionByName(updates.select(*target.columns))
+    return latest_per_key(updates, key, order)
 
 
 class VersionedKeyedTable:

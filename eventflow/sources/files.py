@@ -28,7 +28,7 @@ def delimited(spark: SparkSession, path: str, schema: str, sep: str = " ",
 
 
 def kafka_options(servers: str, topic: str, start: str = "earliest",
-                  group_id: str | None = None) -> dict:
+                  group_id: str | None = None, fail_on_data_loss: bool = True) -> dict:
     """O-S5: Kafka source options. ``start`` is ``earliest`` or ``latest``;
     ``group`` resumes from the query's own checkpointed offsets (the
     checkpointLocation plays the role of committed group offsets) and starts
@@ -37,7 +37,7 @@ def kafka_options(servers: str, topic: str, start: str = "earliest",
         raise ValueError(f"unknown start position: {start}")
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic,
             "startingOffsets": "earliest" if start == "group" else start,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     return opts

@@ -36,19 +36,13 @@ def out_of_order(ev: DataFrame, jitter_seconds: int = 25200) -> DataFrame:
             secs=F.pmod(F.col("event_id") * 7919, F.lit(jitter_seconds)).cast("decimal(18,6)")))
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Spread rows round-robin over the default parallelism when the scan has
-    fewer input partitions than that (e.g. a single parquet row group), so a
-    CPU-heavy step such as tokenizing does not run in one task. A large input
-    has many more splits than cores, and this is then a no-op."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a JVM context
-        return df
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+TEXT_PARTITIONS_CONF = "spark.eventflow.text.partitions"
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A text-bearing table (documents, conversations) ready for tokenizing."""
-    return spread_if_narrow(table(spark, sf_dir, name))
+    """A text-bearing table (documents, conversations) for tokenizing, in the splits of
+    its files. Where files are few and cannot be split (a single row group),
+    ``spark.eventflow.text.partitions`` deals the rows out to that many tasks."""
+    df = table(spark, sf_dir, name)
+    n = spark.conf.get(TEXT_PARTITIONS_CONF, None)
+    return df.repartition(int(n)) if n else df

@@ -14,18 +14,6 @@ from pyspark.sql import functions as F
 from eventflow.operators.windows import top_n
 
 
-def write_replay_files(df: DataFrame, path: str, order: str, n_files: int) -> None:
-    """Write ``df`` as ``n_files`` parquet files in ``order`` ranges (one
-    directory per part, written in order) for a file-stream replay."""
-    b = df.agg(F.min(order), F.max(order)).first()
-    lo, hi = int(b[0]), int(b[1])
-    step = (hi - lo) // n_files + 1
-    for i in range(n_files):
-        part = df.filter((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("overwrite").parquet(f"{path}/part-{i:04d}")
-        time.sleep(1.05)  # file streams order files by modification time
-
-
 def replay_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
             .option("recursiveFileLookup", "true").parquet(path))

@@ -60,4 +60,6 @@ class LateSplitter:
         df.unpersist()
 
     def read(self, which: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(f"{self.root}/{which}")
+        """``main`` or ``late`` rows of committed batches."""
+        rows = self.spark.read.format(self.fmt).load(f"{self.root}/{which}")
+        return rows.where(F.col("batch") <= self._ledger()["batch_id"])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
-from eventflow.operators.scan import _join_on, running_max_before, scan
+from eventflow.operators.scan import join_on, running_max_before, scan
 from eventflow.operators.windows import _ms
 from eventflow.sinks import fs
 
@@ -84,9 +84,9 @@ class LatenessWindowCounter:
 
         # Late rows within the lateness: rank among the window's kept rows.
         late = d.filter("_ok").withColumn("_one", F.lit(1))
-        late = scan(late, "_one", [self.arrival], F.floor(F.col(self.arrival) / F.lit(self.block)),
-                    "_k", (*keys, wend), True, "sum")
-        late = _join_on(late, merged.select(*keys, wend, "s_on", "s_late", "b_on"),
+        late = scan(late, [("_one", "sum", "_k")], [self.arrival],
+                    F.floor(F.col(self.arrival) / F.lit(self.block)), (*keys, wend))
+        late = join_on(late, merged.select(*keys, wend, "s_on", "s_late", "b_on"),
                         [*keys, wend], "inner")
         rank = F.col("s_on") + F.col("b_on") + F.col("s_late") + F.col("_k")
         updates = late.select(*keys, wend, rank.cast("bigint").alias("cnt"),
@@ -118,7 +118,8 @@ class LatenessWindowCounter:
         d.unpersist()
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/out")
+        return self.spark.read.parquet(f"{self.root}/out").where(
+            F.col("batch") <= self._ledger()["batch_id"])
 
     def watermark_us(self) -> int | None:
         led = self._ledger()
@@ -188,10 +189,12 @@ class OwnClockWindowAggregate:
         d.unpersist()
 
     def read_late(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/late")
+        return self.spark.read.parquet(f"{self.root}/late").where(
+            F.col("batch") <= self._ledger()["batch_id"])
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/out")
+        return self.spark.read.parquet(f"{self.root}/out").where(
+            F.col("batch") <= self._ledger()["batch_id"])
 
     def watermark_us(self) -> int | None:
         led = self._ledger()
@@ -200,22 +203,27 @@ class OwnClockWindowAggregate:
 
 class AsOfControlStream:
     """O-J1 on a stream: readings joined as-of with an unkeyed control stream
-    (last control at or before each reading, controls first on ties).
+    (last control at or before each reading by time, controls first on ties).
 
     Each micro-batch carries both kinds of rows (``kind`` 0 = control, 1 =
-    reading). Inside the batch the bucketed as-of scan runs over the union;
-    the last control of earlier batches comes from a ledger and fills the
-    readings that have no control before them in this batch. Matched readings
-    go to ``root/out/batch=<id>``; replayed batch ids are no-ops. Controls
-    are assumed to arrive in time order across batches."""
-
-    def __init__(self, spark, root: str, ts: str, value: str, out_col: str):
+    reading). The controls of earlier batches are kept, with their types, in a table
+    of versions: those within ``lateness`` of the newest time seen, and the last
+    one before. Readings are joined as-of, by time, with kept and new controls together,
+    so a reading older than a control of an earlier batch does not see it, and an old
+    control in a later batch does not replace a newer one. A reading later than
+    ``lateness`` may miss controls already dropped. ``tie``: the column that orders
+    controls of one instant. Matched readings go to ``root/out/batch=<id>``; replayed batch
+    ids are no-ops."""
+
+    def __init__(self, spark, root: str, ts: str, value: str, out_col: str,
+                 lateness: str = "1 day", tie: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.ts, self.value, self.out_col = ts, value, out_col
+        self.lateness_us, self.tie = _ms(lateness) * 1000, tie
 
     def _ledger(self) -> dict:
         txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
-        return json.loads(txt) if txt else {"batch_id": -1, "last": None}
+        return json.loads(txt) if txt else {"batch_id": -1, "controls": None, "max_us": None}
 
     def process(self, df: DataFrame, batch_id: int) -> None:
         from eventflow.operators.joins import asof_join
@@ -223,20 +231,27 @@ class AsOfControlStream:
         if batch_id <= ledger["batch_id"]:
             return
         df = df.persist()
-        controls = df.filter(F.col("kind") == 0).select(self.ts, F.col(self.value).alias(self.out_col))
+        ties = [self.tie] if self.tie else []
+        controls = df.filter(F.col("kind") == 0).select(
+            self.ts, *ties, F.col(self.value).alias(self.out_col))
+        if ledger["controls"]:
+            controls = controls.unionByName(self.spark.read.parquet(ledger["controls"]))
         readings = df.filter(F.col("kind") == 1).drop("kind", self.value)
-        joined = asof_join(readings, controls, self.ts, [self.out_col])
-        if ledger["last"] is not None:
-            joined = joined.withColumn(self.out_col,
-                                       F.coalesce(self.out_col, F.lit(ledger["last"]["v"])))
+        joined = asof_join(readings, controls, self.ts, [self.out_col], tie=self.tie)
         joined.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}")
-        last = (controls.orderBy(F.col(self.ts).desc()).limit(1)
-                .select(F.col(self.out_col).cast("string").alias("v"),
-                        F.col(self.ts).cast("string").alias("t")).collect())
-        new_last = {"v": last[0]["v"], "t": last[0]["t"]} if last else ledger["last"]
+        newest = df.agg(F.max(epoch_us(self.ts))).first()[0]
+        newest = max(t for t in (newest, ledger["max_us"], -2**62) if t is not None)
+        horizon = newest - self.lateness_us
+        t = epoch_us(self.ts)
+        before = (controls.filter(t < horizon).groupBy()
+                  .agg(F.max_by(F.struct("*"), F.struct(t, *ties)).alias("c"))
+                  .filter(F.col("c").isNotNull()).select("c.*"))
+        path = f"{self.root}/controls/v{batch_id:012d}"
+        controls.filter(t >= horizon).unionByName(before).write.mode("overwrite").parquet(path)
         fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
-                        json.dumps({"batch_id": batch_id, "last": new_last}))
+                        json.dumps({"batch_id": batch_id, "controls": path, "max_us": newest}))
         df.unpersist()
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/out")
+        return self.spark.read.parquet(f"{self.root}/out").where(
+            F.col("batch") <= self._ledger()["batch_id"])

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Iterator
 
 import pandas as pd
@@ -36,56 +37,81 @@ def allowed_lateness_count(stream: DataFrame, keys: list, ts: str, size: str, de
 
 
 class EarlyFiringProcessor(StatefulProcessor):
-    """O-W5 exact form, keyed by (id, window start): the first row arms a
-    timer at the next tick after the current watermark and one at
-    ``end - 1 ms``; every tick emits the running count and re-arms the next
-    tick while it is before the end; the final firing emits the full count and
-    clears the window's state."""
+    """O-W5 exact form, keyed by (id, window start): the first row arms a timer at
+    the next tick after it and one at ``end - 1 ms``; every tick emits the count of the
+    rows up to it and arms the next tick while it is before the end; the final
+    firing emits the full count and clears the window's state.
 
-    def __init__(self, size: str, tick: str):
-        self.size_ms, self.tick_ms = _ms(size), _ms(tick)
+    The state holds a count per tick (at most size / tick numbers), so when the
+    watermark passes several ticks at once, each is emitted with its own count, and
+    the next timer is armed beyond the watermark."""
+
+    def __init__(self, size: str, tick: str, ts: str):
+        self.size_ms, self.tick_ms, self.ts = _ms(size), _ms(tick), ts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("w", "cnt long, end long, tick long")
+        self.state = handle.getValueState("w", "end long, due long, counts string")
+
+    def _empty(self) -> pd.DataFrame:
+        return pd.DataFrame(columns=["id", "window_end", "eval_time", "cnt"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = sum(len(p) for p in rows)
+        tick = self.tick_ms
         if self.state.exists():
-            cnt, end, tick = self.state.get()
+            end, due, text = self.state.get()
+            counts = {int(k): v for k, v in json.loads(text).items()}
         else:
             # window start as epoch ms; naive timestamps are UTC (session zone)
             start = pd.Timestamp(key[1])
             start = start.tz_convert("UTC") if start.tzinfo else start.tz_localize("UTC")
-            cnt, end, tick = 0, int(start.value // 1_000_000) + self.size_ms, -1
-            wm = max(timerValues.getCurrentWatermarkInMs(), 0)
-            nxt = wm + (self.tick_ms - wm % self.tick_ms)
-            if nxt < end - 1:
-                self.handle.registerTimer(nxt)
-                tick = nxt
+            end, due, counts = int(start.value // 1_000_000) + self.size_ms, -1, {}
             self.handle.registerTimer(end - 1)
-        self.state.update((cnt + n, end, tick))
-        yield pd.DataFrame(columns=["id", "window_end", "eval_time", "cnt"])
+        first = None
+        for chunk in rows:
+            t = pd.to_datetime(chunk[self.ts], utc=True).astype("datetime64[ms, UTC]").astype("int64")
+            if not len(t):
+                continue
+            first = int(t.min()) if first is None else min(first, int(t.min()))
+            # The first tick at or after each row.
+            for g, n in (-(-t // tick) * tick).value_counts().items():
+                counts[int(g)] = counts.get(int(g), 0) + int(n)
+        if first is not None:
+            want = (first // tick + 1) * tick
+            passed = timerValues.getCurrentWatermarkInMs()
+            if want <= passed and due > 0:
+                want = due  # earlier ticks have been emitted
+            if want < end - 1 and (due < 0 or want < due):
+                if due > 0:
+                    self.handle.deleteTimer(due)
+                self.handle.registerTimer(want)
+                due = want
+        self.state.update((end, due, json.dumps(counts)))
+        yield self._empty()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.state.exists():
-            yield pd.DataFrame(columns=["id", "window_end", "eval_time", "cnt"])
+            yield self._empty()
             return
-        cnt, end, tick = self.state.get()
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if t >= end - 1:
-            if tick >= 0 and tick != t:
-                self.handle.deleteTimer(tick)
+        end, due, text = self.state.get()
+        counts = {int(k): v for k, v in json.loads(text).items()}
+        at, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        over = at >= end - 1
+        ticks, due = [], due if due > 0 else end
+        while due < end - 1 and (due <= passed or over):
+            ticks.append(due)
+            due += self.tick_ms
+        found = [sum(n for g, n in counts.items() if g <= t) for t in ticks]
+        if over:
+            ticks.append(end - 1)
+            found.append(sum(counts.values()))
             self.state.clear()
         else:
-            nxt = t + self.tick_ms
-            tick = -1
-            if nxt < end - 1:
-                self.handle.registerTimer(nxt)
-                tick = nxt
-            self.state.update((cnt, end, tick))
-        yield pd.DataFrame({"id": [key[0]], "window_end": [pd.Timestamp(end, unit="ms")],
-                            "eval_time": [pd.Timestamp(t, unit="ms")], "cnt": [cnt]})
+            if due < end - 1:
+                self.handle.registerTimer(due)
+            self.state.update((end, due, text))
+        yield pd.DataFrame({"id": [key[0]] * len(ticks), "window_end": [pd.Timestamp(end, unit="ms")] * len(ticks),
+                            "eval_time": [pd.Timestamp(t, unit="ms") for t in ticks], "cnt": found})
 
     def close(self) -> None:
         pass
@@ -97,7 +123,7 @@ def early_firing(stream: DataFrame, key: str, ts: str, size: str, tick: str,
     with event-time timers."""
     d = stream.withColumn("_ws", F.window(ts, size).start).withWatermark(ts, delay)
     return d.groupBy(key, "_ws").transformWithStateInPandas(
-        statefulProcessor=EarlyFiringProcessor(size, tick), outputStructType=EARLY_SCHEMA,
+        statefulProcessor=EarlyFiringProcessor(size, tick, ts), outputStructType=EARLY_SCHEMA,
         outputMode="Append", timeMode="EventTime")
 
 

@@ -31,13 +31,13 @@ def tmp(tmp_path):
     return str(tmp_path)
 
 
-@pytest.fixture(params=["blocks", "plain"])
+@pytest.fixture(params=["small_blocks", "default"])
 def scan_mode(request, spark):
-    """Run a test with the block scan forced (limit 0) and with the
-    size-checked single-window fast path."""
-    conf = {"spark.eventflow.scan.plainMaxRows": "0" if request.param == "blocks" else "1000000",
-            # many small time buckets, so carries across buckets are exercised
-            "spark.eventflow.scan.bucketRows": "16" if request.param == "blocks" else "1000000"}
+    """Run a test with the default block sizes and with tiny ones, so that carries
+    cross arrival blocks and time buckets."""
+    small = request.param == "small_blocks"
+    conf = {"spark.eventflow.scan.arrivalBlock": "16" if small else "262144",
+            "spark.eventflow.scan.bucketRows": "16" if small else "1000000"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)

@@ -17,6 +17,7 @@ from eventflow.streaming import jobs as SJ
 from eventflow.streaming.late import LateSplitter
 from eventflow.streaming.processors import (ALERT_SCHEMA, COUNT_SCHEMA, CountWithTimeoutProcessor,
                                             DeltaAlertProcessor, apply_processor)
+from tests.replay import write_replay_files
 from tests.conftest import SF_CHECK, SF_SMALL
 
 
@@ -27,7 +28,7 @@ def replay(spark, tmp_path_factory):
     ev = out_of_order(events(spark, SF_SMALL))
     d = sensors(ev).join(ev.select("event_id", "ts2"), "event_id").withColumn(
         "ts", F.col("ts").cast("timestamp"))
-    SJ.write_replay_files(d, path, "event_id", 3)
+    write_replay_files(d, path, "event_id", 3)
     return path, d.schema
 
 
@@ -179,7 +180,7 @@ def test_switch_filter_stream_equals_batch(spark, tmp):
     path = f"{tmp}/src"
     src = ev.select("event_id", F.col("user_id").alias("id"), "ts", "event_type",
                     F.col("value").alias("temperature"))
-    SJ.write_replay_files(src, path, "event_id", 3)
+    write_replay_files(src, path, "event_id", 3)
     s = SJ.replay_stream(spark, path, src.schema)
     readings = s.filter("event_type = 'purchase'").select("id", "ts", "temperature")
     switches = s.filter("event_type = 'signup'").select(
@@ -202,7 +203,7 @@ def test_threshold_alert_stream_equals_batch(spark, tmp):
     path = f"{tmp}/src"
     src = ev.select("event_id", F.col("user_id").alias("id"), "ts", "event_type",
                     F.col("value").alias("temperature"))
-    SJ.write_replay_files(src, path, "event_id", 3)
+    write_replay_files(src, path, "event_id", 3)
     s = SJ.replay_stream(spark, path, src.schema)
     readings = s.filter("event_type <> 'signup'").select("id", "ts", "temperature")
     thr = s.filter("event_type = 'signup'").select(
@@ -239,7 +240,7 @@ def test_hot_items_stream_equals_batch_on_closed_windows(spark, tmp):
     from eventflow.plans.windowed import e2_hot_items
     ev = events(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
     path = f"{tmp}/src"
-    SJ.write_replay_files(ev, path, "event_id", 3)
+    write_replay_files(ev, path, "event_id", 3)
     s = SJ.replay_stream(spark, path, ev.schema)
     from eventflow.sources.tables import item_id
     views = (s.filter("event_type = 'view'").select("ts", item_id().alias("item_id"))
@@ -265,29 +266,32 @@ def test_hot_items_stream_equals_batch_on_closed_windows(spark, tmp):
     assert got == want and len(got) > 0
 
 
-def test_early_firing_stream_final_counts(spark, replay, tmp):
+def test_early_firing_stream_equals_batch(spark, tmp):
+    """Every (key, window, tick) up to the last watermark, over batches whose first has
+    no watermark and whose rows are out of order inside the delay."""
     from eventflow.operators.windows import early_firing_counts
     from eventflow.streaming.windows import early_firing
-    path, schema = replay
-    stream = SJ.replay_stream(spark, path, schema).select("id", "ts")
-    out = early_firing(stream, "id", "ts", "12 hours", "2 hours")
+    base = pd.Timestamp("2024-03-01", tz="UTC")
+    secs = [7, 3, 12, 14, 11, 26, 23, 31, 44, 38, 41, 58, 62, 61, 95, 100, 130]
+    rows = [(i, i % 2, base + pd.Timedelta(seconds=s)) for i, s in enumerate(secs)]
+    src = spark.createDataFrame(pd.DataFrame(rows, columns=["event_id", "id", "ts"]))
+    write_replay_files(src, f"{tmp}/src", "event_id", 4)
+    stream = SJ.replay_stream(spark, f"{tmp}/src", src.schema).select("id", "ts")
+    out = early_firing(stream, "id", "ts", "20 seconds", "5 seconds", "10 seconds")
     q = (out.writeStream.format("memory").queryName("early").option("checkpointLocation", f"{tmp}/ck")
          .trigger(availableNow=True).start())
     _run(q)
     got = spark.sql("select * from early").toPandas()
-    assert len(got) > 0
-    # final firings (end - 1 ms) carry the full window count of the batch form
-    fin = got[got.eval_time == got.window_end - pd.Timedelta(milliseconds=1)]
-    batch = early_firing_counts(sensors(events(spark, SF_SMALL)), ["id"], "ts", "12 hours",
-                                "2 hours").toPandas()
-    bfin = batch[batch.eval_time == batch.window_end - pd.Timedelta(milliseconds=1)]
-    want = {(int(r.id), pd.Timestamp(r.window_end)): int(r.cnt) for r in bfin.itertuples()}
-    for r in fin.itertuples():
-        assert want[(int(r.id), pd.Timestamp(r.window_end).tz_localize(None))] == r.cnt
-    # early firings never exceed the final count and never decrease
-    for (_, _), g in got.groupby(["id", "window_end"]):
-        c = g.sort_values("eval_time").cnt.to_list()
-        assert c == sorted(c)
+    batch = early_firing_counts(src, ["id"], "ts", "20 seconds", "5 seconds").toPandas()
+
+    def rows_of(pdf, upto=None):
+        f = [(int(r.id), pd.Timestamp(r.window_end).tz_localize(None), pd.Timestamp(r.eval_time).tz_localize(None),
+              int(r.cnt)) for r in pdf.itertuples()]
+        return sorted(r for r in f if upto is None or r[2] <= upto)
+    # The last watermark is the greatest time less the delay.
+    last = base.tz_localize(None) + pd.Timedelta(seconds=120)
+    want = rows_of(batch, last)
+    assert len(want) > 15 and rows_of(got) == want
 
 
 def test_allowed_lateness_stream_runs_in_update_mode(spark, replay, tmp):
@@ -454,7 +458,7 @@ def test_decode_json_records_from_a_kafka_shaped_stream(spark, tmp):
     raw = event_json(events(spark, SF_SMALL)).select(
         F.col("event_id").cast("string").alias("key"), F.col("raw").alias("value"),
         F.current_timestamp().alias("timestamp"), "event_id")
-    SJ.write_replay_files(raw, f"{tmp}/kafka", "event_id", 3)
+    write_replay_files(raw, f"{tmp}/kafka", "event_id", 3)
     s = SJ.replay_stream(spark, f"{tmp}/kafka", raw.schema)
     out = decode_event(s.withColumn("event_id", F.col("key").cast("long")), "value",
                        keep=("event_id",))
@@ -496,7 +500,7 @@ def test_json_jobs_on_a_stream(spark, tmp):
     from eventflow.sources.decode import decode_event
     from __spark_entry__ import queries
     raw = event_json(events(spark, SF_CHECK))
-    SJ.write_replay_files(raw, f"{tmp}/src", "event_id", 3)
+    write_replay_files(raw, f"{tmp}/src", "event_id", 3)
     d = decode_event(SJ.replay_stream(spark, f"{tmp}/src", raw.schema), "raw", keep=("event_id",))
     d = d.withColumn("t", from_epoch_ms("tm").cast("timestamp")).withWatermark("t", "0 seconds")
     w = F.window("t", "1 day")
@@ -573,7 +577,7 @@ def test_code_time_detail_stream_equals_batch(spark, tmp):
     from eventflow.streaming.windows import running_detail_stream
     from __spark_entry__ import queries
     lines = _code_lines(spark, SF_SMALL)
-    SJ.write_replay_files(lines, f"{tmp}/src", "event_id", 3)
+    write_replay_files(lines, f"{tmp}/src", "event_id", 3)
     s = SJ.replay_stream(spark, f"{tmp}/src", lines.schema)
     p = parse_code_time(s, "line", keep=("event_id",)).withColumn(
         "ts", from_epoch_ms("tm").cast("timestamp"))
@@ -599,7 +603,7 @@ def test_room_min_max_stream_with_own_clock(spark, tmp):
     from eventflow.streaming.lateness import OwnClockWindowAggregate
     from __spark_entry__ import queries
     raw = room_json(events(spark, SF_SMALL))
-    SJ.write_replay_files(raw, f"{tmp}/src", "event_id", 3)
+    write_replay_files(raw, f"{tmp}/src", "event_id", 3)
     s = SJ.replay_stream(spark, f"{tmp}/src", raw.schema)
     d = decode_room_event(s, "raw", keep=("event_id",))
     d = d.withColumn("tm", clamp_future("tm", F.lit(NOW_MS), MOVE_MS)).withColumn(
@@ -628,7 +632,7 @@ def test_asof_control_stream_equals_batch(spark, tmp):
     src = ev.select("event_id", F.col("user_id").alias("id"), "ts", F.col("value").alias("temperature"),
                     F.when(F.col("event_type") == "error", 0).otherwise(1).alias("kind"),
                     F.when(F.col("value") > 50, "High").otherwise("Low").alias("level"))
-    SJ.write_replay_files(src, f"{tmp}/src", "event_id", 3)
+    write_replay_files(src, f"{tmp}/src", "event_id", 3)
     s = SJ.replay_stream(spark, f"{tmp}/src", src.schema)
     op = AsOfControlStream(spark, f"{tmp}/j1", "ts", "level", "smoke")
     _run(s.writeStream.foreachBatch(op.process).option("checkpointLocation", f"{tmp}/ck")
@@ -675,3 +679,42 @@ def test_side_output_stream(spark, replay, tmp):
     ev = sensors(events(spark, SF_SMALL))
     assert spark.read.parquet(main_p).count() == 1000
     assert spark.read.parquet(side_p).count() == ev.filter("temperature < 32").count()
+
+
+def test_as_of_control_stream_goes_by_time(spark, tmp):
+    from eventflow.streaming.lateness import AsOfControlStream
+    schema = "event_id long, kind int, ts timestamp, level int"
+    t = lambda s: pd.Timestamp("2024-03-01") + pd.Timedelta(seconds=s)
+    batches = [
+        [(1, 0, t(10), 7)],                                  # a control
+        [(2, 1, t(5), None), (3, 1, t(12), None)],           # one reading before it, one after
+        [(4, 0, t(8), 3), (5, 1, t(11), None), (6, 1, t(9), None)],  # an old control, late
+        [(7, 0, t(20), None), (8, 1, t(21), None)],          # a control without a value
+    ]
+    op = AsOfControlStream(spark, f"{tmp}/j1", "ts", "level", "smoke", tie="event_id")
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # a replayed batch changes nothing
+            op.process(spark.createDataFrame(rows, schema), i)
+    got = {r.event_id: r.smoke for r in op.read().collect()}
+    assert got == {2: None, 3: 7, 5: 7, 6: 3, 8: None}
+
+
+def test_keyed_table_does_not_depend_on_batches(spark, tmp):
+    rows = [("a", 30, 1), ("a", 10, 2), (None, 5, 3), (None, 9, 4), ("b", 1, 5)]
+    schema = "k string, ts long, v long"
+    results = []
+    for name, parts in (("one", [rows]), ("many", [[r] for r in rows]), ("back", [[r] for r in rows[::-1]])):
+        table = VersionedKeyedTable(spark, f"{tmp}/{name}", ["k"], ["ts"])
+        for i, part in enumerate(parts):
+            table.upsert(spark.createDataFrame(part, schema), i)
+        results.append(sorted((r.k or "", r.ts, r.v) for r in table.read().collect()))
+    assert results == [[("", 9, 4), ("a", 30, 1), ("b", 1, 5)]] * 3
+
+
+def test_write_ahead_sink_hides_uncommitted_batches(spark, tmp):
+    sink = WriteAheadSink(spark, f"{tmp}/wal")
+    sink.write_batch(spark.range(3), 0)
+    spark.range(5).write.parquet(f"{tmp}/wal/data/batch=1")  # written, not recorded: a crash
+    assert sink.read().count() == 3
+    sink.write_batch(spark.range(5), 1)
+    assert sink.read().count() == 8

@@ -43,7 +43,7 @@ def test_threshold_updates_as_of(spark, scan_mode):
                                    ("sensor_1", 2)], "id string, t long")
     probe = probe.withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
     out = J.asof_join(probe, upd.select("id", "ts", "threshold"), "ts", ["threshold"],
-                      keys=("id",), bucket="1 hour")
+                      keys=("id",))
     got = {(r.id, r.t): r.threshold for r in out.collect()}
     assert got == {("sensor_1", 10): 1.2, ("sensor_2", 10): 0.9, ("sensor_3", 10): 0.0,
                    ("sensor_1", 2): 5.0}
@@ -58,7 +58,7 @@ def test_switches_forward_until_deadline(spark, scan_mode):
                                 ("sensor_7", 59_999), ("sensor_7", 60_000), ("sensor_1", 1)],
                                "id string, t long")
     rd = rd.withColumn("ts", F.timestamp_millis("t").cast("timestamp_ntz"))
-    out = J.interval_semi_join(rd, sw, ["id"], "ts", "until", bucket="1 hour")
+    out = J.interval_semi_join(rd, sw, ["id"], "ts", "until")
     assert sorted((r.id, r.t) for r in out.collect()) == [
         ("sensor_2", 5_000), ("sensor_2", 22_000), ("sensor_7", 59_999)]
 
@@ -82,7 +82,7 @@ def test_lookup_default(spark):
                                    F.concat(F.lit("room_"), (F.col("id") % 10).cast("string"))
                                    .alias("room"))
     rd = spark.createDataFrame([(5,), (81,), (80,)], "sensor long")
-    out = J.lookup_enrich(rd, lk, "sensor", "room", "UNKNOWN ROOM", max_broadcast_rows=80)
+    out = J.lookup_enrich(rd, lk, "sensor", "room", "UNKNOWN ROOM")
     assert rows(out, "sensor") == [(5, "room_5"), (80, "room_0"), (81, "UNKNOWN ROOM")]
 
 
@@ -135,11 +135,11 @@ def _random_keyed(spark, n=3000, keys=5, hot=0.4, seed=7):
 
 def test_scan_matches_sequential(spark, scan_mode):
     pdf, df = _random_keyed(spark)
-    out = scan(df, "v", ["seq"], F.floor(F.col("seq") / 97), "s", ("k",), True, "sum")
+    out = scan(df, [("v", "sum", "s")], ["seq"], F.floor(F.col("seq") / 97), ("k",))
     got = out.select("seq", "s").toPandas().sort_values("seq")["s"].to_numpy()
     want = pdf.sort_values("seq").groupby("k")["v"].cumsum().sort_index().to_numpy()
     assert np.allclose(got, want)
-    out = scan(df, "v", ["seq"], F.floor(F.col("seq") / 97), "m", ("k",), False, "max")
+    out = scan(df, [("v", "max", "m")], ["seq"], F.floor(F.col("seq") / 97), ("k",), False)
     got = out.select("seq", "m").toPandas().sort_values("seq")["m"].to_numpy()
     want = (pdf.groupby("k")["v"].transform(lambda s: s.cummax().shift(1))).to_numpy()
     assert np.allclose(np.nan_to_num(got, nan=-1), np.nan_to_num(want, nan=-1))
@@ -175,7 +175,7 @@ def test_rise_alerts_match_sequential_simulation(spark, scan_mode):
     pdf, df = _random_keyed(spark, n=2000)
     pdf["v"] = np.round(np.cumsum(np.random.default_rng(1).normal(0, 1, len(pdf))) + 50, 2)
     df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
-    out = K.rise_alerts(df, "k", "ts", "v", "5 minutes", bucket="1 hour")
+    out = K.rise_alerts(df, "k", "ts", "v", "5 minutes")
     got = sorted((r.k, int(pd.Timestamp(r.alert_ts).timestamp())) for r in out.collect())
     assert got == _rise_brute(pdf, 300)
 
@@ -353,25 +353,11 @@ def test_edge_cases_empty_controls_and_tick_boundaries(spark, scan_mode):
 def test_scan_last_with_leading_nulls(spark, scan_mode):
     df = spark.createDataFrame([(1, 0, None), (1, 1, None), (1, 2, 5.0), (1, 3, None), (2, 0, None)],
                                "k long, o long, v double")
-    out = scan(df, "v", ["o"], F.floor(F.col("o") / 2), "lv", ("k",), True, "last")
+    out = scan(df, [("v", "last", "lv")], ["o"], F.floor(F.col("o") / 2), ("k",))
     assert sorted((r.k, r.o, r.lv) for r in out.collect()) == [
         (1, 0, None), (1, 1, None), (1, 2, 5.0), (1, 3, 5.0), (2, 0, None)]
 
 
-def test_broadcast_only_behind_the_size_check(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    probe = spark.range(5).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = probe.join(J.maybe_broadcast(small, 100), "k")
-        plain = probe.join(J.maybe_broadcast(big, 100), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_kafka_record_shapes(spark):
     from eventflow.sinks.files import kafka_records, kafka_sink_options
     df = spark.createDataFrame([(7, '{"a":1}')], "name long, doc string")
@@ -384,9 +370,97 @@ def test_kafka_record_shapes(spark):
 def test_scans_treat_a_null_key_as_a_group(spark, scan_mode):
     rows = [(None if i % 3 == 0 else i % 2, i, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, o long, v double")
-    out = scan(df, "v", ["o"], F.floor(F.col("o") / 7), "s", ("k",), True, "sum")
+    out = scan(df, [("v", "sum", "s")], ["o"], F.floor(F.col("o") / 7), ("k",))
     got = {(r.k, r.o): r.s for r in out.collect()}
     run = {}
     for k, o, v in rows:
         run[k] = run.get(k, 0.0) + v
         assert got[(k, o)] == run[k]
+
+
+@pytest.mark.parametrize("kind,key", [("binary", b"a"), ("struct<x:int,y:string>", (1, None)),
+                                      ("array<int>", [1]), ("double", 0.5)])
+def test_scans_take_keys_of_any_type(spark, kind, key):
+    rows = [(key if i % 2 else None, i, 1) for i in range(40)]
+    df = spark.createDataFrame(rows, f"k {kind}, o long, v long")
+    out = scan(df, [("v", "sum", "s")], ["o"], F.floor(F.col("o") / 7), ("k",))
+    assert sorted((r.o, r.s) for r in out.collect()) == [(i, i // 2 + 1) for i in range(40)]
+
+
+def test_scan_outputs_in_one_pass(spark):
+    rows = [(1, i, None if i % 3 == 0 else float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, o long, v double")
+    out = scan(df, [("v", "lag", "a"), ("v", "lead", "b"), ("v", "first", "f"), ("v", "sum", "s")],
+               ["o"], F.floor(F.col("o") / 4), ("k",))
+    vs = [r[2] for r in rows]
+    for r in out.collect():
+        assert r.a == (vs[r.o - 1] if r.o else None)
+        assert r.b == (vs[r.o + 1] if r.o < 29 else None)
+        assert r.f == next((v for v in vs[:r.o + 1] if v is not None), None)
+        assert r.s == sum(v or 0 for v in vs[:r.o + 1])
+
+
+def test_time_buckets_are_cut_by_counts(spark):
+    # 10,000 rows of one key: a burst within 10 s, and ten rows over nine years.
+    from eventflow.operators.scan import time_bounds, with_time_bucket
+    burst = [(i * 1000,) for i in range(9990)] + [(i * 28_000_000 * 1_000_000,) for i in range(1, 11)]
+    df = spark.createDataFrame(burst, "t long")
+    spark.conf.set("spark.eventflow.scan.bucketRows", "100")
+    try:
+        d = with_time_bucket(df, F.col("t"), time_bounds(df, F.col("t")), "b")
+        assert d.groupBy("b").count().agg(F.max("count")).first()[0] <= 200
+    finally:
+        spark.conf.unset("spark.eventflow.scan.bucketRows")
+
+
+def test_ties_follow_the_tie_column(spark):
+    ts = "timestamp_ntz'2024-01-01 00:00:00'"
+    rd = spark.sql(f"select * from values (3L, {ts}, 9.0D), (1L, {ts}, 1.0D), (2L, {ts}, 5.0D) t(event_id, ts, v)")
+    rd = rd.withColumn("k", F.lit(1))
+    for n in (1, 3):
+        got = K.previous_value(rd.repartition(n), "k", "ts", "v", "event_id").collect()
+        assert {r.event_id: r.prev for r in got} == {1: None, 2: 1.0, 3: 5.0}
+        last = J.asof_join(rd.select("event_id", "ts"), rd.select("event_id", "ts", "v").repartition(n),
+                           "ts", ["v"], tie="event_id")
+        assert {r.v for r in last.collect()} == {9.0}
+
+
+def test_lookup_does_not_multiply_rows(spark):
+    lk = spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "k long, room string")
+    out = J.lookup_enrich(spark.createDataFrame([(1,), (2,), (None,)], "k long"), lk, "k", "room", "?")
+    assert sorted((r.k or 0, r.room) for r in out.collect()) == [(0, "?"), (1, "a"), (2, "?")]
+
+
+def test_page_rank_with_one_source_of_most_links(spark):
+    rnd = random.Random(3)
+    links = [(0, rnd.randrange(1, 40)) for _ in range(900)] + [(rnd.randrange(1, 40), rnd.randrange(0, 40))
+                                                                for _ in range(100)]
+    e = spark.createDataFrame(links, "src long, dst long")
+    got = {r.page_id: r.rank for r in G.page_rank(spark.range(40).toDF("page_id"), e, 40, 4, 0.0).collect()}
+    rank, deg = {p: 1 / 40 for p in range(40)}, {}
+    for a, _ in links:
+        deg[a] = deg.get(a, 0) + 1
+    for _ in range(4):
+        new = {}
+        for a, b in links:
+            if a in rank:
+                new[b] = new.get(b, 0.0) + rank[a] / deg[a]
+        rank = {p: 0.85 * r + 0.15 / 40 for p, r in new.items()}
+    assert got.keys() == rank.keys() and all(abs(got[p] - rank[p]) < 1e-12 for p in rank)
+
+
+def test_decoders_coerce_numbers(spark):
+    from eventflow.sources import decode as D
+    def event(raw):
+        r = D.decode_event(spark.createDataFrame([(raw,)], "raw string"), "raw").first()
+        return r.id, r.name, r.tm
+    assert event('{"id":"7","name":"n","tm":"5"}') == (7, "n", 5)
+    assert event('{"id":3.0,"name":"n","tm":5}') == (3, "n", 5)
+    assert event('{"id":"x","name":"n","tm":5}') == (0, "", 0)
+    assert event("{") == (0, "", 0)
+    def room(raw):
+        r = D.decode_room_event(spark.createDataFrame([(raw,)], "raw string"), "raw").first()
+        return r.v, r.room, r.id, r.tm
+    assert room('{"room":"r","id":"1","tm":"2"}') == (0.0, "r", 1, 2)
+    assert room('{"v":null,"room":"r","id":"1","tm":"2"}') == (0.0, "", 0, 0)
+    assert room('{"v":"1.5","room":"r","id":"1","tm":"2"}') == (1.5, "r", 1, 2)
