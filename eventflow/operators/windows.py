@@ -99,8 +99,13 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
     # Group on the window start alone (end = start + size) to keep the hash
     # key narrow; both bounds are restored after the aggregation.
     res = exploded.groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in out_cols])
-    return res.select(from_epoch_ms("_s").alias("window_start"),
-                      from_epoch_ms(F.col("_s") + F.lit(size_ms)).alias("window_end"),
+    kind = df.schema[ts].dataType  # bounds have the input's type, whatever k is
+
+    def bound(ms):
+        return F.timestamp_millis(ms).cast(kind)
+
+    return res.select(bound(F.col("_s")).alias("window_start"),
+                      bound(F.col("_s") + F.lit(size_ms)).alias("window_end"),
                       *keys, *out_cols)
 
 

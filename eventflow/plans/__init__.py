@@ -1,3 +1,3 @@
 """Registered queries: importing this package fills the registry."""
 
-from eventflow.plans import graphs, texts, timed, windowed  # noqa: F401
+from eventflow.plans import graphs, readback, texts, timed, windowed  # noqa: F401

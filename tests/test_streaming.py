@@ -684,7 +684,7 @@ def test_side_output_stream(spark, replay, tmp):
 def test_as_of_control_stream_goes_by_time(spark, tmp):
     from eventflow.streaming.lateness import AsOfControlStream
     schema = "event_id long, kind int, ts timestamp, level int"
-    t = lambda s: pd.Timestamp("2024-03-01") + pd.Timedelta(seconds=s)
+    t = lambda s: (pd.Timestamp("2024-03-01") + pd.Timedelta(seconds=s)).to_pydatetime()
     batches = [
         [(1, 0, t(10), 7)],                                  # a control
         [(2, 1, t(5), None), (3, 1, t(12), None)],           # one reading before it, one after
