@@ -12,13 +12,14 @@ darts to hit k coordinates, so those up to rank (k ln k + 2k) / weight are throw
 long the text; the few texts with a coordinate still open throw twice as far, and so on.
 
 Signatures are cut into ``BANDS`` bands of ``ROWS``; a pair at similarity 0.8 shares no band
-with probability 2e-4. Equal texts are put together first. In each band's bucket,
-members are compared with a pivot and not with one another: the member that meets the
-most others in all its buckets, then, if the bucket still holds members of different
-groups, with the next 4, 16, 64, ... members in that order, until no two members of
-different groups are left uncompared. So every pair that shares a bucket is either
-compared or already connected, no link is lost, and a bucket of near copies costs one
-comparison per member. The comparison is exact, on the shingles of both texts.
+with probability 2e-4. Equal texts are put together first. The members of a band's
+bucket are tied to its least member, one tie each, and what ties connect is a family:
+every pair that shares a bucket lies within one family. A family's members are then
+compared exactly, on the shingles of both texts, in blocks of at most about ``BLOCK``
+texts or ``BLOCK_CELLS`` shingles a side, so a family of any size is spread over as many
+tasks as it needs; blocks give back at most one edge per text, and pairs are never
+rows. Comparing whole families finds every link that a shared band promises and
+some more; its cost in a family of near misses grows with the square of the family.
 
 Words are runs of anything but white space (space, \\t, \\n, \\v, \\f, \\r), as they stand. A
 text of one to four words is one shingle. A null, empty or blank text has no shingles and
@@ -33,7 +34,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +46,8 @@ SIMILAR = 0.8
 ROWS, BANDS = 7, 36
 COORDS = ROWS * BANDS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-MOST_PIVOTS = 256  # of a bucket in one round
+BLOCK, BLOCK_CELLS = 512, 1 << 20  # of a side of a comparison
+COLUMNS = 2048
 SMALL = 64  # cells; the streams of smaller texts are drawn 64 darts at a time
 
 
@@ -158,27 +160,47 @@ def cells_batch(texts: pa.Array) -> list[pa.Array]:
     return [pa.array(out, pa.binary())]
 
 
-def similarity(x: bytes, y: bytes) -> float:
-    """Weighted Jaccard of two texts: of their cells, as sets."""
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) or len(b) else 0.0
-
-
-def _compare(pairs: DataFrame, shingles: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) that are at least ``similar``."""
-    s = shingles
-    rows = (pairs.join(s.select(F.col("gid").alias("a"), F.col("cells").alias("x")), "a")
-            .join(s.select(F.col("gid").alias("b"), F.col("cells").alias("y")), "b")
-            .select("a", "b", "x", "y"))
-
-    def run(batches):
-        for batch in batches:
-            keep = [similarity(x.as_py(), y.as_py()) >= similar
-                    for x, y in zip(batch.column(2), batch.column(3))]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return rows.mapInArrow(run, "a binary, b binary")
+def _compare(similar: float):
+    """The comparison of one block pair of a family: edges that join what is alike."""
+    def run(table: pa.Table) -> pa.Table:
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        block = np.asarray(table.column("block"))
+        node = np.asarray(table.column("node"))
+        parts = [np.frombuffer(v, dtype=np.uint64) for v in table.column("cells").to_pylist()]
+        sizes = np.array([len(p) for p in parts], dtype=np.float64)
+        owner = np.repeat(np.arange(len(parts)), sizes.astype(np.int64))
+        # Cells that only one text has are in no intersection.
+        _, place, many = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = many[place] > 1
+        owner = owner[shared]
+        _, place = np.unique(place[shared], return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        both = np.zeros((len(left), len(right)), dtype=np.float32)
+        cells_in = int(place[-1]) + 1 if len(place) else 0
+        for a in range(0, cells_in, COLUMNS):
+            u, v = np.searchsorted(place, [a, a + COLUMNS])
+            has = np.zeros((len(parts), min(COLUMNS, cells_in - a)), dtype=np.float32)
+            has[owner[u:v], place[u:v] - a] = 1.0
+            both += has[left] @ has[right].T
+        alike = both >= similar * (sizes[left][:, None] + sizes[right][None, :] - both) - 1e-6
+        root = np.arange(len(parts))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for p in np.flatnonzero(alike.any(axis=1)):
+            r = find(int(left[p]))
+            for q in np.unique(root[right[alike[p]]]):
+                root[find(int(q))] = r
+        tied = [(x, find(x)) for x in range(len(parts)) if root[x] != x]
+        return pa.table({"a": pa.array([int(node[x]) for x, _ in tied], pa.int64()),
+                         "b": pa.array([int(node[r]) for _, r in tied], pa.int64())})
+    return run
 
 
 def _row_key(digest, doc_id):
@@ -193,56 +215,35 @@ def _sketches(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
     return own, write_cut(map_rows(own, "text", fields, sketch_batch, ["doc_id", "digest"]), "sketches")
 
 
-def _meetings(member: DataFrame) -> DataFrame:
-    """(bucket, gid, size, score): the members of buckets of two or more; the score of a
-    member says how many others it meets in all."""
-    banded = member.select("gid", "size", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    meet = write_cut(banded.join(full, "bucket"), "meetings")
-    score = meet.groupBy("gid").agg(F.sum("many").alias("score"))
-    return write_cut(meet.select("bucket", "gid", "size").join(score, "gid"), "buckets")
-
-
-def _shingles(own: DataFrame, member: DataFrame, meet: DataFrame) -> DataFrame:
-    """(gid, cells) of the members that meet any other, from the text of the least id."""
-    wanted = write_cut(meet.select("gid").distinct().join(member.select("gid", "least"), "gid")
-                       .select(_row_key(F.col("gid"), F.col("least")).alias("key")), "wanted")
-    chosen = (own.withColumn("key", _row_key(F.col("digest"), F.col("doc_id"))).join(wanted, "key")
-              .dropDuplicates(["key"]).select(F.col("digest").alias("gid"), "text"))
-    return write_cut(map_rows(chosen, "text", [T.StructField("cells", T.BinaryType())],
-                              cells_batch, ["gid"]), "shingles")
-
-
-def _connect(meet: DataFrame, shingles: DataFrame, similar: float) -> DataFrame:
-    """(node, component) of all links between members that share a bucket."""
-    order = F.struct("score", "gid")
-    active = meet.withColumn("group", F.col("gid"))
-    edges, width = None, 1
-    while True:
-        # The first ``width`` members left in each bucket become pivots; Spark limits the
-        # groups before the shuffle.
-        first = Window.partitionBy("bucket").orderBy(F.desc("score"), F.desc("gid"))
-        pivot = write_cut(active.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= width)
-                          .select("bucket", order.alias("pivot"), F.col("size").alias("pivot_size"),
-                                  F.col("group").alias("pivot_group")), "pivots")
-        # Sizes alone rule a pair out when they differ too much.
-        alike = F.least("size", "pivot_size") >= F.lit(similar) * F.greatest("size", "pivot_size")
-        pairs = (active.join(pivot, "bucket")
-                 .where((order < F.col("pivot")) & (F.col("group") != F.col("pivot_group")) & alike)
-                 .select(F.col("gid").alias("a"), F.col("pivot.gid").alias("b")).distinct())
-        found = write_cut(_compare(pairs, shingles, similar), "links")
-        edges = found if edges is None else edges.union(found)
-        group = components(edges)
-        # What lies below a bucket's last pivot goes on while it is of different groups.
-        last = pivot.groupBy("bucket").agg(F.min("pivot").alias("last"))
-        rest = (active.drop("group").join(last, "bucket").where(order < F.col("last")).drop("last")
-                .join(group.select(F.col("node").alias("gid"), F.col("component").alias("group")), "gid", "left")
-                .withColumn("group", F.coalesce("group", "gid")))
-        still = rest.groupBy("bucket").agg(F.min("group").alias("g0"), F.max("group").alias("g1"))
-        active = write_cut(rest.join(still.where("g0 <> g1").select("bucket"), "bucket"), "active")
-        if active.isEmpty():
-            return group
-        width = min(4 * width, MOST_PIVOTS)
+def _families(member: DataFrame) -> DataFrame:
+    """(node, family): members connected by shared buckets."""
+    banded = member.select("node", F.explode("bands").alias("bucket"))
+    least = (banded.groupBy("bucket").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("many"))
+             .where("many > 1").select("bucket", "b"))
+    ties = banded.join(least, "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
+    return components(ties).withColumnRenamed("component", "family")
+
+
+def _links(own: DataFrame, member: DataFrame, similar: float) -> DataFrame:
+    """(a, b): edges between alike members, enough to connect each class."""
+    family = _families(member)
+    wanted = write_cut(family.join(member.select("node", "gid", "least", "size"), "node").select(
+        "node", "family", "size", _row_key(F.col("gid"), F.col("least")).alias("key")), "wanted")
+    # The shingles of members that meet any other, from the text of the least id.
+    chosen = (own.select(_row_key(F.col("digest"), F.col("doc_id")).alias("key"), "text")
+              .join(wanted.select("key", "node", "family"), "key").dropDuplicates(["node"])
+              .select("node", "family", "text"))
+    shingles = map_rows(chosen, "text", [T.StructField("cells", T.BinaryType())], cells_batch,
+                        ["node", "family"])
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("size") / F.lit(BLOCK_CELLS)))
+    cut = wanted.groupBy("family").agg(blocks.cast("int").alias("blocks"))
+    placed = (shingles.join(cut, "family")
+              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                      "block", "node", "cells"))
+    return write_cut(placed.groupBy("family", "i", "j").applyInArrow(
+        _compare(similar), "a long, b long"), "links")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -250,17 +251,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, digest, class_id, kept): one row per row of ``docs``; ``digest`` is the MD5
     of the text as binary."""
     own, rows = _sketches(docs, doc_id, text)
-    # Equal texts are one member from here on; its gid is their digest.
+    # Equal texts are one member from here on; its number is fixed by writing it.
     member = write_cut(rows.where("size > 0").groupBy(F.col("digest").alias("gid")).agg(
-        F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("size").alias("size")),
-        "members")
-    meet = _meetings(member)
-    group = _connect(meet, _shingles(own, member, meet), similar)
-    least = member.select("gid", "least")
-    lowest = (group.join(least.withColumnRenamed("gid", "node"), "node")
-              .groupBy("component").agg(F.min("least").alias("class_id")))
-    linked = group.join(lowest, "component").select(F.col("node").alias("gid"), "class_id")
-    known = write_cut(least.join(linked, "gid", "left").select(
+        F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("size").alias("size"))
+        .withColumn("node", F.monotonically_increasing_id()), "members")
+    group = components(_links(own, member, similar))
+    least = member.select("gid", "node", "least")
+    named = group.join(least, "node")
+    lowest = named.groupBy("component").agg(F.min("least").alias("class_id"))
+    linked = named.join(lowest, "component").select("node", "class_id")
+    known = write_cut(least.join(linked, "node", "left").select(
         F.col("gid").alias("digest"), F.coalesce("class_id", "least").alias("class_id")), "classes")
     out = rows.select("doc_id", "digest", "size").join(known, "digest", "left")
     class_id = F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
