@@ -37,6 +37,17 @@ def tumbling(df: DataFrame, ts: str, size: str, prefix: str = "window") -> DataF
     return df.withColumn(f"{prefix}_start", w.start).withColumn(f"{prefix}_end", w.end)
 
 
+def window_agg(df: DataFrame, ts: str, size: str, keys: list, aggs: list,
+               slide: str | None = None) -> DataFrame:
+    """Aggregates per tumbling (or, with ``slide``, sliding) window and keys. Grouping is
+    on the window itself, which keeps a stream's watermark, so one definition runs on
+    tables and on watermarked streams in append mode."""
+    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    got = df.groupBy(w.alias("_w"), *keys).agg(*aggs)
+    return got.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                      *[c for c in got.columns if c != "_w"])
+
+
 def sliding(df: DataFrame, ts: str, size: str, slide: str, prefix: str = "window") -> DataFrame:
     """O-W2: sliding window; a row belongs to every window that contains it."""
     return (df.withColumn("_w", F.window(ts, size, slide))
@@ -85,10 +96,8 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
     if count_alias:
         aggs.append(F.count(F.lit(1)).alias(count_alias))
     aggs += [F.sum(c).alias(a) for a, c in sums.items()]
-    if size_ms % slide_ms != 0 or k <= pane_ratio_limit:
-        w = F.window(ts, size, slide)
-        return (df.groupBy(w.start.alias("window_start"), w.end.alias("window_end"), *keys)
-                  .agg(*aggs))
+    if df.isStreaming or size_ms % slide_ms != 0 or k <= pane_ratio_limit:
+        return window_agg(df, ts, size, keys, aggs, slide)
     pane = F.window(ts, slide)
     panes = df.groupBy(pane.start.alias("_ps"), *keys).agg(*aggs)
     out_cols = ([count_alias] if count_alias else []) + list(sums)

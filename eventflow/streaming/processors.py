@@ -4,7 +4,8 @@ Streaming forms of O-P1, O-P2, O-P3, O-P4 and the keyed control streams
 O-J2, O-J3 (tagged union, see below). Each processor keeps only a few
 scalars per key (RocksDB state store), so state grows with the number of keys,
 not with rows. Rows of one key inside a micro-batch are handled in event-time
-order. Use ``timeMode="EventTime"`` with a watermark on the input.
+order, or in the order of a given arrival column. Keys may be of any type and columns
+of any name: ``apply_processor`` maps them. Use a watermark on the input.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double"
@@ -30,18 +32,23 @@ class DeltaAlertProcessor(StatefulProcessor):
     ``first_as_zero``: an empty state reads 0.0. ``ttl_ms``: the key's state is
     cleared ``ttl_ms`` after its last reading - by an event-time timer for idle
     keys, and directly when a reading arrives that much later (the timer would
-    have fired by then), so the result does not depend on micro-batch
-    boundaries."""
+    have fired by then).
 
-    def __init__(self, threshold: float, first_as_zero: bool = False, ttl_ms: int | None = None):
+    ``order``: the column whose order rows are handled in. With an arrival sequence the
+    result does not depend on micro-batch boundaries; with the event time (the default)
+    it does where rows arrive out of order across batches."""
+
+    def __init__(self, threshold: float, first_as_zero: bool = False, ttl_ms: int | None = None,
+                 order: str = "ts"):
         self.threshold, self.first_as_zero, self.ttl_ms = threshold, first_as_zero, ttl_ms
+        self.order = order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "v double, t long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("ts")
+        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
         last, last_t = self.last.get() if self.last.exists() else (None, None)
         if self.ttl_ms is not None and last_t is not None:
             self.handle.deleteTimer(last_t + self.ttl_ms)
@@ -154,11 +161,21 @@ class RiseAlertProcessor(StatefulProcessor):
 
 
 def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
-                    schema: str, watermark: str = "0 seconds", ts: str = "ts") -> DataFrame:
-    """Key the stream and run ``processor`` with event-time timers."""
-    return (stream.withWatermark(ts, watermark).groupBy(key)
-            .transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema,
-                                        outputMode="Append", timeMode="EventTime"))
+                    schema: str, watermark: str = "0 seconds", ts: str = "ts",
+                    value: str = "temperature") -> DataFrame:
+    """Key the stream and run ``processor`` with event-time timers. ``key``, ``ts`` and
+    ``value`` name the columns that the processors know as id, ts and temperature; the
+    output has the input's names, and the key its type."""
+    names = {key: "id", ts: "ts", value: "temperature"}
+    src = stream.select(*[F.col(c).alias(names.get(c, c)) for c in stream.columns
+                          if c in names or c not in names.values()])
+    kind = src.schema["id"].dataType.simpleString()
+    out = (src.withWatermark("ts", watermark).groupBy("id")
+           .transformWithStateInPandas(statefulProcessor=processor,
+                                       outputStructType=schema.replace("id long", f"id {kind}", 1),
+                                       outputMode="Append", timeMode="EventTime"))
+    back = {v: k for k, v in names.items()}
+    return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns])
 
 
 # ------------------------------------------------------ control streams ----
@@ -174,7 +191,6 @@ THRESHOLD_ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double
 
 def tag_union(readings: DataFrame, controls: DataFrame) -> DataFrame:
     """Union readings (kind 1) and controls (kind 0) by column name."""
-    from pyspark.sql import functions as F
     return (readings.withColumn("kind", F.lit(1))
             .unionByName(controls.withColumn("kind", F.lit(0)), allowMissingColumns=True))
 

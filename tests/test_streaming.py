@@ -718,3 +718,44 @@ def test_write_ahead_sink_hides_uncommitted_batches(spark, tmp):
     assert sink.read().count() == 3
     sink.write_batch(spark.range(5), 1)
     assert sink.read().count() == 8
+
+
+def test_window_operators_run_on_watermarked_streams(spark, replay, tmp):
+    from eventflow.operators import windows as W
+    path, schema = replay
+    src = SJ.replay_stream(spark, path, schema).select("id", "ts").withWatermark("ts", "0 seconds")
+    batch = sensors(events(spark, SF_SMALL)).select("id", F.col("ts").cast("timestamp").alias("ts"))
+    forms = {
+        "tumble": lambda d: W.window_agg(d, "ts", "1 day", ["id"], [F.count(F.lit(1)).alias("cnt")]),
+        "slide4": lambda d: W.sliding_agg(d, "ts", "1 day", "6 hours", ["id"], {}),
+        "slide2": lambda d: W.sliding_agg(d, "ts", "1 day", "12 hours", ["id"], {}),
+    }
+    for name, form in forms.items():
+        out = form(src)
+        want = form(batch)
+        assert [f.dataType for f in out.schema] == [f.dataType for f in want.schema]
+        _run(out.writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", f"{tmp}/{name}").trigger(availableNow=True).start())
+        got = sorted(tuple(r) for r in spark.sql(f"select * from {name}").collect())
+        last = max(r[1] for r in got)
+        assert got == sorted(tuple(r) for r in want.collect() if r.window_end <= last) and got
+
+
+def test_processor_takes_any_key_and_names_in_arrival_order(spark, tmp):
+    base = pd.Timestamp("2024-03-01", tz="UTC")
+    # Out of order within the watermark: 50 comes at 5 s, then 48 at 3 s.
+    rows = [(0, "sensor_1", base + pd.Timedelta(seconds=0), 10.0), (1, "sensor_1", base + pd.Timedelta(seconds=5), 50.0),
+            (2, "sensor_2", base + pd.Timedelta(seconds=1), 1.0), (3, "sensor_1", base + pd.Timedelta(seconds=3), 48.0),
+            (4, "sensor_1", base + pd.Timedelta(seconds=6), 5.0), (5, "sensor_2", base + pd.Timedelta(seconds=2), 99.0)]
+    src = spark.createDataFrame(pd.DataFrame(rows, columns=["seq", "device", "at", "level"]))
+    results = []
+    for n in (1, 3):
+        write_replay_files(src, f"{tmp}/src{n}", "seq", n)
+        s = SJ.replay_stream(spark, f"{tmp}/src{n}", src.schema)
+        out = apply_processor(s, "device", DeltaAlertProcessor(30.0, order="seq"), ALERT_SCHEMA,
+                              "1 minute", "at", "level")
+        assert out.columns == ["device", "at", "level", "diff"]
+        _run(out.writeStream.format("memory").queryName(f"any{n}").option("checkpointLocation", f"{tmp}/ck{n}")
+             .trigger(availableNow=True).start())
+        results.append(sorted((r.device, r.level, r.diff) for r in spark.sql(f"select * from any{n}").collect()))
+    assert results[0] == results[1] == [("sensor_1", 5.0, 43.0), ("sensor_1", 50.0, 40.0), ("sensor_2", 99.0, 98.0)]
