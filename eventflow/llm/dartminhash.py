@@ -46,7 +46,7 @@ SIMILAR = 0.8
 ROWS, BANDS = 7, 36
 COORDS = ROWS * BANDS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-BLOCK, BLOCK_CELLS = 512, 1 << 20  # of a side of a comparison
+BLOCK, BLOCK_CELLS = 2048, 1 << 21  # of a side of a comparison
 COLUMNS = 2048
 SMALL = 64  # cells; the streams of smaller texts are drawn 64 darts at a time
 
