@@ -23,11 +23,18 @@ from eventflow.sinks import fs
 
 
 class LateSplitter:
+    """``marker``: a SQL predicate; if given, only rows that satisfy it advance the
+    watermark (O-M3, punctuated)."""
+
     def __init__(self, spark, root: str, ts: str, arrival: str, delay: str,
-                 fmt: str = "parquet"):
+                 fmt: str = "parquet", marker: str | None = None):
         self.spark, self.root, self.ts, self.arrival = spark, root.rstrip("/"), ts, arrival
         self.delay_us = _ms(delay) * 1000
-        self.fmt = fmt
+        self.fmt, self.marker = fmt, marker
+
+    def _clock(self):
+        t = epoch_us(self.ts)
+        return t if self.marker is None else F.when(F.expr(self.marker), t)
 
     def _ledger(self) -> dict:
         txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
@@ -35,7 +42,7 @@ class LateSplitter:
 
     def split(self, df: DataFrame, carry_max_us: int | None) -> tuple:
         d = df.withColumn("_t_us", epoch_us(self.ts))
-        d = running_max_before(d, "_t_us", self.arrival, "_mx")
+        d = running_max_before(d.withColumn("_clock", self._clock()), "_clock", self.arrival, "_mx")
         if carry_max_us is not None:
             d = d.withColumn("_mx", F.greatest("_mx", F.lit(carry_max_us)))
         d = d.withColumn("_wm_us", F.col("_mx") - F.lit(self.delay_us))
@@ -52,7 +59,7 @@ class LateSplitter:
         main, late = self.split(df, ledger["max_us"])
         main.write.mode("overwrite").format(self.fmt).save(f"{self.root}/main/batch={batch_id}")
         late.write.mode("overwrite").format(self.fmt).save(f"{self.root}/late/batch={batch_id}")
-        bmax = df.agg(F.max(epoch_us(self.ts))).first()[0]
+        bmax = df.agg(F.max(self._clock())).first()[0]
         new_max = max(x for x in (ledger["max_us"], bmax) if x is not None) if (
             ledger["max_us"] is not None or bmax is not None) else None
         fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
