@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import Words, buffers, col, fresh, map_rows, mix64, slices, write_cut
+from eventflow.llm.common import Words, buffers, col, fresh, map_arrow, map_rows, mix64, slices, write_cut
 from eventflow.llm.components import components
 
 SHINGLE = 5
@@ -48,6 +48,7 @@ COORDS = ROWS * BANDS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BLOCK, BLOCK_CELLS = 2048, 1 << 21  # of a side of a comparison
 COLUMNS = 2048
+SLOTS = 1 << 22
 SMALL = 64  # cells; the streams of smaller texts are drawn 64 darts at a time
 
 
@@ -215,6 +216,27 @@ def _sketches(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
     return own, write_cut(map_rows(own, "text", fields, sketch_batch, ["doc_id", "digest"]), "sketches")
 
 
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key may be among the wanted ones: a bitmap of ``SLOTS`` hash slots,
+    of one size for any data, goes to the tasks, so that few texts move to the join."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
+    marked = (wanted.select((slot + 1).alias("h"))
+              .groupBy(F.bitmap_bucket_number("h").alias("part"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect())
+    bits = np.zeros(SLOTS // 8, dtype=np.uint8)
+    for r in marked:  # parts of 4096 bytes each
+        bits[(r["part"] - 1) * 4096:r["part"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    src = rows.withColumn("slot", slot)
+
+    def run(batches):
+        for batch in batches:
+            h = np.asarray(batch.column(batch.num_columns - 1))
+            yield batch.filter(pa.array((shared.value[h >> 3] >> (h & 7) & 1).astype(bool)))
+
+    return map_arrow(src, run, src.schema).drop("slot")
+
+
 def _families(member: DataFrame) -> DataFrame:
     """(node, family): members connected by shared buckets."""
     banded = member.select("node", F.explode("bands").alias("bucket"))
@@ -230,8 +252,8 @@ def _links(own: DataFrame, member: DataFrame, similar: float) -> DataFrame:
     wanted = write_cut(family.join(member.select("node", "gid", "least", "size"), "node").select(
         "node", "family", "size", _row_key(F.col("gid"), F.col("least")).alias("key")), "wanted")
     # The shingles of members that meet any other, from the text of the least id.
-    chosen = (own.select(_row_key(F.col("digest"), F.col("doc_id")).alias("key"), "text")
-              .join(wanted.select("key", "node", "family"), "key").dropDuplicates(["node"])
+    texts = own.select(_row_key(F.col("digest"), F.col("doc_id")).alias("key"), "text")
+    chosen = (_likely(texts, wanted).join(wanted.select("key", "node", "family"), "key").dropDuplicates(["node"])
               .select("node", "family", "text"))
     shingles = map_rows(chosen, "text", [T.StructField("cells", T.BinaryType())], cells_batch,
                         ["node", "family"])
