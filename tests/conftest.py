@@ -31,19 +31,27 @@ def tmp(tmp_path):
     return str(tmp_path)
 
 
-@pytest.fixture(params=["small_blocks", "default"])
-def scan_mode(request, spark):
-    """Run a test with the default block sizes and with tiny ones, so that carries
-    cross arrival blocks and time buckets."""
-    small = request.param == "small_blocks"
+def _block_sizes(spark, small: bool):
     conf = {"spark.eventflow.scan.arrivalBlock": "16" if small else "262144",
             "spark.eventflow.scan.bucketRows": "16" if small else "1000000"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    yield request.param
+    yield
     for k, v in old.items():
         if v is None:
             spark.conf.unset(k)
         else:
             spark.conf.set(k, v)
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    """Tiny blocks, so that carries cross arrival blocks and time buckets."""
+    yield from _block_sizes(spark, True)
+
+
+@pytest.fixture(params=["small_blocks", "default"])
+def scan_mode(request, spark):
+    """Run a test with tiny blocks and with the default block sizes."""
+    yield from _block_sizes(spark, request.param == "small_blocks")

@@ -21,7 +21,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_query_matches_oracle(spark, con, name, scan_mode):
+def test_query_matches_oracle(spark, con, name, small_blocks):
     got = queries()[name](spark, SF_SMALL).toPandas()
     want = con.execute(oracle_sql()[name]).df()
     ok, msg = compare(got, want)
