@@ -37,11 +37,11 @@ from pyspark.sql import types as T
 from eventflow.llm.boundaries import pieces
 from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, slices, write_cut
 
-MAX_WORDS = 1 << 17
+MAX_WORDS = 1 << 16
 SHORT = 64  # bytes of a piece that is folded without a heap
 MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
 BINS = 1 << 13
-MAX_KEPT = 200_000
+MAX_KEPT = 60_000
 NONE = 1 << 30
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from eventflow.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 # The word separators of every operator here: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -154,7 +155,12 @@ def range_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
-    """``df.mapInArrow`` with columns of any name, dots included: by place."""
+    """``df.mapInArrow`` with columns of any name, dots included: by place. The session's
+    Arrow batches are held to ``BATCH_ROWS`` rows and ``BATCH_BYTES``, since several Python
+    workers of an executor hold one each, and Spark's own buffers as many again."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     places = [f"c{i}" for i in range(len(schema))]
 
     def renamed(batches):
