@@ -47,7 +47,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids, back = fresh("ids", docs), fresh("decoded", docs)
     count, exact = fresh("n_tokens", docs), fresh("round_trip", docs)
-    coded = bpe.decode(bpe.encode(docs, path, ids=ids), path, ids=ids, decoded=back)
+    # Written between the two, so that a task needs one Python worker and not two at once.
+    coded = bpe.decode(write_cut(bpe.encode(docs, path, ids=ids), "encoded"), path, ids=ids, decoded=back)
     text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     return coded.select(*[col(c) for c in docs.columns], col(ids),
                         F.expr(f"octet_length(`{ids}`) div 4").cast("long").alias(count),

@@ -166,6 +166,7 @@ def map_arrow(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
     def renamed(batches):
         for batch in run(batches):
             yield batch.rename_columns(places)
+        pa.default_memory_pool().release_unused()  # an idle worker keeps no spare memory
 
     inner = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(places, schema)])
     src = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
