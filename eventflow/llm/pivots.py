@@ -5,8 +5,10 @@ that are close see the same points nearby, so the index keeps inverted lists and
 for vectors that share at least ``SHARED`` pivots: a list for every set of that many
 pivots, in which a vector stands once for each such subset of its own. Two vectors meet
 in a list exactly when their shared-pivot count reaches ``SHARED``. The number of pivots
-grows with the square root of the number of vectors, which holds the lists of unrelated
-vectors at a constant length however large the table. Pivots are chosen farthest-first
+grows with the square root of the number of vectors, which keeps the lists of unrelated
+vectors short. More pivots stand closer together, so close vectors share fewer of their
+nearest: two of seven is what pairs at the threshold still share among ``MOST_PIVOTS``
+(tested by cosine band; three of six lost a fifth of them). Pivots are chosen farthest-first
 from a sample of ``SAMPLE`` vectors taken by a hash of the id; every vector is indexed.
 
 Equal vectors of a label are put together first and carry their number. Lists of one
@@ -37,7 +39,7 @@ from eventflow.llm.common import col, write_cut
 from eventflow.llm.components import components
 
 COSINE = 0.93
-NEAREST, SHARED = 6, 3
+NEAREST, SHARED = 7, 2
 SAMPLE = 4096
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 2048
@@ -89,10 +91,17 @@ def fit(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[dict[int, np.n
             if len(p := farthest_first(_unit(np.stack(x)), want)) >= 2 * NEAREST}, want
 
 
+def _width(vectors: DataFrame, embedding: str) -> str:
+    """The type that holds the components exactly: every list of a vector carries them."""
+    return "<f4" if vectors.schema[embedding].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def describe(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
     """(vec_id, gid, vec, top): an id of the label and vector together, the vector's
-    doubles and its nearest pivots, the nearest first; nulls where it links with nothing."""
+    components (floats if they came as such) and its nearest pivots, the nearest first;
+    nulls where it links with nothing."""
     fitted, want = fit(vectors, vec_id, embedding)
+    width = _width(vectors, embedding)
     src = vectors.select(col(vec_id).alias("vec_id"), col(label).cast("string").alias("label"),
                          col(embedding).cast("array<double>").alias("v"))
 
@@ -116,7 +125,7 @@ def describe(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> Dat
                 for v, tag in zip(vs, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(gids, pa.binary()),
-                 pa.array([None if v is None else v.tobytes() for v in vs], pa.binary()),
+                 pa.array([None if v is None else v.astype(width).tobytes() for v in vs], pa.binary()),
                  pa.array(tops, pa.binary()), batch.column(1)],
                 names=["vec_id", "gid", "vec", "top", "label"])
 
@@ -141,7 +150,7 @@ def _lists(groups: DataFrame) -> DataFrame:
             .mapInArrow(run, "gid binary, key string"))
 
 
-def _compare(cosine: float):
+def _compare(cosine: float, width: str):
     """The comparison of one block pair of a list: link counts, and edges that join
     what is linked."""
     def run(table: pa.Table) -> pa.Table:
@@ -150,7 +159,7 @@ def _compare(cosine: float):
         block = np.asarray(table.column("block"))
         gid = table.column("gid").to_pylist()
         many = np.asarray(table.column("many"))
-        x = _unit(np.stack([np.frombuffer(v, dtype=np.float64) for v in table.column("vec").to_pylist()]))
+        x = _unit(np.stack([np.frombuffer(v, dtype=width).astype(np.float64) for v in table.column("vec").to_pylist()]))
         top = np.sort(np.stack([np.frombuffer(v, dtype="<i4") for v in table.column("top").to_pylist()]), 1)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         root = np.arange(len(gid))
@@ -206,7 +215,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
               .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                       "block", "gid", "many", "vec", "top"))
     found = write_cut(placed.groupBy("key", "i", "j").applyInArrow(
-        _compare(cosine), "a binary, b binary, n long"), "compared")
+        _compare(cosine, _width(vectors, embedding)), "a binary, b binary, n long"), "compared")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("gid")).agg(F.sum("n").alias("links"))
     part = components(found.where("b IS NOT NULL").select("a", "b"))
     part = part.join(groups.select(F.col("gid").alias("node"), "least"), "node")

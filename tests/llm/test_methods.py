@@ -319,6 +319,27 @@ def test_pivots_against_brute_force(spark):
     assert all(r.n_links <= near[i].sum() for i, r in got.items())
 
 
+def test_recall_of_pivots_does_not_fall_with_the_table():
+    # Pairs in the hardest bands, by brute force over the described pivots.
+    rnd = np.random.RandomState(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rnd.standard_normal((1000, 64)))
+    points = pivots.farthest_first(unit(rnd.standard_normal((pivots.SAMPLE, 64))), pivots.MOST_PIVOTS)
+
+    def top(x, n):
+        return np.argsort(-(x @ points[:n].T), axis=1, kind="stable")[:, :pivots.NEAREST]
+
+    for cosine in (pivots.COSINE, 0.94, 0.95):
+        off = rnd.standard_normal(x.shape)
+        off = unit(off - (off * x).sum(axis=1, keepdims=True) * x)
+        y = cosine * x + math.sqrt(1 - cosine ** 2) * off
+        for n in (pivots.LEAST_PIVOTS, 512, 2048, pivots.MOST_PIVOTS):
+            shared = (top(x, n)[:, :, None] == top(y, n)[:, None, :]).any(axis=2).sum(axis=1)
+            recall = (shared >= pivots.SHARED).mean()
+            print(f"cosine {cosine} pivots {n} recall {recall:.3f}")
+            assert recall >= 0.94
+
+
 # -- toxicity ---------------------------------------------------------------
 
 def test_pairs_that_a_linear_model_misses():
