@@ -10,8 +10,9 @@ discloses it to the degree
 the share of the entity's information that the term carries, over documents: N in all,
 n(e) with the entity, n(t) with the term anywhere, n(t,e) with the term near the entity.
 A term seen near an entity in at least ``SUPPORT`` documents whose degree reaches
-``GENERALISE`` is generalised in the documents where it stands near that entity; from
-``REMOVE`` on it is removed. Documents without a protected entity are left as they are.
+``GENERALISE`` is generalised in the documents that hold that entity, at every place
+outside the base spans; from ``REMOVE`` on it is removed. Documents without a protected
+entity are left as they are.
 
 Terms are words, stripped of ASCII punctuation at both ends, in ASCII lower case. All
 documents are counted. Counts are combined before they are shuffled; an entity or a text
@@ -126,8 +127,9 @@ def _hashes(values: list[bytes]) -> list[int]:
     return range_hash(raw, starts, ends).view(np.int64).tolist()
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The terms near the entities of a text; ``fresh`` where a pair is first met in it."""
+def _contexts(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[dict], list[dict]]:
+    """(the distinct pairs of an entity and a term near it, the places of each term) of a
+    text, outside its base spans."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     heads = [a for a, _ in words]
     free = []
@@ -144,44 +146,49 @@ def _contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         last = int(np.searchsorted(heads, end, side="left"))
         taken[first:last] = True
         near.append((f"{KINDS[kind]}:{_value(text, kind, start, end)}", first, last))
-    out = []
-    for entity, first, last in near:
+    places = [i for i, (a, b) in enumerate(free) if a < b and not taken[i]]
+    if not places:
+        return [], []
+    hashed = _hashes([bytes(_LOWER[np.frombuffer(text[slice(*free[i])].encode(), dtype=np.uint8)])
+                      for i in places])
+    term = dict(zip(places, hashed))
+    pairs: dict = {}
+    for e, (_, first, last) in zip(_hashes([x[0].encode() for x in near]), near):
         for i in [*range(max(0, first - WINDOW), first), *range(last, min(len(words), last + WINDOW))]:
-            a, b = free[i]
-            if a < b and not taken[i]:
-                term = bytes(_LOWER[np.frombuffer(text[a:b].encode(), dtype=np.uint8)])
-                out.append((entity, term, a, b))
-    if not out:
-        return []
-    e, t = _hashes([x[0].encode() for x in out]), _hashes([x[1] for x in out])
-    met: set = set()
-    rows = []
-    for i, (_, _, a, b) in enumerate(out):
-        rows.append({"entity": e[i], "term": t[i], "start": a, "end": b, "fresh": int((e[i], t[i]) not in met)})
-        met.add((e[i], t[i]))
-    return rows
+            if i in term:
+                pairs[e, term[i]] = None
+    found: dict = {}
+    for i in places:
+        found.setdefault(term[i], []).append({"start": free[i][0], "end": free[i][1]})
+    return ([{"entity": e, "term": t} for e, t in pairs],
+            [{"term": t, "places": p} for t, p in found.items()])
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("place", T.IntegerType()),
                                   T.StructField("end", T.IntegerType())]))
-NEAR = T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("term", T.LongType()),
-                                 T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
-                                 T.StructField("fresh", T.IntegerType())]))
+NEAR = T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("term", T.LongType())]))
+WORDS = T.ArrayType(T.StructType([T.StructField("term", T.LongType()), T.StructField("places", T.ArrayType(
+    T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))]))
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("place", pa.int32()), ("end", pa.int32())]))
-_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()),
-                            ("end", pa.int32()), ("fresh", pa.int32())]))
+_NEAR = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))
+_PLACES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_TERMS = pa.list_(pa.struct([("term", pa.int64()), ("places", _PLACES)]))
 
 
 def find_batch(texts: pa.Array) -> list[pa.Array]:
-    """[base spans, entities, terms near them] of each text."""
-    spans, entities, near = [], [], []
+    """[base spans, entities, terms near them, places of all terms] of each text; the last
+    two are empty without an entity."""
+    spans, entities, near, words = [], [], [], []
     for text in texts.to_pylist():
         own = base_spans(text or "")
         spans.append([{"start": a, "place": k, "end": b} for a, k, b in own])
-        near.append(_contexts(text, own) if own else [])
+        pairs, places = _contexts(text, own) if own else ([], [])
+        near.append(pairs)
+        words.append(places)
         values = sorted({f"{KINDS[k]}:{_value(text, k, a, b)}" for a, k, b in own})
         entities.append(_hashes([v.encode() for v in values]) if values else [])
-    return [pa.array(spans, _SPANS), pa.array(entities, pa.list_(pa.int64())), pa.array(near, _NEAR)]
+    return [pa.array(spans, _SPANS), pa.array(entities, pa.list_(pa.int64())), pa.array(near, _NEAR),
+            pa.array(words, _TERMS)]
 
 
 def _term_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -216,8 +223,7 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str, support: int = SUPP
     with_entity = (found.where(F.size("entities") > 0).select(F.explode("entities").alias("entity"))
                    .groupBy("entity").agg(F.count(F.lit(1)).alias("ne")))
     pairs = (found.where(F.size("near") > 0).select(F.explode("near").alias("x"))
-             .select("x.entity", "x.term", "x.fresh")
-             .groupBy("entity", "term").agg(F.sum("fresh").alias("nte")).where(F.col("nte") >= support))
+             .groupBy("x.entity", "x.term").agg(F.count(F.lit(1)).alias("nte")).where(F.col("nte") >= support))
     pairs = write_cut(pairs.join(with_entity, "entity").withColumn("one", F.lit(1)).join(total, "one"), "pairs")
     # Only terms that could disclose something are counted throughout the corpus.
     wanted = write_cut(pairs.select("term").distinct(), "terms")
@@ -238,15 +244,19 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     whole = F.coalesce(col(text).cast("string"), F.lit(""))
     own = docs.withColumn(digest, F.unhex(F.md5(whole)))
     fields = [T.StructField("spans", SPANS), T.StructField("entities", T.ArrayType(T.LongType())),
-              T.StructField("near", NEAR)]
+              T.StructField("near", NEAR), T.StructField("words", WORDS)]
     packed = own.select(F.struct(*[col(c) for c in keep], F.lit(0).alias(fresh("_", keep))).alias("row"),
                         col(digest).alias("digest"), col(text).alias("text"))
     found = write_cut(map_rows(packed, "text", fields, find_batch, ["row", "digest"]), "found")
     known = write_cut(disclosing(docs, found, text, support, generalise), "disclosing")
-    terms = (found.where(F.size("near") > 0).select("digest", F.explode("near").alias("x"))
-             .select("digest", "x.entity", "x.term", "x.start", "x.end").join(known, ["entity", "term"])
-             .groupBy("digest", "start", "end").agg(F.max("degree").alias("degree"))
-             .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("start", "end", "degree"))).alias("terms")))
+    # Every place of a disclosing term in the documents that hold its entity: a row for each
+    # distinct term of such a document, joined on the term, and the entity looked up in the row.
+    placed = (found.where(F.size("words") > 0).select("digest", "entities", F.explode("words").alias("x"))
+              .select("digest", "entities", "x.term", "x.places").join(known, "term")
+              .where(F.array_contains("entities", F.col("entity"))))
+    terms = (placed.groupBy("digest", "term").agg(F.max("degree").alias("degree"), F.first("places").alias("places"))
+             .select("digest", "degree", F.explode("places").alias("p"))
+             .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("p.start", "p.end", "degree"))).alias("terms")))
     return found, write_cut(terms, "terms")
 
 

@@ -120,6 +120,25 @@ def test_disclosing_terms(spark):
     assert clean[200] is None and clean[None] == ""
 
 
+def test_disclosing_terms_at_every_place_of_a_document(spark):
+    rnd = random.Random(1)
+    common = [f"c{i}" for i in range(50)]
+    rows = []
+    for i in range(200):
+        text = " ".join(rnd.choice(common) for _ in range(30))
+        if i < 6:
+            text = f"Zorblat! began {text} write to Zorblat, boss@secret.org soon {text} and (ZORBLAT) said"
+        elif i < 60:
+            text += " began soon write to and said"
+        rows.append((i, text, "en", "s", 0))
+    rows.append((200, "other@place.net knows Zorblat", "en", "s", 0))
+    got = {r.row.doc_id: [rows[r.row.doc_id][1][s.start:s.end] for s in r.spans if s.place == 4]
+           for r in pii.scan(X.docs(spark, rows), keep=["doc_id"]).collect()}
+    assert all(got[i] == (["Zorblat", "Zorblat", "ZORBLAT"] if i < 6 else []) for i in range(201))
+    clean = {r.doc_id: r.text for r in pii.sanitise(X.docs(spark, rows)).collect()}
+    assert all("zorblat" not in clean[i].lower() for i in range(6)) and "Zorblat" in clean[200]
+
+
 # -- secrets ----------------------------------------------------------------
 
 def brute_secrets(t):
