@@ -5,14 +5,18 @@ A pattern's matches come from ``regexp_extract_all`` and the gaps between them f
 sentinel that a text could contain.
 
 Entropy finds secrets without a known shape. A candidate is a run of key characters
-of at least ``min_chars``. Its class is the narrowest that holds it (hexadecimal,
-letters and digits, base64). A window of ``window`` characters slides over it; the
+of at least ``MIN_CHARS``. It is judged by its stretches of at least as many: the
+maximal ones of letters and digits within it (padding after one makes it part of the
+base64 run), and the run itself. A stretch's class is the narrowest that holds it (hexadecimal, letters and
+digits, base64), so that a prefix such as ``key-`` or ``path/`` raises no bar. A window of ``window`` characters slides over it; the
 counts of the characters and the sum of c * log2(c) are carried along, one character
 in and one out at each step, so every step costs the same however long the window.
-The entropy of a window is log2(w) - sum / w, and a candidate whose largest window
-reaches its class's threshold is a span of kind ``entropy`` - unless the allow list
-suppresses it: runs without a digit or without a letter, ordered runs of the
-alphabet, UUIDs, and documentation examples.
+The entropy of a window is log2(w) - sum / w, and a candidate with a stretch
+whose largest window reaches its class's threshold is a span of kind ``entropy``. The
+allow list suppresses what it matches: UUIDs and paths a whole run; ordered runs of the
+alphabet and the words of documentation examples the windows they stand in, as they cut
+the run; a stretch without a digit or without a letter itself. A stretch that is a base
+span makes no candidate of the run around it.
 
 Null and empty texts have no spans. A text is scanned whole; repeated rows are
 scanned alike; nothing moves between tasks.
@@ -41,6 +45,11 @@ ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
          r"^[^0-9]*$", r"^[^A-Za-z]*$", r"(?i)example|sample|placeholder|changeme|xxxxxx",
          r"0123456789|abcdefghijkl|ABCDEFGHIJKL",
          r"^(/?[A-Za-z]+[0-9]{0,4}[/_-])+[A-Za-z]*[0-9]{0,4}$")
+# Those that match a run whole, and those that match a part of it.
+WHOLE = (ALLOW[0], ALLOW[5])
+CUTS = f"(?:{ALLOW[4]}|{ALLOW[3]})"
+# Stretches that are base spans of their own.
+COVERED = f"^(?:{ACCESS}|{HEX})$"
 
 
 def _let(value: Column, body) -> Column:
@@ -110,11 +119,32 @@ def _candidates(text: Column) -> Column:
     return matches(text, "[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_CHARS)
 
 
-def _suspicious(found: Column) -> Column:
-    """Whether a candidate is not allow-listed and reaches its class's entropy."""
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | F.regexp_like(found, F.lit(pattern))
+def _matches_any(value: Column, patterns) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | F.regexp_like(value, F.lit(pattern))
+    return found
+
+
+def _stretches(run: Column) -> Column:
+    """The distinct stretches of a run by which it is judged."""
+    def of(piece):
+        return F.concat(F.array(piece), F.regexp_extract_all(
+            piece, F.lit("[A-Za-z0-9]{%d,}+(?!=)" % MIN_CHARS), F.lit(0)))
+
+    pieces = F.filter(F.split(run, CUTS, -1), lambda p: F.char_length(p) >= MIN_CHARS)
+    return F.filter(F.array_distinct(F.flatten(F.transform(pieces, of))),
+                    lambda s: ~F.regexp_like(s, F.lit(COVERED)))
+
+
+def _suspicious(run: Column) -> Column:
+    """Whether a candidate is not allow-listed and has a telling stretch."""
+    return F.when(_matches_any(run, WHOLE), F.lit(False)).otherwise(F.exists(_stretches(run), _telling))
+
+
+def _telling(found: Column) -> Column:
+    """Whether a stretch is not allow-listed and reaches its class's entropy."""
+    allowed = _matches_any(found, ALLOW)
     limit = (F.when(F.regexp_like(found, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")), F.lit(THRESHOLDS["hex"]))
              .when(F.regexp_like(found, F.lit("^[A-Za-z0-9]+$")), F.lit(THRESHOLDS["alnum"]))
              .otherwise(F.lit(THRESHOLDS["base64"])))

@@ -183,6 +183,23 @@ def test_secrets(spark):
     assert sum(k == "entropy" for v in got.values() for _, _, k, _ in v) >= 2
 
 
+def test_secrets_beside_prefixes_and_allowed_words(spark):
+    rnd = random.Random(12)
+    digits = ["".join(rnd.choice("0123456789abcdef") for _ in range(rnd.randint(20, 31))) for _ in range(60)]
+    alone = [d for d in digits if brute_secrets(d)]
+    secret = "Zx9mQ2pL8vR4tY7wK1nB5cD3fG6hJ0sA"
+    yes = [p + d for d in alone for p in ("key-", "prefix_", "path/")]
+    yes += [f"/sample/{secret}", f"{secret}/example", f"0123456789_{secret}", f"/sample/{secret[:16]}+{secret[16:]}/"]
+    no = ["a/normal/path/to/some/file_name_of_2024", "550e8400-e29b-41d4-a716-446655440000",
+          "/sample/abcdefghijklmnopqrstuvwxyz0123456789", "key-" + "0a1b" * 8, "sample" + secret[:17],
+          "some_example_of_a_long_name_1", "key-" + "12345678901234567890"]
+    d = spark.createDataFrame(list(enumerate(yes + no)), "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.secrets] for r in secrets.scan(d, keep=["doc_id"]).collect()}
+    assert len(alone) > 50
+    assert [yes[i] for i in range(len(yes)) if "entropy" not in got[i]] == []
+    assert [t for i, t in enumerate(no, len(yes)) if "entropy" in got[i]] == []
+
+
 # -- mixing -----------------------------------------------------------------
 
 def brute_targets(sizes):
