@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import (bpe, dartminhash, mixing, pii, pivots, quality, secrets, tokens, toxicity,
+from eventflow.llm import (bpe, dartminhash, merkle, mixing, pii, pivots, quality, secrets, tokens, toxicity,
                            warc)
 from eventflow.llm.common import table, write_cut
 
@@ -141,3 +141,78 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                             keep=["doc_id"])
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    altered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    rows = docs.select(
+        "doc_id", "source", merkle.leaf_digest(*fields, F.col("text")).alias("leaf"),
+        F.when(altered, merkle.leaf_digest(*fields, F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered"))
+    done = merkle.manifest(rows)
+    m = F.col("merkle")
+    done = done.select("doc_id", "leaf", "merkle.subroot", "merkle.root",
+                       F.sha2(merkle.proof(m["path"]), 256).alias("proof_sha256"),
+                       merkle.fold(F.coalesce("tampered", "leaf"), m["path"]).alias("folded_root"))
+    return done.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLES["op13_merkle_manifest"] = r"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce('=' || source, '-') AS g, sha256(head || part(text)) AS leaf,
+         sha256(head || CASE WHEN doc_id IS NOT NULL AND list_reduce(
+             list_prepend(4294967295::BIGINT, list_transform(range(1, len(doc_id::VARCHAR) + 1),
+                          lambda i: ascii(substr(doc_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), range(1, 9)),
+               lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) % 2 = 1
+           THEN part(replace(text, chr(10), '')) ELSE part(text) END) AS tampered
+  FROM (SELECT *, part(doc_id::VARCHAR) || part(source) || part(lang) || part(n_chars::VARCHAR) AS head
+        FROM documents)),
+nodes(it, g, pos, h) AS (
+  SELECT 0, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1, leaf FROM leaves
+  UNION ALL
+  SELECT it + 1, g, pos // 3, CASE WHEN any_value(size) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS size, max(pos) OVER () AS most FROM nodes)
+  WHERE most > 0 GROUP BY it, g, pos // 3),
+subroots AS (SELECT g, h FROM nodes WHERE it = (SELECT max(it) FROM nodes)),
+tops(it, pos, h) AS (
+  SELECT 0, row_number() OVER (ORDER BY g) - 1, h FROM subroots
+  UNION ALL
+  SELECT it + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, max(pos) OVER () AS most FROM tops) WHERE most > 0 GROUP BY it, pos // 3),
+every AS (
+  SELECT it, g, pos, h FROM nodes
+  UNION ALL
+  SELECT 1000 + it, '', pos, h FROM tops),
+sized AS (SELECT it, g, pos, pos // 3 AS run, h, count(*) OVER (PARTITION BY it, g) AS size FROM every),
+sibs AS (
+  SELECT a.it, a.g, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM sized a JOIN sized b ON a.it = b.it AND a.g = b.g AND a.run = b.run
+  WHERE a.size > 1 GROUP BY a.it, a.g, a.pos),
+walk(it, k, g, pos, proof, f) AS (
+  SELECT 0, k, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1, '', tampered FROM leaves
+  UNION ALL
+  SELECT w.it + 1, k, w.g, w.pos // 3, proof || coalesce(before || after, ''),
+         CASE WHEN before IS NULL THEN f ELSE sha256(before || f || after) END
+  FROM walk w LEFT JOIN sibs s ON s.it = w.it AND s.g = w.g AND s.pos = w.pos
+  WHERE w.it < (SELECT max(it) FROM nodes)),
+climb(it, k, pos, proof, f) AS (
+  SELECT 0, k, t.pos, proof, f
+  FROM walk w JOIN (SELECT g, row_number() OVER (ORDER BY g) - 1 AS pos FROM subroots) t ON t.g = w.g
+  WHERE it = (SELECT max(it) FROM nodes)
+  UNION ALL
+  SELECT w.it + 1, k, w.pos // 3, proof || coalesce(before || after, ''),
+         CASE WHEN before IS NULL THEN f ELSE sha256(before || f || after) END
+  FROM climb w LEFT JOIN sibs s ON s.it = 1000 + w.it AND s.g = '' AND s.pos = w.pos
+  WHERE w.it < (SELECT max(it) FROM tops))
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM climb JOIN leaves USING (k) JOIN subroots s USING (g)
+JOIN (SELECT h FROM tops WHERE it = (SELECT max(it) FROM tops)) t ON climb.it = (SELECT max(it) FROM tops)
+""".replace("part(replace(text, chr(10), ''))", "CASE WHEN text IS NULL THEN '-' ELSE "
+            "strlen(replace(text, chr(10), ''))::VARCHAR || ':' || replace(text, chr(10), '') END")
+for _name in ("doc_id::VARCHAR", "n_chars::VARCHAR", "source", "lang", "text"):
+    ORACLES["op13_merkle_manifest"] = ORACLES["op13_merkle_manifest"].replace(
+        f"part({_name})", f"CASE WHEN {_name} IS NULL THEN '-' ELSE strlen({_name})::VARCHAR || ':' || {_name} END")
