@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.llm import (bpe, dartminhash, merkle, mixing, pii, pivots, quality, secrets, tokens, toxicity,
-                           warc)
+                           warc, whitening)
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -216,3 +216,8 @@ JOIN (SELECT h FROM tops WHERE it = (SELECT max(it) FROM tops)) t ON climb.it =
 for _name in ("doc_id::VARCHAR", "n_chars::VARCHAR", "source", "lang", "text"):
     ORACLES["op13_merkle_manifest"] = ORACLES["op13_merkle_manifest"].replace(
         f"part({_name})", f"CASE WHEN {_name} IS NULL THEN '-' ELSE strlen({_name})::VARCHAR || ':' || {_name} END")
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
