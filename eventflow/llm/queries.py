@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import (bpe, dartminhash, merkle, mixing, pii, pivots, quality, secrets, tokens, toxicity,
-                           warc, whitening)
+from eventflow.llm import (bpe, dartminhash, merkle, mixing, multiprobe, pii, pivots, quality, secrets, tokens,
+                           toxicity, warc, whitening)
 from eventflow.llm.common import table, write_cut
 
 QUERIES: dict = {}
@@ -221,3 +221,8 @@ for _name in ("doc_id::VARCHAR", "n_chars::VARCHAR", "source", "lang", "text"):
 @query
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
