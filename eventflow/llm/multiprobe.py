@@ -294,11 +294,13 @@ def _compare(left: pa.Table, right: pa.Table, dim: int, many: int, out: dict) ->
         return
     # A vector is met in several tables; once is enough.
     place = np.unique(np.concatenate(asks) * len(x) + np.concatenate(hits))
+    if not len(place):
+        return
     k, v = place // len(x), place % len(x)
     exact = np.concatenate([(x[v[a:a + 8192]] * q[k[a:a + 8192]]).sum(axis=1) for a in range(0, len(k), 8192)])
     by = np.lexsort((-exact, k))
     k, v, exact = k[by], v[by], exact[by]
-    heads = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
+    heads = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
     sizes = np.diff(np.append(heads, len(k)))
     # The wanted number of each query, and what ties with the last of them.
     last = np.repeat(exact[heads + np.minimum(sizes, many) - 1], sizes)
