@@ -31,7 +31,7 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_cols: list,
     u = l.unionByName(r, allowMissingColumns=True).withColumn("_o", epoch_us(ts))
     bounds = time_bounds(u, F.col("_o")) if bounds is None else bounds
     u = scan(with_time_bucket(u, F.col("_o"), bounds, "_bk"), [("_r", "last", "_m")],
-             ["_o", "_side", *extra], F.col("_bk"), keys)
+             ["_o", "_side", *extra], F.col("_bk"), keys, buckets=len(bounds) + 1)
     out = u.filter(F.col("_side") == 1).drop("_side", "_r", "_o", "_bk")
     return out.select(*[c for c in out.columns if c != "_m"],
                       *[F.col("_m")[c].alias(c) for c in right_cols])
@@ -48,7 +48,7 @@ def interval_semi_join(left: DataFrame, right: DataFrame, keys: list, ts: str,
     u = l.unionByName(r, allowMissingColumns=True).withColumn("_o", epoch_us(ts))
     bounds = time_bounds(u, F.col("_o")) if bounds is None else bounds
     u = scan(with_time_bucket(u, F.col("_o"), bounds, "_bk"), [("_until", "max", "_deadline")],
-             ["_o", "_side"], F.col("_bk"), keys)
+             ["_o", "_side"], F.col("_bk"), keys, buckets=len(bounds) + 1)
     return (u.filter((F.col("_side") == 1) & (F.col("_deadline") > F.col("_o")))
              .drop("_side", "_until", "_o", "_deadline", "_bk"))
 

@@ -18,11 +18,11 @@ from eventflow.session import materialize
 
 
 def _by_time(df: DataFrame, ts: str, tie: str | None, bounds: list | None = None) -> tuple:
-    """(rows with _o and _bk, order): rows in ``ts`` order, cut into time buckets. Rows
-    of one instant follow ``tie``."""
+    """(rows with _o and _bk, order, number of buckets): rows in ``ts`` order, cut into time
+    buckets. Rows of one instant follow ``tie``."""
     bounds = time_bounds(df, epoch_us(ts)) if bounds is None else bounds
     rows = with_time_bucket(df.withColumn("_o", epoch_us(ts)), F.col("_o"), bounds, "_bk")
-    return rows, ["_o", *([tie] if tie else [])]
+    return rows, ["_o", *([tie] if tie else [])], len(bounds) + 1
 
 
 def rolling_sum(df: DataFrame, key: str, value: str, arrival: str, keep_first: list,
@@ -64,9 +64,9 @@ def previous_value(df: DataFrame, key: str, ts: str, value: str, tie: str | None
                    bounds: list | None = None) -> DataFrame:
     """``lag`` of ``value`` (and optionally of ``ts``, in microseconds) per key in ``ts``
     order; rows of one instant follow ``tie``. ``bounds``: time buckets found before."""
-    d, order = _by_time(df, ts, tie, bounds)
+    d, order, buckets = _by_time(df, ts, tie, bounds)
     outs = [(value, "lag", out), *([("_o", "lag", out_ts)] if out_ts else [])]
-    return scan(d, outs, order, F.col("_bk"), (key,)).drop("_o", "_bk")
+    return scan(d, outs, order, F.col("_bk"), (key,), buckets=buckets).drop("_o", "_bk")
 
 
 def delta_alert(df: DataFrame, key: str, ts: str, value: str, threshold: float,
@@ -106,7 +106,8 @@ def _successors(rises: DataFrame, interval_us: int, bounds: list) -> DataFrame:
                        F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_val"),
                        F.col("_o").alias("_src"))
     u = with_time_bucket(tgt.unionByName(qry), F.col("_t"), bounds, "_bk").withColumn("_negt", -F.col("_t"))
-    u = scan(u, [("_val", "last", "_nxt")], ["_negt", "_side"], -F.col("_bk"), ("_k", "_run"))
+    u = scan(u, [("_val", "last", "_nxt")], ["_negt", "_side"], -F.col("_bk"), ("_k", "_run"),
+             buckets=len(bounds) + 1)
     return u.filter(F.col("_side") == 1).select("_k", "_run", F.col("_src").alias("_o"),
                                                  F.col("_nxt").alias("_j"))
 
@@ -132,11 +133,11 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     bounds = time_bounds(df, epoch_us(ts))
     ties = [tie] if tie else []
     d = previous_value(df.select(key, ts, value, *ties), key, ts, value, tie, bounds=bounds)
-    d, order = _by_time(d, ts, tie, bounds)
+    d, order, buckets = _by_time(d, ts, tie, bounds)
     reset = F.col("prev").isNull() | (F.col(value) < F.col("prev")) | (F.col("prev") == 0.0)
     d = d.withColumn("_reset", reset.cast("int")).withColumn(
         "_rise", (~reset) & (F.col(value) > F.col("prev")))
-    d = scan(d, [("_reset", "sum", "_run")], order, F.col("_bk"), (key,))
+    d = scan(d, [("_reset", "sum", "_run")], order, F.col("_bk"), (key,), buckets=buckets)
     # Time of the next reset of the same key (the end of this row's run): the first row
     # of the next run.
     ends = (d.filter("_reset = 1").select(F.col(key).alias("_k"), (F.col("_run") - 1).alias("_run"),
@@ -169,8 +170,9 @@ def count_with_timeout(df: DataFrame, key: str, ts: str, timeout: str,
     """O-P4: running count per key; emitted with the key when ``timeout``
     passes after a row with no newer row of that key (or at end of input).
     The count is not reset."""
-    d, order = _by_time(df.select(key, ts, *([tie] if tie else [])).withColumn("_one", F.lit(1)), ts, tie)
-    d = scan(d, [("_one", "sum", "cnt"), ("_o", "lead", "_next")], order, F.col("_bk"), (key,))
+    d = df.select(key, ts, *([tie] if tie else [])).withColumn("_one", F.lit(1))
+    d, order, buckets = _by_time(d, ts, tie)
+    d = scan(d, [("_one", "sum", "cnt"), ("_o", "lead", "_next")], order, F.col("_bk"), (key,), buckets=buckets)
     to_us = _ms(timeout) * 1000
     emit = F.col("_next").isNull() | ((F.col("_next") - F.col("_o")) > F.lit(to_us))
     return d.filter(emit).select(
