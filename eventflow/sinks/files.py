@@ -106,16 +106,18 @@ def with_retries(fn, attempts: int = 5, backoff_s: float = 0.5):
 class JsonDocumentSink:
     """O-K6 on a stream: each micro-batch's documents go to
     ``root/index/type/batch=<id>`` (overwritten on replay, so a retried batch
-    is written once), with bounded retries. File sizes are Spark's own; a connector's
-    bulk size is that connector's option."""
+    is written once), in files of at most ``max_docs_per_file`` documents, the bulk
+    size, with bounded retries. ``sinks.bulk`` sends bulks to a client instead."""
 
-    def __init__(self, root: str, index: str, doc_type: str, doc_col: str = "doc", attempts: int = 5, backoff_s: float = 0.5):
+    def __init__(self, root: str, index: str, doc_type: str, doc_col: str = "doc", max_docs_per_file: int = 1000,
+                 attempts: int = 5, backoff_s: float = 0.5):
         self.target = f"{root.rstrip('/')}/{index}/{doc_type}"
-        self.doc_col, self.attempts, self.backoff_s = doc_col, attempts, backoff_s
+        self.doc_col, self.max_docs_per_file = doc_col, max_docs_per_file
+        self.attempts, self.backoff_s = attempts, backoff_s
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         out = df.select(F.col(self.doc_col).alias("value"))
-        with_retries(lambda: out.write.mode("overwrite")
+        with_retries(lambda: out.write.mode("overwrite").option("maxRecordsPerFile", self.max_docs_per_file)
                      .text(f"{self.target}/batch={batch_id}"), self.attempts, self.backoff_s)
 
     def foreach_batch(self):
