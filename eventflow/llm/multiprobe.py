@@ -19,11 +19,11 @@ shell whose vectors are too short to beat the bound is left out, which is exact,
 that has met fewer vectors than wanted, or would visit more buckets than there are, visits
 every bucket of a table.
 
-Buckets are compared with the queries that visit them in matrix products, and each task
-gives back the best of each query, so pairs are never rows. Buckets are dealt to tasks by a
-hash; one of more than ``PART_ROWS`` vectors is split, and queries of a task beyond
-``QUERIES_AT_ONCE`` are dealt to copies of it. Equal vectors are one, with as many of their
-least ids as a result can hold.
+Buckets are dealt to tasks by a hash, and a query goes once to each task that holds some of
+its buckets, with their list. There buckets are compared with the queries that visit them in
+matrix products, and the best of each query go back, so pairs are never rows. A task of more
+than ``PART_ROWS`` vectors is dealt to slabs, one of more than ``QUERIES_AT_ONCE`` queries
+to copies. Equal vectors are one, with as many of their least ids as a result can hold.
 
 Ranks follow the score, ties the smaller id, null last. Scores are inner products of the
 original vectors in double precision, summed in one fixed way. Vectors that are null, empty, zero
@@ -185,8 +185,8 @@ def fit(groups: DataFrame, tables: int) -> tuple[dict, dict, dict]:
     return hashes, largest, samples
 
 
-def _index(groups: DataFrame, hashes: dict, largest: dict) -> DataFrame:
-    """(bucket, gid, dim, table): every vector in every table."""
+def _index(groups: DataFrame, hashes: dict, largest: dict, parts: int) -> DataFrame:
+    """(task, bucket, gid, dim, table, vec): every vector in every table."""
     def run(batches):
         for batch in batches:
             dims, shells = (np.asarray(batch.column(i)) for i in (2, 3))
@@ -195,55 +195,73 @@ def _index(groups: DataFrame, hashes: dict, largest: dict) -> DataFrame:
                 h = hashes[d]
                 places = h.project(lift(_matrix(batch.column(1).take(pa.array(own)), d), largest[d, s]))
                 slots = np.floor(places).astype(np.int64)
-                keys = np.concatenate([h.number(t, s, slots[t]) for t in range(h.tables)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), batch.column(0).take(pa.array(np.tile(own, h.tables))),
-                     pa.array(np.full(len(keys), d), pa.int32()),
-                     pa.array(np.repeat(np.arange(h.tables), len(own)), pa.int32())],
-                    names=["bucket", "gid", "dim", "table"])
+                for t in range(h.tables):
+                    keys = h.number(t, s, slots[t])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_task(keys, parts)), pa.array(keys), batch.column(0).take(pa.array(own)),
+                         pa.array(np.full(len(keys), d), pa.int32()), pa.array(np.full(len(keys), t), pa.int32()),
+                         batch.column(1).take(pa.array(own))], names=["task", "bucket", "gid", "dim", "table", "vec"])
 
-    return groups.select("gid", "vec", "dim", "shell").mapInArrow(run, "bucket long, gid binary, dim int, table int")
+    return groups.select("gid", "vec", "dim", "shell").mapInArrow(
+        run, "task int, bucket long, gid binary, dim int, table int, vec binary")
 
 
-def _visits(queries: DataFrame, hashes: dict, largest: dict, success: float, most: int | None,
-            limit: int = 1 << 20) -> DataFrame:
-    """(query, bucket): what each row of ``queries`` (query, vec, dim, bound) visits; without a
-    bound, the ``most`` buckets that are likeliest for a neighbour at any distance. A query
-    that would visit more than ``limit`` has one row, with a null bucket."""
+def _task(bucket: np.ndarray, tasks: int) -> np.ndarray:
+    return (mix64(bucket.astype(np.uint64)) % np.uint64(tasks)).astype(np.int32)
+
+
+def _visits(queries: DataFrame, hashes: dict, largest: dict, success: float, most: int | None, tasks: int,
+            limit: int) -> DataFrame:
+    """(query, vec, dim, bound, task, buckets): what each row of ``queries`` (query, vec, dim,
+    bound) visits, a row for each task that holds some of it. Without ``most``, a query
+    that has no bound, or would visit more than ``limit`` buckets, visits all buckets of the first
+    table: null buckets in every task. With it, a query without a bound visits those that
+    are likeliest at any distance."""
     shells: dict = {}
     for d, s in largest:
         shells.setdefault(d, []).append(s)
 
     def run(batches):
         for batch in batches:
-            keys, rows, all_of = [], [], []
             for i, (vec, d, bound) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
-                h, q = hashes[d], np.frombuffer(vec, dtype="<f8")
-                size = float(_norms(q[None, :])[0])
-                places = h.project(np.append(q / size, 0.0)[None, :])[:, 0, :]
-                each = 1 - (1 - success) ** (1 / h.tables)
-                own = []
-                for s in shells[d]:
-                    # Both are on the unit sphere: the distance that the bound allows there.
-                    near = -1.0 if bound is None else bound / size / largest[d, s]
-                    if near > 1 + SLACK * 1e3:
-                        continue  # no vector of this shell reaches the bound
-                    far = math.sqrt(min(max(2 - 2 * near, 1e-12), 4.0))
-                    for t in range(h.tables):
-                        slots = probes(places[t], far / h.width, each, most, limit)
-                        own.append(None if slots is None else h.number(t, s, slots))
-                if any(k is None for k in own):
-                    all_of.append(i)
+                own = _buckets(np.frombuffer(vec, dtype="<f8"), hashes[d], shells[d], largest, bound, success, most, limit)
+                if own is None:
+                    at, lists = np.arange(tasks), pa.nulls(tasks, pa.list_(pa.int64()))
                 else:
-                    keys += own
-                    rows += [np.full(len(k), i) for k in own]
-            at = np.concatenate([*rows, np.array(all_of, dtype=np.int64)]).astype(np.int64)
-            key = np.concatenate([*keys, np.zeros(len(all_of), dtype=np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), pa.array(key, mask=np.arange(len(key)) >= len(key) - len(all_of))],
-                names=["query", "bucket"])
-
-    return queries.select("query", "vec", "dim", "bound").mapInArrow(run, "query binary, bucket long")
+                    where = _task(own, tasks)
+                    by = np.argsort(where, kind="stable")
+                    heads = np.flatnonzero(np.append(True, where[by][1:] != where[by][:-1])) if len(by) else by
+                    at = where[by][heads]
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(by)), pa.int32()), pa.array(own[by]))
+                me = batch.slice(i, 1).take(pa.array(np.zeros(len(at), dtype=np.int64)))
+                yield pa.RecordBatch.from_arrays([*me.columns, pa.array(at, pa.int32()), lists],
+                                                 names=["query", "vec", "dim", "bound", "task", "buckets"])
+
+    return queries.select("query", "vec", "dim", "bound").mapInArrow(
+        run, "query binary, vec binary, dim int, bound double, task int, buckets array<long>")
+
+
+def _buckets(q: np.ndarray, h: Hashes, shells: list, largest: dict, bound: float | None, success: float,
+             most: int | None, limit: int) -> np.ndarray | None:
+    """The numbers of the buckets that a query visits in all tables and shells; None for all."""
+    if bound is None and most is None:
+        return None
+    size = float(_norms(q[None, :])[0])
+    places = h.project(np.append(q / size, 0.0)[None, :])[:, 0, :]
+    each = 1 - (1 - success) ** (1 / h.tables)
+    own = [np.zeros(0, dtype=np.int64)]
+    for s in shells:
+        # Both are on the unit sphere: the distance that the bound allows there.
+        near = -1.0 if bound is None else bound / size / largest[h.dim, s]
+        if near > 1 + SLACK * 1e3:
+            continue  # no vector of this shell reaches the bound
+        far = math.sqrt(min(max(2 - 2 * near, 1e-12), 4.0))
+        for t in range(h.tables):
+            slots = probes(places[t], far / h.width, each, most, limit)
+            if slots is None:
+                return None
+            own.append(h.number(t, s, slots))
+    return np.unique(np.concatenate(own))
 
 
 def _best(many: int):
@@ -273,15 +291,18 @@ def _compare(left: pa.Table, right: pa.Table, dim: int, many: int, out: dict) ->
     heads = np.flatnonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))
     members = {int(bucket[by[a]]): code[by[a:b]] for a, b in zip(heads, np.append(heads[1:], len(by)))}
     lists = right.column("buckets").combine_chunks()
-    wanted, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.asarray(lists.value_lengths()))
+    every = np.flatnonzero(np.asarray(lists.is_null()))
+    lengths = np.asarray(lists.value_lengths().fill_null(0))
+    wanted, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(q)), lengths)
     order = np.argsort(wanted, kind="stable")
-    cuts = np.flatnonzero(np.append(True, wanted[order][1:] != wanted[order][:-1]))
+    cuts = np.flatnonzero(np.append(True, wanted[order][1:] != wanted[order][:-1])) if len(order) else order
+    meets = [(members.get(int(wanted[order[a]])), row[order[a:b]]) for a, b in zip(cuts, np.append(cuts[1:], len(order)))]
+    meets.append((np.unique(code[np.asarray(left.column("table")) == 0]), every))
     asks, hits = [], []
-    for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-        own = members.get(int(wanted[order[a]]))
-        if own is None:
+    for own, who in meets:
+        if own is None or not len(own) or not len(who):
             continue
-        for some in np.array_split(row[order[a:b]], -(-(b - a) * len(own) // (1 << 21)) or 1):
+        for some in np.array_split(who, -(-len(who) * len(own) // (1 << 18))):
             score = q[some] @ x[own].T
             least = np.where(np.isnan(bound[some]), -np.inf, bound[some])
             if len(own) > many:
@@ -310,30 +331,25 @@ def _compare(left: pa.Table, right: pa.Table, dim: int, many: int, out: dict) ->
         out["score"].append(exact[i])
 
 
-def _search(index: DataFrame, sizes: DataFrame, groups: DataFrame, visits: DataFrame, queries: DataFrame,
-            many: int) -> DataFrame:
-    """(query, gid, score): the best of the visited buckets, a few for each task."""
-    tasks = sizes.agg(F.sum("size")).first()[0] or 1
-    tasks = max(1, math.ceil(tasks / PART_ROWS))
-
-    def task(bucket: str, part: str) -> Column:
-        return F.pmod(F.xxhash64(bucket, part), F.lit(tasks)).cast("int")
-
-    asked = visits.join(sizes.select("bucket", "parts"), "bucket").select(
-        "query", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    asked = (asked.select("query", "bucket", task("bucket", "part").alias("task"))
-             .groupBy("task", "query").agg(F.collect_set("bucket").alias("buckets")))
-    asked = write_cut(asked.join(queries.select("query", "vec", "dim", "bound"), "query"), "asked")
-    load = asked.groupBy("task").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES_AT_ONCE)).cast("int").alias("copies"))
-    right = asked.join(load, "task").withColumn("copy", F.pmod(F.xxhash64("query"), F.col("copies")).cast("int"))
-    held = index.join(sizes.select("bucket", "parts"), "bucket").withColumn(
-        "part", F.pmod(F.xxhash64("gid", "bucket"), F.col("parts")).cast("int"))
-    held = held.select("gid", "bucket", task("bucket", "part").alias("task")).join(load, "task")
-    held = held.join(groups.select("gid", "vec", "dim"), "gid").withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    return (held.select("task", "copy", "gid", "bucket", "vec", "dim").groupBy("task", "copy")
-            .cogroup(right.select("task", "copy", "query", "vec", "dim", "bound", "buckets").groupBy("task", "copy"))
-            .applyInArrow(_best(many), "query binary, gid binary, score double"))
+def _search(held: DataFrame, visits: DataFrame, many: int) -> DataFrame:
+    """(query, gid, score): the best of the visited buckets, a few for each task. The rows
+    of a task are dealt to slabs and its queries to copies, by their numbers: each slab of rows
+    meets each copy of queries."""
+    asked = write_cut(visits, "asked")
+
+    def shares(rows: DataFrame, each: int, name: str) -> DataFrame:
+        return rows.groupBy("task").agg(F.ceil(F.count(F.lit(1)) / F.lit(each)).cast("int").alias(name))
+
+    cut = write_cut(shares(held, PART_ROWS, "slabs").join(shares(asked, QUERIES_AT_ONCE, "copies"), "task"), "shares")
+
+    def dealt(rows: DataFrame, by: str, own: str, other: str, names: tuple) -> DataFrame:
+        return rows.join(cut, "task").select(
+            "task", F.pmod(F.xxhash64(by), F.col(own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), *names).groupBy("task", "slabs", "copies")
+
+    left = dealt(held, "gid", "slabs", "copies", ("gid", "bucket", "table", "vec", "dim"))
+    right = dealt(asked, "query", "copies", "slabs", ("query", "vec", "dim", "bound", "buckets"))
+    return left.cogroup(right).applyInArrow(_best(many), "query binary, gid binary, score double")
 
 
 def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -347,9 +363,9 @@ def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddi
     ids = write_cut(least, "ids")
     groups = write_cut(rows.groupBy("gid").agg(*[F.first(c).alias(c) for c in ("vec", "dim", "shell", "norm")]), "vectors")
     hashes, largest, samples = fit(groups, tables)
-    index = write_cut(_index(groups, hashes, largest), "index")
-    sizes = write_cut(index.groupBy("bucket", "dim", "table").agg(F.count(F.lit(1)).alias("size")).withColumn(
-        "parts", F.ceil(F.col("size") / F.lit(PART_ROWS)).cast("int")), "buckets")
+    parts = max(1, math.ceil(groups.count() * tables / PART_ROWS))
+    held = write_cut(_index(groups, hashes, largest, parts), "index")
+    limit = max(1024, held.select("bucket").distinct().count())  # more probes cost more than the buckets
     asks = rows.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id", "gid").agg(
         F.count(F.lit(1)).alias("times"), F.first("vec").alias("vec"), F.first("dim").alias("dim"))
     asks = write_cut(asks.withColumn("query", F.unhex(F.md5(F.concat(F.col("vec_id").cast("string").cast("binary"),
@@ -383,17 +399,10 @@ def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddi
     found = write_cut(asks.select("query", "vec", "dim").mapInArrow(
         sampled, "query binary, gid binary, score double"), "found")
     queries = bounded(found)
-    visits = _visits(queries, hashes, largest, success, FIRST)
-    found = write_cut(found.unionByName(_search(index, sizes, groups, visits, queries, many)).distinct(), "found")
-    queries = bounded(found)
-    # Probes beyond the number of buckets cost more than the buckets.
-    limit = max(1024, sizes.count())
-    visits = write_cut(_visits(queries.where("bound IS NOT NULL"), hashes, largest, success, None, limit), "visits")
-    everything = (queries.where("bound IS NULL").select("query", "dim").unionByName(
-        visits.where("bucket IS NULL").select("query").join(queries.select("query", "dim"), "query")))
-    every = everything.join(sizes.where("table = 0").select("bucket", "dim"), "dim").select("query", "bucket")
-    visits = visits.where("bucket IS NOT NULL").unionByName(every)
-    found = found.unionByName(_search(index, sizes, groups, visits, queries, many)).distinct()
+    visits = _visits(queries, hashes, largest, success, FIRST, parts, limit)
+    found = write_cut(found.unionByName(_search(held, visits, many)).distinct(), "found")
+    visits = _visits(bounded(found), hashes, largest, success, None, parts, limit)
+    found = found.unionByName(_search(held, visits, many)).distinct()
     # Vectors tied with the last rank may all count: ranks let ties through until ids decide.
     ties = Window.partitionBy("query").orderBy(F.desc("score"))
     found = found.withColumn("n", F.rank().over(ties)).where(F.col("n") <= many).drop("n")
