@@ -61,7 +61,7 @@ FROM events GROUP BY user_id""")
 def k5_keyed_upsert(spark, sf):
     """O-K5: keyed upserts in two batches that both touch every key, newer rows first
     for some; the table holds the newest row per key."""
-    target = VersionedKeyedTable(spark, scratch_path(spark, "k5"), ["id"], ["ts", "event_id"])
+    target = VersionedKeyedTable(spark, scratch_path(spark, "k5"), ["id"], ["ts", "event_id"], buckets=8)
     d = sensors(events(spark, sf)).select("id", "ts", "event_id", "temperature")
     for i in (0, 1, 1):
         target.upsert(d.filter(F.pmod("event_id", F.lit(2)) == 1 - i), i)

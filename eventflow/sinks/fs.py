@@ -43,6 +43,17 @@ def read_latest(spark: SparkSession, log_dir: str) -> str | None:
     return _read(spark, fs, jvm.org.apache.hadoop.fs.Path(log_dir.rstrip("/") + "/" + seqs[-1]))
 
 
+def names(spark: SparkSession, path: str) -> list:
+    """The names in a folder, sorted (none if there is no folder)."""
+    fs, d = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(d)) if fs.exists(d) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def write_record(spark: SparkSession, log_dir: str, seq: int, text: str, keep: int = 10) -> None:
     """Publish record ``seq`` (idempotent: an existing record is kept)."""
     fs, d = _fs(spark, log_dir)

@@ -1,20 +1,25 @@
-"""Idempotent keyed upsert (O-K5): last write per key wins.
-
-A micro-batch (or a bounded table of updates) is reduced to one row per key
-with ``max_by(row, order)`` - a partial+final aggregation, so a hot key costs one
-row per map task - then merged into the keyed table: rows of keys that were
-not updated are kept (left anti join), updated keys take the new row. The
-merged table is written to a new version directory, and a record naming it is
-appended to a version log afterwards, so a replayed batch produces the same
-table (idempotent) and readers never see a half-written version.
+"""Idempotent keyed upsert (O-K5): last write per key wins, in a log-structured table.
+
+A micro-batch (or a bounded table of updates) is reduced to one row per key with
+``max_by(row, order)``, a partial and final aggregation, so a hot key costs one row per map
+task. Keys are hashed to a fixed number of buckets, and the batch's rows are written as a
+delta of the buckets that they fall into, and nothing else: a batch costs what it holds, not
+what the table holds. Readers merge a bucket's base with its deltas. A bucket that has gathered more than
+``max_deltas`` deltas is compacted with the batch that does so: its base, its deltas and the new rows
+become a new base.
+
+A version log names the live base and deltas of each bucket; its record, one per batch id, is
+written after the data, so a replayed batch changes nothing and readers never see half a
+batch. Files that no version of the last ``keep_versions`` uses are removed.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventflow.sinks import fs
 
@@ -37,33 +42,88 @@ def merge_latest(target: DataFrame | None, updates: DataFrame, key: list,
 
 
 class VersionedKeyedTable:
-    """A keyed table stored as immutable parquet versions under ``root``.
+    """A keyed table under ``root``: hash buckets of a base and deltas each, in Parquet.
 
-    The version log ``_versions`` (one immutable record per batch id) names
-    the live version; ``upsert(batch_df, batch_id)`` skips batch ids that were
-    already merged, so replays after a failure do not change the result.
-    """
+    ``upsert(batch_df, batch_id)`` skips batch ids that were already merged, so replays after a
+    failure do not change the result. ``buckets`` is fixed when the table is first written (the
+    log keeps it): about the table's expected size over the size of a file. A bucket of
+    a version is the list of its folders, the base first."""
 
-    def __init__(self, spark: SparkSession, root: str, key: list, order: list):
-        self.spark, self.root, self.key, self.order = spark, root.rstrip("/"), key, order
+    def __init__(self, spark: SparkSession, root: str, key: list, order: list, buckets: int = 64,
+                 max_deltas: int = 8, keep_versions: int = 4):
+        self.spark, self.root, self.key, self.order = spark, root.rstrip("/"), list(key), list(order)
+        self.buckets, self.max_deltas, self.keep_versions = buckets, max_deltas, keep_versions
 
-    def _pointer(self) -> dict | None:
+    def _version(self) -> dict | None:
         txt = fs.read_latest(self.spark, f"{self.root}/_versions")
         return None if txt is None else json.loads(txt)
 
+    def _number(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(c) for c in self.key]), F.lit(buckets)).cast("int")
+
+    def _load(self, version: dict, buckets: list | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(version["schema"])
+        chosen = version["live"] if buckets is None else {str(b): version["live"].get(str(b), []) for b in buckets}
+        paths = [f"{self.root}/{p}" for folders in chosen.values() for p in folders]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
     def read(self) -> DataFrame | None:
-        ptr = self._pointer()
-        return None if ptr is None else self.spark.read.parquet(ptr["path"])
+        """The live rows, merged on read; None before the first batch."""
+        version = self._version()
+        return None if version is None else latest_per_key(self._load(version), self.key, self.order)
+
+    def lookup(self, keys: DataFrame) -> DataFrame | None:
+        """The live rows of a bounded list of keys (O-P5's point queries): only the buckets
+        that these keys fall into are read."""
+        version = self._version()
+        if version is None:
+            return None
+        keys = keys.select(*self.key).distinct()
+        some = [r[0] for r in keys.select(self._number(version["buckets"])).distinct().collect()]
+        rows = latest_per_key(self._load(version, some), self.key, self.order).alias("t")
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in self.key]
+        on = same[0]
+        for s in same[1:]:
+            on = on & s
+        return rows.join(keys.alias("k"), on, "left_semi")
 
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        ptr = self._pointer()
-        if ptr is not None and batch_id <= ptr["batch_id"]:
+        version = self._version()
+        if version is not None and batch_id <= version["batch_id"]:
             return  # already merged: replay is a no-op
-        merged = merge_latest(self.read(), updates, self.key, self.order)
-        path = f"{self.root}/v{batch_id:012d}"
-        merged.write.mode("overwrite").parquet(path)
-        fs.write_record(self.spark, f"{self.root}/_versions", batch_id,
-                        json.dumps({"path": path, "batch_id": batch_id}))
+        if version is None:
+            version = {"buckets": self.buckets, "schema": updates.schema.jsonValue(), "live": {}, "gone": []}
+        names = [f["name"] for f in version["schema"]["fields"]]
+        live = dict(version["live"])
+        delta = f"delta/{batch_id:012d}"
+        self._write(latest_per_key(updates.select(*names), self.key, self.order), delta, version["buckets"])
+        for b in self._written(delta):
+            live[b] = [*live.get(b, []), f"{delta}/_bucket={b}"]
+        gone = list(version["gone"])
+        full = [b for b, folders in live.items() if len(folders) > self.max_deltas + 1]
+        if full:
+            base = f"base/{batch_id:012d}"
+            rows = self._load({**version, "live": live}, full)
+            self._write(latest_per_key(rows, self.key, self.order), base, version["buckets"])
+            for b in full:
+                gone += [[batch_id, folder] for folder in live[b]]
+                live[b] = [f"{base}/_bucket={b}"]
+        # A folder that this version no longer names may still be read by one of the last few.
+        spare = [g for g in gone if g[0] > batch_id - self.keep_versions]
+        record = {**version, "batch_id": batch_id, "live": live, "gone": spare}
+        fs.write_record(self.spark, f"{self.root}/_versions", batch_id, json.dumps(record), keep=self.keep_versions)
+        for _, folder in gone:
+            if not any(folder == g[1] for g in spare):
+                fs.remove(self.spark, f"{self.root}/{folder}")
+
+    def _write(self, rows: DataFrame, folder: str, buckets: int) -> None:
+        (rows.withColumn("_bucket", self._number(buckets)).repartition("_bucket")
+         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{folder}"))
+
+    def _written(self, folder: str) -> list:
+        return [n.split("=", 1)[1] for n in fs.names(self.spark, f"{self.root}/{folder}") if n.startswith("_bucket=")]
 
     def foreach_batch(self):
         """``writeStream.foreachBatch(table.foreach_batch())``."""
