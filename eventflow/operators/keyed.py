@@ -140,9 +140,10 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     d = scan(d, [("_reset", "sum", "_run")], order, F.col("_bk"), (key,), buckets=buckets)
     # Time of the next reset of the same key (the end of this row's run): the first row
     # of the next run.
-    ends = (d.filter("_reset = 1").select(F.col(key).alias("_k"), (F.col("_run") - 1).alias("_run"),
+    boxed = F.struct(F.col(key).alias("k")).alias("_k")  # in which a null key joins with itself
+    ends = (d.filter("_reset = 1").select(boxed, (F.col("_run") - 1).alias("_run"),
                                           F.col("_o").alias("_next_reset")))
-    rises = d.filter("_rise").select(F.col(key).alias("_k"), "_run", "_o")
+    rises = d.filter("_rise").select(boxed, "_run", "_o")
     rises = materialize(join_on(rises, ends, ["_k", "_run"]), keep_partitioning=False)
     ids = ["_k", "_run", "_o"]
     levels = [materialize(_successors(rises, iv, bounds), keep_partitioning=False)]
@@ -161,7 +162,7 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     fired = (chain.join(rises, ids, "inner")
                   .withColumn("_fire", F.col("_o") + F.lit(iv))
                   .filter(F.col("_next_reset").isNull() | (F.col("_next_reset") >= F.col("_fire"))))
-    return fired.select(F.col("_k").alias(key),
+    return fired.select(F.col("_k.k").alias(key),
                         F.timestamp_micros("_fire").cast("timestamp_ntz").alias("alert_ts"))
 
 

@@ -1,163 +1,111 @@
 """Keyed state with timers for Structured Streaming (``transformWithStateInPandas``).
 
 Streaming forms of O-P1, O-P2, O-P3, O-P4 and the keyed control streams
-O-J2, O-J3 (tagged union, see below). Each processor keeps only a few
-scalars per key (RocksDB state store), so state grows with the number of keys,
-not with rows. Rows of one key inside a micro-batch are handled in event-time
-order, or in the order of a given arrival column. Keys may be of any type and columns
-of any name: ``apply_processor`` maps them. Use a watermark on the input.
+O-J2, O-J3 (tagged union, see below). Each processor is a rule over a key's rows in order
+(``streaming.ordered``) with a few scalars of state per key (RocksDB state store). With
+``reorder`` rows wait in a buffer until the watermark has passed them, and the result is that
+of the batch form for any cut into micro-batches and any disorder within the watermark's delay.
+Without it, rows of one micro-batch are handled in event-time order, or in the order of a
+given arrival column, at once. Keys may be of any type and columns of any name:
+``apply_processor`` maps them. Use a watermark on the input.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+from eventflow.streaming.ordered import OrderedProcessor, stamp
 
 ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double"
 RISE_SCHEMA = "id long, alert_ts timestamp"
 COUNT_SCHEMA = "id long, cnt long, emit_ts timestamp"
 
 
-def _ms(ts: pd.Series) -> pd.Series:
-    return pd.to_datetime(ts).astype("datetime64[ms]").astype("int64")
-
-
-class DeltaAlertProcessor(StatefulProcessor):
+class DeltaAlertProcessor(OrderedProcessor):
     """O-P1 / O-P2: alert when |temperature - last temperature| > threshold.
 
     ``first_as_zero``: an empty state reads 0.0. ``ttl_ms``: the key's state is
-    cleared ``ttl_ms`` after its last reading - by an event-time timer for idle
-    keys, and directly when a reading arrives that much later (the timer would
-    have fired by then).
+    cleared ``ttl_ms`` after its last reading. ``order``: the column whose order rows of a
+    micro-batch are handled in; with an arrival sequence the result does not depend on
+    micro-batch boundaries, and with the event time (the default) it does not with ``reorder``."""
 
-    ``order``: the column whose order rows are handled in. With an arrival sequence the
-    result does not depend on micro-batch boundaries; with the event time (the default)
-    it does where rows arrive out of order across batches."""
+    columns = ["id", "ts", "temperature", "diff"]
+    state_name, state_schema = "last", "v double, t long"
 
     def __init__(self, threshold: float, first_as_zero: bool = False, ttl_ms: int | None = None,
-                 order: str = "ts"):
-        self.threshold, self.first_as_zero, self.ttl_ms = threshold, first_as_zero, ttl_ms
-        self.order = order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "v double, t long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        last, last_t = self.last.get() if self.last.exists() else (None, None)
-        if self.ttl_ms is not None and last_t is not None:
-            self.handle.deleteTimer(last_t + self.ttl_ms)
-        out = []
-        for ts, t, temp in zip(pdf["ts"], _ms(pdf["ts"]), pdf["temperature"]):
-            if self.ttl_ms is not None and last_t is not None and t - last_t >= self.ttl_ms:
-                last = None                      # cleaned up before this reading
-            prev = last if last is not None else (0.0 if self.first_as_zero else None)
-            if prev is not None and abs(temp - prev) > self.threshold:
-                out.append((key[0], ts, temp, abs(temp - prev)))
-            last, last_t = float(temp), int(t)
-        self.last.update((last, last_t))
-        if self.ttl_ms is not None:
-            self.handle.registerTimer(last_t + self.ttl_ms)
-        yield pd.DataFrame(out, columns=["id", "ts", "temperature", "diff"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        yield pd.DataFrame(columns=["id", "ts", "temperature", "diff"])
-
-    def close(self) -> None:
-        pass
-
-
-class CountWithTimeoutProcessor(StatefulProcessor):
+                 order: str = "ts", reorder: bool = False, tie: str | None = None):
+        super().__init__(reorder, order, tie)
+        self.threshold, self.first_as_zero = threshold, first_as_zero
+        self.ttl = None if ttl_ms is None else ttl_ms * 1000
+
+    def row(self, state, t, kind, a, out):
+        last, last_t = state or (None, None)
+        if self.ttl is not None and last_t is not None and t - last_t >= self.ttl:
+            last = None                      # cleaned up before this reading
+        prev = last if last is not None else (0.0 if self.first_as_zero else None)
+        if prev is not None and a is not None and abs(a - prev) > self.threshold:
+            out.append((stamp(t), a, abs(a - prev)))
+        return [a, t]
+
+    def due(self, state):
+        return None if self.ttl is None else state[1] + self.ttl
+
+    def until(self, state, t, out):
+        return None
+
+
+class CountWithTimeoutProcessor(OrderedProcessor):
     """O-P4: count per key; emit (key, count) once ``timeout_ms`` of event
-    time pass after the key's last row. The count is not reset. A gap longer
-    than the timeout between two rows emits directly (the timer would have
-    fired in between); the pending timer covers the key's latest row."""
-
-    def __init__(self, timeout_ms: int):
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("cwt", "cnt long, last long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        cnt, last = self.state.get() if self.state.exists() else (0, None)
-        if last is not None:
-            self.handle.deleteTimer(last + self.timeout_ms)
-        out = []
-        for t in sorted(_ms(pdf["ts"])):
-            if last is not None and t - last > self.timeout_ms:
-                out.append((key[0], cnt, pd.Timestamp(last + self.timeout_ms, unit="ms")))
-            cnt, last = cnt + 1, int(t)
-        self.state.update((int(cnt), int(last)))
-        self.handle.registerTimer(last + self.timeout_ms)
-        yield pd.DataFrame(out, columns=["id", "cnt", "emit_ts"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        cnt, last = self.state.get()
-        fire = expiredTimerInfo.getExpiryTimeInMs()
-        if fire == last + self.timeout_ms:
-            yield pd.DataFrame({"id": [key[0]], "cnt": [cnt],
-                                "emit_ts": [pd.Timestamp(fire, unit="ms")]})
-        else:
-            yield pd.DataFrame(columns=["id", "cnt", "emit_ts"])
-
-    def close(self) -> None:
-        pass
-
-
-class RiseAlertProcessor(StatefulProcessor):
-    """O-P3: event-time timer ``interval_ms`` after the first rise; a decrease
-    (or the first reading) deletes it; firing emits and disarms, so the next
-    rise re-arms."""
-
-    def __init__(self, interval_ms: int):
-        self.interval_ms = interval_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("lastTemp", "v double")
-        self.timer = handle.getValueState("timer", "t long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("ts")
-        prev = self.last.get()[0] if self.last.exists() else 0.0
-        timer = self.timer.get()[0] if self.timer.exists() else None
-        out = []
-        for t, v in zip(_ms(pdf["ts"]), pdf["temperature"]):
-            if timer is not None and t >= timer:      # fired before this row
-                out.append((key[0], pd.Timestamp(timer, unit="ms")))
-                self.handle.deleteTimer(timer)
-                timer = None
-            if prev == 0.0 or v < prev:
-                if timer is not None:
-                    self.handle.deleteTimer(timer)
-                timer = None
-            elif v > prev and timer is None:
-                timer = int(t) + self.interval_ms
-                self.handle.registerTimer(timer)
-            prev = v
-        self.last.update((float(prev),))
-        if timer is None:
-            self.timer.clear()
-        else:
-            self.timer.update((timer,))
-        yield pd.DataFrame(out, columns=["id", "alert_ts"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        fire = expiredTimerInfo.getExpiryTimeInMs()
-        self.timer.clear()
-        yield pd.DataFrame({"id": [key[0]], "alert_ts": [pd.Timestamp(fire, unit="ms")]})
-
-    def close(self) -> None:
-        pass
+    time pass after the key's last row. The count is not reset."""
+
+    columns = ["id", "cnt", "emit_ts"]
+    state_name, state_schema = "cwt", "cnt long, last long, open boolean"
+
+    def __init__(self, timeout_ms: int, reorder: bool = False, tie: str | None = None):
+        super().__init__(reorder, tie=tie)
+        self.timeout = timeout_ms * 1000
+
+    def row(self, state, t, kind, a, out):
+        return [(state[0] if state else 0) + 1, t, True]
+
+    def due(self, state):
+        return state[1] + self.timeout if state[2] else None
+
+    def until(self, state, t, out):
+        out.append((state[0], stamp(state[1] + self.timeout)))
+        return [state[0], state[1], False]
+
+
+class RiseAlertProcessor(OrderedProcessor):
+    """O-P3: a timer ``interval_ms`` after the first rise; a decrease (or the first reading)
+    before it cancels; firing emits and disarms, so the next rise re-arms."""
+
+    columns = ["id", "alert_ts"]
+    state_name, state_schema = "lastTemp", "v double, timer long"
+
+    def __init__(self, interval_ms: int, reorder: bool = False, tie: str | None = None):
+        super().__init__(reorder, tie=tie)
+        self.interval = interval_ms * 1000
+
+    def row(self, state, t, kind, a, out):
+        prev, timer = state or (0.0, None)
+        if timer is not None and t >= timer:  # a row at that very time comes after it
+            out.append((stamp(timer),))
+            timer = None
+        if a is None or prev is None or prev == 0.0 or a < prev:
+            timer = None
+        elif a > prev and timer is None:
+            timer = t + self.interval
+        return [a, timer]
+
+    def due(self, state):
+        return state[1]
+
+    def until(self, state, t, out):
+        out.append((stamp(state[1]),))
+        return [state[0], None]
 
 
 def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
@@ -181,9 +129,8 @@ def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
 # ------------------------------------------------------ control streams ----
 # Keyed control streams (O-J2, O-J3) arrive as one stream: readings and
 # control rows unioned with a ``kind`` tag (0 = control, 1 = reading) and keyed
-# by id, so control state lives next to the readings of the same key. Within a
-# micro-batch rows are handled by (ts, kind): controls first on equal time,
-# the same rule as the batch as-of join.
+# by id, so control state lives next to the readings of the same key. Rows are
+# handled by (ts, kind): controls first on equal time, the same rule as the batch as-of join.
 
 SWITCH_SCHEMA = "id long, ts timestamp, temperature double"
 THRESHOLD_ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double"
@@ -195,72 +142,54 @@ def tag_union(readings: DataFrame, controls: DataFrame) -> DataFrame:
             .unionByName(controls.withColumn("kind", F.lit(0)), allowMissingColumns=True))
 
 
-class SwitchFilterProcessor(StatefulProcessor):
+class SwitchFilterProcessor(OrderedProcessor):
     """O-J3: a switch (id, ts, dur_ms) forwards the key's readings until
-    ts + dur; overlapping switches keep the later deadline; an event-time
-    timer clears the state at the deadline."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.deadline = handle.getValueState("deadline", "d long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        pdf = pdf.assign(_t=_ms(pdf["ts"])).sort_values(["_t", "kind"])
-        dl = self.deadline.get()[0] if self.deadline.exists() else None
-        out = []
-        for t, kind, dur, ts, temp in zip(pdf["_t"], pdf["kind"], pdf["dur_ms"], pdf["ts"],
-                                          pdf["temperature"]):
-            if kind == 0:
-                new = int(t) + int(dur)
-                if dl is None or new > dl:
-                    if dl is not None:
-                        self.handle.deleteTimer(dl)
-                    dl = new
-                    self.handle.registerTimer(dl)
-            elif dl is not None and t < dl:
-                out.append((key[0], ts, temp))
-        if dl is not None:
-            self.deadline.update((dl,))
-        yield pd.DataFrame(out, columns=["id", "ts", "temperature"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.deadline.clear()
-        yield pd.DataFrame(columns=["id", "ts", "temperature"])
-
-    def close(self) -> None:
-        pass
-
-
-class ThresholdAlertProcessor(StatefulProcessor):
+    ts + dur; overlapping switches keep the later deadline, at which the state is cleared."""
+
+    columns = ["id", "ts", "temperature"]
+    state_name, state_schema = "deadline", "d long"
+    tagged = {0: "dur_ms", 1: "temperature"}
+
+    def __init__(self, reorder: bool = False, tie: str | None = None):
+        super().__init__(reorder, tie=tie)
+
+    def row(self, state, t, kind, a, out):
+        deadline = state[0] if state else None
+        if kind == 0:
+            if a is not None and (deadline is None or t + round(a * 1000) > deadline):
+                deadline = t + round(a * 1000)
+        elif deadline is not None and t < deadline:
+            out.append((stamp(t), a))
+        return None if deadline is None else [deadline]
+
+    def due(self, state):
+        return state[0]
+
+    def until(self, state, t, out):
+        return None
+
+
+class ThresholdAlertProcessor(OrderedProcessor):
     """O-J2: per-key threshold updates (0 deletes) and readings; alert when
     |temperature - last temperature| > threshold in force. An empty last
     temperature reads 0.0; the last temperature moves with every reading."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("thr", "threshold double, last double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows))
-        pdf = pdf.assign(_t=_ms(pdf["ts"])).sort_values(["_t", "kind"])
-        thr, last = self.state.get() if self.state.exists() else (None, None)
-        thr = None if thr is None or pd.isna(thr) else thr
-        last = None if last is None or pd.isna(last) else last
-        out = []
-        for kind, th, ts, temp in zip(pdf["kind"], pdf["threshold"], pdf["ts"], pdf["temperature"]):
-            if kind == 0:
-                thr = None if th == 0.0 else float(th)
-                continue
-            if thr is not None:
-                diff = abs(temp - (last if last is not None else 0.0))
-                if diff > thr:
-                    out.append((key[0], ts, temp, diff))
-            last = float(temp)
-        self.state.update((thr, last))
-        yield pd.DataFrame(out, columns=["id", "ts", "temperature", "diff"])
-
-    def close(self) -> None:
-        pass
+    columns = ["id", "ts", "temperature", "diff"]
+    state_name, state_schema = "thr", "threshold double, last double"
+    tagged = {0: "threshold", 1: "temperature"}
+
+    def __init__(self, reorder: bool = False, tie: str | None = None):
+        super().__init__(reorder, tie=tie)
+
+    def row(self, state, t, kind, a, out):
+        threshold, last = state or (None, None)
+        if kind == 0:
+            return [None if a is None or a == 0.0 else a, last]
+        if threshold is not None and a is not None:
+            diff = abs(a - (last if last is not None else 0.0))
+            if diff > threshold:
+                out.append((stamp(t), a, diff))
+        return [threshold, a]
 
 
 def read_state(spark, checkpoint: str, state_var: str, operator_id: int = 0) -> DataFrame:
