@@ -1,22 +1,24 @@
 """Byte-level BPE encoding and decoding.
 
-The distinct pieces of the whole corpus are counted (per batch, then by a partially
-combined sum). Those frequent enough to make up a dictionary of at most
-``max_words`` are encoded by Spark higher-order functions: a fold over the bytes of a
-piece, each step joining the leftmost pair of neighbours of least rank, the ranks
-being a literal map. The map is laid out as an array of small maps by a checksum of
-the key, since a lookup in one map would compare up to 50,000 keys. The size of the
-dictionary is proven by a histogram of the counts before it is broadcast.
-
-Every text is then cut and its pieces looked up. A piece outside the dictionary is
-folded where it stands, by the same rule, with a heap for long pieces, so that the
-result does not depend on what the dictionary holds: it is only a store of results.
-Texts never move between tasks. Decoding concatenates the binary pieces of the ids.
+Texts are cut once. A block of texts (about ``BLOCK_BYTES``) becomes the list of its distinct
+pieces and, for each text, the places of its pieces in that list; the block is packed in
+one row, with the columns to be kept. The distinct pieces of all blocks are encoded once each by
+Spark higher-order functions: a fold over the bytes of a piece, each step joining the
+leftmost pair of neighbours of least rank, the ranks being a literal map. The map is laid
+out as an array of small maps by a checksum of the key, since a lookup in one map would
+compare up to 50,000 keys. The encoded pieces are joined back to the blocks' lists, and a
+block meets its list once more, where ids are gathered by place. Equal pieces are
+recognised by a hash and then compared byte by byte, so no id depends on a hash.
+
+The fold is quadratic in the length of a piece. A piece of more than ``LONGEST_FOLDED`` bytes,
+such as a run of thousands of letters, is folded by the same rule in Python, with a heap.
+Decoding concatenates the binary pieces of the ids.
 
 Ids are given as little-endian unsigned 32-bit integers in a binary column. Null and
 empty texts have no ids; an empty id string decodes to an empty text. Texts are encoded
-whole; special tokens are not recognised. Repeated rows are encoded alike. Memory
-follows the longest text and the dictionary's bound.
+whole; special tokens are not recognised. Repeated rows are encoded alike. New columns come
+last, under their names lengthened until they clash with no column. Memory follows a block and
+the longest text.
 """
 
 from __future__ import annotations
@@ -26,22 +28,21 @@ import functools
 import heapq
 import json
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.llm.boundaries import pieces
-from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, slices, write_cut
+from eventflow.llm.common import buffers, col, fresh, map_arrow, range_hash, slices, write_cut
 
-MAX_WORDS = 1 << 16
-SHORT = 64  # bytes of a piece that is folded without a heap
-MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
+LONGEST_FOLDED = 256
+BLOCK_BYTES = 16 << 20
+OUT_ROWS = 1000
 BINS = 1 << 13
-MAX_KEPT = 60_000
 NONE = 1 << 30
 
 
@@ -93,30 +94,10 @@ def fold(word: Column, table: Column) -> Column:
     return F.when(size > 0, done).otherwise(F.array().cast("array<int>"))
 
 
-def _merge_short(word: bytes, rank: dict[bytes, int]) -> list[int]:
-    """The same fold in plain Python, for a short piece."""
-    get, parts = rank.get, [word[i:i + 1] for i in range(len(word))]
-    found = [get(word[i:i + 2], NONE) for i in range(len(word) - 1)]
-    while found:
-        least = min(found)
-        if least == NONE:
-            break
-        i = found.index(least)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        del found[i]
-        if i < len(found):
-            found[i] = get(parts[i] + parts[i + 1], NONE)
-        if i:
-            found[i - 1] = get(parts[i - 1] + parts[i], NONE)
-    return [rank[p] for p in parts]
-
-
 def merge_bytes(word: bytes, rank: dict[bytes, int]) -> list[int]:
-    """The same fold in plain Python; the pairs of a long piece wait in a heap, so n bytes
+    """The same fold in plain Python, for a long piece: the pairs wait in a heap, so n bytes
     take O(n log n)."""
     n = len(word)
-    if n <= SHORT:
-        return _merge_short(word, rank)
     right = list(range(1, n + 1))          # where the next part begins
     left = list(range(-1, n - 1))
     alive = [True] * n
@@ -141,87 +122,159 @@ def merge_bytes(word: bytes, rank: dict[bytes, int]) -> list[int]:
     return out
 
 
-def count_pieces(docs: DataFrame, text: str) -> DataFrame:
-    """(word binary, n): the distinct pieces of all texts and how often each occurs."""
-    src = docs.select(col(text).cast("string").alias("_text"))
+class _Block:
+    """The distinct pieces of a block of texts, and the places of each text's pieces."""
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.places: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.rows: list[pa.RecordBatch] = []
+        self.size = 0
+
+    def add(self, rows: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> None:
+        """``rows`` are kept; ``raw`` and ``offsets`` are their texts."""
+        _, starts, ends, row, _ = pieces(raw, offsets)
+        heads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # characters to bytes
+        starts, ends = heads[starts], heads[ends]
+        _, first, back = np.unique(range_hash(raw, starts, ends), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        if _equal(raw, starts, ends, starts[first][back], ends[first][back]):
+            found = [data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
+        else:  # two pieces with one hash: no hash then
+            found, back = [data[i:j] for i, j in zip(starts.tolist(), ends.tolist())], slice(None)
+        known = self.words
+        own = np.array([known.setdefault(w, len(known)) for w in found], dtype="<i4")
+        self.places.append(own[back])
+        self.counts.append(np.bincount(row, minlength=len(offsets) - 1).astype("<i4"))
+        self.rows.append(rows)
+        self.size += len(raw) + 64 * rows.num_rows
+
+    def packed(self) -> bytes:
+        sink = pa.BufferOutputStream()
+        kept = pa.Table.from_batches(self.rows)
+        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(kept)
+        codec, parts = pa.Codec("zstd"), [np.concatenate(self.counts).tobytes(), np.concatenate(self.places).tobytes()]
+        small = [codec.compress(p, asbytes=True) for p in parts]
+        head = np.array([v for p, c in zip(parts, small) for v in (len(p), len(c))], dtype="<i8").tobytes()
+        return b"".join([head, *small, sink.getvalue().to_pybytes()])
+
+
+def _equal(raw: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> bool:
+    """Whether ranges of bytes are equal, pair by pair."""
+    size = a_end - a
+    if not np.array_equal(size, b_end - b):
+        return False
+    other = np.flatnonzero(a != b)
+    a, b, size = a[other], b[other], size[other]
+    along = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return bool(np.array_equal(raw[np.repeat(a, size) + along], raw[np.repeat(b, size) + along]))
+
+
+def _unpack(packed: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    head = np.frombuffer(packed[:32], dtype="<i8").tolist()
+    codec, at, parts = pa.Codec("zstd"), 32, []
+    for size, small in (head[:2], head[2:]):
+        parts.append(np.frombuffer(codec.decompress(packed[at:at + small], size, asbytes=True), dtype="<i4"))
+        at += small
+    return pa.ipc.open_stream(pa.py_buffer(packed).slice(at)).read_all(), *parts
+
+
+def blocks(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(block, place, word, packed): a row for each distinct piece of a block, and one
+    with the packed block."""
+    src = docs.select(*[col(c) for c in keep], col(text).cast("string").alias(fresh("_text", keep)))
 
     def run(batches):
-        seen: Counter = Counter()
+        from pyspark import TaskContext
+        number, block = TaskContext.get().partitionId() << 32, _Block()
+
+        def done():
+            words = list(block.words)
+            for a in range(0, len(words), 1 << 16):
+                part = words[a:a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), number), pa.int64()), pa.array(range(a, a + len(part)), pa.int32()),
+                     pa.array(part, pa.binary()), pa.nulls(len(part), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.int32()),
+                                              pa.nulls(1, pa.binary()), pa.array([block.packed()], pa.binary())], names=names)
+
+        names = ["block", "place", "word", "packed"]
+        for batch in batches:
+            n = batch.num_columns - 1
+            kept = pa.RecordBatch.from_arrays([*batch.columns[:n], pa.nulls(batch.num_rows)], names=[*keep, fresh("_", keep)])
+            raw, offsets = buffers(batch.column(n))
+            for a, b in slices(offsets):
+                block.add(kept.slice(a, b - a), raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                if block.size >= BLOCK_BYTES:
+                    yield from done()
+                    number, block = number + 1, _Block()
+        if block.rows:
+            yield from done()
+
+    return map_arrow(src, run, T.StructType([T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()),
+                                             T.StructField("word", T.BinaryType()), T.StructField("packed", T.BinaryType())]))
 
-        def flush():
-            words = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w.encode() for w in words], pa.binary()),
-                 pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
-            seen.clear()
 
+def encode_words(words: DataFrame, path: str) -> DataFrame:
+    """(word, ids) of distinct pieces (word binary)."""
+    def long(batches):
+        rank = ranks(path)
         for batch in batches:
-            raw, offsets = buffers(batch.column(0))
-            for a, b in slices(offsets):
-                string, starts, ends, _, _ = pieces(raw[offsets[a]:offsets[b]],
-                                                    offsets[a:b + 1] - offsets[a])
-                seen.update([string[i:j] for i, j in zip(starts.tolist(), ends.tolist())])
-                if len(seen) > MAX_KEPT:
-                    yield from flush()
-        yield from flush()
-
-    counted = src.mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def dictionary(docs: DataFrame, path: str, text: str = "text",
-               max_words: int = MAX_WORDS) -> DataFrame:
-    """(word, ids): at most ``max_words`` of the most frequent pieces, encoded."""
-    counted = write_cut(count_pieces(docs, text).where(F.length("word") <= MAX_FOLDED_BYTES), "pieces")
-    # Pieces by the power of two of their count: the least power with which all above fit.
-    power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
-    histogram = {r[0]: r[1] for r in counted.groupBy(power.alias("p")).count().collect()}  # 64 rows
-    total, least = 0, 64
-    while least > 0 and total + histogram.get(least - 1, 0) <= max_words:
-        least -= 1
-        total += histogram.get(least, 0)
-    return counted.where(power >= least).select("word", fold(F.col("word"), rank_literal(path)).alias("ids"))
-
-
-class _Store(dict):
-    """The ids of pieces as bytes: the dictionary, and what was folded since."""
-
-    def __init__(self, known: dict[str, bytes], path: str):
-        super().__init__()
-        self.known, self.rank, self.older = known, ranks(path), {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > MAX_KEPT:  # pieces not met since are forgotten
-            self.older = dict(self)
-            self.clear()
-        ids = self.known.get(piece) or self.older.get(piece)
-        if ids is None:
-            ids = np.array(merge_bytes(piece.encode(), self.rank), dtype="<u4").tobytes()
-        self[piece] = ids
-        return ids
+            found = [merge_bytes(w, rank) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    size = F.length("word")
+    short = words.where(size <= LONGEST_FOLDED).select("word", fold(F.col("word"), rank_literal(path)).alias("ids"))
+    return short.unionByName(words.where(size > LONGEST_FOLDED).select("word").mapInArrow(
+        long, "word binary, ids array<int>"))
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of ``flat`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column from the bytes of all its values."""
+    edges = np.concatenate([[0], np.cumsum(sizes)]).astype("<i8")
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(flat)]).cast(pa.binary())
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
-           keep: list[str] | None = None, max_words: int = MAX_WORDS) -> DataFrame:
+           keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (default: all) and the ids of each whole text."""
-    spark = docs.sparkSession
-    rows = dictionary(docs, path, text, max_words).collect()  # at most max_words
-    words = spark.sparkContext.broadcast(
-        {bytes(r[0]).decode("utf-8", "replace"): np.array(r[1], dtype="<u4").tobytes() for r in rows})
-    stores: dict[str, _Store] = {}
-
-    def run(texts: pa.Array) -> list[pa.Array]:
-        store = stores.get(path) or stores.setdefault(path, _Store(words.value, path))
-        raw, offsets = buffers(texts)
-        out: list[bytes] = []
-        for a, b in slices(offsets):
-            string, starts, ends, row, _ = pieces(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            found = [store[string[i:j]] for i, j in zip(starts.tolist(), ends.tolist())]
-            edges = np.searchsorted(row, np.arange(b - a + 1)).tolist()
-            out += [b"".join(found[i:j]) for i, j in zip(edges, edges[1:])]
-        return [pa.array(out, pa.binary())]
-
-    return map_rows(docs, text, [T.StructField(ids, T.BinaryType(), False)], run, keep)
+    keep = docs.columns if keep is None else keep
+    cut = write_cut(blocks(docs, text, keep), "pieces")
+    cells = cut.where("packed IS NULL").select("block", "place", "word")
+    words = write_cut(encode_words(cells.select("word").distinct(), path), "words")
+    known = cells.join(words, "word").select(F.col("block").alias("own"), "place", "ids")
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(fresh(ids, keep), T.BinaryType(), False)])
+    places = [f"c{i}" for i in range(len(schema))]
+
+    def run(packed: pa.Table, listed: pa.Table) -> pa.Table:
+        kept, counts, at = _unpack(packed.column("packed")[0].as_py())
+        by = np.argsort(listed.column("place").to_numpy())
+        lists = listed.column("ids").combine_chunks()
+        flat, size = lists.flatten().to_numpy().astype("<u4"), lists.value_lengths().to_numpy().astype(np.int64)
+        first, size = (np.cumsum(size) - size)[by], size[by]
+        heads = np.concatenate([[0], np.cumsum(counts)])
+        out = []
+        for a in range(0, len(counts), OUT_ROWS):
+            b = min(a + OUT_ROWS, len(counts))
+            own = at[heads[a]:heads[b]]
+            total = np.concatenate([[0], np.cumsum(size[own])])[heads[a:b + 1] - heads[a]]
+            coded = _gather(flat, first[own], size[own])
+            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in kept.slice(a, b - a).columns[:-1]]
+            out.append(pa.RecordBatch.from_arrays([*columns, _binary(coded.view(np.uint8), np.diff(total) * 4)], names=places))
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_batches(out)
+
+    inner = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(places, schema)])
+    return (cut.where("packed IS NOT NULL").select("block", "packed").groupBy("block")
+            .cogroup(known.groupBy("own")).applyInArrow(run, inner).toDF(*schema.names))
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded",
@@ -232,16 +285,33 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decode
     keep = coded.columns if keep is None else keep
     own = fresh("_ids", keep)
     src = coded.select(*[col(c) for c in keep], col(ids).alias(own))
-    schema = T.StructType([coded.schema[c] for c in keep] + [T.StructField(decoded, T.BinaryType())])
+    schema = T.StructType([coded.schema[c] for c in keep] + [T.StructField(fresh(decoded, keep), T.BinaryType())])
 
     def run(batches):
-        table = {rank: token for token, rank in ranks(path).items()}
+        tokens = [t for _, t in sorted((rank, token) for token, rank in ranks(path).items())]
+        numbers = np.array(sorted(ranks(path).values()), dtype=np.int64)
+        place = np.full(int(numbers[-1]) + 1, -1, dtype=np.int64)
+        place[numbers] = np.arange(len(numbers))
+        flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        size = np.array([len(t) for t in tokens], dtype=np.int64)
+        first = np.cumsum(size) - size
         for batch in batches:
             n = batch.num_columns - 1
-            out = [None if v is None else b"".join(
-                [table[i] for i in np.frombuffer(v, dtype="<u4").tolist()])
-                for v in batch.column(n).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(n)), pa.array(out, pa.binary())], names=schema.names)
+            column = batch.column(n).cast(pa.large_binary())
+            edges = np.frombuffer(column.buffers()[1], dtype="<i8")[column.offset:column.offset + len(column) + 1]
+            data = column.buffers()[2]
+            for a, b in slices(edges - edges[0]):
+                coded_ids = np.frombuffer(data, dtype=np.uint8)[edges[a]:edges[b]].view("<u4") if data is not None else \
+                    np.zeros(0, "<u4")
+                own_place = place[coded_ids]
+                if (own_place < 0).any():
+                    raise ValueError("an id outside the vocabulary")
+                total = np.concatenate([[0], np.cumsum(size[own_place])])[(edges[a:b + 1] - edges[a]) // 4]
+                values = _binary(_gather(flat, first[own_place], size[own_place]), np.diff(total))
+                nulls = column.slice(a, b - a).is_null()
+                if column.null_count:
+                    values = pa.compute.if_else(nulls, pa.scalar(None, pa.binary()), values)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(a, b - a) for i in range(n)), values], names=schema.names)
 
     return map_arrow(src, run, schema)

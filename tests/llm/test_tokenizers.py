@@ -2,7 +2,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
+import pytest
 import pyarrow as pa
 import regex
 import tiktoken
@@ -97,17 +99,51 @@ def test_fold_and_heap_equal_the_library(spark):
     assert bpe.merge_bytes(long, bpe.ranks(RANKS)) == ENCODING._core_bpe.encode_single_piece(long)
 
 
-def test_encode_decode_round_trip(spark):
-    many = texts(200, 200, 5) + ["", None, "a" * 3000]
+@pytest.mark.parametrize("block", [bpe.BLOCK_BYTES, 1000])
+def test_encode_decode_round_trip(spark, monkeypatch, block):
+    """One block for a task's texts, and many; pieces beyond the fold's length."""
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", block)
+    many = texts(200, 200, 5) + ["", None, "a" * 3000, " ", "ab" * 200 + " x", "", "Zürich 漢字"]
     d = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
-    for most in (0, 50):  # nothing in the dictionary; some of it
-        rows = bpe.decode(bpe.encode(d, RANKS, max_words=most), RANKS).collect()
-        for r in rows:
-            ids = ENCODING.encode_ordinary(r.text or "")
-            assert hashlib.sha256(bytes(r.ids)).digest() == hashlib.sha256(np.array(ids, "<u4").tobytes()).digest()
-            assert bytes(r.decoded) == (r.text or "").encode()
-
-
-def test_dictionary_is_bounded(spark):
-    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts(100, 50, 6))], "doc_id long, text string")
-    assert bpe.dictionary(d, RANKS, max_words=40).count() <= 40
+    rows = bpe.decode(bpe.encode(d, RANKS), RANKS).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted(enumerate(many))
+    for r in rows:
+        ids = ENCODING.encode_ordinary(r.text or "")
+        assert hashlib.sha256(bytes(r.ids)).digest() == hashlib.sha256(np.array(ids, "<u4").tobytes()).digest()
+        assert bytes(r.decoded) == (r.text or "").encode()
+
+
+def test_texts_without_pieces(spark):
+    for rows in ([], [(1, "")], [(1, None), (2, "")]):
+        d = spark.createDataFrame(rows, "doc_id long, text string")
+        got = bpe.decode(bpe.encode(d, RANKS), RANKS).collect()
+        assert sorted((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got) == [(i, b"", b"") for i, _ in rows]
+
+
+def test_equal_hashes_do_not_mix_pieces(spark, monkeypatch):
+    """A hash that takes all pieces of one length for equal changes nothing."""
+    monkeypatch.setattr(bpe, "range_hash", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
+    block = bpe._Block()
+    text = "one two six ten one".encode()
+    raw, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    block.add(pa.RecordBatch.from_arrays([pa.array([1])], names=["a"]), raw, offsets)
+    words = list(block.words)
+    assert b"".join(words[i] for i in block.places[0]) == text and len(words) == 5
+
+
+def test_ids_outside_the_vocabulary_and_null_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, b"")], "doc_id long, ids binary")
+    assert {(r.doc_id, r.decoded if r.decoded is None else bytes(r.decoded)) for r in bpe.decode(df, RANKS).collect()} == {
+        (1, None), (2, b"")}
+    bad = spark.createDataFrame([(1, np.array([1 << 20], "<u4").tobytes())], "doc_id long, ids binary")
+    with pytest.raises(Exception):
+        bpe.decode(bad, RANKS).collect()
+
+
+def test_names_that_clash(spark):
+    d = spark.createDataFrame([(1, "some text", 5, 6)], "doc_id long, text string, ids long, decoded long")
+    coded = bpe.encode(d, RANKS)
+    assert coded.columns == [*d.columns, "ids_"]
+    back = bpe.decode(coded, RANKS, ids="ids_")
+    (r,) = back.collect()
+    assert back.columns == [*coded.columns, "decoded_"] and (r.ids, r.decoded, bytes(r.decoded_)) == (5, 6, b"some text")
