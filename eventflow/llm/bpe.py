@@ -1,24 +1,24 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are cut once. A block of texts (about ``BLOCK_BYTES``) becomes the list of its distinct
-pieces and, for each text, the places of its pieces in that list; the block is packed in
-one row, with the columns to be kept. The distinct pieces of all blocks are encoded once each by
-Spark higher-order functions: a fold over the bytes of a piece, each step joining the
-leftmost pair of neighbours of least rank, the ranks being a literal map. The map is laid
-out as an array of small maps by a checksum of the key, since a lookup in one map would
-compare up to 50,000 keys. The encoded pieces are joined back to the blocks' lists, and a
-block meets its list once more, where ids are gathered by place. Equal pieces are
-recognised by a hash and then compared byte by byte, so no id depends on a hash.
-
-The fold is quadratic in the length of a piece. A piece of more than ``LONGEST_FOLDED`` bytes,
-such as a run of thousands of letters, is folded by the same rule in Python, with a heap.
-Decoding concatenates the binary pieces of the ids.
+The distinct pieces of the whole corpus are counted (per batch, then by a partially combined
+sum). Those frequent enough to make up a dictionary of at most ``MAX_WORDS`` are encoded by Spark
+higher-order functions: a fold over the bytes of a piece, each step joining the leftmost
+pair of neighbours of least rank, the ranks being a literal table of pairs. The table is laid out in
+bins, since a lookup in one list would compare up to 100,000 pairs. The size of the dictionary is proven by a
+histogram of the counts before it is broadcast.
+
+Every text is then cut, a slice at a time. The distinct pieces of the slice are looked up; those outside the
+dictionary are merged where they stand by the same rule, all at once in numpy (``merge_many``); and the ids
+are gathered by place. Texts never move between tasks, and the result does not depend on
+what the dictionary holds. Encoding every distinct piece by the fold, written as a table and joined back to the
+blocks of texts, gives the same ids; the README has its figures. Equal pieces are recognised by a hash
+and then compared byte by byte, so no id depends on a hash. Decoding gathers the bytes of the ids.
 
 Ids are given as little-endian unsigned 32-bit integers in a binary column. Null and
 empty texts have no ids; an empty id string decodes to an empty text. Texts are encoded
 whole; special tokens are not recognised. Repeated rows are encoded alike. New columns come
-last, under their names lengthened until they clash with no column. Memory follows a block and
-the longest text.
+last, under their names lengthened until they clash with no column. Memory follows the longest text
+and the dictionary's bound.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ import base64
 import functools
 import heapq
 import json
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.llm.boundaries import pieces
-from eventflow.llm.common import buffers, col, fresh, map_arrow, range_hash, slices, write_cut
+from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, range_hash, slices, write_cut
 
-LONGEST_FOLDED = 256
-BLOCK_BYTES = 16 << 20
-OUT_ROWS = 1000
-BINS = 1 << 13
-NONE = 1 << 30
+MAX_WORDS = 1 << 16
+MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
+MAX_KEPT = 60_000
+LONG = 64  # bytes of a piece that is merged with a heap
+# A pair of tokens is the number NONE + left * SIDE + right; ranks are less than SIDE.
+BINS, SIDE, NONE = 32749, 1 << 21, 1 << 44
 
 
 @functools.cache
@@ -54,43 +54,62 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 def rank_literal(path: str) -> Column:
-    """The ranks as a literal array of maps from hexadecimal bytes to rank."""
-    bins: list[dict[str, int]] = [{} for _ in range(BINS)]
-    for token, rank in ranks(path).items():
-        key = token.hex().upper()
-        bins[zlib.crc32(key.encode()) % BINS][key] = rank
-    return F.from_json(F.lit(json.dumps(bins)), "array<map<string,int>>")
-
-
-def _rank(table: Column, key: Column) -> Column:
-    own = F.element_at(table, (F.crc32(key) % BINS + 1).cast("int"))
-    return F.coalesce(F.element_at(own, key), F.lit(NONE))
+    """The ranks as a literal: [the token of each byte], then bins of pairs of tokens, each bin
+    a row of (pair, rank of the two together). A pair is written as one number."""
+    rank = ranks(path)
+    bins: list[list[int]] = [[] for _ in range(BINS)]
+    for token, joined in rank.items():
+        for i in range(1, len(token)):
+            left, right = rank.get(token[:i]), rank.get(token[i:])
+            if left is not None and right is not None:
+                pair = NONE + left * SIDE + right
+                bins[pair % BINS] += [pair, joined]
+    single = [rank.get(bytes([i]), -1) for i in range(256)]
+    return F.from_json(F.lit(json.dumps([single, *bins])), "array<array<bigint>>")
+
+
+def _joined(table: Column, left: Column, right: Column) -> Column:
+    """The rank of two neighbours together; NONE or more if they make no token."""
+    pair = left * SIDE + right + NONE
+    # The number after the pair; without the pair, the bin's first number, which is a pair.
+    return F.transform(F.array(pair), lambda p: F.transform(F.array(F.get(table, (p % BINS + 1).cast("int"))), lambda own: F.coalesce(
+        F.get(own, F.array_position(own, p).cast("int")), F.lit(NONE)))[0])[0]
 
 
 def fold(word: Column, table: Column) -> Column:
     """The token ids of a piece (binary): ranked merges folded over its bytes."""
-    digits = F.hex(word)
     size = F.length(word)
-    single = F.transform(F.sequence(F.lit(0), size - 1),
-                         lambda i: F.substring(digits, i * 2 + 1, F.lit(2)))
+    bytes_ = F.get(table, F.lit(0))
+
+    def byte(i: Column) -> Column:
+        return F.get(bytes_, F.ascii(F.decode(F.substring(word, i, F.lit(1)), "ISO-8859-1")))
 
-    def pairs(parts: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: F.when(
-            F.size(parts) > 1, _rank(table, F.concat(parts[i - 1], F.get(parts, i)))).otherwise(F.lit(NONE)))
+    def ranked(parts: Column) -> Column:
+        return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: _joined(
+            table, F.get(parts, i - 1), F.get(parts, i)))).otherwise(F.array(F.lit(NONE)))
 
     def step(acc: Column, _) -> Column:
-        def merge(least: Column) -> Column:
-            at = F.array_position(acc["ranks"], least).cast("int")  # the leftmost
-            left, p = F.slice(acc["parts"], 1, at - 1), acc["parts"]
-            joined = F.concat(left, F.array(F.concat(p[at - 1], F.get(p, at))),
-                              F.slice(p, at + 2, F.size(p)))
-            return F.when(least >= NONE, acc).otherwise(F.transform(F.array(joined), lambda q: F.struct(
-                q.alias("parts"), pairs(q).alias("ranks")))[0])
-        return F.transform(F.array(F.array_min(acc["ranks"])), merge)[0]
-
-    start = F.transform(F.array(single), lambda q: F.struct(q.alias("parts"), pairs(q).alias("ranks")))[0]
+        parts, found = acc["parts"], acc["ranks"]
+
+        def merge(at: Column) -> Column:  # at: the first of the least, from 1
+            least, n = F.get(found, at - 1), F.size(parts)
+            beside = F.array_compact(F.array(
+                F.when(at > 1, _joined(table, F.get(parts, at - 2), least)),
+                F.when(at + 1 < n, _joined(table, least, F.get(parts, at + 1)))))
+            new = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(least), F.slice(parts, at + 2, n))
+            around = F.concat(F.slice(found, F.lit(1), F.greatest(at - 2, F.lit(0))), beside, F.slice(found, at + 2, n))
+            return F.struct(new.alias("parts"), F.when(n > 2, around).otherwise(F.array(F.lit(NONE))).alias("ranks"))
+
+        def onward(least: Column) -> Column:
+            place = F.array_position(found, least).cast("int")
+            return F.when(least >= NONE, acc).otherwise(F.transform(F.array(place), merge)[0])
+
+        return F.transform(F.array(F.array_min(found)), onward)[0]
+
+    single = F.transform(F.sequence(F.lit(1), size), byte)
+    start = F.transform(F.array(single), lambda q: F.struct(q.alias("parts"), ranked(q).alias("ranks")))[0]
     steps = F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))
-    done = F.aggregate(steps, start, step, lambda acc: F.transform(acc["parts"], lambda p: _rank(table, p)))
+    done = F.aggregate(steps, start, step, lambda acc: F.transform(acc["parts"], lambda p: p.cast("int")))
     return F.when(size > 0, done).otherwise(F.array().cast("array<int>"))
 
 
@@ -122,43 +141,92 @@ def merge_bytes(word: bytes, rank: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Block:
-    """The distinct pieces of a block of texts, and the places of each text's pieces."""
-
-    def __init__(self):
-        self.words: dict[bytes, int] = {}
-        self.places: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.rows: list[pa.RecordBatch] = []
-        self.size = 0
-
-    def add(self, rows: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> None:
-        """``rows`` are kept; ``raw`` and ``offsets`` are their texts."""
-        _, starts, ends, row, _ = pieces(raw, offsets)
-        heads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # characters to bytes
-        starts, ends = heads[starts], heads[ends]
-        _, first, back = np.unique(range_hash(raw, starts, ends), return_index=True, return_inverse=True)
-        data = raw.tobytes()
-        if _equal(raw, starts, ends, starts[first][back], ends[first][back]):
-            found = [data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
-        else:  # two pieces with one hash: no hash then
-            found, back = [data[i:j] for i, j in zip(starts.tolist(), ends.tolist())], slice(None)
-        known = self.words
-        own = np.array([known.setdefault(w, len(known)) for w in found], dtype="<i4")
-        self.places.append(own[back])
-        self.counts.append(np.bincount(row, minlength=len(offsets) - 1).astype("<i4"))
-        self.rows.append(rows)
-        self.size += len(raw) + 64 * rows.num_rows
-
-    def packed(self) -> bytes:
-        sink = pa.BufferOutputStream()
-        kept = pa.Table.from_batches(self.rows)
-        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(kept)
-        codec, parts = pa.Codec("zstd"), [np.concatenate(self.counts).tobytes(), np.concatenate(self.places).tobytes()]
-        small = [codec.compress(p, asbytes=True) for p in parts]
-        head = np.array([v for p, c in zip(parts, small) for v in (len(p), len(c))], dtype="<i8").tobytes()
-        return b"".join([head, *small, sink.getvalue().to_pybytes()])
+class Pairs:
+    """The pairs of tokens that make a token, for lookups of many pairs at once."""
+
+    def __init__(self, path: str):
+        rank = ranks(path)
+        self.rank = rank
+        self.single = np.array([rank.get(bytes([i]), -1) for i in range(256)], dtype=np.int64)
+        found = {left * SIDE + right: joined for token, joined in rank.items() for i in range(1, len(token))
+                 if (left := rank.get(token[:i])) is not None and (right := rank.get(token[i:])) is not None}
+        self.pair = np.array(sorted(found), dtype=np.int64)
+        self.joined = np.array([found[p] for p in self.pair.tolist()], dtype=np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of neighbours together; NONE where they make no token."""
+        pair = left * SIDE + right
+        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        return np.where(self.pair[at] == pair, self.joined[at], NONE)
+
+
+@functools.cache
+def pairs_of(path: str) -> Pairs:
+    return Pairs(path)
+
+
+def merge_many(words: list[bytes], pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all pieces one after the other, how many each has): the fold, a step of all pieces
+    at a time. A piece that is done leaves; only the neighbours of a merge are looked up again."""
+    ids: list = [None] * len(words)
+    own = np.array([i for i, w in enumerate(words) if 0 < len(w) <= LONG], dtype=np.int64)
+    for i, w in enumerate(words):
+        if len(w) > LONG:
+            ids[i] = np.array(merge_bytes(w, pairs.rank), dtype=np.int64)
+        elif not w:
+            ids[i] = np.zeros(0, dtype=np.int64)
+    size = np.array([len(words[i]) for i in own.tolist()], dtype=np.int64)
+    part = pairs.single[np.frombuffer(b"".join([words[i] for i in own.tolist()]), dtype=np.uint8)]
+    # rank[j]: of parts j and j + 1 of one piece; NONE at a piece's last part.
+    rank = np.full(len(part), NONE, dtype=np.int64)
+    heads = np.cumsum(size) - size
+    inner = np.ones(len(part), dtype=bool)
+    inner[heads + size - 1] = False
+    at = np.flatnonzero(inner)
+    rank[at] = pairs(part[at], part[at + 1])
+    while len(own):
+        least = np.minimum.reduceat(rank, heads)
+        active = least < NONE
+        if not active.all():
+            over = np.repeat(~active, size)
+            for i, done in zip(own[~active].tolist(), np.split(part[over], np.cumsum(size[~active])[:-1])):
+                ids[i] = done
+            part, rank = part[~over], rank[~over]
+            own, size, least = own[active], size[active], least[active]
+            heads = np.cumsum(size) - size
+            if not len(own):
+                break
+        hit = np.flatnonzero(rank == np.repeat(least, size))
+        piece = np.searchsorted(heads, hit, side="right") - 1
+        hit = hit[np.append(True, piece[1:] != piece[:-1])]  # the leftmost of each piece
+        part[hit] = least
+        keep = np.ones(len(part), dtype=bool)
+        keep[hit + 1] = False
+        rank[hit] = rank[hit + 1]  # NONE if the merged part is the last
+        moved = hit - np.arange(len(hit))
+        part, rank, size = part[keep], rank[keep], size - 1
+        heads = np.cumsum(size) - size
+        more = moved[(moved < heads + size - 1)]
+        rank[more] = pairs(part[more], part[more + 1])
+        before = moved[moved > heads]
+        rank[before - 1] = pairs(part[before - 1], part[before])
+    sizes = np.array([len(i) for i in ids], dtype=np.int64)
+    return (np.concatenate(ids) if ids else np.zeros(0, np.int64)), sizes
+
+
+def distinct(raw: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct pieces of a slice of texts, the place of each piece among them, pieces per text)."""
+    _, starts, ends, row, _ = pieces(raw, offsets)
+    heads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # characters to bytes
+    starts, ends = heads[starts], heads[ends]
+    _, first, back = np.unique(range_hash(raw, starts, ends), return_index=True, return_inverse=True)
+    data = raw.tobytes()
+    count = np.bincount(row, minlength=len(offsets) - 1)
+    if _equal(raw, starts, ends, starts[first][back], ends[first][back]):
+        return [data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], back, count
+    known: dict[bytes, int] = {}  # two pieces with one hash: no hash then
+    back = np.array([known.setdefault(data[i:j], len(known)) for i, j in zip(starts.tolist(), ends.tolist())])
+    return list(known), back, count
 
 
 def _equal(raw: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> bool:
@@ -172,63 +240,44 @@ def _equal(raw: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_e
     return bool(np.array_equal(raw[np.repeat(a, size) + along], raw[np.repeat(b, size) + along]))
 
 
-def _unpack(packed: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    head = np.frombuffer(packed[:32], dtype="<i8").tolist()
-    codec, at, parts = pa.Codec("zstd"), 32, []
-    for size, small in (head[:2], head[2:]):
-        parts.append(np.frombuffer(codec.decompress(packed[at:at + small], size, asbytes=True), dtype="<i4"))
-        at += small
-    return pa.ipc.open_stream(pa.py_buffer(packed).slice(at)).read_all(), *parts
-
-
-def blocks(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """(block, place, word, packed): a row for each distinct piece of a block, and one
-    with the packed block."""
-    src = docs.select(*[col(c) for c in keep], col(text).cast("string").alias(fresh("_text", keep)))
+def count_pieces(docs: DataFrame, text: str) -> DataFrame:
+    """(word binary, n): the distinct pieces of all texts and how often each occurs."""
+    src = docs.select(col(text).cast("string").alias("_text"))
 
     def run(batches):
-        from pyspark import TaskContext
-        number, block = TaskContext.get().partitionId() << 32, _Block()
+        seen: dict[bytes, int] = {}
 
-        def done():
-            words = list(block.words)
-            for a in range(0, len(words), 1 << 16):
-                part = words[a:a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), number), pa.int64()), pa.array(range(a, a + len(part)), pa.int32()),
-                     pa.array(part, pa.binary()), pa.nulls(len(part), pa.binary())], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.int32()),
-                                              pa.nulls(1, pa.binary()), pa.array([block.packed()], pa.binary())], names=names)
+        def flush():
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
+                                             names=["word", "n"])
+            seen.clear()
 
-        names = ["block", "place", "word", "packed"]
         for batch in batches:
-            n = batch.num_columns - 1
-            kept = pa.RecordBatch.from_arrays([*batch.columns[:n], pa.nulls(batch.num_rows)], names=[*keep, fresh("_", keep)])
-            raw, offsets = buffers(batch.column(n))
+            raw, offsets = buffers(batch.column(0))
             for a, b in slices(offsets):
-                block.add(kept.slice(a, b - a), raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                if block.size >= BLOCK_BYTES:
-                    yield from done()
-                    number, block = number + 1, _Block()
-        if block.rows:
-            yield from done()
-
-    return map_arrow(src, run, T.StructType([T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()),
-                                             T.StructField("word", T.BinaryType()), T.StructField("packed", T.BinaryType())]))
-
-
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) of distinct pieces (word binary)."""
-    def long(batches):
-        rank = ranks(path)
-        for batch in batches:
-            found = [merge_bytes(w, rank) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    size = F.length("word")
-    short = words.where(size <= LONGEST_FOLDED).select("word", fold(F.col("word"), rank_literal(path)).alias("ids"))
-    return short.unionByName(words.where(size > LONGEST_FOLDED).select("word").mapInArrow(
-        long, "word binary, ids array<int>"))
+                words, back, _ = distinct(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                for w, n in zip(words, np.bincount(back, minlength=len(words)).tolist()):
+                    seen[w] = seen.get(w, 0) + n
+                if len(seen) > MAX_KEPT:
+                    yield from flush()
+        yield from flush()
+
+    counted = map_arrow(src, run, T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def dictionary(docs: DataFrame, path: str, text: str = "text",
+               max_words: int = MAX_WORDS) -> DataFrame:
+    """(word, ids): at most ``max_words`` of the most frequent pieces, encoded."""
+    counted = write_cut(count_pieces(docs, text).where(F.length("word") <= MAX_FOLDED_BYTES), "pieces")
+    # Pieces by the power of two of their count: the least power with which all above fit.
+    power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
+    histogram = {r[0]: r[1] for r in counted.groupBy(power.alias("p")).count().collect()}  # 64 rows
+    total, least = 0, 64
+    while least > 0 and total + histogram.get(least - 1, 0) <= max_words:
+        least -= 1
+        total += histogram.get(least, 0)
+    return counted.where(power >= least).select("word", fold(F.col("word"), rank_literal(path)).alias("ids"))
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -244,37 +293,36 @@ def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
-           keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None, max_words: int = MAX_WORDS) -> DataFrame:
     """The ``keep`` columns of ``docs`` (default: all) and the ids of each whole text."""
     keep = docs.columns if keep is None else keep
-    cut = write_cut(blocks(docs, text, keep), "pieces")
-    cells = cut.where("packed IS NULL").select("block", "place", "word")
-    words = write_cut(encode_words(cells.select("word").distinct(), path), "words")
-    known = cells.join(words, "word").select(F.col("block").alias("own"), "place", "ids")
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(fresh(ids, keep), T.BinaryType(), False)])
-    places = [f"c{i}" for i in range(len(schema))]
-
-    def run(packed: pa.Table, listed: pa.Table) -> pa.Table:
-        kept, counts, at = _unpack(packed.column("packed")[0].as_py())
-        by = np.argsort(listed.column("place").to_numpy())
-        lists = listed.column("ids").combine_chunks()
-        flat, size = lists.flatten().to_numpy().astype("<u4"), lists.value_lengths().to_numpy().astype(np.int64)
-        first, size = (np.cumsum(size) - size)[by], size[by]
-        heads = np.concatenate([[0], np.cumsum(counts)])
-        out = []
-        for a in range(0, len(counts), OUT_ROWS):
-            b = min(a + OUT_ROWS, len(counts))
-            own = at[heads[a]:heads[b]]
-            total = np.concatenate([[0], np.cumsum(size[own])])[heads[a:b + 1] - heads[a]]
-            coded = _gather(flat, first[own], size[own])
-            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in kept.slice(a, b - a).columns[:-1]]
-            out.append(pa.RecordBatch.from_arrays([*columns, _binary(coded.view(np.uint8), np.diff(total) * 4)], names=places))
-        pa.default_memory_pool().release_unused()
-        return pa.Table.from_batches(out)
-
-    inner = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(places, schema)])
-    return (cut.where("packed IS NOT NULL").select("block", "packed").groupBy("block")
-            .cogroup(known.groupBy("own")).applyInArrow(run, inner).toDF(*schema.names))
+    rows = dictionary(docs, path, text, max_words).collect()  # at most max_words
+    flat = np.array([i for r in rows for i in r[1]], dtype="<u4")
+    sizes = np.array([len(r[1]) for r in rows], dtype=np.int64)
+    known = docs.sparkSession.sparkContext.broadcast(({bytes(r[0]): i for i, r in enumerate(rows)}, flat, sizes))
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        place, own_flat, own_sizes = known.value
+        first = np.cumsum(own_sizes) - own_sizes
+        raw, offsets = buffers(texts)
+        coded, counts = [], []
+        for a, b in slices(offsets):
+            words, back, count = distinct(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            at = np.array([place.get(w, -1) for w in words], dtype=np.int64)
+            rare = np.flatnonzero(at < 0)
+            more, more_sizes = merge_many([words[i] for i in rare.tolist()], pairs_of(path))
+            every = np.concatenate([own_flat, more.astype("<u4")])
+            begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            listed = at >= 0
+            begin[listed], size[listed] = first[at[listed]], own_sizes[at[listed]]
+            begin[rare], size[rare] = len(own_flat) + np.cumsum(more_sizes) - more_sizes, more_sizes
+            coded.append(_gather(every, begin[back], size[back]))
+            total = np.concatenate([[0], np.cumsum(size[back])])
+            counts.append(np.diff(total[np.concatenate([[0], np.cumsum(count)])]))
+        flat_ids = np.concatenate(coded) if coded else np.zeros(0, "<u4")
+        return [_binary(flat_ids.view(np.uint8), np.concatenate(counts) * 4 if counts else np.zeros(0, np.int64))]
+
+    return map_rows(docs, text, [T.StructField(fresh(ids, keep), T.BinaryType(), False)], run, keep)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded",

@@ -95,17 +95,19 @@ def test_fold_and_heap_equal_the_library(spark):
         want = ENCODING._core_bpe.encode_single_piece(w)
         assert got[w] == want
         assert bpe.merge_bytes(w, bpe.ranks(RANKS)) == want
+    flat, sizes = bpe.merge_many([*words, b"", b"a" * 500], bpe.pairs_of(RANKS))
+    assert flat.tolist() == [i for w in [*words, b"a" * 500] for i in ENCODING._core_bpe.encode_single_piece(w)]
+    assert sizes.tolist()[:len(words)] == [len(got[w]) for w in words] and sizes[len(words)] == 0
     long = bytes(rnd.choice(b"0123456789abcdef") for _ in range(5000))
     assert bpe.merge_bytes(long, bpe.ranks(RANKS)) == ENCODING._core_bpe.encode_single_piece(long)
 
 
-@pytest.mark.parametrize("block", [bpe.BLOCK_BYTES, 1000])
-def test_encode_decode_round_trip(spark, monkeypatch, block):
-    """One block for a task's texts, and many; pieces beyond the fold's length."""
-    monkeypatch.setattr(bpe, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("most", [0, 50, 1 << 16])
+def test_encode_decode_round_trip(spark, most):
+    """Nothing in the dictionary, some of it, all; pieces beyond the fold's length."""
     many = texts(200, 200, 5) + ["", None, "a" * 3000, " ", "ab" * 200 + " x", "", "Zürich 漢字"]
     d = spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")
-    rows = bpe.decode(bpe.encode(d, RANKS), RANKS).collect()
+    rows = bpe.decode(bpe.encode(d, RANKS, max_words=most), RANKS).collect()
     assert sorted((r.doc_id, r.text) for r in rows) == sorted(enumerate(many))
     for r in rows:
         ids = ENCODING.encode_ordinary(r.text or "")
@@ -120,15 +122,17 @@ def test_texts_without_pieces(spark):
         assert sorted((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got) == [(i, b"", b"") for i, _ in rows]
 
 
-def test_equal_hashes_do_not_mix_pieces(spark, monkeypatch):
+def test_equal_hashes_do_not_mix_pieces(monkeypatch):
     """A hash that takes all pieces of one length for equal changes nothing."""
     monkeypatch.setattr(bpe, "range_hash", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
-    block = bpe._Block()
     text = "one two six ten one".encode()
-    raw, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    block.add(pa.RecordBatch.from_arrays([pa.array([1])], names=["a"]), raw, offsets)
-    words = list(block.words)
-    assert b"".join(words[i] for i in block.places[0]) == text and len(words) == 5
+    words, back, count = bpe.distinct(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert b"".join(words[i] for i in back) == text and len(words) == 5 and count.tolist() == [5]
+
+
+def test_dictionary_is_bounded(spark):
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts(100, 50, 6))], "doc_id long, text string")
+    assert bpe.dictionary(d, RANKS, max_words=40).count() <= 40
 
 
 def test_ids_outside_the_vocabulary_and_null_ids(spark):
