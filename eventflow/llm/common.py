@@ -9,6 +9,8 @@ task follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ from eventflow.session import scratch_path
 
 SLICE_BYTES = 1 << 20
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_BYTES_CONF = "spark.eventflow.llm.batchBytes"
 
 # The word separators of every operator here: space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -154,19 +157,30 @@ def range_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix64(h + (ends - starts).astype(np.uint64))
 
 
+def release() -> None:
+    """Gives spare memory back: an idle Python worker stays beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
     """``df.mapInArrow`` with columns of any name, dots included: by place. The session's
-    Arrow batches are held to ``BATCH_ROWS`` rows and ``BATCH_BYTES``, since several Python
-    workers of an executor hold one each, and Spark's own buffers as many again."""
+    Arrow batches are held to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` (or what the session's
+    ``spark.eventflow.llm.batchBytes`` says), since several Python workers of an executor hold
+    one each, and Spark's own buffers as many again."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(conf.get(BATCH_BYTES_CONF, str(BATCH_BYTES))))
     places = [f"c{i}" for i in range(len(schema))]
 
     def renamed(batches):
         for batch in run(batches):
             yield batch.rename_columns(places)
-        pa.default_memory_pool().release_unused()  # an idle worker keeps no spare memory
+        release()
 
     inner = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(places, schema)])
     src = df.toDF(*(f"c{i}" for i in range(len(df.columns))))

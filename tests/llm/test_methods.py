@@ -12,6 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from eventflow.llm import dartminhash, mixing, pii, pivots, quality, secrets, toxicity, warc
 from eventflow.llm import queries as Q
 from eventflow.llm.components import components
@@ -476,3 +478,22 @@ def test_pipeline(spark, tmp_path):
     X.docs(spark, []).write.parquet(str(tmp_path / "v/documents.parquet"))
     X.labels(spark, []).write.parquet(str(tmp_path / "v/labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "v")).count() == 0
+
+
+@pytest.mark.parametrize("slice_rows", [3, 4096])
+def test_draw_takes_what_mix_says(spark, slice_rows):
+    """Rows drawn, word for word, against the plan of ``mix``; many copies at a boundary among them."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(0, 12))), "en", rng.choice("abc"), 1)
+            for i in range(120)] + [(7000, "one two three four five", "en", "a", 1)] * 60 + [(None, None, None, None, None)] * 3
+    d = X.clashing(X.docs(spark, rows)).withColumn("_s", F.lit(1)).withColumn("_last", F.lit(2))
+    plan = collections.Counter()
+    for r in mixing.mix(d, slice_rows=slice_rows).collect():
+        n, size, text = r.mixed_.taken, r.mixed_.size, r.text
+        while n > 0:
+            plan[r.doc_id, r.source, " ".join((text or "").split()[:n])] += 1
+            n -= size
+    got = mixing.draw(d, slice_rows=slice_rows)
+    assert got.columns == d.columns
+    assert collections.Counter((r.doc_id, r.source, " ".join(r.text.split())) for r in got.collect()) == plan
+    assert mixing.draw(X.docs(spark, [])).count() == 0
