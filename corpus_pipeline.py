@@ -17,11 +17,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.llm import bpe, dartminhash, mixing, pii, quality
-from eventflow.llm.common import col, fresh, table, write_cut
+from eventflow.llm.common import BATCH_BYTES_CONF, col, fresh, table, write_cut
+
+BATCH_BYTES = 2 << 20
+
+
+def modest(spark: SparkSession) -> None:
+    """Smaller Arrow batches than a single operator takes: the Python workers of all stages
+    stay beside one another on an executor."""
+    spark.conf.set(BATCH_BYTES_CONF, str(BATCH_BYTES))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that a base rule or a risk-controlled threshold rejects."""
+    modest(spark)
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     verdict = judged.columns[-1]
     return judged.where(F.col(f"{verdict}.kept")).drop(verdict)
@@ -29,21 +38,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near copies: that of the least id."""
+    modest(spark)
     return dartminhash.deduplicate(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data, and terms that give it away, in the texts."""
+    modest(spark)
     return pii.sanitise(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws the sources to their targets: a row each time a document is taken."""
+    modest(spark)
     return mixing.draw(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes the texts; adds the ids, their number, and whether they decode to the text."""
+    modest(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids, back = fresh("ids", docs), fresh("decoded", docs)
     count, exact = fresh("n_tokens", docs), fresh("round_trip", docs)
