@@ -26,6 +26,9 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 CHUNK = 20_000
@@ -33,6 +36,17 @@ ROWS = "o long, t long, kind int, tie long, a double"
 END = 1 << 62
 
 
+def flat_key(key: Column, kind: T.DataType):
+    """(key that Python workers can give back, how to get the first again from its column): a
+    key of a nested type travels as JSON, any other as it is."""
+    if not isinstance(kind, (T.StructType, T.ArrayType)):
+        return key, lambda c: c
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    schema = T.StructType([T.StructField("k", kind)])
+    return (F.to_json(F.struct(key.alias("k")), options),
+            lambda c: F.from_json(c, schema, options).getField("k"))
+
+
 def micros(ts) -> np.ndarray:
     """Epoch microseconds of a column of times; naive ones are UTC."""
     return pd.to_datetime(pd.Series(ts), utc=True).to_numpy().astype("datetime64[us]").astype(np.int64)

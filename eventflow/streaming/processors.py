@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from eventflow.streaming.ordered import OrderedProcessor, stamp
+from eventflow.streaming.ordered import OrderedProcessor, flat_key, stamp
 
 ALERT_SCHEMA = "id long, ts timestamp, temperature double, diff double"
 RISE_SCHEMA = "id long, alert_ts timestamp"
@@ -115,7 +115,8 @@ def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
     ``value`` name the columns that the processors know as id, ts and temperature; the
     output has the input's names, and the key its type."""
     names = {key: "id", ts: "ts", value: "temperature"}
-    src = stream.select(*[F.col(c).alias(names.get(c, c)) for c in stream.columns
+    flat, unflat = flat_key(F.col(key), stream.schema[key].dataType)
+    src = stream.select(*[flat.alias("id") if c == key else F.col(c).alias(names.get(c, c)) for c in stream.columns
                           if c in names or c not in names.values()])
     kind = src.schema["id"].dataType.simpleString()
     out = (src.withWatermark("ts", watermark).groupBy("id")
@@ -123,7 +124,8 @@ def apply_processor(stream: DataFrame, key: str, processor: StatefulProcessor,
                                        outputStructType=schema.replace("id long", f"id {kind}", 1),
                                        outputMode="Append", timeMode="EventTime"))
     back = {v: k for k, v in names.items()}
-    return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns])
+    return out.select(*[unflat(F.col("id")).alias(key) if c == "id" else F.col(c).alias(back.get(c, c))
+                        for c in out.columns])
 
 
 # ------------------------------------------------------ control streams ----

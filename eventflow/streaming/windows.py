@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-import json
 from typing import Iterator
 
 import pandas as pd
@@ -12,10 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventflow.operators.windows import _ms
+from eventflow.streaming.ordered import OrderedProcessor, flat_key, stamp
 
 EARLY_SCHEMA = "id long, window_end timestamp, eval_time timestamp, cnt long"
 
 
+def _start_ms(start) -> int:
+    """A window's start in epoch milliseconds; naive times are UTC (the session zone)."""
+    t = pd.Timestamp(start)
+    t = t.tz_convert("UTC") if t.tzinfo else t.tz_localize("UTC")
+    return int(t.value // 1_000_000)
+
+
 def windowed_count(stream: DataFrame, keys: list, ts: str, size: str, delay: str,
                    slide: str | None = None) -> DataFrame:
     """Watermarked window count; in append mode each window is emitted once,
@@ -37,45 +44,50 @@ def allowed_lateness_count(stream: DataFrame, keys: list, ts: str, size: str, de
 
 
 class EarlyFiringProcessor(StatefulProcessor):
-    """O-W5 exact form, keyed by (id, window start): the first row arms a timer at
+    """O-W5 exact form, keyed by (key, window start): the first row arms a timer at
     the next tick after it and one at ``end - 1 ms``; every tick emits the count of the
     rows up to it and arms the next tick while it is before the end; the final
     firing emits the full count and clears the window's state.
 
-    The state holds a count per tick (at most size / tick numbers), so when the
-    watermark passes several ticks at once, each is emitted with its own count, and
-    the next timer is armed beyond the watermark."""
+    Map state holds a count per tick (at most size / tick numbers); a batch updates the ticks
+    that its rows fall under, and a firing reads those that it passes and folds them into one
+    running count. When the watermark passes several ticks at once, each is emitted with its own
+    count, and the next timer is armed beyond the watermark."""
 
-    def __init__(self, size: str, tick: str, ts: str):
-        self.size_ms, self.tick_ms, self.ts = _ms(size), _ms(tick), ts
+    def __init__(self, size: str, tick: str):
+        self.size_ms, self.tick_ms = _ms(size), _ms(tick)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("w", "end long, due long, counts string")
+        # due: the next tick to emit (-1 before the first row); done: rows up to the ticks emitted.
+        self.state = handle.getValueState("w", "end long, due long, done long")
+        self.counts = handle.getMapState("counts", "tick long", "n long")
 
-    def _empty(self) -> pd.DataFrame:
-        return pd.DataFrame(columns=["id", "window_end", "eval_time", "cnt"])
+    def _frame(self, key, end: int, ticks: list, found: list) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], pd.Timestamp(end, unit="ms"), pd.Timestamp(t, unit="ms"), n)
+                             for t, n in zip(ticks, found)], columns=["id", "window_end", "eval_time", "cnt"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        tick = self.tick_ms
+        tick, first, fresh = self.tick_ms, None, {}
         if self.state.exists():
-            end, due, text = self.state.get()
-            counts = {int(k): v for k, v in json.loads(text).items()}
+            end, due, done = self.state.get()
         else:
-            # window start as epoch ms; naive timestamps are UTC (session zone)
-            start = pd.Timestamp(key[1])
-            start = start.tz_convert("UTC") if start.tzinfo else start.tz_localize("UTC")
-            end, due, counts = int(start.value // 1_000_000) + self.size_ms, -1, {}
+            end, due, done = _start_ms(key[1]) + self.size_ms, -1, 0
             self.handle.registerTimer(end - 1)
-        first = None
         for chunk in rows:
-            t = pd.to_datetime(chunk[self.ts], utc=True).astype("datetime64[ms, UTC]").astype("int64")
+            t = pd.to_datetime(chunk["ts"], utc=True).astype("datetime64[ms, UTC]").astype("int64")
             if not len(t):
                 continue
             first = int(t.min()) if first is None else min(first, int(t.min()))
             # The first tick at or after each row.
             for g, n in (-(-t // tick) * tick).value_counts().items():
-                counts[int(g)] = counts.get(int(g), 0) + int(n)
+                fresh[int(g)] = fresh.get(int(g), 0) + int(n)
+        for g, n in fresh.items():
+            if due > 0 and g < due:  # its tick has been emitted
+                done += n
+            else:
+                old = self.counts.getValue((g,)) if self.counts.containsKey((g,)) else (0,)
+                self.counts.updateValue((g,), (old[0] + n,))
         if first is not None:
             want = (first // tick + 1) * tick
             passed = timerValues.getCurrentWatermarkInMs()
@@ -86,45 +98,65 @@ class EarlyFiringProcessor(StatefulProcessor):
                     self.handle.deleteTimer(due)
                 self.handle.registerTimer(want)
                 due = want
-        self.state.update((end, due, json.dumps(counts)))
-        yield self._empty()
+        self.state.update((end, due, done))
+        yield self._frame(key, end, [], [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.state.exists():
-            yield self._empty()
+            yield self._frame(key, 0, [], [])
             return
-        end, due, text = self.state.get()
-        counts = {int(k): v for k, v in json.loads(text).items()}
+        end, due, done = self.state.get()
         at, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
         over = at >= end - 1
         ticks, due = [], due if due > 0 else end
         while due < end - 1 and (due <= passed or over):
             ticks.append(due)
             due += self.tick_ms
-        found = [sum(n for g, n in counts.items() if g <= t) for t in ticks]
+        last = end if over else ticks[-1] if ticks else -1
+        waiting = sorted((g[0], n[0]) for g, n in self.counts.iterator() if over or g[0] <= last)
+        found = []
+        for t in [*ticks, *([end - 1] if over else [])]:
+            while waiting and (waiting[0][0] <= t or t == end - 1):
+                g, n = waiting.pop(0)
+                done += n
+                if not over:
+                    self.counts.removeKey((g,))
+            found.append(done)
         if over:
             ticks.append(end - 1)
-            found.append(sum(counts.values()))
             self.state.clear()
+            self.counts.clear()
         else:
             if due < end - 1:
                 self.handle.registerTimer(due)
-            self.state.update((end, due, text))
-        yield pd.DataFrame({"id": [key[0]] * len(ticks), "window_end": [pd.Timestamp(end, unit="ms")] * len(ticks),
-                            "eval_time": [pd.Timestamp(t, unit="ms") for t in ticks], "cnt": found})
+            self.state.update((end, due, done))
+        yield self._frame(key, end, ticks, found)
 
     def close(self) -> None:
         pass
 
 
+def _by_window(stream: DataFrame, key: str, ts: str, size: str, delay: str, keep: dict, processor: StatefulProcessor,
+               schema: str, first: str, out: dict) -> DataFrame:
+    """Runs a processor keyed by (key, window start). Inside, the key is ``id`` and the time
+    ``ts``, whatever the input calls them; the key may be of any type. ``keep`` maps further columns to
+    their names inside. ``schema`` names the key ``first``; ``out`` maps other output names."""
+    flat, back = flat_key(F.col(key), stream.schema[key].dataType)
+    src = stream.select(flat.alias("id"), F.col(ts).cast("timestamp").alias("ts"),
+                        *[F.col(c).alias(own) for c, own in keep.items()])
+    kind = src.schema["id"].dataType.simpleString()
+    schema = schema.replace(f"{first} long", f"{first} {kind}", 1)
+    d = src.withColumn("_ws", F.window("ts", size).start).withWatermark("ts", delay)
+    got = d.groupBy("id", "_ws").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    return got.select(back(F.col(first)).alias(key), *[F.col(c).alias(out.get(c, c)) for c in got.columns if c != first])
+
+
 def early_firing(stream: DataFrame, key: str, ts: str, size: str, tick: str,
                  delay: str = "0 seconds") -> DataFrame:
-    """O-W5 on a stream: key by (key, window start) and run the processor
-    with event-time timers."""
-    d = stream.withColumn("_ws", F.window(ts, size).start).withWatermark(ts, delay)
-    return d.groupBy(key, "_ws").transformWithStateInPandas(
-        statefulProcessor=EarlyFiringProcessor(size, tick, ts), outputStructType=EARLY_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
+    """O-W5 on a stream: (key, window_end, eval_time, cnt), with event-time timers. The key
+    keeps its name and type."""
+    return _by_window(stream, key, ts, size, delay, {}, EarlyFiringProcessor(size, tick), EARLY_SCHEMA, "id", {})
 
 
 def text_word_counts(lines: DataFrame, tokenize, size: str, slide: str | None = None,
@@ -140,56 +172,42 @@ def text_word_counts(lines: DataFrame, tokenize, size: str, slide: str | None =
             .select("word", F.col("w.end").alias("window_end"), "cnt"))
 
 
-DETAIL_SCHEMA = ("code string, size long, first_ts timestamp, ts timestamp, "
+DETAIL_SCHEMA = ("id long, size long, first_ts timestamp, ts timestamp, "
                  "window_start timestamp, window_end timestamp")
 
 
-class RunningDetailProcessor(StatefulProcessor):
+class RunningDetailProcessor(OrderedProcessor):
     """O-G13 / O-E11 on a stream, keyed by (key, window start): one output per
     element with the window's running size, its first element's time and this
-    element's time; state is cleared by an event-time timer at the window end."""
+    element's time; state is cleared by an event-time timer at the window end. Elements of a
+    micro-batch follow their arrival column, chunk by chunk (``streaming.ordered``)."""
 
-    def __init__(self, size: str, arrival: str):
-        self.size_ms, self.arrival = _ms(size), arrival
+    columns = ["id", "size", "first_ts", "ts", "window_start", "window_end"]
+    state_name, state_schema = "d", "size long, first long, end long"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("d", "size long, first long")
+    def __init__(self, size: str):
+        super().__init__(order="arrival")
+        self.size = _ms(size) * 1000
+
+    def row(self, state, t, kind, a, out):
+        start = self.start
+        size, first, _ = state or [0, t, start + self.size]
+        out.append((size + 1, stamp(first), stamp(t), stamp(start), stamp(start + self.size)))
+        return [size + 1, first, start + self.size]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self.arrival)
-        start = pd.Timestamp(key[1])
-        start = start.tz_convert("UTC") if start.tzinfo else start.tz_localize("UTC")
-        start_ms = int(start.value // 1_000_000)
-        if self.state.exists():
-            size, first = self.state.get()
-        else:
-            size, first = 0, None
-            self.handle.registerTimer(start_ms + self.size_ms)
-        out = []
-        for ts in pdf["ts"]:
-            t = pd.Timestamp(ts)
-            first = int(t.value // 1000) if first is None else first
-            size += 1
-            out.append((key[0], size, pd.Timestamp(first, unit="us"), t,
-                        pd.Timestamp(start_ms, unit="ms"),
-                        pd.Timestamp(start_ms + self.size_ms, unit="ms")))
-        self.state.update((size, first))
-        yield pd.DataFrame(out, columns=["code", "size", "first_ts", "ts", "window_start",
-                                         "window_end"])
+        self.start = _start_ms(key[1]) * 1000
+        yield from super().handleInputRows(key, rows, timerValues)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        yield pd.DataFrame(columns=["code", "size", "first_ts", "ts", "window_start", "window_end"])
+    def due(self, state):
+        return state[2]
 
-    def close(self) -> None:
-        pass
+    def until(self, state, t, out):
+        return None
 
 
 def running_detail_stream(stream: DataFrame, key: str, ts: str, size: str, arrival: str,
                           delay: str = "0 seconds") -> DataFrame:
-    """O-E11 on a stream: per-element running window detail."""
-    d = stream.withColumn("_ws", F.window(ts, size).start).withWatermark(ts, delay)
-    return d.groupBy(key, "_ws").transformWithStateInPandas(
-        statefulProcessor=RunningDetailProcessor(size, arrival), outputStructType=DETAIL_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
+    """O-E11 on a stream: per-element running window detail. The key and the time keep their
+    names, the key its type; ``arrival`` is an integer column."""
+    return _by_window(stream, key, ts, size, delay, {arrival: "arrival"}, RunningDetailProcessor(size), DETAIL_SCHEMA, "id", {"ts": ts})
