@@ -146,14 +146,17 @@ def m8_allowed_lateness(spark, sf):
 
 
 @register("m9_side_output", """
-SELECT event_id, user_id AS id, ts, 'Freezing Alarm for ' || user_id AS message
-FROM events WHERE value < 32.0""")
+SELECT 'main' AS output, event_id, user_id AS id, ts, value AS temperature, NULL AS message FROM events
+UNION ALL
+SELECT 'side', event_id, user_id, ts, value, 'Freezing Alarm for ' || user_id FROM events WHERE value < 32.0""")
 def m9_side_output(spark, sf):
-    """O-M9: readings below 32 F also raise an alarm on a side output (all
-    rows continue on the main output)."""
-    _, side = T.side_outputs(sensors(events(spark, sf)), F.col("temperature") < 32.0)
-    return side.select("event_id", "id", "ts",
-                       format_message(FREEZING_ALARM, "id").alias("message"))
+    """O-M9: readings below 32 F also raise an alarm on a side output; all
+    rows continue on the main output. Both outputs, told apart by a column."""
+    main, side = T.side_outputs(sensors(events(spark, sf)), F.col("temperature") < 32.0)
+    cols = ["event_id", "id", "ts", "temperature"]
+    return (main.select(F.lit("main").alias("output"), *cols, F.lit(None).cast("string").alias("message"))
+            .unionByName(side.select(F.lit("side").alias("output"), *cols,
+                                     format_message(FREEZING_ALARM, "id").alias("message"))))
 
 
 # ----------------------------------------------------------------- joins ----
