@@ -1,21 +1,27 @@
 """Iterative graph ranking (O-E3) with its pieces O-A4, O-J5, O-J6.
 
-Each round is one join + one aggregation. The edge table carries the source's
-out-degree, so no adjacency array is materialised per vertex (a hot vertex's
-out-links stay ordinary rows). Lineage is cut with a reliable ``checkpoint()``
-into the session's checkpoint directory; the convergence probe is a single
-``limit(1)`` action per round.
+Links are counted, given the out-degree of their source, and written once as a table bucketed and
+sorted by source. The ranks of each round are written into the same buckets. A round then joins
+bucket with bucket, without moving either side, and shuffles the contributions alone, combined by
+target before they move; the comparison with the last ranks needs no exchange either. Links of sources
+with more than ``HOT_LINKS`` of them stay outside the buckets, dealt out by a salt, and only the ranks of
+those sources are repeated, once for each salt. No adjacency array is made per vertex. Lineage is cut by
+the written ranks, in the session's checkpoint folder; the convergence probe is one small
+action per round.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.operators.scan import scan
-from eventflow.session import materialize
+from eventflow.session import materialize, scratch_path
 
 DAMPING = 0.85
+HOT_LINKS = 1_000_000
 
 
 def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -38,6 +44,9 @@ def adjacency_lists(edges: DataFrame, src: str = "src", dst: str = "dst",
 
 
 def edges_with_degree(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """The links with the out-degree of their source. They are written once, so that what makes
+    them runs once for the links and their degrees."""
+    edges = materialize(edges.select(src, dst), keep_partitioning=False)
     deg = edges.groupBy(src).agg(F.count(F.lit(1)).alias("out_degree"))
     return edges.select(src, dst).join(deg, src)
 
@@ -65,44 +74,84 @@ def changed_ranks(old: DataFrame, new: DataFrame, epsilon: float) -> DataFrame:
                .select("page_id"))
 
 
+class _Buckets:
+    """Tables bucketed and sorted by one column, under names of their own, in the checkpoint
+    folder. They leave the catalog with ``close``; the files stay for who reads them."""
+
+    def __init__(self, spark, buckets: int):
+        self.spark, self.buckets, self.names = spark, buckets, []
+
+    def write(self, df: DataFrame, column: str) -> tuple[DataFrame, str]:
+        name, path = f"eventflow_{uuid.uuid4().hex}", scratch_path(self.spark, "buckets")
+        self.names.append(name)
+        (df.write.format("parquet").bucketBy(self.buckets, column).sortBy(column).option("path", path)
+         .saveAsTable(name))
+        return self.spark.table(name), path
+
+    def close(self) -> None:
+        for n in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {n}")
+        self.names = []
+
+
+def _links(edges: DataFrame, hot_links: int) -> tuple[DataFrame, DataFrame]:
+    """(links with n and out_degree, sources with more than ``hot_links`` distinct links and the number
+    of their salts); the edges are made once."""
+    links = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")), keep_partitioning=False)
+    deg = links.groupBy("src").agg(F.sum("n").alias("out_degree"), F.count(F.lit(1)).alias("_links"))
+    links = links.join(deg, "src")
+    hot = deg.where(F.col("_links") > hot_links).select(
+        "src", F.ceil(F.col("_links") / F.lit(hot_links)).cast("int").alias("salts"))
+    return links, materialize(hot, keep_partitioning=False)
+
+
+def _round(links: DataFrame, hot: tuple | None, ranks: DataFrame, n_pages: int, epsilon: float,
+           damping: float) -> DataFrame:
+    """(page_id, rank, _moved) after a round; one exchange, of the contributions."""
+    share = (F.col("rank") * F.col("n") / F.col("out_degree")).alias("rank")
+    got = links.join(ranks.withColumnRenamed("page_id", "src"), "src").select("dst", share)
+    if hot is not None:
+        salted, sources = hot
+        spread = sources.join(ranks.withColumnRenamed("page_id", "src"), "src").select(
+            "src", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        got = got.unionByName(salted.join(spread, ["src", "salt"]).select("dst", share))
+    new = got.groupBy(F.col("dst").alias("page_id")).agg(F.sum("rank").alias("rank"))
+    new = new.select("page_id", (F.col("rank") * F.lit(damping) + F.lit((1 - damping) / n_pages)).alias("rank"))
+    moved = F.coalesce(F.abs(F.col("rank") - F.col("_old")) > F.lit(epsilon), F.lit(False))
+    return new.join(ranks.withColumnRenamed("rank", "_old"), "page_id", "left").select(
+        "page_id", "rank", moved.alias("_moved"))
+
+
 def page_rank(pages: DataFrame, edges: DataFrame, n_pages: int | None = None,
               max_iterations: int = 10, epsilon: float = 1e-4,
-              damping: float = DAMPING, salts: int = 16) -> DataFrame:
+              damping: float = DAMPING, hot_links: int = HOT_LINKS) -> DataFrame:
     """Rank pages: initial 1/N, ``rank' = d * sum(in-contributions) + (1-d)/N``.
 
     Pages without inbound links drop out (no dangling redistribution). Stops
     after ``max_iterations`` or when no page moved by more than ``epsilon``.
-    ``pages`` has a ``page_id`` column; ``edges`` has ``src``, ``dst``.
-
-    Links are written once, with their number and the out-degree of their source, and
-    each links' row carries a salt from its target: a source that holds most links
-    lies in ``salts`` partitions, and the ranks (one row per page) are repeated for
-    each salt. There is one plan for every size; Spark may still broadcast the ranks
-    by their size in bytes.
+    ``pages`` has a ``page_id`` column; ``edges`` has ``src``, ``dst``. As many buckets as
+    the session has shuffle partitions, so that a round's result falls into them as it is.
     """
+    spark = edges.sparkSession
     if n_pages is None:
         n_pages = pages.count()
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    links = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-    salt = F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int")
-    e = materialize(links.join(deg, "src").withColumn("salt", salt), keep_partitioning=False)
-    ranks = pages.select("page_id", F.lit(1.0 / n_pages).alias("rank"))
-    for i in range(max_iterations):
-        spread = ranks.select(F.col("page_id").alias("src"), "rank",
-                              F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-        got = (e.join(spread, ["src", "salt"])
-               .groupBy(F.col("dst").alias("page_id"))
-               .agg(F.sum(F.col("rank") * F.col("n") / F.col("out_degree")).alias("rank")))
-        new = got.select("page_id", (F.col("rank") * F.lit(damping)
-                                     + F.lit((1 - damping) / n_pages)).alias("rank"))
-        # One job per round: the new ranks and the O-J6 "moved" flag are computed
-        # together and written once, which cuts the lineage.
-        step = (new.alias("n").join(ranks.alias("o"), "page_id", "left")
-                   .select("page_id", F.col("n.rank").alias("rank"),
-                           F.coalesce(F.abs(F.col("n.rank") - F.col("o.rank")) > F.lit(epsilon),
-                                      F.lit(False)).alias("_moved")))
-        step = materialize(step, keep_partitioning=False)
-        ranks = step.select("page_id", "rank")
-        if step.filter("_moved").isEmpty():
-            break
-    return ranks
+    links, sources = _links(edges, hot_links)
+    store = _Buckets(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        hot = None
+        if not sources.isEmpty():
+            salt = F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int")
+            own = links.join(sources, "src").withColumn("salt", salt).select("src", "salt", "dst", "n", "out_degree")
+            hot = materialize(own, keep_partitioning=False), sources
+            links = links.join(sources, "src", "left_anti")
+        links = store.write(links.select("src", "dst", "n", "out_degree"), "src")[0]
+        ranks, path = store.write(pages.select("page_id", F.lit(1.0 / n_pages).alias("rank")), "page_id")
+        for _ in range(max_iterations):
+            step, path = store.write(_round(links, hot, ranks, n_pages, epsilon, damping), "page_id")
+            ranks = step.select("page_id", "rank")
+            if step.filter("_moved").isEmpty():
+                break
+        schema = ranks.schema
+    finally:
+        store.close()
+    return spark.read.schema(schema).parquet(path)
