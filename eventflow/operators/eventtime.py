@@ -48,10 +48,14 @@ def with_watermark_column(df: DataFrame, ts: str, arrival: str, delay: str,
               .drop("_t_us", "_mx"))
 
 
+def late_flag(ts: str, wm_us: str = "_wm_us") -> Column:
+    """O-M6: ``ts < current watermark``, as a column, for both outputs from one pass."""
+    return F.coalesce(epoch_us(ts) < F.col(wm_us), F.lit(False))
+
+
 def late_split(df: DataFrame, ts: str, wm_us: str = "_wm_us") -> tuple:
     """O-M6: ``ts < current watermark`` -> late side output, else main."""
-    late = epoch_us(ts) < F.col(wm_us)
-    late = F.coalesce(late, F.lit(False))
+    late = late_flag(ts, wm_us)
     return df.filter(~late), df.filter(late)
 
 

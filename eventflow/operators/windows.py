@@ -13,6 +13,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventflow.functions.scalar import epoch_ms, from_epoch_ms
 
@@ -81,14 +82,16 @@ def processing_time(df: DataFrame, out: str = "pt") -> DataFrame:
 def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
                 sums: dict, count_alias: str | None = "cnt",
                 pane_ratio_limit: int = 2) -> DataFrame:
-    """Sliding-window count/sum with pane decomposition.
+    """Sliding-window count/sum by panes and differences.
 
     With k = size/slide, ``F.window`` expands every row k times before the
-    partial aggregation. When k is large we first aggregate tumbling panes of
-    one slide, then expand the (much smaller) pane results k times - the
-    standard pane trick. Both give identical results; only for k <= 2 is the
-    direct form (one exchange instead of two) cheaper - measured: the word
-    count with k = 5 runs in half the time with panes.
+    partial aggregation. When k is large, tumbling panes of one slide are aggregated first. A
+    pane then counts from the first window that holds it and no longer k windows later: two rows a
+    pane, a gain and a loss, and a running sum per key over them, instead of k copies. Between two
+    changes a window's sum stays, and its windows are written out from the one running value. The running
+    sum of a key has at most two rows a pane, however many rows the key has. Sums that are not of
+    whole numbers or decimals would gather rounding errors, so they are added up from k copies of the panes.
+    For k <= 2 the direct form (one exchange instead of two) is cheaper.
     """
     size_ms, slide_ms = _ms(size), _ms(slide)
     k = size_ms // slide_ms
@@ -99,15 +102,11 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
     if df.isStreaming or size_ms % slide_ms != 0 or k <= pane_ratio_limit:
         return window_agg(df, ts, size, keys, aggs, slide)
     pane = F.window(ts, slide)
-    panes = df.groupBy(pane.start.alias("_ps"), *keys).agg(*aggs)
+    panes = df.groupBy(pane.start.alias("_ps"), *keys).agg(F.count(F.lit(1)).alias("_n"), *aggs)
+    panes = panes.withColumn("_p", epoch_ms("_ps"))
     out_cols = ([count_alias] if count_alias else []) + list(sums)
-    exploded = panes.select(*keys, *out_cols, epoch_ms("_ps").alias("_p"),
-                            F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
-    exploded = exploded.select(*keys, *out_cols,
-                               (F.col("_p") - F.col("_i") * F.lit(slide_ms)).alias("_s"))
-    # Group on the window start alone (end = start + size) to keep the hash
-    # key narrow; both bounds are restored after the aggregation.
-    res = exploded.groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in out_cols])
+    exact = all(isinstance(panes.schema[c].dataType, (T.IntegralType, T.DecimalType)) for c in sums)
+    res = (_by_differences if exact else _by_copies)(panes, keys, out_cols, k, slide_ms)
     kind = df.schema[ts].dataType  # bounds have the input's type, whatever k is
 
     def bound(ms):
@@ -118,6 +117,32 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
                       *keys, *out_cols)
 
 
+def _by_copies(panes: DataFrame, keys: list, out_cols: list, k: int, slide_ms: int) -> DataFrame:
+    """(_s, keys, sums) of every window, from a copy of each pane for each of its windows."""
+    each = panes.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    start = (F.col("_p") - F.col("_i") * F.lit(slide_ms)).alias("_s")
+    return each.select(*keys, *out_cols, start).groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in out_cols])
+
+
+def _by_differences(panes: DataFrame, keys: list, out_cols: list, k: int, slide_ms: int) -> DataFrame:
+    """(_s, keys, sums) of every window, from a gain and a loss of each pane."""
+    first, gone = F.col("_p") - F.lit((k - 1) * slide_ms), F.col("_p") + F.lit(slide_ms)
+    changes = panes.select(*keys, "_n", *out_cols, F.explode(F.array(
+        F.struct(first.alias("t"), F.lit(1).alias("sign")), F.struct(gone.alias("t"), F.lit(-1).alias("sign")))).alias("_c"))
+    line = Window.partitionBy(*keys).orderBy("_c.t") if keys else Window.orderBy("_c.t")
+    so_far = line.rowsBetween(UNB, 0)
+    run = changes.select(*keys, F.col("_c.t").alias("_t"), F.lead("_c.t").over(line).alias("_next"),
+                         F.sum(F.col("_n") * F.col("_c.sign")).over(so_far).alias("_n"),
+                         *[F.sum(F.coalesce(F.col(c), F.lit(0)) * F.col("_c.sign")).over(so_far).alias(c) for c in out_cols],
+                         *[F.sum(F.col(c).isNotNull().cast("int") * F.col("_c.sign")).over(so_far).alias(f"_some{i}")
+                           for i, c in enumerate(out_cols)])
+    run = run.where((F.col("_n") > 0) & (F.col("_next") > F.col("_t")))
+    kinds = panes.schema
+    return run.select(F.explode(F.sequence("_t", F.col("_next") - F.lit(slide_ms), F.lit(slide_ms))).alias("_s"), *keys,
+                      *[F.when(F.col(f"_some{i}") > 0, F.col(c)).cast(kinds[c].dataType).alias(c)
+                        for i, c in enumerate(out_cols)])
+
+
 def first_row_values(cols: list, arrival: str) -> list:
     """Aggregates returning the *first* row's value (by arrival) of each col."""
     return [F.min_by(F.col(c), F.col(arrival)).alias(c) for c in cols]

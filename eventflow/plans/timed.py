@@ -92,10 +92,8 @@ SELECT event_id, ts2, make_timestamp(wm_us) AS wm,
 def m6_late_split(spark, sf):
     """O-M6: rows older than the current watermark go to the late output."""
     d = T.with_watermark_column(_ooo(spark, sf), "ts2", "event_id", SPLIT_DELAY, "wm")
-    main, late = T.late_split(d, "ts2")
-    cols = ["event_id", "ts2", "wm"]
-    return (main.select(*cols, F.lit("main").alias("output"))
-            .unionByName(late.select(*cols, F.lit("late").alias("output"))))
+    output = F.when(T.late_flag("ts2"), "late").otherwise("main")
+    return d.select("event_id", "ts2", "wm", output.alias("output"))
 
 
 _LATE_BASE = f"""{_EV2}, {_wm_sql(3600 * 10**6)},

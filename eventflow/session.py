@@ -62,7 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             return current
         configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if sc is not None and not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
