@@ -8,7 +8,7 @@ of the rows is still processed by many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventflow.operators.eventtime import epoch_us
@@ -123,10 +123,10 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     Everything is distributed: runs between resets come from bucketed scans;
     inside a run the armed rises form a chain (each the first rise at or
     after the previous arm + interval). Each rise's successor comes from one
-    scan; the chain from each run's first rise is enumerated by pointer
-    doubling - jump tables J_i = J_(i-1) o J_(i-1) built with self-joins, then
-    positions added level by level - so a long run costs O(log length) joins
-    and never sits in one task. Jump tables are written with ``checkpoint()``.
+    scan. The chain grows from each run's first rise by doubling: one table holds every rise's jump over
+    the 2^i next arms and whether it is armed; a step composes the jumps with themselves and
+    arms what the armed rises jump to, in one written table. A long run costs log(length) steps and never
+    sits in one task; whether another step is needed is observed while the table is written.
     """
     iv = _ms(interval) * 1000
     # One set of time buckets for every scan below: runs and rises are subsets of the rows.
@@ -143,24 +143,23 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, interval: str,
     boxed = F.struct(F.col(key).alias("k")).alias("_k")  # in which a null key joins with itself
     ends = (d.filter("_reset = 1").select(boxed, (F.col("_run") - 1).alias("_run"),
                                           F.col("_o").alias("_next_reset")))
-    rises = d.filter("_rise").select(boxed, "_run", "_o")
+    rises = d.filter("_rise").select(boxed, "_run", "_o").distinct()  # rises of one instant arm once
     rises = materialize(join_on(rises, ends, ["_k", "_run"]), keep_partitioning=False)
+    first = rises.groupBy("_k", "_run").agg(F.min("_o").alias("_first"))
     ids = ["_k", "_run", "_o"]
-    levels = [materialize(_successors(rises, iv, bounds), keep_partitioning=False)]
-    while levels[-1].filter(F.col("_j").isNotNull()).limit(1).count() > 0:
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        nxt = (a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._run") == F.col("b._run"))
-                      & (F.col("a._j") == F.col("b._o")), "left")
-                .select(F.col("a._k").alias("_k"), F.col("a._run").alias("_run"),
-                        F.col("a._o").alias("_o"), F.col("b._j").alias("_j")))
-        levels.append(materialize(nxt, keep_partitioning=False))
-    chain = rises.groupBy("_k", "_run").agg(F.min("_o").alias("_o"))
-    for lvl in reversed(levels[:-1]):
-        step = (chain.join(lvl, ids, "inner").filter(F.col("_j").isNotNull())
-                     .select("_k", "_run", F.col("_j").alias("_o")))
-        chain = materialize(chain.unionByName(step), keep_partitioning=False)
-    fired = (chain.join(rises, ids, "inner")
-                  .withColumn("_fire", F.col("_o") + F.lit(iv))
+    chain = (rises.join(_successors(rises, iv, bounds), ids).join(first, ["_k", "_run"])
+             .select(*ids, "_next_reset", "_j", (F.col("_o") == F.col("_first")).alias("_armed")))
+    while True:
+        seen = Observation()
+        more = F.max((F.col("_armed") & F.col("_j").isNotNull()).cast("int"))
+        chain = materialize(chain.observe(seen, more.alias("more")), keep_partitioning=False)
+        if not seen.get["more"]:
+            break
+        ahead = chain.select("_k", "_run", F.col("_o").alias("_j"), F.col("_j").alias("_jj"))
+        met = chain.where("_armed AND _j IS NOT NULL").select("_k", "_run", F.col("_j").alias("_o"), F.lit(True).alias("_met"))
+        chain = chain.join(ahead, ["_k", "_run", "_j"], "left").join(met, ids, "left").select(
+            *ids, "_next_reset", F.col("_jj").alias("_j"), (F.col("_armed") | F.col("_met").isNotNull()).alias("_armed"))
+    fired = (chain.where("_armed").withColumn("_fire", F.col("_o") + F.lit(iv))
                   .filter(F.col("_next_reset").isNull() | (F.col("_next_reset") >= F.col("_fire"))))
     return fired.select(F.col("_k.k").alias(key),
                         F.timestamp_micros("_fire").cast("timestamp_ntz").alias("alert_ts"))

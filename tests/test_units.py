@@ -464,3 +464,13 @@ def test_decoders_coerce_numbers(spark):
     assert room('{"room":"r","id":"1","tm":"2"}') == (0.0, "r", 1, 2)
     assert room('{"v":null,"room":"r","id":"1","tm":"2"}') == (0.0, "", 0, 0)
     assert room('{"v":"1.5","room":"r","id":"1","tm":"2"}') == (1.5, "r", 1, 2)
+
+
+def test_rises_of_one_instant_arm_once(spark):
+    """Repeated and tied rises, a long chain, and a null key."""
+    rows = [("a", 0, 0, 1.0), ("a", 1, 1, 2.0), ("a", 1, 2, 3.0), ("a", 1, 2, 3.0)]
+    rows += [(None, 10 + i, 10 + i, float(i + 1)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, s long, seq long, v double").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = sorted(((r.k or "", int(r.alert_ts.replace(tzinfo=__import__("datetime").timezone.utc).timestamp()))
+                  for r in K.rise_alerts(df, "k", "ts", "v", "3 seconds", tie="seq").collect()))
+    assert got == sorted([("a", 4)] + [("", t) for t in range(14, 53, 3)])
