@@ -30,13 +30,14 @@ def _read(spark: SparkSession, fs, p) -> str:
         stream.close()
 
 
-def read_latest(spark: SparkSession, log_dir: str) -> str | None:
-    """Text of the highest-numbered record in ``log_dir`` (None if empty)."""
+def read_latest(spark: SparkSession, log_dir: str, before: int | None = None) -> str | None:
+    """Text of the highest-numbered record in ``log_dir``, below ``before`` if that is given
+    (None if there is none)."""
     fs, d = _fs(spark, log_dir)
     if not fs.exists(d):
         return None
     names = [s.getPath().getName() for s in fs.listStatus(d)]
-    seqs = sorted(n for n in names if _RECORD.match(n))
+    seqs = sorted(n for n in names if _RECORD.match(n) and (before is None or int(n[:20]) < before))
     if not seqs:
         return None
     jvm = spark.sparkContext._jvm

@@ -54,8 +54,8 @@ class VersionedKeyedTable:
         self.spark, self.root, self.key, self.order = spark, root.rstrip("/"), list(key), list(order)
         self.buckets, self.max_deltas, self.keep_versions = buckets, max_deltas, keep_versions
 
-    def _version(self) -> dict | None:
-        txt = fs.read_latest(self.spark, f"{self.root}/_versions")
+    def _version(self, before: int | None = None) -> dict | None:
+        txt = fs.read_latest(self.spark, f"{self.root}/_versions", before)
         return None if txt is None else json.loads(txt)
 
     def _number(self, buckets: int) -> Column:
@@ -74,10 +74,11 @@ class VersionedKeyedTable:
         version = self._version()
         return None if version is None else latest_per_key(self._load(version), self.key, self.order)
 
-    def lookup(self, keys: DataFrame) -> DataFrame | None:
-        """The live rows of a bounded list of keys (O-P5's point queries): only the buckets
-        that these keys fall into are read."""
-        version = self._version()
+    def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame | None:
+        """The live rows of some keys (O-P5's point queries): only the buckets
+        that these keys fall into are read. ``before``: as they were before that batch, which
+        must be one of the last ``keep_versions``."""
+        version = self._version(before)
         if version is None:
             return None
         keys = keys.select(*self.key).distinct()

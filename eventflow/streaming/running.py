@@ -1,11 +1,12 @@
 """Running aggregates on a stream (O-A2, O-A3, O-A5, O-A6): per row, the aggregate over all
 rows of its keys so far, in arrival order, across micro-batches.
 
-Each micro-batch is one ordered scan in which every key's state from earlier batches
-stands as one row before the batch's rows. The state (a row per key) is written as a new
-version with each batch; an append-only ledger names it, and batch ids at or below the
-ledger are skipped, so a replayed batch changes nothing and the result does not depend on
-batch boundaries.
+Each micro-batch is one ordered scan in which the state of its keys from earlier batches
+stands as one row a key before the batch's rows. The state (a row per key) is a log-structured keyed
+table (``sinks.upsert``): a batch reads the buckets of its own keys, as they were before it, and writes a delta
+of them; old versions are removed there. An append-only ledger names the last batch whose rows are visible, and
+batch ids at or below it are skipped, so a replayed batch changes nothing and the result does not
+depend on batch boundaries.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from eventflow.operators.scan import arrival_block, scan
 from eventflow.sinks import fs
+from eventflow.sinks.upsert import VersionedKeyedTable
 
 _FIRST = -(1 << 60)
 
@@ -30,10 +32,11 @@ class RunningAggregates:
     def __init__(self, spark, root: str, keys: list, arrival: str, outs: list):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.arrival, self.outs = list(keys), arrival, list(outs)
+        self.state = VersionedKeyedTable(spark, f"{self.root}/state", self.keys, ["_batch"])
 
     def _ledger(self) -> dict:
         txt = fs.read_latest(self.spark, f"{self.root}/_ledger")
-        return json.loads(txt) if txt else {"batch_id": -1, "state": None}
+        return json.loads(txt) if txt else {"batch_id": -1}
 
     def process(self, df: DataFrame, batch_id: int) -> None:
         ledger = self._ledger()
@@ -43,9 +46,9 @@ class RunningAggregates:
         rows = df.select("*", *[F.col(v).alias(p) for p, (v, _, _) in zip(parts, self.outs)])
         rows = rows.withColumn("_at", F.col(self.arrival).cast("bigint")).persist()
         u = rows
-        if ledger["state"]:
-            state = self.spark.read.parquet(ledger["state"])
-            u = rows.unionByName(state.withColumn("_at", F.lit(_FIRST)), allowMissingColumns=True)
+        state = self.state.lookup(rows.select(*self.keys), before=batch_id)
+        if state is not None:
+            u = rows.unionByName(state.drop("_batch").withColumn("_at", F.lit(_FIRST)), allowMissingColumns=True)
         done = scan(u, [(p, how, out) for p, (_, how, out) in zip(parts, self.outs)], ["_at"],
                     arrival_block(u, "_at"), self.keys).filter(F.col("_at") > _FIRST)
         names = [out for _, _, out in self.outs]
@@ -60,10 +63,9 @@ class RunningAggregates:
             else:
                 aggs.append({"sum": F.sum, "min": F.min, "max": F.max}[how](v).cast(
                     rows.schema[p].dataType).alias(p))
-        path = f"{self.root}/state/v{batch_id:012d}"
-        u.groupBy(*self.keys).agg(*aggs).write.mode("overwrite").parquet(path)
-        fs.write_record(self.spark, f"{self.root}/_ledger", batch_id,
-                        json.dumps({"batch_id": batch_id, "state": path}))
+        # Committed on its own; a replay of this batch reads the version before it.
+        self.state.upsert(u.groupBy(*self.keys).agg(*aggs).withColumn("_batch", F.lit(batch_id)), batch_id)
+        fs.write_record(self.spark, f"{self.root}/_ledger", batch_id, json.dumps({"batch_id": batch_id}))
         rows.unpersist()
 
     def read(self) -> DataFrame:
