@@ -280,14 +280,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     group = components(_links(own, member, similar))
     least = member.select("gid", "node", "least")
     named = group.join(least, "node")
-    lowest = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    linked = named.join(lowest, "component").select("node", "class_id")
+    # The least id of a class, and of the texts that have it the least digest: one document stays.
+    order = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("gid").alias("first"))
+    lowest = named.groupBy("component").agg(F.min(order).alias("best"))
+    linked = named.join(lowest, "component").select("node", "best")
     known = write_cut(least.join(linked, "node", "left").select(
-        F.col("gid").alias("digest"), F.coalesce("class_id", "least").alias("class_id")), "classes")
+        F.col("gid").alias("digest"), F.when(F.col("best").isNull(), F.col("least")).otherwise(F.col("best.id")).alias("class_id"),
+        F.coalesce("best.first", "gid").alias("first")), "classes")
     out = rows.select("doc_id", "digest", "size").join(known, "digest", "left")
-    class_id = F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "digest", class_id.alias("class_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    real = F.col("size") > 0
+    return out.select("doc_id", "digest", F.when(real, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+                      F.when(real, F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("first")))
+                      .otherwise(F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from eventflow.llm.boundaries import pieces
-from eventflow.llm.common import buffers, map_rows, slices
+from eventflow.llm.common import buffers, fresh, map_rows, slices
 
 MAX_STATES = 300_000
 MAX_PIECES = 300_000
@@ -204,6 +204,8 @@ def count_batch(texts: pa.Array, path: str) -> list[pa.Array]:
 def count_tokens(docs: DataFrame, path: str, text: str = "text", size: str = "n_bytes",
                  count: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (default: all), the UTF-8 bytes and the tokens of
-    each whole text. ``path``: the vocabulary file, readable by every worker."""
-    fields = [T.StructField(size, T.LongType(), False), T.StructField(count, T.LongType(), False)]
+    each whole text, last and under names lengthened until they clash with no column. ``path``: the
+    vocabulary file, readable by every worker."""
+    taken = docs.columns if keep is None else keep
+    fields = [T.StructField(fresh(n, taken), T.LongType(), False) for n in (size, count)]
     return map_rows(docs, text, fields, lambda texts: count_batch(texts, path), keep)

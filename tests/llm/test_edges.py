@@ -12,8 +12,8 @@ KEEPERS = {
     "quality": lambda d, l: quality.judge(d, l),
     "mixing": lambda d, l: mixing.mix(d),
     "secrets": lambda d, l: secrets.scan(d),
-    "tokens": lambda d, l: tokens.count_tokens(d, JSON, size="size__", count="count__"),
-    "bpe": lambda d, l: bpe.decode(bpe.encode(d, RANKS, ids="ids__"), RANKS, ids="ids__", decoded="back__"),
+    "tokens": lambda d, l: tokens.count_tokens(d.withColumn("n_tokens", d.doc_id), JSON).drop("n_tokens"),
+    "bpe": lambda d, l: (lambda c: bpe.decode(c, RANKS, ids=c.columns[-1]))(bpe.encode(d, RANKS)),
     "toxicity": lambda d, l: toxicity.score(d, l),
     "sanitise": lambda d, l: pii.sanitise(d),
 }
@@ -55,6 +55,18 @@ def test_minhash_edges(spark):
     assert dartminhash.deduplicate(X.docs(spark, [])).count() == 0
 
 
+def test_near_copies_with_null_or_shared_ids(spark):
+    """One document stays of each class, whatever the ids."""
+    rows = [(None, X.BASE, "en", "a", 1), (None, X.NEAR, "en", "a", 1), (None, X.BASE, "en", "a", 1)]
+    assert dartminhash.deduplicate(X.docs(spark, rows)).count() == 1
+    other = " ".join(f"z{i}" for i in range(60))
+    rows = [(7, X.BASE, "en", "a", 1), (7, X.NEAR, "en", "a", 1), (7, other, "en", "a", 1), (3, other + " z60", "en", "a", 1)]
+    got = dartminhash.classes(X.docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == [(3, 3), (7, 3), (7, 7), (7, 7)]
+    assert sum(r.kept for r in got) == 2
+    assert sorted(r.doc_id for r in dartminhash.deduplicate(X.docs(spark, rows)).collect()) == [3, 7]
+
+
 def test_pivot_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0), (2, [1.0, 0.01], 0), (3, [1.0, 0.0], 1), (4, [0.0, 0.0], 0),
