@@ -163,6 +163,9 @@ def thresholds(counted: DataFrame, labels: DataFrame, doc_id: str, stratum: str,
     hold = counted.where(~_base_failed(prefix)).select(
         col(doc_id).alias("_id"), col(stratum).alias("_stratum"),
         *[v.alias(f"_{k}") for k, v in _measures(prefix).items()]).join(good, "_id")
+    # A repeated document is one trial, or the bounds would mean nothing: its greatest measures count.
+    hold = hold.groupBy("_id").agg(F.min("_stratum").alias("_stratum"), *[
+        F.max(f"_{k}").alias(f"_{k}") for k in _measures(prefix)])
     hits = [F.sum((F.col(f"_{r}") >= F.lit(c)).cast("long")).alias(f"{r}__{i}")
             for r, cuts in LADDERS.items() for i, c in enumerate(cuts)]
     counts = hold.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"), *hits)

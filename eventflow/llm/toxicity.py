@@ -8,10 +8,12 @@ an insult with the mention of a group. The pair sum is taken in linear time as
 half of (sum v)^2 - sum v^2 for each factor.
 
 The machine is fitted on at most ``MAX_TRAIN`` labelled documents, taken by a hash of the
-id; documents whose id hashes to the held-out fifth are never among them. The sample's
-terms are gathered in tasks, and of
-all buckets the ``FEATURES`` most telling in the sample (by likelihood ratio, beyond what
-chance would give any bucket) get weights. Every text is then scored whole, in Arrow batches, with one
+id, and as many of them as have ``MAX_TERMS`` distinct terms together; documents whose id hashes to the
+held-out fifth are never among them. The sample's terms are gathered in tasks. Weights and factors go to the
+buckets that tell something in the sample, by likelihood ratio, beyond what chance would give any
+bucket: alone, or as a half of a pair. A pair tells something when its texts are toxic more or less often than
+its halves' own shares add up to, so both halves may be neutral alone; pairs are counted among the
+``PAIRED`` buckets that are most telling alone or else in most texts, as products of blocks of texts. Every text is then scored whole, in Arrow batches, with one
 broadcast of a few hundred kilobytes whose size does not depend on the data.
 
 Terms are words without ASCII punctuation at both ends, in ASCII lower case. Null and
@@ -28,19 +30,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import Words, buffers, col, map_rows, mix64, range_hash, slices
+from eventflow.llm.common import Words, buffers, col, fresh, map_rows, mix64, range_hash, slices, write_cut
 from eventflow.llm.pii import _LOWER, _trim
 
 BITS = 18
 FEATURES = 4096
+PAIRED, LEAST_PAIR = 2048, 10
 FACTORS = 8
 # Likelihood ratio beyond which a bucket tells something; by chance about one in all would.
 TELLING = 2 * BITS * np.log(2)
-MAX_TRAIN = 20_000
+MAX_TRAIN, MAX_TERMS = 20_000, 8_000_000
 EPOCHS = 300
 
 
@@ -96,12 +99,60 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: st
         return [pa.array(out, pa.binary())]
 
     found = map_rows(own, "text", [T.StructField("buckets", T.BinaryType())], gather, ["id", "toxic"])
-    # Repeated documents beyond the bound are left out, as are other rows beyond it.
-    got = found.orderBy("id", "buckets").limit(most).collect()
+    # A repeated document counts once, so that there are at most ``most`` rows.
+    found = write_cut(found.groupBy("id", "toxic").agg(F.min("buckets").alias("buckets")), "sample")
+    size = F.octet_length("buckets").cast("long")
+    so_far = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = found.select("id", F.sum(size).over(so_far).alias("_terms")).where(F.col("_terms") <= 4 * MAX_TERMS)
+    got = found.join(F.broadcast(fits.select("id")), "id").orderBy("id").collect()  # at most ``most`` ids
     return ([np.frombuffer(r["buckets"], dtype="<i4").astype(np.int64) for r in got],
             np.array([r["toxic"] > 0 for r in got], dtype=np.float64))
 
 
+def _ratio(toxic: np.ndarray, seen: np.ndarray, share) -> np.ndarray:
+    """The likelihood ratio of shares of toxic texts against expected ones."""
+    expected = seen * share
+    return 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / np.maximum(expected, 1e-9))
+                + (seen - toxic) * np.log(np.maximum(seen - toxic, 1e-9) / np.maximum(seen - expected, 1e-9)))
+
+
+def telling_pairs(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, seen: np.ndarray, toxic: np.ndarray,
+                  gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets that are halves of telling pairs, the greatest ratio of each)."""
+    n, size = len(y), len(seen)
+    order = np.lexsort((-seen, -np.where(gain > TELLING, gain, 0.0)))
+    some = order[seen[order] >= LEAST_PAIR][:PAIRED]
+    place = np.full(size, -1, dtype=np.int64)
+    place[some] = np.arange(len(some))
+    keep = place[bucket] >= 0
+    row, own = row[keep], place[bucket[keep]]
+    both, hit = np.zeros((len(some), len(some)), np.float32), np.zeros((len(some), len(some)), np.float32)
+    step = 1024
+    for a in range(0, n, step):
+        i, j = np.searchsorted(row, (a, a + step))
+        x = np.zeros((min(step, n - a), len(some)), np.float32)
+        x[row[i:j] - a, own[i:j]] = 1
+        both += x.T @ x
+        bad = x[y[a:a + step] > 0]
+        hit += bad.T @ bad
+    share = (toxic[some] + 0.5 * y.mean()) / (seen[some] + 0.5)
+    logit = np.log(share / (1 - share))
+    common = float(np.log(y.mean() / (1 - y.mean())))
+    best = np.zeros(len(some))
+    least = 2 * np.log(max(len(some), 2) ** 2 / 2) + 8  # by chance about one pair in all, and some to spare
+    for i in range(len(some)):
+        j = np.flatnonzero(both[i] >= LEAST_PAIR)
+        j = j[j != i]
+        added = 1 / (1 + np.exp(-np.clip(logit[i] + logit[j] - common, -30, 30)))
+        r = _ratio(hit[i, j].astype(np.float64), both[i, j].astype(np.float64), np.clip(added, 1e-6, 1 - 1e-6))
+        # Halves that always stand together are one term, not a pair.
+        r = np.where(both[i, j] < 0.95 * np.minimum(seen[some[i]], seen[some[j]]), r, 0.0)
+        if len(r):
+            best[i] = r.max()
+    real = best > least
+    return some[real], best[real]
+
+
 def fit(buckets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     """Full-batch Adam on the logistic loss with L2 on weights and factors."""
     n, size = len(y), 1 << BITS
@@ -114,12 +165,12 @@ def fit(buckets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     bucket = np.concatenate(buckets)
     seen = np.bincount(bucket, minlength=size).astype(np.float64)
     toxic = np.bincount(bucket, weights=y[row], minlength=size)
-    expected = seen * y.mean()
-    # The likelihood ratio of a bucket's own share of toxic texts against the common one.
-    gain = 2 * (toxic * np.log(np.maximum(toxic, 1e-9) / np.maximum(expected, 1e-9))
-                + (seen - toxic) * np.log(np.maximum(seen - toxic, 1e-9) / np.maximum(seen - expected, 1e-9)))
+    gain = _ratio(toxic, seen, y.mean())
+    halves, pair_gain = telling_pairs(row, bucket, y, seen, toxic, gain)
+    gain = np.where(gain > TELLING, gain, 0.0)
+    gain[halves] = np.maximum(gain[halves], pair_gain)
     best = np.argsort(-gain, kind="stable")[:FEATURES]
-    best = best[gain[best] > TELLING]
+    best = best[gain[best] > 0]
     if not len(best):
         return empty
     place[best] = np.arange(len(best))
@@ -153,7 +204,8 @@ def fit(buckets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic", label_id: str = "doc_id", most: int = MAX_TRAIN,
           keep: list[str] | None = None, out: str = "score") -> DataFrame:
-    """The ``keep`` columns of ``docs`` (default: all) and the score of each whole text."""
+    """The ``keep`` columns of ``docs`` (default: all) and the score of each whole text, last and
+    under ``out``, lengthened until it clashes with no column."""
     machine = fit(*sample(docs, labels, doc_id, text, label, label_id, most))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
@@ -168,4 +220,5 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             found.append(m.score(row[known], feature[known], b - a))
         return [pa.array(np.concatenate(found))]
 
-    return map_rows(docs, text, [T.StructField(out, T.DoubleType(), False)], run, keep)
+    name = fresh(out, docs.columns if keep is None else keep)
+    return map_rows(docs, text, [T.StructField(name, T.DoubleType(), False)], run, keep)

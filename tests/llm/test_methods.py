@@ -72,6 +72,16 @@ def test_thresholds_per_stratum(spark):
     assert all(got[i] for i in range(len(labels)))
 
 
+def test_repeated_documents_are_one_trial(spark):
+    """One good document with symbols, repeated a thousand times, refutes no rule by itself; nor do copies
+    of a clean one prove one."""
+    plain = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, plain, "en", "s", 0)] * 3000 + [(2, plain + " # # # # # # # #", "en", "s", 0)]
+    kept = {r.doc_id: r.verdict.kept for r in quality.judge(
+        X.docs(spark, rows), X.labels(spark, [(1, 1, 0)]), keep=["doc_id"]).collect()}
+    assert kept == {1: True, 2: True}  # one trial proves nothing, so no cutoff is set
+
+
 # -- personal data ----------------------------------------------------------
 
 def brute_spans(t):
@@ -380,6 +390,64 @@ def test_recall_of_pivots_does_not_fall_with_the_table():
 
 # -- toxicity ---------------------------------------------------------------
 
+def _scores(machine, *lists):
+    out = []
+    for own in lists:
+        f = np.array([machine.place[b] for b in own if machine.place[b] >= 0], dtype=np.int64)
+        out.append(float(machine.score(np.zeros(len(f), np.int64), f, 1)[0]))
+    return out
+
+
+def _common_terms(rng, n, size=60, words=5000):
+    share = 1 / np.arange(1, words + 1)
+    return [set((rng.choice(words, size, p=share / share.sum()) + 1000).tolist()) for _ in range(n)]
+
+
+def test_a_neutral_mention_beside_an_insult():
+    """A mention in a quarter of all texts, an insult in 2 %, toxic whenever both occur and else by
+    chance: the pair is learned, and neither half alone is blamed."""
+    rng, mention, insult = np.random.RandomState(1), 7, 9
+    rows, y = _common_terms(rng, 20_000), []
+    for i, own in enumerate(rows):
+        a, b = rng.rand() < 0.25 or i < 122, i < 122 or rng.rand() < 0.02
+        own |= ({mention} if a else set()) | ({insult} if b else set())
+        y.append(float(a and b or rng.rand() < 0.11))
+    m = toxicity.fit([np.array(sorted(r)) for r in rows], np.array(y))
+    pair, one, other, none = _scores(m, [mention, insult], [insult], [mention], [])
+    assert pair > 0.9 and max(one, other, none) < 0.3
+
+
+def test_halves_that_are_neutral_alone():
+    """Toxic when both or none of two terms occur: either alone tells nothing without the other."""
+    rng = np.random.RandomState(5)
+    rows, y = _common_terms(rng, 8000, 40, 3000), []
+    for own in rows:
+        a, b = rng.rand() < 0.5, rng.rand() < 0.5
+        own |= ({7} if a else set()) | ({9} if b else set())
+        y.append(float(rng.rand() < (0.6 if a == b else 0.05)))
+    m = toxicity.fit([np.array(sorted(r)) for r in rows], np.array(y))
+    pair, one, other, none = _scores(m, [7, 9], [7], [9], [])
+    assert min(pair, none) > 0.45 and max(one, other) < 0.2
+
+
+def test_score_is_the_pair_sum():
+    """Linear time against the sum over all pairs."""
+    rng = np.random.RandomState(2)
+    m = toxicity.Machine(np.arange(20), 0.3, rng.standard_normal(20), rng.standard_normal((20, 8)))
+    rows = [sorted(rng.choice(20, rng.randint(0, 9), replace=False).tolist()) for _ in range(30)]
+    got = m.score(np.repeat(np.arange(30), [len(r) for r in rows]), np.array([f for r in rows for f in r]), 30)
+    for r, score in zip(rows, got):
+        z = 0.3 + sum(m.weight[f] for f in r) + sum(m.factor[f] @ m.factor[g] for i, f in enumerate(r) for g in r[i + 1:])
+        assert score == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_sample_is_bounded_in_terms(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 100)
+    docs = X.docs(spark, [(i, " ".join(f"w{i}x{j}" for j in range(30)), "en", "s", 1) for i in range(40)] * 2)
+    found, y = toxicity.sample(docs, X.labels(spark, [(i, 1, i % 2) for i in range(40)]), "doc_id", "text", "toxic", "doc_id", 1000)
+    assert len(found) == len(y) == 3 and sum(map(len, found)) <= 100
+
+
 def test_pairs_that_a_linear_model_misses():
     # Two buckets together are toxic, either alone is not.
     rnd = random.Random(1)
