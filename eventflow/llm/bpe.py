@@ -40,7 +40,7 @@ from eventflow.llm.common import buffers, col, fresh, map_arrow, map_rows, range
 
 MAX_WORDS = 1 << 16
 MAX_FOLDED_BYTES = 48  # of a dictionary piece; the fold is quadratic in a piece's length
-MAX_KEPT = 60_000
+MAX_KEPT = 120_000
 LONG = 64  # bytes of a piece that is merged with a heap
 # A pair of tokens is the number NONE + left * SIDE + right; ranks are less than SIDE.
 BINS, SIDE, NONE = 32749, 1 << 21, 1 << 44
@@ -142,7 +142,9 @@ def merge_bytes(word: bytes, rank: dict[bytes, int]) -> list[int]:
 
 
 class Pairs:
-    """The pairs of tokens that make a token, for lookups of many pairs at once."""
+    """The pairs of tokens that make a token, as a hash table for lookups of many pairs at once."""
+
+    BITS, ODD = 20, np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, path: str):
         rank = ranks(path)
@@ -150,14 +152,31 @@ class Pairs:
         self.single = np.array([rank.get(bytes([i]), -1) for i in range(256)], dtype=np.int64)
         found = {left * SIDE + right: joined for token, joined in rank.items() for i in range(1, len(token))
                  if (left := rank.get(token[:i])) is not None and (right := rank.get(token[i:])) is not None}
-        self.pair = np.array(sorted(found), dtype=np.int64)
-        self.joined = np.array([found[p] for p in self.pair.tolist()], dtype=np.int64)
+        bits = max(self.BITS, (8 * len(found)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair, self.joined = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, NONE, dtype=np.int64)
+        for pair, at in zip(found, self._place(np.array(list(found), dtype=np.int64)).tolist()):
+            while self.pair[at] >= 0:
+                at = (at + 1) & self.mask
+            self.pair[at], self.joined[at] = pair, found[pair]
+
+    def _place(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.astype(np.uint64) * self.ODD) >> self.shift).astype(np.int64)
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of neighbours together; NONE where they make no token."""
         pair = left * SIDE + right
-        at = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
-        return np.where(self.pair[at] == pair, self.joined[at], NONE)
+        at = self._place(pair)
+        there = self.pair[at]
+        out = np.where(there == pair, self.joined[at], NONE)
+        on = np.flatnonzero((there != pair) & (there >= 0))  # places taken by another pair
+        while len(on):
+            at[on] = (at[on] + 1) & self.mask
+            there = self.pair[at[on]]
+            hit = there == pair[on]
+            out[on[hit]] = self.joined[at[on[hit]]]
+            on = on[~hit & (there >= 0)]
+        return out
 
 
 @functools.cache
@@ -168,15 +187,16 @@ def pairs_of(path: str) -> Pairs:
 def merge_many(words: list[bytes], pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all pieces one after the other, how many each has): the fold, a step of all pieces
     at a time. A piece that is done leaves; only the neighbours of a merge are looked up again."""
-    ids: list = [None] * len(words)
-    own = np.array([i for i, w in enumerate(words) if 0 < len(w) <= LONG], dtype=np.int64)
-    for i, w in enumerate(words):
-        if len(w) > LONG:
-            ids[i] = np.array(merge_bytes(w, pairs.rank), dtype=np.int64)
-        elif not w:
-            ids[i] = np.zeros(0, dtype=np.int64)
-    size = np.array([len(words[i]) for i in own.tolist()], dtype=np.int64)
-    part = pairs.single[np.frombuffer(b"".join([words[i] for i in own.tolist()]), dtype=np.uint8)]
+    width = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    data = np.frombuffer(b"".join(words), dtype=np.uint8)
+    place = np.cumsum(width) - width  # a piece has at most as many ids as bytes
+    ids, sizes = np.zeros(len(data), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+    for i in np.flatnonzero(width > LONG).tolist():
+        done = merge_bytes(words[i], pairs.rank)
+        ids[place[i]:place[i] + len(done)], sizes[i] = done, len(done)
+    own = np.flatnonzero((width > 0) & (width <= LONG))
+    size = width[own]
+    part = pairs.single[_gather(data, place[own], size)]
     # rank[j]: of parts j and j + 1 of one piece; NONE at a piece's last part.
     rank = np.full(len(part), NONE, dtype=np.int64)
     heads = np.cumsum(size) - size
@@ -188,17 +208,19 @@ def merge_many(words: list[bytes], pairs: Pairs) -> tuple[np.ndarray, np.ndarray
         least = np.minimum.reduceat(rank, heads)
         active = least < NONE
         if not active.all():
-            over = np.repeat(~active, size)
-            for i, done in zip(own[~active].tolist(), np.split(part[over], np.cumsum(size[~active])[:-1])):
-                ids[i] = done
+            over, done = np.repeat(~active, size), size[~active]
+            ends = np.cumsum(done)
+            ids[np.repeat(place[own[~active]] - (ends - done), done) + np.arange(int(ends[-1]))] = part[over]
+            sizes[own[~active]] = done
             part, rank = part[~over], rank[~over]
             own, size, least = own[active], size[active], least[active]
             heads = np.cumsum(size) - size
             if not len(own):
                 break
         hit = np.flatnonzero(rank == np.repeat(least, size))
-        piece = np.searchsorted(heads, hit, side="right") - 1
-        hit = hit[np.append(True, piece[1:] != piece[:-1])]  # the leftmost of each piece
+        if len(hit) > len(own):  # the leftmost of each piece
+            piece = np.searchsorted(heads, hit, side="right")
+            hit = hit[np.append(True, piece[1:] != piece[:-1])]
         part[hit] = least
         keep = np.ones(len(part), dtype=bool)
         keep[hit + 1] = False
@@ -206,23 +228,22 @@ def merge_many(words: list[bytes], pairs: Pairs) -> tuple[np.ndarray, np.ndarray
         moved = hit - np.arange(len(hit))
         part, rank, size = part[keep], rank[keep], size - 1
         heads = np.cumsum(size) - size
-        more = moved[(moved < heads + size - 1)]
+        more, before = moved[moved < heads + size - 1], moved[moved > heads]
         rank[more] = pairs(part[more], part[more + 1])
-        before = moved[moved > heads]
         rank[before - 1] = pairs(part[before - 1], part[before])
-    sizes = np.array([len(i) for i in ids], dtype=np.int64)
-    return (np.concatenate(ids) if ids else np.zeros(0, np.int64)), sizes
+    return _gather(ids, place, sizes), sizes
 
 
-def distinct(raw: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct pieces of a slice of texts, the place of each piece among them, pieces per text)."""
+def distinct(raw: np.ndarray, offsets: np.ndarray, exact: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct pieces of a slice of texts, the place of each piece among them, pieces per text).
+    Not ``exact``: pieces of one hash count as equal, which is enough to choose a dictionary."""
     _, starts, ends, row, _ = pieces(raw, offsets)
     heads = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # characters to bytes
     starts, ends = heads[starts], heads[ends]
     _, first, back = np.unique(range_hash(raw, starts, ends), return_index=True, return_inverse=True)
     data = raw.tobytes()
     count = np.bincount(row, minlength=len(offsets) - 1)
-    if _equal(raw, starts, ends, starts[first][back], ends[first][back]):
+    if not exact or _equal(raw, starts, ends, starts[first][back], ends[first][back]):
         return [data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())], back, count
     known: dict[bytes, int] = {}  # two pieces with one hash: no hash then
     back = np.array([known.setdefault(data[i:j], len(known)) for i, j in zip(starts.tolist(), ends.tolist())])
@@ -255,7 +276,7 @@ def count_pieces(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             raw, offsets = buffers(batch.column(0))
             for a, b in slices(offsets):
-                words, back, _ = distinct(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                words, back, _ = distinct(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], exact=False)
                 for w, n in zip(words, np.bincount(back, minlength=len(words)).tolist()):
                     seen[w] = seen.get(w, 0) + n
                 if len(seen) > MAX_KEPT:
