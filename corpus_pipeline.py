@@ -17,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.llm import bpe, dartminhash, mixing, pii, quality
-from eventflow.llm.common import BATCH_BYTES_CONF, col, fresh, table, write_cut
+from eventflow.llm.common import BATCH_BYTES_CONF, col, fresh, release, table, write_cut
 
 BATCH_BYTES = 2 << 20
 
 
 def modest(spark: SparkSession) -> None:
-    """Smaller Arrow batches than a single operator takes: the Python workers of all stages
-    stay beside one another on an executor."""
+    """Smaller Arrow batches than a single operator takes, since the Python workers of all stages
+    stay beside one another on an executor; and what earlier stages left on the driver goes."""
     spark.conf.set(BATCH_BYTES_CONF, str(BATCH_BYTES))
+    release()
+    spark.sparkContext._jvm.System.gc()
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
