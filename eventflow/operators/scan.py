@@ -187,6 +187,14 @@ def _combine(how: str, here: Column, carry: Column) -> Column:
     return F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0))
 
 
+def _blocks_at_most(df: DataFrame) -> int:
+    """An upper estimate of the arrival blocks, from the plan's size in bytes: a row has one at
+    least. No job; only the depth of the tree depends on it."""
+    width = int(df.sparkSession.conf.get(ARRIVAL_BLOCK_CONF, str(DEFAULT_ARRIVAL_BLOCK)))
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) // width + 1
+
+
 def _step(how: str, value: Column, window) -> Column:
     """The running value of block summaries over ``window`` (rows before, or after for lead)."""
     if how in ("last", "lag"):
@@ -252,12 +260,14 @@ def scan(df: DataFrame, outs: list, order: list, bucket: Column, keys: tuple = (
     (keys, bucket), so a hot key is spread over its buckets; the carry-in from
     other buckets is computed on one summary row per (keys, bucket), in a tree of
     ``spark.eventflow.scan.fanout`` blocks a node. ``buckets``: their number, where it is
-    known; it sets the depth of the tree. Otherwise the tree has one level below its root, which
-    leaves the root a row for every ``fanout`` buckets of a key.
+    known; it sets the depth of the tree. Otherwise the number of arrival blocks is bounded by the
+    size that the plan states, and the tree has two levels below its root at most.
     """
     fanout = max(2, int(df.sparkSession.conf.get(FANOUT_CONF, str(DEFAULT_FANOUT))))
-    levels, reach = (1, 0) if buckets is None else (0, fanout)
-    while buckets is not None and reach < buckets:
+    if buckets is None:
+        buckets = min(_blocks_at_most(df), fanout ** 3)
+    levels, reach = 0, fanout
+    while reach < buckets:
         levels, reach = levels + 1, reach * fanout
     rows = df.withColumn("_key", _key(list(keys))).withColumn("_bkt", bucket)
     inside = Window.partitionBy("_key", "_bkt").orderBy(*order)

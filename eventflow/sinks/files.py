@@ -71,6 +71,8 @@ class WriteAheadSink:
         return batch_id <= self.last_committed()
 
     def write_batch(self, df: DataFrame, batch_id: int) -> bool:
+        if "batch" in (c.lower() for c in df.columns):
+            raise ValueError("the sink keeps its batch id in a column named batch")
         if self.is_committed(batch_id):
             return False
         df.write.mode("overwrite").format(self.fmt).save(f"{self.root}/data/batch={batch_id}")
