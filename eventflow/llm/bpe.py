@@ -77,7 +77,12 @@ def _joined(table: Column, left: Column, right: Column) -> Column:
 
 
 def fold(word: Column, table: Column) -> Column:
-    """The token ids of a piece (binary): ranked merges folded over its bytes."""
+    """The token ids of a piece (binary): ranked merges folded over its bytes. The table stands once
+    in the plan, whose text the driver keeps."""
+    return F.transform(F.array(table), lambda t: _fold(word, t))[0]
+
+
+def _fold(word: Column, table: Column) -> Column:
     size = F.length(word)
     bytes_ = F.get(table, F.lit(0))
 
@@ -313,17 +318,43 @@ def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(flat)]).cast(pa.binary())
 
 
+def _packed(words: DataFrame) -> list[list[bytes]]:
+    """A dictionary (word, ids) as a few packed parts: its rows never stand on the driver one by one."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            own = [w or b"" for w in batch.column(0).to_pylist()]
+            parts = [np.array([len(w) for w in own], "<i4").tobytes(), b"".join(own),
+                     np.asarray(lists.value_lengths()).astype("<i4").tobytes(), lists.flatten().to_numpy().astype("<u4").tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=list("abcd"))
+
+    packed = words.mapInArrow(run, "a binary, b binary, c binary, d binary")
+    return [[bytes(r[i]) for i in range(4)] for r in packed.collect()]  # at most max_words in all
+
+
+def _unpacked(parts: list[list[bytes]]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """(place of each word, ids of all words one after the other, how many each has)."""
+    place: dict[bytes, int] = {}
+    for lengths, joined, _, _ in parts:
+        ends = np.cumsum(np.frombuffer(lengths, "<i4").astype(np.int64)).tolist()
+        for a, b in zip([0, *ends], ends):
+            place[joined[a:b]] = len(place)
+    sizes = [np.frombuffer(p[2], "<i4").astype(np.int64) for p in parts]
+    flat = [np.frombuffer(p[3], "<u4") for p in parts]
+    return place, np.concatenate([*flat, np.zeros(0, "<u4")]), np.concatenate([*sizes, np.zeros(0, np.int64)])
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
            keep: list[str] | None = None, max_words: int = MAX_WORDS) -> DataFrame:
     """The ``keep`` columns of ``docs`` (default: all) and the ids of each whole text."""
     keep = docs.columns if keep is None else keep
-    rows = dictionary(docs, path, text, max_words).collect()  # at most max_words
-    flat = np.array([i for r in rows for i in r[1]], dtype="<u4")
-    sizes = np.array([len(r[1]) for r in rows], dtype=np.int64)
-    known = docs.sparkSession.sparkContext.broadcast(({bytes(r[0]): i for i, r in enumerate(rows)}, flat, sizes))
+    known = docs.sparkSession.sparkContext.broadcast(_packed(dictionary(docs, path, text, max_words)))
+    opened: dict = {}
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        place, own_flat, own_sizes = known.value
+        if not opened:
+            opened.update(zip(("place", "flat", "sizes"), _unpacked(known.value)))
+        place, own_flat, own_sizes = opened["place"], opened["flat"], opened["sizes"]
         first = np.cumsum(own_sizes) - own_sizes
         raw, offsets = buffers(texts)
         coded, counts = [], []
