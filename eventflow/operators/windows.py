@@ -95,38 +95,87 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, keys: list,
     """
     size_ms, slide_ms = _ms(size), _ms(slide)
     k = size_ms // slide_ms
-    aggs = []
-    if count_alias:
-        aggs.append(F.count(F.lit(1)).alias(count_alias))
-    aggs += [F.sum(c).alias(a) for a, c in sums.items()]
+    aggs = [F.sum(c).alias(a) for a, c in sums.items()]
     if df.isStreaming or size_ms % slide_ms != 0 or k <= pane_ratio_limit:
-        return window_agg(df, ts, size, keys, aggs, slide)
+        count = [F.count(F.lit(1)).alias(count_alias)] if count_alias else []
+        return window_agg(df, ts, size, keys, count + aggs, slide)
     pane = F.window(ts, slide)
     panes = df.groupBy(pane.start.alias("_ps"), *keys).agg(F.count(F.lit(1)).alias("_n"), *aggs)
     panes = panes.withColumn("_p", epoch_ms("_ps"))
-    out_cols = ([count_alias] if count_alias else []) + list(sums)
     exact = all(isinstance(panes.schema[c].dataType, (T.IntegralType, T.DecimalType)) for c in sums)
-    res = (_by_differences if exact else _by_copies)(panes, keys, out_cols, k, slide_ms)
-    kind = df.schema[ts].dataType  # bounds have the input's type, whatever k is
-
+    if exact:
+        res = _by_differences(_dealt(panes, keys), keys, list(sums), k, slide_ms)
+    else:
+        res = _by_copies(panes, keys, list(sums), k, slide_ms)
+    return _bounds(res, df.schema[ts].dataType, size_ms, keys, count_alias, list(sums))
+
+
+def sliding_counts_of(df: DataFrame, ts: str, size: str, slide: str, keys: list,
+                      expand: Callable[[DataFrame, tuple], DataFrame], weight: Column,
+                      count_alias: str = "cnt", part_bytes: int = 8 << 20) -> DataFrame:
+    """Sliding-window counts of the rows that ``expand(rows, keep)`` makes of each row, such as
+    the words of a text; the result is that of ``sliding_agg`` over the expanded rows.
+
+    ``sliding_agg`` moves a row for each (pane, key), which for the words of texts is many
+    times the texts. Here a row moves once, unexpanded, to the block of windows that hold it, and all
+    else is done where it then lies: a block is a stretch of 16 (k - 1) window starts, so at most
+    one row in 16 has windows in two blocks and goes to both. ``weight`` is the size of a row in
+    bytes; tasks get about ``part_bytes`` each, so that neither the counts nor their order
+    outgrow a task's memory, whatever the size of the table. A block of over four times that (many rows in one
+    second) would be one long task: its panes are counted where the rows are read, and dealt by key.
+    """
+    size_ms, slide_ms = _ms(size), _ms(slide)
+    k = size_ms // slide_ms
+    if df.isStreaming or size_ms % slide_ms != 0 or k <= 2:
+        return sliding_agg(expand(df, (ts,)), ts, size, slide, keys, {}, count_alias)
+    span_ms = 16 * (k - 1) * slide_ms
+    rows = df.withColumn("_p", epoch_ms(F.window(ts, slide).start))
+    first, last = (c - F.pmod(c, F.lit(span_ms)) for c in (F.col("_p") - F.lit((k - 1) * slide_ms), F.col("_p")))
+    rows = rows.withColumn("_b", F.explode(F.sequence(first, last, F.lit(span_ms))))
+    total, heavy = (rows.groupBy("_b").agg(F.sum(weight).alias("_w"))
+                    .agg(F.sum("_w"), F.collect_list(F.when(F.col("_w") > 4 * part_bytes, F.col("_b")))).first())
+    small = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8 * (total or 0) // part_bytes)
+    tasks = max(-(-(total or 0) // part_bytes), small, 1)
+
+    def counted(part, deal):
+        panes = expand(part, ("_b", "_p")).groupBy("_b", "_p", *keys).agg(F.count(F.lit(1)).alias("_n"))
+        return _by_differences(deal(panes), ["_b", *keys], [], k, slide_ms, span_ms)
+
+    res = counted((rows.where(~F.col("_b").isin(heavy)) if heavy else rows).repartition(tasks, "_b"), lambda panes: panes)
+    if heavy:
+        res = res.unionByName(counted(rows.where(F.col("_b").isin(heavy)), lambda panes: _dealt(panes, ["_b", *keys])))
+    return _bounds(res, df.schema[ts].dataType, size_ms, keys, count_alias, [])
+
+
+def _dealt(panes: DataFrame, keys: list) -> DataFrame:
+    """The panes of a key together, moved before a gain and a loss are made of each."""
+    return panes.repartition(*keys) if keys else panes
+
+
+def _bounds(res: DataFrame, kind: T.DataType, size_ms: int, keys: list, count_alias: str | None, out_cols: list) -> DataFrame:
+    """Window start and end for ``_s``, of the input's type, whatever the ratio of size to slide."""
     def bound(ms):
         return F.timestamp_millis(ms).cast(kind)
 
     return res.select(bound(F.col("_s")).alias("window_start"),
                       bound(F.col("_s") + F.lit(size_ms)).alias("window_end"),
-                      *keys, *out_cols)
+                      *keys, *([F.col("_n").alias(count_alias)] if count_alias else []), *out_cols)
 
 
 def _by_copies(panes: DataFrame, keys: list, out_cols: list, k: int, slide_ms: int) -> DataFrame:
-    """(_s, keys, sums) of every window, from a copy of each pane for each of its windows."""
+    """(_s, keys, _n, sums) of every window, from a copy of each pane for each of its windows."""
     each = panes.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     start = (F.col("_p") - F.col("_i") * F.lit(slide_ms)).alias("_s")
-    return each.select(*keys, *out_cols, start).groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in out_cols])
+    return each.select(*keys, "_n", *out_cols, start).groupBy("_s", *keys).agg(*[F.sum(c).alias(c) for c in ("_n", *out_cols)])
 
 
-def _by_differences(panes: DataFrame, keys: list, out_cols: list, k: int, slide_ms: int) -> DataFrame:
-    """(_s, keys, sums) of every window, from a gain and a loss of each pane."""
+def _by_differences(panes: DataFrame, keys: list, out_cols: list, k: int, slide_ms: int,
+                    span_ms: int | None = None) -> DataFrame:
+    """(_s, keys, _n, sums) of every window, from a gain and a loss of each pane. With ``span_ms``,
+    of the windows that start in the stretch of that length from ``_b`` on, which is one of the keys."""
     first, gone = F.col("_p") - F.lit((k - 1) * slide_ms), F.col("_p") + F.lit(slide_ms)
+    if span_ms:
+        first, gone = F.greatest(first, F.col("_b")), F.least(gone, F.col("_b") + F.lit(span_ms))
     changes = panes.select(*keys, "_n", *out_cols, F.explode(F.array(
         F.struct(first.alias("t"), F.lit(1).alias("sign")), F.struct(gone.alias("t"), F.lit(-1).alias("sign")))).alias("_c"))
     line = Window.partitionBy(*keys).orderBy("_c.t") if keys else Window.orderBy("_c.t")
@@ -138,7 +187,7 @@ def _by_differences(panes: DataFrame, keys: list, out_cols: list, k: int, slide_
                            for i, c in enumerate(out_cols)])
     run = run.where((F.col("_n") > 0) & (F.col("_next") > F.col("_t")))
     kinds = panes.schema
-    return run.select(F.explode(F.sequence("_t", F.col("_next") - F.lit(slide_ms), F.lit(slide_ms))).alias("_s"), *keys,
+    return run.select(F.explode(F.sequence("_t", F.col("_next") - F.lit(slide_ms), F.lit(slide_ms))).alias("_s"), *keys, "_n",
                       *[F.when(F.col(f"_some{i}") > 0, F.col(c)).cast(kinds[c].dataType).alias(c)
                         for i, c in enumerate(out_cols)])
 

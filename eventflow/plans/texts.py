@@ -277,11 +277,11 @@ FROM toks, range(5) t(i) GROUP BY ALL""")
 def e5_sliding_word_count(spark, sf):
     """O-E5: sliding (5 s / 1 s) word count on a text stream; documents
     arrive one per second (arrival clock = doc_id seconds)."""
-    docs = text_table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents").select(
         F.timestamp_seconds("doc_id").cast("timestamp_ntz").alias("at"), "text")
-    toks = TK.whitespace_tokens(docs, "text", keep=("at",))
-    return W.sliding_agg(toks, "at", WORD_SLIDE_SIZE, WORD_SLIDE_STEP, ["word"], {}, "cnt").drop(
-        "window_start")
+    return W.sliding_counts_of(
+        docs, "at", WORD_SLIDE_SIZE, WORD_SLIDE_STEP, ["word"],
+        lambda rows, keep: TK.whitespace_tokens(rows, "text", keep=keep), F.octet_length("text")).drop("window_start")
 
 
 @register("e6_stopword_count", """
